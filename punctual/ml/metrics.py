@@ -61,9 +61,7 @@ def roc_points(pred: DataFrame, bins: int = 100, label: str = "label", score: st
 
     Scores are grouped into ``bins`` equal bins first, so the running sums cover at most that many rows.
     """
-    column = F.col(score)
-    # Widths are compared, not divided, so that a score that equals a bin edge falls on it exactly.
-    bucket = F.least(F.floor(column * bins).cast("int"), F.lit(bins - 1))
+    bucket = F.least(F.floor(F.col(score) * bins).cast("int"), F.lit(bins - 1))
     grouped = pred.groupBy(bucket.alias("bin")).agg(
         F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")
     )

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +15,7 @@ from punctual.functions.flight import risk_category
 from punctual.ml.features import CATEGORICAL, NUMERIC, feature_stages
 from punctual.ml.metrics import majority_baseline, precision_recall
 from punctual.operators.ranking import repeatable_limit
+from punctual.runtime import fresh_dir
 from punctual.schema import CONTRACTS
 
 MIN_BINS = 400
@@ -27,7 +28,8 @@ def train(
     """Fit ``"lr"`` (logistic regression on one-hot codes) or ``"gbt"`` (boosted trees on category indices)."""
     if kind == "lr":
         classifier = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)
-        return Pipeline(stages=[*feature_stages(), classifier]).fit(df)
+        *prepared, fitted = Pipeline(stages=[*feature_stages(), classifier]).fit(df).stages
+        return PipelineModel(stages=[*prepared, _without_summary(fitted, df.sparkSession)])
     if kind != "gbt":
         raise ValueError("kind must be 'lr' or 'gbt'")
     if max_depth > 5:
@@ -47,6 +49,17 @@ def train(
     return PipelineModel(stages=[*prepared.stages, fitted])
 
 
+def _without_summary(fitted: LogisticRegressionModel, spark: SparkSession) -> LogisticRegressionModel:
+    """The model as loaded from storage.
+
+    Fresh from training it holds its training summary and, through that, the session; Spark cannot
+    ship it to the tasks once the session has observed a write.
+    """
+    path = fresh_dir(spark, "model")
+    fitted.save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 

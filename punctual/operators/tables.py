@@ -206,9 +206,9 @@ def grain_sums(df: DataFrame) -> DataFrame:
 def all_tables(df: DataFrame, dim: DataFrame | None = None, how: str = "left") -> dict[str, DataFrame]:
     """All seven tables from one scan of the fact.
 
-    The grain sums (thousands of rows) are checkpointed; the tables read that.
+    The grain sums (thousands of rows) are written to the shared folder; each table reads its grain.
     """
-    sums = cut(grain_sums(df))
+    sums = cut(grain_sums(df), "grain")
     summed = {m: m for m in MEASURES}
     at = {g: sums.where(F.col("grain") == g) for g in GRAINS}
     return {

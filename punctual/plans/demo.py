@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 # Each term may use table columns and the terms above it.
 TERMS: dict[str, str] = {
@@ -88,8 +89,15 @@ def _requires(wanted: list[str]) -> tuple[list[str], set[str]]:
     return [t for t in TERMS if t in terms], tables
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder. Its schema is read from a file footer once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def places(spark: SparkSession, sf_dir: str, side: str, names: bool, regions: bool) -> DataFrame:
@@ -117,7 +125,6 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if _any(reads, "s_"):
         supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         df = df.join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left")
-        df = _with_place(spark, sf_dir, df, "s", reads)
     if _any(reads, "c_"):
         # orders x customer first: lineitem is then shuffled once, with a small integer to carry.
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -126,7 +133,9 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             "o_orderkey", "c_nationkey"
         )
         df = df.join(buyer, df["l_orderkey"] == buyer["o_orderkey"], "left")
-        df = _with_place(spark, sf_dir, df, "c", reads)
+    # Names come last, so that the shuffles above carry nation numbers only.
+    for side in ("s", "c"):
+        df = _with_place(spark, sf_dir, df, side, reads)
     # Later terms refer to earlier ones of the same select (lateral column aliases).
     return df.selectExpr(*[f"{TERMS[t]} AS `{t}`" for t in terms]).select(*wanted)
 

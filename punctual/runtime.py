@@ -32,14 +32,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise a result that several queries read, as a reliable checkpoint.
+def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Materialise a result that several queries read, as a Parquet table in the shared folder.
 
-    Meant for aggregated tables. The files survive the loss of any executor, so a lost task never
-    scans the fact table again.
+    Meant for aggregated tables. The files outlive the loss of any executor, so a lost task never
+    scans the fact table again, and each reader loads only its columns and its ``partition_by`` part.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = fresh_dir(df.sparkSession, "cut")
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -50,8 +50,19 @@ FLIGHT_COLUMNS: dict[str, str] = {
 DERIVED_COLUMNS: dict[str, str] = {"Dep_Hour": "int", "Route": "string"}
 
 
+_TYPES = {
+    "smallint": T.ShortType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+}
+
+
 def struct(columns: dict[str, str]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
 
 
 FLIGHT_SCHEMA = struct(FLIGHT_COLUMNS)

@@ -9,7 +9,7 @@ from punctual.functions.flight import clock_label, delay_flag, delay_status, fli
 from punctual.functions.numeric import clamp_min
 from punctual.schema import CLICK_EVENT_SCHEMA
 
-MAX_OFFSETS = 1_000_000
+MAX_OFFSETS = 10_000_000
 
 
 def kafka_source(
@@ -63,8 +63,8 @@ def split_rejects(
 
 
 def with_event_time(df: DataFrame, col: str = "event_timestamp") -> DataFrame:
-    """ISO text (with or without Z) to a timestamp; text that is none becomes null."""
-    return df.withColumn(col, F.col(col).cast("string").try_cast("timestamp"))
+    """ISO text (with or without Z), or a time without zone, to a timestamp; other text becomes null."""
+    return df.withColumn(col, F.col(col).try_cast("timestamp"))
 
 
 def enrich_events(df: DataFrame) -> DataFrame:
