@@ -15,25 +15,45 @@ from punctual.functions.flight import risk_category
 from punctual.ml.features import CATEGORICAL, NUMERIC, feature_stages
 from punctual.ml.metrics import majority_baseline, precision_recall
 from punctual.operators.ranking import repeatable_limit
-from punctual.runtime import fresh_dir
+from punctual.runtime import cut, fresh_dir
 from punctual.schema import CONTRACTS
 
 MIN_BINS = 400
 PREDICTION_LIMIT = 50_000
 
 
+def training_table(df: DataFrame) -> DataFrame:
+    """The features and the label as a written table.
+
+    Fitting reads its input several times (category counts, size checks, statistics, the iterations'
+    cache). On this table each read is a narrow scan, whatever joins and filters the rows come from.
+    """
+    return cut(df.select(*CATEGORICAL, *NUMERIC, "label"))
+
+
 def train(
-    df: DataFrame, kind: str = "lr", *, max_iter: int = 20, max_depth: int = 5, seed: int = 42
+    df: DataFrame,
+    kind: str = "lr",
+    *,
+    max_iter: int = 20,
+    max_depth: int = 5,
+    seed: int = 42,
+    written: bool = False,
 ) -> PipelineModel:
-    """Fit ``"lr"`` (logistic regression on one-hot codes) or ``"gbt"`` (boosted trees on category indices)."""
+    """Fit ``"lr"`` (logistic regression on one-hot codes) or ``"gbt"`` (boosted trees on category indices).
+
+    ``written`` says that ``df`` already is a ``training_table``.
+    """
+    if kind not in ("lr", "gbt"):
+        raise ValueError("kind must be 'lr' or 'gbt'")
+    if max_depth > 5:
+        raise ValueError("boosted trees are limited to depth 5")
+    if not written:
+        df = training_table(df)
     if kind == "lr":
         classifier = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)
         *prepared, fitted = Pipeline(stages=[*feature_stages(), classifier]).fit(df).stages
         return PipelineModel(stages=[*prepared, _without_summary(fitted, df.sparkSession)])
-    if kind != "gbt":
-        raise ValueError("kind must be 'lr' or 'gbt'")
-    if max_depth > 5:
-        raise ValueError("boosted trees are limited to depth 5")
     prepared = Pipeline(stages=feature_stages(one_hot=False)).fit(df)
     # A tree needs one bin per category, the one for unseen values included.
     categories = max(len(labels) for labels in prepared.stages[0].labelsArray) + 1
@@ -109,7 +129,10 @@ def importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
 
 
 def predictions(pred: DataFrame, limit: int | None = PREDICTION_LIMIT, seed: int = 42) -> DataFrame:
-    """The published prediction table: rounded probability, risk bucket, a repeatable sample of rows."""
+    """The published prediction table: rounded probability, risk bucket, a repeatable sample of rows.
+
+    Rows are drawn by what is known without the model, so only drawn rows are scored.
+    """
     rows = pred.select(
         "FlightDate",
         "Reporting_Airline",
@@ -121,7 +144,9 @@ def predictions(pred: DataFrame, limit: int | None = PREDICTION_LIMIT, seed: int
         class_probability(pred).alias("Delay_Probability"),
     ).withColumn("Risk_Category", risk_category("Delay_Probability"))
     rows = rows.select(*CONTRACTS["ml_delay_predictions"].columns)
-    return rows if limit is None else repeatable_limit(rows, limit, seed)
+    if limit is None:
+        return rows
+    return repeatable_limit(rows, limit, ["FlightDate", *CATEGORICAL, "Dep_Hour", "Actual_Delayed"], seed)
 
 
 def class_probability(pred: DataFrame):

@@ -81,15 +81,17 @@ def hash_sample(df: DataFrame, fraction: float, keys: list[str] | None = None, s
 _SLOT_BITS = 12
 
 
-def repeatable_limit(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """n rows (all, if there are fewer) in hash order, so that a second run picks the same.
+def repeatable_limit(df: DataFrame, n: int, keys: list[str] | None = None, seed: int = 42) -> DataFrame:
+    """n rows (all, if there are fewer) in the order of a hash of ``keys`` (default: all columns), so that a
+    second run picks the same.
 
     A plain limit sends up to n rows of every task to one task. Here the hash value that cuts off n
     rows is found first, by counting rows per hash slot (at most 4096 counts reach the driver, and
     a full slot is split again), so that about n rows take part in the sort. Copies of one row
-    travel as a single row with a count.
+    travel as a single row with a count. With keys that are cheap, columns that are not (a model's
+    output) are computed for the chosen slots only.
     """
-    position = row_hash(df, seed=seed)
+    position = row_hash(df, keys, seed)
     low, bound, need, shift = 0, 1 << _BITS, n, _BITS - _SLOT_BITS
     while shift > 0:
         part = df.where((position >= low) & (position < bound))
@@ -107,7 +109,7 @@ def repeatable_limit(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
         shift -= _SLOT_BITS
     columns = df.columns
     distinct = df.where(position < bound).groupBy(*columns).agg(F.count("*").alias("_copies"))
-    order = [row_hash(distinct, columns, seed), *[F.col(c) for c in columns]]
+    order = [row_hash(distinct, keys or columns, seed), *[F.col(c) for c in columns]]
     first = distinct.orderBy(*order).limit(n)
     before = F.sum("_copies").over(Window.orderBy(*order)) - F.col("_copies")
     taken = first.withColumn("_take", F.least(F.col("_copies"), F.lit(n) - before).cast("int")).where("_take > 0")

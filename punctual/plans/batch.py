@@ -49,7 +49,8 @@ def run_batch(
 
     if kinds:
         train, test = features.default_split(features.training_rows(fact))
-        fitted = {kind: models.train(train, kind) for kind in kinds}
+        rows = models.training_table(train)
+        fitted = {kind: models.train(rows, kind, written=True) for kind in kinds}
         for kind, model in fitted.items():
             result.metrics[kind] = models.evaluate(models.score(model, test))
         scored = models.predictions(models.score(fitted[kinds[0]], test), prediction_limit)

@@ -371,7 +371,7 @@ def _raw_text(df: DataFrame) -> DataFrame:
     for c in (c for c in df.columns if c not in ("Dep_Hour", "Route")):
         value = F.col(c).cast("string")
         if c in numbers:
-            value = F.when(F.col(c).isNotNull(), F.concat(value, F.lit(".00")))
+            value = F.concat(value, F.lit(".00"))
         columns.append(value.alias(c))
     bad = (
         F.when(F.col("DayofMonth") == "1", "x")
@@ -429,6 +429,19 @@ def raw_manifest_months(spark, sf_dir):
     return manifest.month_coverage(flights(spark, sf_dir, "Year", "Month"))
 
 
+@query
+def raw_manifest_files(spark, sf_dir):
+    """Raw months written to folders, then listed and counted: months with files, rows and state."""
+    path = fresh_dir(spark, "landing")
+    months = flights(spark, sf_dir, "Year", "Month", "FlightDate", "ArrDelay")
+    months.write.partitionBy("Year", "Month").option("header", True).csv(path)
+    span = months.agg(F.min("Year").alias("lo"), F.max("Year").alias("hi")).first()
+    found = manifest.raw_manifest(
+        spark, path, span["lo"], span["hi"], min_bytes=1, count_rows=True, pattern=manifest.BY_FOLDER
+    )
+    return found.select("Year", "Month", (F.col("files") > 0).alias("landed"), "rows", "ok")
+
+
 # --- models: metrics on a fixed score, then trained models ------------------------------------
 
 _REPORT = ("FlightDate", "Reporting_Airline", "Origin", "Dest", "Dep_Hour")
@@ -537,7 +550,11 @@ def delay_model_scores(spark, sf_dir):
 @query
 def model_comparison(spark, sf_dir):
     train, test = features.default_split(_training(spark, sf_dir))
-    fitted = {"lr": models.train(train, "lr"), "gbt": models.train(train, "gbt", max_iter=5)}
+    rows = models.training_table(train)
+    fitted = {
+        "lr": models.train(rows, "lr", written=True),
+        "gbt": models.train(rows, "gbt", max_iter=5, written=True),
+    }
     return models.compare(fitted, test)
 
 

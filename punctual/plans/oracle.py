@@ -280,6 +280,15 @@ _CELLS = {
 _F1 = "CASE WHEN 2 * {a} + {b} + {c} > 0 THEN 2e0 * {a} / (2e0 * {a} + {b} + {c}) ELSE 0 END"
 _F1_LATE, _F1_ONTIME = _F1.format(a="tp", b="fn", c="fp"), _F1.format(a="tn", b="fp", c="fn")
 
+# Flights per month over the full grid of the years present.
+_MONTHS = """
+FROM (
+  SELECT CAST(y AS INTEGER) AS Year, CAST(m AS INTEGER) AS Month, coalesce(n, 0) AS n
+  FROM (SELECT unnest(range((SELECT min(Year) FROM f), (SELECT max(Year) + 1 FROM f))) AS y)
+  CROSS JOIN (SELECT unnest(range(1, 13)) AS m)
+  LEFT JOIN (SELECT Year, Month, count(*) AS n FROM f GROUP BY 1, 2) c ON c.Year = y AND c.Month = m)
+"""
+
 
 def _words(relation: str) -> str:
     return (
@@ -473,12 +482,8 @@ ORACLE: dict[str, str] = {
         "CAST(sum(Dep_Hour) AS BIGINT) AS Hour_Sum, min(Route) AS First_Route FROM f GROUP BY Year, Month"
     ),
     "parquet_by_year": _sql("SELECT * FROM calendar WHERE Year BETWEEN 1997 AND 1999"),
-    "raw_manifest_months": _sql(
-        "SELECT y AS Year, CAST(m AS INTEGER) AS Month, coalesce(n, 0) AS \"rows\", coalesce(n, 0) > 0 AS ok FROM ("
-        "SELECT unnest(range((SELECT min(Year) FROM f), (SELECT max(Year) + 1 FROM f))) AS y) "
-        "CROSS JOIN (SELECT unnest(range(1, 13)) AS m) "
-        "LEFT JOIN (SELECT Year, Month, count(*) AS n FROM f GROUP BY 1, 2) c ON c.Year = y AND c.Month = m"
-    ).replace("SELECT y AS Year", "SELECT CAST(y AS INTEGER) AS Year"),
+    "raw_manifest_months": _sql(f"SELECT Year, Month, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
+    "raw_manifest_files": _sql(f"SELECT Year, Month, n > 0 AS landed, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
     "risk_buckets": _sql("SELECT score AS P, Risk_Category, count(*) AS Flights FROM p GROUP BY 1, 2"),
     "high_risk_flights": _sql("SELECT count(*) FILTER (WHERE Risk_Category = 'High') AS High_Risk_Flights FROM p"),
     "risk_distribution": _sql(

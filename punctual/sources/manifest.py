@@ -7,18 +7,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # Fixed value: a monthly file below this size is taken for a broken download.
 MIN_BYTES = 50 * 1024 * 1024
 # Fixed value: monthly files end in _<year>_<month>.csv
-_NAME = r"_(\d{4})_(\d{1,2})\.csv$"
+BY_NAME = r"_(\d{4})_(\d{1,2})\.csv$"
+BY_FOLDER = r"/Year=(\d+)/Month=(\d+)/[^/]*$"
 
 
-def landed_files(spark: SparkSession, path: str) -> DataFrame:
+def _year_month(path: str, pattern: str) -> list[Column]:
+    parts = [F.regexp_extract(path, pattern, i).try_cast("int") for i in (1, 2)]
+    return [parts[0].alias("Year"), parts[1].alias("Month")]
+
+
+def landed_files(spark: SparkSession, path: str, pattern: str = BY_NAME) -> DataFrame:
     """Path, size, year and month of every file, from the listing alone: no file is opened."""
     files = spark.read.format("binaryFile").load(path).select("path", "length")
-    return files.select(
-        "path",
-        F.col("length").alias("bytes"),
-        F.regexp_extract("path", _NAME, 1).try_cast("int").alias("Year"),
-        F.regexp_extract("path", _NAME, 2).try_cast("int").alias("Month"),
-    )
+    return files.select("path", F.col("length").alias("bytes"), *_year_month("path", pattern))
 
 
 def month_grid(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
@@ -34,13 +35,14 @@ def raw_manifest(
     last_year: int,
     min_bytes: int = MIN_BYTES,
     count_rows: bool = False,
+    pattern: str = BY_NAME,
 ) -> DataFrame:
     """(Year, Month, files, bytes, rows, ok) for every expected month; a missing month has 0 files.
 
-    ``ok`` means at least one file and none below ``min_bytes``. ``rows`` is null unless
+    ``pattern`` finds year and month in a file's path. ``ok`` means at least one file and none below ``min_bytes``. ``rows`` is null unless
     ``count_rows``, which scans the files' row boundaries.
     """
-    files = landed_files(spark, path).groupBy("Year", "Month")
+    files = landed_files(spark, path, pattern).groupBy("Year", "Month")
     found = files.agg(
         F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.min("bytes").alias("smallest")
     )
@@ -50,11 +52,7 @@ def raw_manifest(
     if count_rows:
         lines = spark.read.option("header", True).csv(path).select(F.col("_metadata.file_path").alias("p"))
         counted = lines.groupBy("p").agg(F.count("*").alias("rows"))
-        named = counted.select(
-            F.regexp_extract("p", _NAME, 1).try_cast("int").alias("Year"),
-            F.regexp_extract("p", _NAME, 2).try_cast("int").alias("Month"),
-            "rows",
-        )
+        named = counted.select(*_year_month("p", pattern), "rows")
         out = out.join(named.groupBy("Year", "Month").agg(F.sum("rows").alias("rows")), ["Year", "Month"], "left")
         rows = F.coalesce("rows", F.lit(0).cast("bigint"))
     zero = F.lit(0).cast("bigint")

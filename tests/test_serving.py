@@ -152,7 +152,7 @@ def test_top_n_ties_and_having(spark):
     assert [(r["Rank"], r["k"]) for r in rows] == [(1, "a"), (2, "b")]
 
 
-def test_repeatable_limit_matches_brute_force(spark, monkeypatch):
+def test_repeatable_limit_matches_brute_force(spark):
     random.seed(3)
     rows = [(random.randrange(40), random.choice("abc")) for _ in range(3000)] + [(7, "hot")] * 1500
     df = spark.createDataFrame(rows, "x int, y string")
@@ -162,6 +162,10 @@ def test_repeatable_limit_matches_brute_force(spark, monkeypatch):
         for parts in (1, 7):
             got = [tuple(r) for r in ranking.repeatable_limit(df.repartition(parts), n).collect()]
             assert sorted(got) == sorted(want), (n, parts)
+    keyed = df.withColumn("h", ranking.row_hash(df, ["x"])).collect()
+    want = [(r["x"], r["y"]) for r in sorted(keyed, key=lambda r: (r["h"], r["x"], r["y"]))[:900]]
+    got = [tuple(r) for r in ranking.repeatable_limit(df.repartition(3), 900, ["x"]).collect()]
+    assert sorted(got) == sorted(want)
 
 
 def test_hash_sample_does_not_depend_on_partitions(spark):
