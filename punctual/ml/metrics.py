@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from punctual.functions.numeric import pct
 from punctual.operators.rollup import count_if
+from punctual.runtime import cut
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -99,6 +100,7 @@ def roc_auc_by_rank(pred: DataFrame, label: str = "label", score: str = "score")
     grouped = pred.groupBy(F.col(score).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")
     )
+    grouped = cut(grouped)  # read three times below
     edges = grouped.agg(
         F.percentile_approx("s", [i / _CUTS for i in range(1, _CUTS)], 20 * _CUTS).alias("edges")
     ).first()["edges"]

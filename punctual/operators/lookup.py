@@ -23,9 +23,9 @@ def with_names(
     under the session's threshold and otherwise shuffles both sides.
     """
     names = dict(names or {f"{code}_Name": "name"})
-    side = dim.groupBy(F.col(dim_code).alias("_code")).agg(
-        *[F.min(source).alias(f"_{target}") for target, source in names.items()]
-    )
+    # Hash-based distinct first: a large dimension (say, a code per part) shrinks inside each task.
+    side = dim.select(F.col(dim_code).alias("_code"), *[F.col(s).alias(f"_{t}") for t, s in names.items()]).distinct()
+    side = side.groupBy("_code").agg(*[F.min(f"_{t}").alias(f"_{t}") for t in names])
     joined = df.join(side, df[code] == side["_code"], "left")
     kept = [df[c] for c in df.columns if c not in names]
     found = [

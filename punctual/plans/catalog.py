@@ -13,7 +13,7 @@ from punctual.operators.lookup import with_names
 from punctual.operators.rollup import rate_rollup
 from punctual.plans import sql
 from punctual.plans.demo import COLUMNS, flights, scored, table
-from punctual.runtime import fresh_dir
+from punctual.runtime import cut, fresh_dir
 from punctual.schema import CLICK_EVENT_SCHEMA, CONTRACTS, FLIGHT_COLUMNS, struct
 from punctual.sources import files, manifest
 from punctual.sources.publish import publish, publish_dir
@@ -526,7 +526,7 @@ def _training(spark, sf_dir):
 @query
 def split_sizes(spark, sf_dir):
     """Rows and late flights in the parts of the hash split and of the split by year."""
-    rows = _training(spark, sf_dir)
+    rows = cut(_training(spark, sf_dir))
     train, test = features.split_hash(rows)
     early, late, check = features.split_by_year(rows, 1998, 1999, check_year=2000)
     parts = {"hash_train": train, "hash_test": test, "year_train": early, "year_test": late, "year_check": check}
@@ -550,7 +550,7 @@ def delay_model_scores(spark, sf_dir):
 @query
 def model_comparison(spark, sf_dir):
     train, test = features.default_split(_training(spark, sf_dir))
-    rows = models.training_table(train)
+    rows, test = models.training_table(train), cut(test)
     fitted = {
         "lr": models.train(rows, "lr", written=True),
         "gbt": models.train(rows, "gbt", max_iter=5, written=True),

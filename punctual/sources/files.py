@@ -82,12 +82,13 @@ def write_flights(
 
     ``overwrite`` replaces the dataset, ``replace_years`` only the years present in ``df``. Without
     ``files_per_year`` there is no shuffle: each input task writes its own years. With it, each
-    year is spread evenly over that many tasks (by a hash of the row, so no year is ever one task),
-    which compacts an input of many small files. ``sort`` orders rows inside files for row-group skipping.
+    year is spread evenly over that many tasks, which compacts an input of many small files.
+    ``sort`` orders rows inside files for row-group skipping.
     """
     if files_per_year:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_year))
-        df = df.repartition(F.col("Year"), spread)
+        # Row and input partition: copies of one row spread out too, and a retried task repeats itself.
+        spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(files_per_year))
+        df = df.withColumn("_spread", spread).repartition("Year", "_spread").drop("_spread")
     if sort:
         df = df.sortWithinPartitions("Year", *sort)
     writer = df.write.partitionBy("Year")

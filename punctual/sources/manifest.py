@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from punctual.runtime import cut
+
 # Fixed value: a monthly file below this size is taken for a broken download.
 MIN_BYTES = 50 * 1024 * 1024
 # Fixed value: monthly files end in _<year>_<month>.csv
@@ -82,6 +84,6 @@ def missing_months(df: DataFrame, first_year: int | None = None, last_year: int
 
 def month_coverage(df: DataFrame) -> DataFrame:
     """Rows per month over the full grid of the years present: (Year, Month, rows, ok)."""
-    counts = df.groupBy("Year", "Month").agg(F.count("*").alias("rows"))
+    counts = cut(df.groupBy("Year", "Month").agg(F.count("*").alias("rows")))
     gaps = missing_months(counts).select("Year", "Month", F.lit(0).cast("bigint").alias("rows"))
     return counts.unionByName(gaps).withColumn("ok", F.col("rows") > 0)

@@ -56,3 +56,69 @@ def test_demo_fact_joins_only_what_is_read(spark, sf_dir):
     airline = plan(tables.airline_performance(fact(spark, sf_dir, "airline_performance")))
     assert airline.count("Join") == 1 and "part.parquet" in airline
     assert flights(spark, sf_dir, "Dep_Hour").count() == flights(spark, sf_dir).count()
+
+
+def test_hot_join_key_is_split(spark, tmp_path):
+    """A third of all lines under one order: adaptive execution splits that partition for the lookup join."""
+    from pyspark.sql import functions as F
+
+    lines = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("l_orderkey"),
+        (F.col("id") % 100).alias("l_partkey"),
+        (F.col("id") % 10).alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"),
+        F.lit(100.0).alias("l_extendedprice"),
+        F.lit("N").alias("l_returnflag"),
+        F.current_timestamp().alias("l_shipdate"),
+    )
+    lines.repartition(8).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.range(60000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(50).select(F.col("id").alias("c_custkey"), (F.col("id") % 5).cast("int").alias("c_nationkey")).write.parquet(
+        f"{tmp_path}/customer.parquet"
+    )
+    spark.range(5).selectExpr("CAST(id AS INT) n_nationkey", "concat('N', id) n_name", "0 AS n_regionkey").write.parquet(
+        f"{tmp_path}/nation.parquet"
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = flights(spark, str(tmp_path), "Dest").groupBy("Dest").count()
+        assert sum(r["count"] for r in df.collect()) == 60000
+        assert "skew=true" in plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_large_lookup_is_not_broadcast(cleaned, spark):
+    """No join is forced: over the size threshold the dimension is shuffled."""
+    from punctual.sources.lookup import carriers
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(tables.airline_performance(cleaned, carriers(spark)))
+        assert "Broadcast" not in text and "SortMergeJoin" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_sampled_predictions_are_scored_after_the_draw(spark, sf_dir):
+    """The row filter of the sample lies below the model in the plan."""
+    from punctual.ml import features, models
+    from punctual.plans.catalog import _training
+
+    train, test = features.split_hash(_training(spark, sf_dir))
+    scored = models.score(models.train(train, "lr", max_iter=1), test)
+    text = plan(models.predictions(scored, 10))
+    assert text.index("rawPrediction") < text.index("Filter (pmod(xxhash64")
