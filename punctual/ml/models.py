@@ -15,20 +15,20 @@ from punctual.functions.flight import risk_category
 from punctual.ml.features import CATEGORICAL, NUMERIC, feature_stages
 from punctual.ml.metrics import majority_baseline, precision_recall
 from punctual.operators.ranking import repeatable_limit
-from punctual.runtime import cut, fresh_dir
+from punctual.runtime import cut, fresh_dir, scratch
 from punctual.schema import CONTRACTS
 
 MIN_BINS = 400
 PREDICTION_LIMIT = 50_000
 
 
-def training_table(df: DataFrame) -> DataFrame:
+def training_table(df: DataFrame, path: str) -> DataFrame:
     """The features and the label as a written table.
 
     Fitting reads its input several times (category counts, size checks, statistics, the iterations'
     cache). On this table each read is a narrow scan, whatever joins and filters the rows come from.
     """
-    return cut(df.select(*CATEGORICAL, *NUMERIC, "label"))
+    return cut(df.select(*CATEGORICAL, *NUMERIC, "label"), path=path)
 
 
 def train(
@@ -42,14 +42,19 @@ def train(
 ) -> PipelineModel:
     """Fit ``"lr"`` (logistic regression on one-hot codes) or ``"gbt"`` (boosted trees on category indices).
 
-    ``written`` says that ``df`` already is a ``training_table``.
+    ``written`` says that ``df`` already is a ``training_table``; otherwise one exists during the fit.
     """
     if kind not in ("lr", "gbt"):
         raise ValueError("kind must be 'lr' or 'gbt'")
     if max_depth > 5:
         raise ValueError("boosted trees are limited to depth 5")
     if not written:
-        df = training_table(df)
+        with scratch(df.sparkSession, "training") as path:
+            return _fit(training_table(df, path), kind, max_iter, max_depth, seed)
+    return _fit(df, kind, max_iter, max_depth, seed)
+
+
+def _fit(df: DataFrame, kind: str, max_iter: int, max_depth: int, seed: int) -> PipelineModel:
     if kind == "lr":
         classifier = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)
         *prepared, fitted = Pipeline(stages=[*feature_stages(), classifier]).fit(df).stages

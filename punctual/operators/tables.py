@@ -105,8 +105,8 @@ def airport_performance(df: DataFrame, how: str = "left", *, measures: Mapping[s
     )
     departing, arriving = "CASE WHEN dep = 1 THEN {} END", "CASE WHEN dep = 0 THEN {} END"
     totals = ends.groupBy("Airport_Code").agg(
-        F.expr("coalesce(min(CASE WHEN dep = 1 THEN city END), min(city), '')").alias("Airport_City"),
-        F.expr("coalesce(min(CASE WHEN dep = 1 THEN state END), min(state), '')").alias("Airport_State"),
+        *[F.expr(f"min({departing.format(c)})").alias(f"d_{c}") for c in ("city", "state")],
+        *[F.expr(f"min({arriving.format(c)})").alias(f"a_{c}") for c in ("city", "state")],
         *[F.expr(f"sum({departing.format(m)})").alias(f"d_{m}") for m in _AIRPORT_SUMS],
         *[F.expr(f"sum({arriving.format(m)})").alias(f"a_{m}") for m in ("flights", "operated", "late")],
     )
@@ -114,8 +114,9 @@ def airport_performance(df: DataFrame, how: str = "left", *, measures: Mapping[s
         totals = totals.where("d_flights > 0")
     return totals.selectExpr(
         "Airport_Code",
-        "Airport_City",
-        "Airport_State",
+        # The departures' labels; those of the arrivals only where nothing departs.
+        "coalesce(CASE WHEN d_flights > 0 THEN d_city ELSE a_city END, '') AS Airport_City",
+        "coalesce(CASE WHEN d_flights > 0 THEN d_state ELSE a_state END, '') AS Airport_State",
         "coalesce(d_flights, 0L) AS Total_Departures",
         "coalesce(a_flights, 0L) AS Total_Arrivals",
         f"{share('d_dep_late', 'd_operated')} AS Dep_Delay_Rate_Pct",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from punctual.ml import features, models
 from punctual.operators import checks, tables
+from punctual.runtime import scratch
 from punctual.sources import files
 from punctual.sources.publish import publish
 
@@ -36,9 +37,8 @@ def run_batch(
     The first model in ``kinds`` supplies the published predictions; an empty tuple skips the models.
     """
     result = BatchResult()
-    files.write_flights(files.conform(files.read_raw_csv(spark, raw)), cleaned)
+    result.fact_rows = files.write_flights(files.conform(files.read_raw_csv(spark, raw)), cleaned)
     fact = files.read_flights(spark, cleaned)
-    result.fact_rows = fact.count()
 
     outputs = tables.all_tables(fact, dim)
     for name, df in outputs.items():
@@ -49,8 +49,9 @@ def run_batch(
 
     if kinds:
         train, test = features.default_split(features.training_rows(fact))
-        rows = models.training_table(train)
-        fitted = {kind: models.train(rows, kind, written=True) for kind in kinds}
+        with scratch(spark, "training") as path:
+            rows = models.training_table(train, path)
+            fitted = {kind: models.train(rows, kind, written=True) for kind in kinds}
         for kind, model in fitted.items():
             result.metrics[kind] = models.evaluate(models.score(model, test))
         scored = models.predictions(models.score(fitted[kinds[0]], test), prediction_limit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,7 +14,7 @@ from punctual.operators.lookup import with_names
 from punctual.operators.rollup import rate_rollup
 from punctual.plans import sql
 from punctual.plans.demo import COLUMNS, flights, scored, table
-from punctual.runtime import cut, fresh_dir
+from punctual.runtime import cut, hadoop_fs, scratch
 from punctual.schema import CLICK_EVENT_SCHEMA, CONTRACTS, FLIGHT_COLUMNS, struct
 from punctual.sources import files, manifest
 from punctual.sources.publish import publish, publish_dir
@@ -199,26 +200,23 @@ def published_reasons(spark, sf_dir):
 @query
 def publish_all(spark, sf_dir):
     """One-scan tables, published and read back: rows per table."""
-    target = fresh_dir(spark, "serving")
-    counts = {
-        name: publish(df, name, target)
-        for name, df in tables.all_tables(fact(spark, sf_dir, "all_tables")).items()
-    }
+    with scratch(spark, "serving") as target:
+        counts = {
+            name: publish(df, name, target)
+            for name, df in tables.all_tables(fact(spark, sf_dir, "all_tables")).items()
+        }
     return spark.createDataFrame(list(counts.items()), "table_name string, table_rows bigint")
 
 
 @query
 def export_and_load(spark, sf_dir):
     """The calendar and hourly tables as named CSV files, loaded from the directory, totals read back."""
-    exported, target = fresh_dir(spark, "exported"), fresh_dir(spark, "serving")
-    for name, df in (
-        ("agg_calendar_delays", _calendar(spark, sf_dir)),
-        ("agg_hourly_delays", _hourly(spark, sf_dir)),
-    ):
-        files.export_csv(checks.apply_contract(df, name), exported, name, CONTRACTS[name].keys)
-    publish_dir(spark, exported, target)
-    loaded = {name: spark.read.parquet(f"{target}/{name}") for name in ("agg_calendar_delays", "agg_hourly_delays")}
-    return checks.reconcile_totals(loaded)
+    made = {"agg_calendar_delays": _calendar(spark, sf_dir), "agg_hourly_delays": _hourly(spark, sf_dir)}
+    with scratch(spark, "export") as path:
+        for name, df in made.items():
+            files.export_csv(checks.apply_contract(df, name), f"{path}/csv", name, CONTRACTS[name].keys)
+        publish_dir(spark, f"{path}/csv", f"{path}/serving")
+        return cut(checks.reconcile_totals({n: spark.read.parquet(f"{path}/serving/{n}") for n in made}))
 
 
 @query
@@ -401,27 +399,29 @@ def dep_hour_route(spark, sf_dir):
 @query
 def csv_etl(spark, sf_dir):
     """Raw CSV written, read back by name and typed: months with sums over the typed columns."""
-    path = fresh_dir(spark, "raw")
     columns = [c for c in COLUMNS if c not in ("Dep_Hour", "Route")]
-    files.write_csv(_raw_text(flights(spark, sf_dir, *columns)), path)
-    df = files.conform(files.read_raw_csv(spark, path))
-    return df.groupBy("Year", "Month").agg(
-        F.count("*").alias("Flights"),
-        F.count("CarrierDelay").alias("Carrier_Values"),
-        F.sum("CarrierDelay").alias("Carrier_Minutes"),
-        F.sum("ArrDelay").alias("Arr_Delay"),
-        F.count("DepTime").alias("Dep_Times"),
-        F.sum("Dep_Hour").alias("Hour_Sum"),
-        F.min("Route").alias("First_Route"),
-    )
+    with scratch(spark, "raw") as path:
+        files.write_csv(_raw_text(flights(spark, sf_dir, *columns)), path)
+        df = files.conform(files.read_raw_csv(spark, path))
+        return cut(
+            df.groupBy("Year", "Month").agg(
+                F.count("*").alias("Flights"),
+                F.count("CarrierDelay").alias("Carrier_Values"),
+                F.sum("CarrierDelay").alias("Carrier_Minutes"),
+                F.sum("ArrDelay").alias("Arr_Delay"),
+                F.count("DepTime").alias("Dep_Times"),
+                F.sum("Dep_Hour").alias("Hour_Sum"),
+                F.min("Route").alias("First_Route"),
+            )
+        )
 
 
 @query
 def parquet_by_year(spark, sf_dir):
     """Year-partitioned Parquet written and read back under a year filter, which prunes directories."""
-    path = fresh_dir(spark, "flights")
-    files.write_flights(fact(spark, sf_dir, "calendar_delays"), path)
-    return tables.calendar_delays(population.in_years(files.read_flights(spark, path), 1997, 1999))
+    with scratch(spark, "flights") as path:
+        files.write_flights(fact(spark, sf_dir, "calendar_delays"), path)
+        return cut(tables.calendar_delays(population.in_years(files.read_flights(spark, path), 1997, 1999)))
 
 
 @query
@@ -432,14 +432,14 @@ def raw_manifest_months(spark, sf_dir):
 @query
 def raw_manifest_files(spark, sf_dir):
     """Raw months written to folders, then listed and counted: months with files, rows and state."""
-    path = fresh_dir(spark, "landing")
     months = flights(spark, sf_dir, "Year", "Month", "FlightDate", "ArrDelay")
-    months.write.partitionBy("Year", "Month").option("header", True).csv(path)
     span = months.agg(F.min("Year").alias("lo"), F.max("Year").alias("hi")).first()
-    found = manifest.raw_manifest(
-        spark, path, span["lo"], span["hi"], min_bytes=1, count_rows=True, pattern=manifest.BY_FOLDER
-    )
-    return found.select("Year", "Month", (F.col("files") > 0).alias("landed"), "rows", "ok")
+    with scratch(spark, "landing") as path:
+        months.write.partitionBy("Year", "Month").option("header", True).csv(path)
+        found = manifest.raw_manifest(
+            spark, path, span["lo"], span["hi"], min_bytes=1, count_rows=True, pattern=manifest.BY_FOLDER
+        )
+        return cut(found.select("Year", "Month", (F.col("files") > 0).alias("landed"), "rows", "ok"))
 
 
 # --- models: metrics on a fixed score, then trained models ------------------------------------
@@ -526,18 +526,18 @@ def _training(spark, sf_dir):
 @query
 def split_sizes(spark, sf_dir):
     """Rows and late flights in the parts of the hash split and of the split by year."""
-    rows = cut(_training(spark, sf_dir))
-    train, test = features.split_hash(rows)
-    early, late, check = features.split_by_year(rows, 1998, 1999, check_year=2000)
-    parts = {"hash_train": train, "hash_test": test, "year_train": early, "year_test": late, "year_check": check}
-    sizes = [
-        df.agg(F.count("*").alias("rows"), F.count_if(F.col("label") == 1).alias("late")).withColumn("part", F.lit(name))
-        for name, df in parts.items()
-    ]
-    out = sizes[0]
-    for size in sizes[1:]:
-        out = out.unionByName(size)
-    return out
+    with scratch(spark, "training") as path:
+        rows = cut(_training(spark, sf_dir), path=path)
+        train, test = features.split_hash(rows)
+        early, late, check = features.split_by_year(rows, 1998, 1999, check_year=2000)
+        parts = {"hash_train": train, "hash_test": test, "year_train": early, "year_test": late, "year_check": check}
+        sizes = [
+            df.agg(F.count("*").alias("rows"), F.count_if(F.col("label") == 1).alias("late")).withColumn(
+                "part", F.lit(name)
+            )
+            for name, df in parts.items()
+        ]
+        return cut(reduce(DataFrame.unionByName, sizes))
 
 
 @query
@@ -550,12 +550,13 @@ def delay_model_scores(spark, sf_dir):
 @query
 def model_comparison(spark, sf_dir):
     train, test = features.default_split(_training(spark, sf_dir))
-    rows, test = models.training_table(train), cut(test)
-    fitted = {
-        "lr": models.train(rows, "lr", written=True),
-        "gbt": models.train(rows, "gbt", max_iter=5, written=True),
-    }
-    return models.compare(fitted, test)
+    with scratch(spark, "comparison") as path:
+        rows, test = models.training_table(train, f"{path}/train"), cut(test, path=f"{path}/test")
+        fitted = {
+            "lr": models.train(rows, "lr", written=True),
+            "gbt": models.train(rows, "gbt", max_iter=5, written=True),
+        }
+        return models.compare(fitted, test)
 
 
 @query
@@ -624,7 +625,7 @@ _RAW_EVENT = struct(
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream."""
     schema, path = table(spark, sf_dir, "events").schema, f"{sf_dir}/events.parquet"
-    fs, jpath = files.hadoop_fs(spark, path)
+    fs, jpath = hadoop_fs(spark, path)
     reader = spark.readStream.schema(schema)
     if fs.getFileStatus(jpath).isDirectory():
         return reader.parquet(path)
@@ -675,32 +676,36 @@ def stream_live_metrics(spark, sf_dir):
         raw.withColumn("event_timestamp", F.col("event_timestamp").cast("string")), *_RAW_EVENT.fieldNames()
     )
     windows = live.live_metrics(events.enrich_events(events.parse_events(payload, _RAW_EVENT)), "1 hour")
-    target = fresh_dir(spark, "live")
-    sinks.start_serving_sink(
-        windows, target, fresh_dir(spark, "live-checkpoint"), "live_metrics", every=None, mode="update"
-    ).awaitTermination()
-    return _stamped(live.latest_state(spark.read.parquet(f"{target}/live_metrics")))
+    with scratch(spark, "live") as path:
+        sinks.start_serving_sink(
+            windows, path, f"{path}/checkpoint", "live_metrics", every=None, mode="update"
+        ).awaitTermination()
+        return cut(_stamped(live.latest_state(spark.read.parquet(f"{path}/live_metrics"))))
 
 
 @query
 def stream_json_sink(spark, sf_dir):
     """Click messages decoded from a stream into JSON files, read back."""
     parsed = events.parse_events(_click_payload(_event_stream(spark, sf_dir)), CLICK_EVENT_SCHEMA)
-    path = fresh_dir(spark, "json")
-    sinks.start_json_sink(parsed, path, fresh_dir(spark, "json-checkpoint"), every=None).awaitTermination()
-    back = spark.read.schema(CLICK_EVENT_SCHEMA).json(path)
-    return back.groupBy("action").agg(
-        F.count("*").alias("events"), F.sum("user_id").alias("users"), F.min("ts").alias("first_ts")
-    )
+    with scratch(spark, "json") as path:
+        sinks.start_json_sink(parsed, f"{path}/out", f"{path}/checkpoint", every=None).awaitTermination()
+        back = spark.read.schema(CLICK_EVENT_SCHEMA).json(f"{path}/out")
+        return cut(
+            back.groupBy("action").agg(
+                F.count("*").alias("events"), F.sum("user_id").alias("users"), F.min("ts").alias("first_ts")
+            )
+        )
 
 
 @query
 def stream_serving_sink(spark, sf_dir):
     """Enriched flight events of a stream in the serving table, read back per airline and status."""
-    target = fresh_dir(spark, "speed")
     rows = events.enrich_events(_flight_events(_event_stream(spark, sf_dir)))
-    sinks.start_serving_sink(rows, target, fresh_dir(spark, "speed-checkpoint"), every=None).awaitTermination()
-    back = spark.read.parquet(f"{target}/flights_processed")
-    return back.groupBy("reporting_airline", "status").agg(
-        F.count("*").alias("events"), F.sum("arr_delay_minutes").alias("minutes")
-    )
+    with scratch(spark, "speed") as path:
+        sinks.start_serving_sink(rows, path, f"{path}/checkpoint", every=None).awaitTermination()
+        back = spark.read.parquet(f"{path}/flights_processed")
+        return cut(
+            back.groupBy("reporting_airline", "status").agg(
+                F.count("*").alias("events"), F.sum("arr_delay_minutes").alias("minutes")
+            )
+        )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,13 +34,33 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Materialise a result that several queries read, as a Parquet table in the shared folder.
+def hadoop_fs(spark: SparkSession, path: str):
+    """The file system of a URI and the Hadoop path object, for listing, renaming and deleting."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder for data that only the block needs, such as a copy of the fact; deleted afterwards.
+
+    Whatever leaves the block must no longer read it: ``cut`` the (small) result first.
+    """
+    path = fresh_dir(spark, name)
+    try:
+        yield path
+    finally:
+        fs, jpath = hadoop_fs(spark, path)
+        fs.delete(jpath, True)
+
+
+def cut(df: DataFrame, partition_by: str | None = None, path: str | None = None) -> DataFrame:
+    """Materialise a result that several queries read, as a Parquet table (default: in the shared folder).
 
     Meant for aggregated tables. The files outlive the loss of any executor, so a lost task never
     scans the fact table again, and each reader loads only its columns and its ``partition_by`` part.
     """
-    path = fresh_dir(df.sparkSession, "cut")
+    path = path or fresh_dir(df.sparkSession, "cut")
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from punctual.functions.flight import dep_hour, route
+from punctual.runtime import hadoop_fs
 from punctual.schema import FLIGHT_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -77,8 +78,8 @@ def write_flights(
     mode: str = "overwrite",
     files_per_year: int | None = None,
     sort: tuple[str, ...] = (),
-) -> None:
-    """Parquet in directories ``Year=...``.
+) -> int:
+    """Parquet in directories ``Year=...``; returns the number of rows, counted during the write.
 
     ``overwrite`` replaces the dataset, ``replace_years`` only the years present in ``df``. Without
     ``files_per_year`` there is no shuffle: each input task writes its own years. With it, each
@@ -91,13 +92,15 @@ def write_flights(
         df = df.withColumn("_spread", spread).repartition("Year", "_spread").drop("_spread")
     if sort:
         df = df.sortWithinPartitions("Year", *sort)
-    writer = df.write.partitionBy("Year")
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy("Year")
     if mode == "replace_years":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     elif mode == "overwrite":
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     else:
         writer.mode(mode).parquet(path)
+    return seen.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
@@ -105,20 +108,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def hadoop_fs(spark: SparkSession, path: str):
-    """The file system of a URI and the Hadoop path object, for listing and renaming."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
-
-
 def export_csv(df: DataFrame, directory: str, name: str, keys: tuple[str, ...] = ()) -> tuple[str, int]:
     """One CSV file ``<directory>/<name>.csv`` with a header; returns its path and row count.
 
     For summary tables: the rows pass through one writer task, after the aggregation has run on
     all of them. The count is observed during the write, so the plan runs once.
     """
-    from pyspark.sql import Observation
-
     spark, seen = df.sparkSession, Observation()
     target, staging = f"{directory.rstrip('/')}/{name}.csv", f"{directory.rstrip('/')}/_writing_{name}"
     one = df.repartition(1)

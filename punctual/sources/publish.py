@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from punctual.operators.checks import apply_contract
+from punctual.runtime import hadoop_fs
 from punctual.schema import CONTRACTS
-from punctual.sources.files import conform, hadoop_fs, read_raw_csv
+from punctual.sources.files import conform, read_raw_csv
 
 log = logging.getLogger(__name__)
 

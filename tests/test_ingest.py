@@ -47,7 +47,7 @@ def test_strict_mode_refuses_bad_text(spark, raw):
 
 def test_years_can_be_replaced_one_by_one(spark, make_flights, tmp_path):
     path = str(tmp_path / "cleaned")
-    files.write_flights(make_flights({"Year": 2022}, {"Year": 2023}, {"Year": 2023}), path)
+    assert files.write_flights(make_flights({"Year": 2022}, {"Year": 2023}, {"Year": 2023}), path) == 3
     files.write_flights(make_flights({"Year": 2023}), path, mode="replace_years")
     counts = {r["Year"]: r["count"] for r in files.read_flights(spark, path).groupBy("Year").count().collect()}
     assert counts == {2022: 1, 2023: 1}
