@@ -72,6 +72,7 @@ def missing_months(df: DataFrame, first_year: int | None = None, last_year: int
     """Months of the span (default: first to last year present) without a single row."""
     present = df.select("Year", "Month").distinct()
     if first_year is None or last_year is None:
+        present = cut(present)  # read for the span and for the gaps
         span = present.agg(F.min("Year").alias("lo"), F.max("Year").alias("hi")).where("lo IS NOT NULL")
         lo = F.col("lo") if first_year is None else F.lit(first_year)
         hi = F.col("hi") if last_year is None else F.lit(last_year)
