@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
+_kept: list[tuple] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a folder in the session's warehouse.
 
-    Only a local session may leave it unset; it then gets one temporary folder of its own. A cluster
-    has no folder that every executor can reach unless the session names one, so that is an error.
+    Both are places that the driver and every executor reach. No machine-local folder is ever used.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="punctual-")
-    return _local_dirs[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -40,6 +35,21 @@ def hadoop_fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def kept_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for a result that a returned DataFrame still reads; deleted when the program ends."""
+    path = fresh_dir(spark, name)
+    _kept.append(hadoop_fs(spark, path))
+    return path
+
+
+@atexit.register
+def _delete_kept() -> None:
+    while _kept:
+        fs, jpath = _kept.pop()
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            fs.delete(jpath, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     """A new folder for data that only the block needs, such as a copy of the fact; deleted afterwards.
@@ -60,7 +70,7 @@ def cut(df: DataFrame, partition_by: str | None = None, path: str | None = None)
     Meant for aggregated tables. The files outlive the loss of any executor, so a lost task never
     scans the fact table again, and each reader loads only its columns and its ``partition_by`` part.
     """
-    path = path or fresh_dir(df.sparkSession, "cut")
+    path = path or kept_dir(df.sparkSession, "cut")
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
