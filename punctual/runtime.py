@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 _kept: list[tuple] = []
@@ -24,6 +27,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
+def visible_to_workers(spark: SparkSession) -> None:
+    """Lets Python workers import the library from the folder the driver has it from.
+
+    Enough where that folder exists on all machines; otherwise ship the package with ``--py-files``.
+    """
+    here = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH")]))
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new folder URI under the shared folder; nothing is ever reused or overwritten."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
