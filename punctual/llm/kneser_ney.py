@@ -23,7 +23,7 @@ from punctual.runtime import cut
 
 #: Sorted entries that one pass over the texts holds in memory (hash, and two numbers per class, 4 bytes each).
 PART_ENTRIES = 4_000_000
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 @cache
@@ -47,7 +47,7 @@ def folded(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]
     keep = np.ones(len(codes), dtype=bool)
     keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
     lengths = np.array([len(t) + order for t in clean], dtype=np.int64)
-    rows = np.repeat(np.arange(len(texts)), lengths)
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     return codes[keep], rows[keep]
 
 
@@ -114,8 +114,10 @@ def gram_counts(df: DataFrame, kind: str, text: str, order: int, within_words: b
                     at, reach = places(codes, order, within_words)
                     hashes = rolling(codes, at, reach, order)
                     inverse, first = unique_keys(hashes)
-                    ends, back = at[first], reach[first]
-                    grams = np.stack([np.where(k <= back, codes[ends - k], 0) for k in range(order - 1, -1, -1)], axis=1)
+                    ends = at[first]
+                    grams = np.stack([codes[ends - k] for k in range(order - 1, -1, -1)], axis=1)
+                    if reach is not None:
+                        grams[np.arange(order - 1, -1, -1)[None, :] > reach[first][:, None]] = 0
                     mine = counts.setdefault(name, _Counts(order))
                     mine.add(hashes[first], np.bincount(inverse), grams)
                     if mine.size > 1_000_000:
@@ -132,24 +134,27 @@ def gram_counts(df: DataFrame, kind: str, text: str, order: int, within_words: b
     return partial.groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
 
-def places(codes: np.ndarray, order: int, within_words: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The codes to predict, and how many codes before each its context may reach.
+def places(codes: np.ndarray, order: int, within_words: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """The codes to predict, and how many codes before each its context may reach (None: as far as the order).
 
     ``within_words``: back to the space before the word, and the first space of a text is not predicted.
     """
     at = np.flatnonzero(codes)
     if not within_words:
-        return at, np.full(len(at), order - 1)
+        return at, None
     space = np.where(codes == 32, np.arange(len(codes)), 0)
     at = at[codes[at - 1] != 0]
     return at, np.minimum(at - np.maximum.accumulate(space)[at - 1], order - 1)
 
 
-def rolling(codes: np.ndarray, at: np.ndarray, reach: np.ndarray, order: int, start: int = 0) -> np.ndarray:
+def rolling(codes: np.ndarray, at: np.ndarray, reach: np.ndarray | None, order: int, start: int = 0) -> np.ndarray:
     """Keys of the grams that end at ``at`` (``start`` = 1: of their contexts); codes out of reach count as absent."""
     total = np.zeros(len(at), dtype=np.uint64)
     for k in range(start, order):
-        total += np.where(k <= reach, codes[at - k], 0).astype(np.uint64) * _FACTORS[k]
+        code = codes[at - k]
+        if reach is not None:
+            code[k > reach] = 0
+        total += code.astype(np.uint64) * _FACTORS[k]
     return mix(total + np.uint64(start))
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import importlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctual.llm import language, toxicity
-from punctual.llm.text import crc_mod_4
-from punctual.runtime import visible_to_workers
+from punctual.llm import decontaminate, embeddings, jaccard, language, licenses, sentencepiece, sharding, suffix, tokens, toxicity
+from punctual.llm.oracle import ORACLE
+from punctual.llm.text import crc_mod_4, likely_rows
+from punctual.runtime import kept_dir, visible_to_workers
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,12 +17,65 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer file."""
+    return importlib.import_module("public_tokenizers").path(name)
+
+
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.link_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    body = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    placed = sharding.shard(rows, 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("piece_bpe_32k.model")
+    coded = sentencepiece.decode(sentencepiece.encode(docs, path), path)
+    whole = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_chunks", F.xxhash64("ids").alias("ids_hash"), whole.alias("round_trip"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_join(table(spark, sf_dir, "documents"), "doc_id", "text", size=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.join(labels, "doc_id", "left").withColumn("held_out", F.coalesce(crc_mod_4("doc_id") == 2, F.lit(False)))
-    scored = toxicity.toxicity(rows, "toxic", ~F.col("held_out"))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    labels = labels.where((crc_mod_4("doc_id") != 2) & F.col("toxic").isNotNull())
+    labelled = likely_rows(docs, "doc_id", labels, "doc_id").join(labels, "doc_id")
+    scored = toxicity.toxicity(docs, labelled)
+    held_out = F.coalesce(crc_mod_4("doc_id") == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, keep_text=False).drop("text")
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = kept_dir(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return tokens.read_tokens(spark, path, digest=True)
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +85,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_sharding": op2_sharding,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_toxicity": op5_toxicity,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_licenses": op8_licenses,
+    "op9_tokens": op9_tokens,
     "op10_language": op10_language,
 }
-ORACLE: dict[str, str] = {}

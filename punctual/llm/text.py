@@ -180,6 +180,22 @@ def hash_filter(df: DataFrame, column: str, bits: int = 23) -> HashFilter:
     return HashFilter(bits, table.tobytes())
 
 
+def likely_rows(df: DataFrame, column: str, other: DataFrame, other_column: str, bits: int = 23) -> DataFrame:
+    """The rows of ``df`` whose value may be among those of ``other``: all that are, and few others.
+
+    For a join that needs few of many wide rows: what is left moves, the rest does not.
+    """
+    hashed = other.select(F.xxhash64(F.col(other_column)).alias("h"))
+    held = df.sparkSession.sparkContext.broadcast(hash_filter(hashed, "h", bits))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            take = held.value.has(unsigned(batch.column("_hash").to_numpy()))
+            yield batch.filter(pa.array(take)).drop_columns(["_hash"])
+
+    return df.withColumn("_hash", F.xxhash64(F.col(column))).mapInArrow(pick, df.schema)
+
+
 # ---- groups that follow each other in a sorted partition ------------------------------------------
 
 

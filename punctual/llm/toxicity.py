@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from punctual.llm.kneser_ney import PART_ENTRIES, SLICE, estimate, folded, gram_counts, places, rolling, unique_keys
@@ -136,26 +136,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 
 
 def toxicity(
-    df: DataFrame, label: str, learn: Column, text: str = "text", order: int = ORDER, part_entries: int = PART_ENTRIES,
-    calibration_rows: int = CALIBRATION_ROWS,
+    df: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic", order: int = ORDER,
+    part_entries: int = PART_ENTRIES, calibration_rows: int = CALIBRATION_ROWS,
 ) -> DataFrame:
-    """``df`` with ``evidence`` (see above, 0 or more) and ``score`` (0 to 1), learned from the rows ``learn`` alone.
+    """``df`` with ``evidence`` (see above, 0 or more) and ``score`` (0 to 1), learned from ``labelled`` alone.
 
-    ``label`` holds 1 (toxic), 0 (ordinary) or null; rows with another value, or a null text, teach nothing. Counts
-    take in all learned rows, the calibration ``calibration_rows`` of them. Without a learned row of both classes the
-    score is their share of toxic rows (0 without any). A null or empty text has no evidence and gets the score that
-    belongs to none. Other columns are kept; columns with the names of the results are replaced. Repeated rows get
-    equal results, an empty table an empty one.
+    ``labelled`` has the columns ``text`` and ``label``: 1 (toxic), 0 (ordinary) or null; rows with another value, or a
+    null text, teach nothing. Counts take in all labelled rows, the calibration ``calibration_rows`` of them. Without
+    rows of both classes the score is their share of toxic rows (0 without any). A null or empty text has no evidence
+    and gets the score that belongs to none. Other columns are kept; columns with the names of the results are
+    replaced. Repeated rows get equal results, an empty table an empty one.
     """
     plain = df.drop("evidence", "score")
     kind = F.when(F.col(label) == 1, "toxic").when(F.col(label) == 0, "ordinary")
-    known = plain.where(learn & kind.isNotNull() & F.col(text).isNotNull())
-    known = known.select(F.col(text).cast("string").alias("_text"), kind.alias("_kind"))
-    tally = {r["_kind"]: r["count"] for r in known.groupBy("_kind").count().collect()}
-    rows, toxic = sum(tally.values()), tally.get("toxic", 0)
-    if not 0 < toxic < rows:
-        return plain.withColumns({"evidence": F.lit(0.0), "score": F.lit(toxic / rows if rows else 0.0)})
     with scratch(df.sparkSession, "toxicity") as work:
+        known = labelled.select(F.col(text).cast("string").alias("_text"), kind.alias("_kind"))
+        known = cut(known.where("_text IS NOT NULL AND _kind IS NOT NULL"), path=f"{work}/known")
+        tally = {r["_kind"]: r["count"] for r in known.groupBy("_kind").count().collect()}
+        rows, toxic = sum(tally.values()), tally.get("toxic", 0)
+        if not 0 < toxic < rows:
+            return plain.withColumns({"evidence": F.lit(0.0), "score": F.lit(toxic / rows if rows else 0.0)})
         model = model_table(known, order, work)
         share = min(1.0, calibration_rows / rows)
         drawn = known.where(F.pmod(F.xxhash64("_text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else known
