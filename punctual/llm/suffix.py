@@ -270,7 +270,7 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, batc
     """``df`` without each byte that lies in a string of ``length`` bytes which also starts anywhere else in it.
 
     Adds n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of the remaining bytes and, with
-    ``keep_text``, ``kept`` (binary; a character may lose bytes). Texts are UTF-8 bytes, a null counts as empty;
+    ``keep_text``, ``kept``, their text (a character that lost some of its bytes is left out). Texts are UTF-8 bytes, a null counts as empty;
     matches stay inside a text, but equal texts match each other, so every copy of one with ``length`` bytes or more
     goes whole. Strings are judged on the input. Other columns are kept, those with the names of the results replaced;
     ids are not used. Byte strings are known by hashes of 64 bits together with a key of 64. An empty table gives an
@@ -285,11 +285,11 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, batc
     spans = repeated_spans(rows, length, batches)
     likely = spark.sparkContext.broadcast(hash_filter(spans, "text_a", 23))
     kind = next(f for f in rows.schema if f.name == "_row").dataType.simpleString()
-    done = f"_row {kind}, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    done = f"_row {kind}, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
     def result(part: pa.RecordBatch, sizes: list, removed: list, count: list, kept: list[bytes]) -> pa.RecordBatch:
         sha = [hashlib.sha256(k).hexdigest() for k in kept]
-        columns = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha), pa.array(kept if keep_text else [None] * len(kept), pa.binary())]
+        columns = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha), pa.array([k.decode("utf-8", "ignore") if keep_text else None for k in kept], pa.string())]
         return pa.RecordBatch.from_arrays([part.column("_row"), part.column("text"), *columns], names=["_row", "text", *results])
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -196,6 +196,23 @@ def likely_rows(df: DataFrame, column: str, other: DataFrame, other_column: str,
     return df.withColumn("_hash", F.xxhash64(F.col(column))).mapInArrow(pick, df.schema)
 
 
+def without_rows(df: DataFrame, column: str, gone: DataFrame, gone_column: str, bits: int = 23) -> DataFrame:
+    """The rows of ``df`` whose value is not among those of ``gone``; a null stays. Only rows that may go are moved."""
+    hashed = gone.select(F.xxhash64(F.col(gone_column)).alias("h"))
+    held = df.sparkSession.sparkContext.broadcast(hash_filter(hashed, "h", bits))
+
+    def pick(want: bool):
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                take = held.value.has(unsigned(batch.column("_hash").to_numpy())) == want
+                yield batch.filter(pa.array(take)).drop_columns(["_hash"])
+
+        return df.withColumn("_hash", F.xxhash64(F.col(column))).mapInArrow(part, df.schema)
+
+    ids = gone.select(F.col(gone_column).alias(column)).distinct()
+    return pick(False).unionByName(pick(True).join(ids, column, "left_anti").select(df.columns))
+
+
 # ---- groups that follow each other in a sorted partition ------------------------------------------
 
 

@@ -188,7 +188,8 @@ def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
         for batch in batches:
             for k in range(len(batch)):
                 row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
-                yield pa.RecordBatch.from_pydict({"shard": [row["shard"]], "block": [row["block"]], "n": [matrix_of(row).count(token)]})
+                counted = zip([row["shard"], row["block"], matrix_of(row).count(token)], (pa.int32(), pa.int32(), pa.int64()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in counted], names=["shard", "block", "n"])
 
     files = spark.read.schema(FILE).parquet(path).select("shard", "block", "size", "zeros", "planes", "ranks")
     return files.mapInArrow(count, "shard int, block int, n long")
