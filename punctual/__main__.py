@@ -15,10 +15,12 @@ from punctual.operators import checks, tables
 from punctual.operators.text import word_count
 from punctual.plans import sql
 from punctual.plans.batch import run_batch
+from punctual.runtime import scratch
 from punctual.schema import CLICK_EVENT_SCHEMA, CONTRACTS, FLIGHT_EVENT_SCHEMA
 from punctual.sources import files
 from punctual.sources.publish import publish_dir
 from punctual.streaming import events, sinks
+from punctual.streaming.live import live_metrics
 
 
 def etl(spark, args):
@@ -49,7 +51,9 @@ def train(spark, args):
     """Fit and compare the models; export the prediction table of the first one."""
     rows = features.training_rows(files.read_flights(spark, args.cleaned))
     train_part, test = features.split_hash(rows) if args.split == "hash" else features.default_split(rows)
-    fitted = {kind: models.train(train_part, kind) for kind in args.models}
+    with scratch(spark, "training") as path:
+        written = models.training_table(train_part, path)
+        fitted = {kind: models.train(written, kind, written=True) for kind in args.models}
     models.compare(fitted, test).show(truncate=False)
     scored = models.predictions(models.score(fitted[args.models[0]], test), args.limit)
     name = "ml_delay_predictions"
@@ -63,14 +67,27 @@ def batch(spark, args):
 
 
 def stream(spark, args):
-    """A topic into JSON files (clicks) or into the serving table (flights), until stopped."""
+    """A topic into JSON files (clicks) or into the serving table (flights), rejects beside it, until stopped."""
     schema = FLIGHT_EVENT_SCHEMA if args.layout == "flights" else CLICK_EVENT_SCHEMA
-    parsed = events.parse_events(events.kafka_source(spark, args.servers, args.topic), schema, keep_rejects=False)
+    time = "event_timestamp" if args.layout == "flights" else None
+    source = events.kafka_source(spark, args.servers, args.topic)
+    good, bad = events.split_rejects(source, schema, time=time)
     if args.layout == "flights":
-        query = sinks.start_serving_sink(events.with_event_time(parsed), args.output, args.checkpoint)
+        sinks.start_serving_sink(events.with_event_time(good), args.output, args.checkpoint)
     else:
-        query = sinks.start_json_sink(parsed, args.output, args.checkpoint)
-    query.awaitTermination()
+        sinks.start_json_sink(good, args.output, args.checkpoint)
+    sinks.start_serving_sink(bad, f"{args.output}/_rejects", f"{args.checkpoint}/_rejects", "messages")
+    spark.streams.awaitAnyTermination()
+
+
+def live(spark, args):
+    """Windowed live metrics of a topic of flight events; rejects beside them, until stopped."""
+    source = events.kafka_source(spark, args.servers, args.topic)
+    good, bad = events.split_rejects(source, FLIGHT_EVENT_SCHEMA, time="event_timestamp")
+    windows = live_metrics(events.with_event_time(good), args.window)
+    sinks.start_serving_sink(windows, args.output, args.checkpoint, "live_metrics", mode="update")
+    sinks.start_serving_sink(bad, f"{args.output}/_rejects", f"{args.checkpoint}/_rejects", "messages")
+    spark.streams.awaitAnyTermination()
 
 
 def words(spark, args):
@@ -106,11 +123,12 @@ def parser() -> argparse.ArgumentParser:
     fit = job(train, "cleaned", "output")
     fit.add_argument("--models", nargs="+", default=["lr", "gbt"], choices=["lr", "gbt"])
     fit.add_argument("--split", default="default", choices=["default", "hash"])
-    fit.add_argument("--limit", type=int, default=models.PREDICTION_LIMIT)
+    fit.add_argument("--limit", type=int, help="publish a repeatable sample of so many rows")
     job(batch, "raw", "cleaned", "target").add_argument("--models", nargs="*", default=["lr"])
     job(stream, "servers", "topic", "output", "checkpoint").add_argument(
         "--layout", default="clicks", choices=["clicks", "flights"]
     )
+    job(live, "servers", "topic", "output", "checkpoint").add_argument("--window", default="1 minute")
     job(words, "input", "output")
     job(explore, "input").add_argument("--column")
     return main

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from punctual.operators.ranking import hash_position, hash_sample
+from punctual.operators.ranking import hash_position
 
 # What is known before departure, and what is not.
 CATEGORICAL = ["Reporting_Airline", "Origin", "Dest"]
@@ -70,12 +70,37 @@ def split_random(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[Dat
     return first, second
 
 
+def hash_part(df: DataFrame, train: float = 0.8, keys: list[str] | None = None, seed: int = 42) -> Column:
+    """``train`` or ``test`` by a hash of the keys (default: all columns)."""
+    return F.when(hash_position(df, keys, seed) < train, "train").otherwise("test")
+
+
 def split_hash(
     df: DataFrame, train: float = 0.8, keys: list[str] | None = None, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
     """A split that repeats whatever the partitions; copies of a row stay on one side."""
-    position = hash_position(df, keys, seed)
-    return df.where(position < train), df.where(position >= train)
+    part = hash_part(df, train, keys, seed)
+    return df.where(part == "train"), df.where(part == "test")
+
+
+def year_part(
+    df: DataFrame,
+    last_train_year: int,
+    test_year: int | None = None,
+    train_fraction: float = 0.15,
+    check_year: int | None = None,
+    keys: list[str] | None = None,
+    seed: int = 42,
+) -> Column:
+    """``train`` (a sample of the years up to ``last_train_year``), ``test``, ``check``, or ``rest`` for other rows."""
+    test_year = last_train_year + 1 if test_year is None else test_year
+    if any(y is not None and y <= last_train_year for y in (test_year, check_year)):
+        raise ValueError("test years must come after the training years")
+    drawn = (F.col("Year") <= last_train_year) & (hash_position(df, keys, seed) < train_fraction)
+    part = F.when(drawn, "train").when(F.col("Year") == test_year, "test")
+    if check_year is not None:
+        part = part.when(F.col("Year") == check_year, "check")
+    return part.otherwise("rest")
 
 
 def split_by_year(
@@ -84,24 +109,32 @@ def split_by_year(
     test_year: int | None = None,
     train_fraction: float = 0.15,
     check_year: int | None = None,
+    keys: list[str] | None = None,
     seed: int = 42,
 ) -> tuple[DataFrame, ...]:
     """Train on a sample of the years up to ``last_train_year``, test on the next; prunes by Year.
 
-    With ``check_year`` a third part for a final check is returned.
+    With ``check_year`` a third part for a final check is returned. Rows of other years, and those not drawn, are in
+    no part; ``year_part`` names them all.
     """
     test_year = last_train_year + 1 if test_year is None else test_year
-    years = [y for y in (test_year, check_year) if y is not None]
-    if any(y <= last_train_year for y in years):
-        raise ValueError("test years must come after the training years")
-    train = hash_sample(df.where(F.col("Year") <= last_train_year), train_fraction, seed=seed)
-    return (train, *[df.where(F.col("Year") == y) for y in years])
+    part = year_part(df, last_train_year, test_year, train_fraction, check_year, keys, seed)
+    out = [df.where((F.col("Year") <= last_train_year) & (part == "train"))]
+    return (*out, *[df.where(F.col("Year") == y) for y in (test_year, check_year) if y is not None])
+
+
+#: What the default split hashes: texts, dates and whole numbers.
+SPLIT_KEYS = ["FlightDate", *CATEGORICAL, "Dep_Hour", "label"]
 
 
 def default_split(df: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """By year when the data has at least two: all but the last year train; else the 80/20 hash split."""
+    """By year when the data has at least two: all but the last year train; else the 80/20 hash split.
+
+    Rows are hashed by SPLIT_KEYS, or by all columns if one of these is absent.
+    """
+    keys = SPLIT_KEYS if set(SPLIT_KEYS) <= set(df.columns) else None
     span = df.agg(F.min("Year").alias("lo"), F.max("Year").alias("hi")).first()
     if span["lo"] is not None and span["lo"] < span["hi"]:
-        train, test = split_by_year(df, span["hi"] - 1, span["hi"], seed=seed)
+        train, test = split_by_year(df, span["hi"] - 1, span["hi"], keys=keys, seed=seed)
         return train, test
-    return split_hash(df, seed=seed)
+    return split_hash(df, keys=keys, seed=seed)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from punctual.functions.numeric import pct
 from punctual.operators.rollup import count_if
-from punctual.runtime import cut
+from punctual.runtime import cut, scratch
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -86,38 +86,59 @@ def roc_points(pred: DataFrame, bins: int = 100, label: str = "label", score: st
     )
 
 
-_CUTS = 512
+#: Distinct scores per range of the running sums.
+RANGE_ROWS = 100_000
 
 
-def roc_auc_by_rank(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Exact area under the ROC curve: the share of (late, on-time) pairs that the score orders
-    correctly, ties counting half. One row: auc, positives, negatives.
+def _running(pred: DataFrame, label: str, score: str, path: str) -> DataFrame:
+    """Per distinct score (s, p, n, p_above, n_above): late and on-time flights at it, and at higher scores.
 
-    No row is ranked by itself. Rows are grouped by score; the number of on-time flights below each
-    score is a two-level running sum: over at most 512 score ranges, and inside each range. The range
-    edges are quantiles of the scores, so no range holds more than a small part of them.
+    No row is ranked by itself. Rows are grouped by score; the scores are dealt out by ranges, as many as their number
+    asks for, and the running sum has two levels: over the totals of the ranges, and inside each.
     """
     grouped = pred.groupBy(F.col(score).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")
     )
-    grouped = cut(grouped)  # read three times below
-    edges = grouped.agg(
-        F.percentile_approx("s", [i / _CUTS for i in range(1, _CUTS)], 20 * _CUTS).alias("edges")
-    ).first()["edges"]
-    # The number of edges at or below the score; any choice of edges gives the same area.
-    cuts = F.array(*[F.lit(float(e)) for e in sorted(set(edges or []))])
-    ranged = grouped.withColumn("r", F.size(F.filter(cuts, lambda e: e <= F.col("s"))))
-    per_range = ranged.groupBy("r").agg(F.sum("n").alias("range_n"))
-    below_range = F.sum("range_n").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1))
-    starts = per_range.select("r", F.coalesce(below_range, F.lit(0)).alias("before"))
-    inside = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, "r")
-    # Twice the number of pairs won, in whole numbers.
-    wins = F.col("p").cast("decimal(38,0)") * (2 * (F.col("before") + F.col("within")) + F.col("n"))
-    sums = placed.agg(F.sum(wins).alias("wins"), F.sum("p").alias("p"), F.sum("n").alias("n"))
-    pairs = F.col("p").cast("double") * F.col("n").cast("double")
-    return sums.select(
-        F.when(pairs > 0, F.col("wins").cast("double") / (2.0 * pairs)).alias("auc"),
-        F.coalesce("p", F.lit(0)).alias("positives"),
-        F.coalesce("n", F.lit(0)).alias("negatives"),
-    )
+    grouped = cut(grouped, path=f"{path}/grouped")
+    ranges = -(-grouped.count() // RANGE_ROWS) or 1
+    placed = grouped.repartitionByRange(ranges, F.desc("s")).withColumn("r", F.spark_partition_id())
+    placed = cut(placed, path=f"{path}/placed")  # the numbers of the ranges hold from here on
+    before = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("r").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("r").agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
+    totals = totals.select("r", *[F.coalesce(F.sum(f"t{c}").over(before), F.lit(0)).alias(f"{c}_start") for c in "pn"])
+    summed = placed.select("r", "s", "p", "n", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}_in") for c in "pn"])
+    above = [(F.col(f"{c}_start") + F.col(f"{c}_in")).alias(f"{c}_above") for c in "pn"]
+    return summed.join(totals, "r").select("s", "p", "n", *above)
+
+
+def roc_auc_by_rank(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Exact area under the ROC curve: the share of (late, on-time) pairs that the score orders
+    correctly, ties counting half. One row: auc, positives, negatives."""
+    with scratch(pred.sparkSession, "roc") as path:
+        rows = _running(pred, label, score, path)
+        # Twice the number of pairs won, in whole numbers: an on-time flight beats by every late one above it.
+        wins = F.col("n").cast("decimal(38,0)") * (2 * F.col("p_above") + F.col("p"))
+        sums = rows.agg(F.sum(wins).alias("wins"), F.sum("p").alias("p"), F.sum("n").alias("n"))
+        pairs = F.col("p").cast("double") * F.col("n").cast("double")
+        return cut(
+            sums.select(
+                F.when(pairs > 0, F.col("wins").cast("double") / (2.0 * pairs)).alias("auc"),
+                F.coalesce("p", F.lit(0)).alias("positives"),
+                F.coalesce("n", F.lit(0)).alias("negatives"),
+            )
+        )
+
+
+def pr_area(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Area under the precision-recall curve over all distinct scores, by trapezoids, from recall 0 with the first
+    precision. One row: auc_pr (null without late flights), positives."""
+    with scratch(pred.sparkSession, "pr") as path:
+        rows = _running(pred, label, score, path)
+        hit, shown = F.col("p_above") + F.col("p"), F.col("p_above") + F.col("n_above") + F.col("p") + F.col("n")
+        after = hit.cast("double") / shown
+        above = F.col("p_above") + F.col("n_above")
+        before = F.when(above > 0, F.col("p_above").cast("double") / above).otherwise(after)
+        sums = rows.agg(F.sum(F.col("p") * (before + after) / 2.0).alias("area"), F.sum("p").alias("p"))
+        positives = F.coalesce("p", F.lit(0))
+        return cut(sums.select(F.when(positives > 0, F.col("area") / F.col("p")).alias("auc_pr"), positives.alias("positives")))

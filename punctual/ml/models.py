@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -15,11 +14,10 @@ from punctual.functions.flight import risk_category
 from punctual.ml.features import CATEGORICAL, NUMERIC, feature_stages
 from punctual.ml.metrics import majority_baseline, precision_recall
 from punctual.operators.ranking import repeatable_limit
-from punctual.runtime import cut, fresh_dir, scratch
+from punctual.runtime import cut, scratch
 from punctual.schema import CONTRACTS
 
 MIN_BINS = 400
-PREDICTION_LIMIT = 50_000
 
 
 def training_table(df: DataFrame, path: str) -> DataFrame:
@@ -80,9 +78,9 @@ def _without_summary(fitted: LogisticRegressionModel, spark: SparkSession) -> Lo
     Fresh from training it holds its training summary and, through that, the session; Spark cannot
     ship it to the tasks once the session has observed a write.
     """
-    path = fresh_dir(spark, "model")
-    fitted.save(path)
-    return LogisticRegressionModel.load(path)
+    with scratch(spark, "model") as path:
+        fitted.save(path)
+        return LogisticRegressionModel.load(path)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -92,11 +90,12 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 def evaluate(pred: DataFrame) -> dict[str, float]:
     """ROC and PR area, accuracy, weighted F1, precision, recall and the majority baseline.
 
-    The scored rows are reduced to three columns and persisted, so the model runs once, not per metric.
+    The scored rows are reduced to three columns and written, so the model runs once, not per metric, and a lost
+    executor does not bring it back.
     """
     slim = pred.select("label", "prediction", vector_to_array("probability")[1].alias("probability"))
-    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with scratch(pred.sparkSession, "scored") as path:
+        slim = cut(slim, path=path)
         area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability")
         counts = precision_recall(slim).first()
         return {
@@ -108,8 +107,6 @@ def evaluate(pred: DataFrame) -> dict[str, float]:
             "recall": counts["recall_pct"] / 100.0,
             "majority_accuracy": majority_baseline(slim).first()["accuracy_pct"] / 100.0,
         }
-    finally:
-        slim.unpersist()
 
 
 def compare(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFrame:
@@ -120,9 +117,14 @@ def compare(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFrame:
     return test.sparkSession.createDataFrame([tuple(r[c] for c in columns) for r in rows], kinds)
 
 
-def importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
+def importance(
+    model: PipelineModel,
+    spark: SparkSession,
+    categorical: Sequence[str] = CATEGORICAL,
+    numeric: Sequence[str] = NUMERIC,
+) -> DataFrame:
     """Coefficients (or tree importances) with feature names, largest magnitude first."""
-    inputs = ", ".join([f"{c} string" for c in CATEGORICAL] + [f"{c} double" for c in NUMERIC])
+    inputs = ", ".join([f"{c} string" for c in categorical] + [f"{c} double" for c in numeric])
     features = PipelineModel(stages=model.stages[:-1]).transform(spark.createDataFrame([], inputs))
     groups = features.schema["features"].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for attributes in groups.values() for a in attributes}
@@ -133,10 +135,10 @@ def importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
     return table.orderBy(F.desc(F.abs("weight")), "feature")
 
 
-def predictions(pred: DataFrame, limit: int | None = PREDICTION_LIMIT, seed: int = 42) -> DataFrame:
-    """The published prediction table: rounded probability, risk bucket, a repeatable sample of rows.
+def predictions(pred: DataFrame, limit: int | None = None, seed: int = 42) -> DataFrame:
+    """The published prediction table: rounded probability, risk bucket; all rows, or a repeatable sample of ``limit``.
 
-    Rows are drawn by what is known without the model, so only drawn rows are scored.
+    A sample is drawn by what is known without the model, so only drawn rows are scored.
     """
     rows = pred.select(
         "FlightDate",

@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from punctual.functions.flight import CANCELLED_SQL, DELAYED_SQL, OPERATED_SQL
 
 
+#: The filters below by name, for counting several populations in one scan.
+RULES = {"operated": OPERATED_SQL, "delayed": DELAYED_SQL, "cancelled": CANCELLED_SQL}
+
+
 def with_operated(df: DataFrame) -> DataFrame:
     return df.withColumn("is_operated", F.expr(OPERATED_SQL))
 

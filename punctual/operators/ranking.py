@@ -64,8 +64,15 @@ _BITS = 52  # of the row hash; a double holds them exactly
 
 
 def row_hash(df: DataFrame, keys: list[str] | None = None, seed: int = 42) -> Column:
-    """A number in [0, 2**52) that depends only on the key values, not on where the row is stored."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in (keys or df.columns)]), F.lit(1 << _BITS))
+    """A number in [0, 2**52) that depends only on the key values, not on where the row is stored.
+
+    The first 13 hexadecimal digits of the MD5 of the seed and the keys as text, with the character 31 between them
+    and <null> for a null, so that any engine can repeat it. Name keys whose text is the same everywhere: whole
+    numbers, texts, dates.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in (keys or df.columns)]
+    text = F.concat_ws("\x1f", F.lit(str(seed)), *parts)
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
 
 
 def hash_position(df: DataFrame, keys: list[str] | None = None, seed: int = 42) -> Column:

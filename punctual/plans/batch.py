@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from punctual.ml import features, models
 from punctual.operators import checks, tables
-from punctual.runtime import scratch
+from punctual.runtime import cut, scratch
 from punctual.sources import files
-from punctual.sources.publish import publish
+from punctual.sources.publish import publish, publish_all
 
 
 @dataclass
@@ -22,6 +22,10 @@ class BatchResult:
     reconciled: bool = True
 
 
+class BatchError(RuntimeError):
+    """Tables that must not be published."""
+
+
 def run_batch(
     spark: SparkSession,
     raw: str,
@@ -30,22 +34,29 @@ def run_batch(
     *,
     dim: DataFrame | None = None,
     kinds: tuple[str, ...] = ("lr",),
-    prediction_limit: int = models.PREDICTION_LIMIT,
+    prediction_limit: int | None = None,
 ) -> BatchResult:
-    """Raw CSV -> cleaned Parquet -> seven tables -> publish -> train, score, publish predictions.
+    """Raw CSV -> cleaned Parquet -> seven tables -> checks -> publish -> train, score, publish predictions.
 
+    What is checked is what is published: the contract form, written once. A broken rule or totals that do not agree
+    raise a BatchError before any published table changes.
     The first model in ``kinds`` supplies the published predictions; an empty tuple skips the models.
     """
     result = BatchResult()
     result.fact_rows = files.write_flights(files.conform(files.read_raw_csv(spark, raw)), cleaned)
     fact = files.read_flights(spark, cleaned)
 
-    outputs = tables.all_tables(fact, dim)
-    for name, df in outputs.items():
-        result.violations += [tuple(r) for r in checks.contract_violations(df, name).collect()]
-        result.published[name] = publish(df, name, target)
-    totals = checks.reconcile_totals(outputs).where("NOT Agrees").limit(1)
-    result.reconciled = totals.isEmpty()
+    with scratch(spark, "checked") as work:
+        outputs = {
+            name: cut(checks.apply_contract(df, name), path=f"{work}/{name}")
+            for name, df in tables.all_tables(fact, dim).items()
+        }
+        for name, df in outputs.items():
+            result.violations += [tuple(r) for r in checks.contract_violations(df, name).collect()]
+        apart = [tuple(r) for r in checks.reconcile_totals(outputs).where("NOT Agrees").collect()]
+        if apart or result.violations:
+            raise BatchError(f"nothing published; violations: {result.violations}, totals apart: {apart}")
+        result.published.update(publish_all(outputs, target))
 
     if kinds:
         train, test = features.default_split(features.training_rows(fact))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,8 +15,8 @@ from punctual.plans import sql
 from punctual.plans.demo import COLUMNS, flights, scored, table
 from punctual.runtime import cut, hadoop_fs, scratch
 from punctual.schema import CLICK_EVENT_SCHEMA, CONTRACTS, FLIGHT_COLUMNS, struct
-from punctual.sources import files, manifest
-from punctual.sources.publish import publish, publish_dir
+from punctual.sources import files, manifest, publish as publishing
+from punctual.sources.publish import publish_dir
 from punctual.streaming import events, live, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +126,21 @@ def airport_named(spark, sf_dir):
     return with_names(counts, dim, "Airport_Code", names={"State": "state"})
 
 
+@query
+def airport_unknown_codes(spark, sf_dir):
+    """Names, cities and states from a lookup that lacks some codes: only the name falls back to the code."""
+    nation = table(spark, sf_dir, "nation").where("n_nationkey % 3 <> 0")
+    dim = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("code"),
+        F.concat(F.lit("Airport "), "n_name").alias("name"),
+        F.concat("n_name", F.lit(" City")).alias("city"),
+        F.col("r_name").alias("state"),
+    )
+    counts = rate_rollup(flights(spark, sf_dir, "Origin"), {"Airport_Code": "Origin"}, ["Total_Departures"])
+    names = {"Airport_Name": "name", "City": "city", "State": "state"}
+    return with_names(counts, dim, "Airport_Code", names=names)
+
+
 @query
 def carrier_season_rollup(spark, sf_dir):
     """The generic rollup with measures and outputs of its own."""
@@ -201,10 +215,7 @@ def published_reasons(spark, sf_dir):
 def publish_all(spark, sf_dir):
     """One-scan tables, published and read back: rows per table."""
     with scratch(spark, "serving") as target:
-        counts = {
-            name: publish(df, name, target)
-            for name, df in tables.all_tables(fact(spark, sf_dir, "all_tables")).items()
-        }
+        counts = publishing.publish_all(tables.all_tables(fact(spark, sf_dir, "all_tables")), target)
     return spark.createDataFrame(list(counts.items()), "table_name string, table_rows bigint")
 
 
@@ -345,17 +356,15 @@ def sliced_airlines(spark, sf_dir):
 
 @query
 def population_counts(spark, sf_dir):
-    """Operated, late and cancelled flights per year, each through its own row filter."""
+    """Operated, late and cancelled flights per year, each through its own row filter, in one scan."""
     df = flights(spark, sf_dir, "Year", "Cancelled", "Diverted", "ArrDel15")
-    parts = [
-        part(df).groupBy("Year").agg(F.count("*").alias("Flights")).withColumn("Population", F.lit(name))
-        for name, part in (
-            ("operated", population.operated),
-            ("delayed", population.delayed),
-            ("cancelled", population.cancelled),
-        )
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    counted = df.groupBy("Year").agg(
+        *[F.count_if(F.expr(rule)).alias(name) for name, rule in population.RULES.items()]
+    )
+    cases = ", ".join(f"'{name}', `{name}`" for name in population.RULES)
+    return counted.selectExpr("Year", f"stack({len(population.RULES)}, {cases}) AS (Population, Flights)").where(
+        "Flights > 0"
+    )
 
 
 # --- ingest -----------------------------------------------------------------------------------
@@ -382,7 +391,9 @@ def _raw_text(df: DataFrame) -> DataFrame:
 
 @query
 def conform_flights(spark, sf_dir):
-    out = files.conform(_raw_text(flights(spark, sf_dir)))
+    """Raw text typed. It lies in files before, as raw data does; one stage for both would be too large to compile."""
+    raw = cut(_raw_text(cut(flights(spark, sf_dir))))
+    out = files.conform(raw)
     return out.withColumn("FlightDate", F.col("FlightDate").cast("string"))
 
 
@@ -416,6 +427,22 @@ def csv_etl(spark, sf_dir):
         )
 
 
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """Two folders of raw files as one, the second with other column order and without one column: matched by name."""
+    df = flights(spark, sf_dir, "Year", "Month", "Origin", "Dest", "ArrDelay", "Distance")
+    raw = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    with scratch(spark, "mixed") as path:
+        files.write_csv(raw.where("Year % 2 = 0"), f"{path}/a")
+        files.write_csv(raw.where("Year % 2 = 1").select("Dest", "ArrDelay", "Month", "Origin", "Year"), f"{path}/b")
+        back = files.conform(files.read_raw_csv(spark, [f"{path}/a", f"{path}/b"]), derive=False)
+        return cut(
+            back.groupBy("Year", "Origin", "Dest").agg(
+                F.count("*").alias("Flights"), F.sum("ArrDelay").alias("Minutes"), F.count("Distance").alias("Distances")
+            )
+        )
+
+
 @query
 def parquet_by_year(spark, sf_dir):
     """Year-partitioned Parquet written and read back under a year filter, which prunes directories."""
@@ -489,8 +516,18 @@ def prediction_table(spark, sf_dir):
 
 @query
 def prediction_sample(spark, sf_dir):
-    """The published sample: 50,000 rows in hash order."""
-    return models.predictions(scored(spark, sf_dir, *_REPORT))
+    """A published sample: 50,000 rows in hash order."""
+    rows = models.predictions(scored(spark, sf_dir, *_REPORT), limit=50_000)
+    out = _widened(checks.apply_contract(rows, "ml_delay_predictions"))
+    return out.withColumn("FlightDate", F.col("FlightDate").cast("string"))
+
+
+@query
+def hash_sample(spark, sf_dir):
+    """A tenth of the flights, drawn by a hash of what names a flight, per year."""
+    keys = ["FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Origin", "Dest"]
+    drawn = ranking.hash_sample(flights(spark, sf_dir, "Year", *keys), 0.1, keys)
+    return drawn.groupBy("Year").agg(F.count("*").alias("Flights"))
 
 
 @query
@@ -518,6 +555,12 @@ def roc_auc_by_rank(spark, sf_dir):
     return metrics.roc_auc_by_rank(scored(spark, sf_dir))
 
 
+@query
+def pr_area(spark, sf_dir):
+    area = metrics.pr_area(scored(spark, sf_dir))
+    return area.withColumn("auc_pr", F.round("auc_pr", 9))
+
+
 def _training(spark, sf_dir):
     needed = ["Year", "FlightDate", *features.CATEGORICAL, *features.NUMERIC, "Cancelled", "Diverted", "ArrDel15"]
     return features.training_rows(flights(spark, sf_dir, *needed))
@@ -525,37 +568,44 @@ def _training(spark, sf_dir):
 
 @query
 def split_sizes(spark, sf_dir):
-    """Rows and late flights in the parts of the hash split and of the split by year."""
+    """Rows and late flights in the parts of the hash split and of the split by year, every row in one of each."""
     with scratch(spark, "training") as path:
-        rows = cut(_training(spark, sf_dir), path=path)
-        train, test = features.split_hash(rows)
-        early, late, check = features.split_by_year(rows, 1998, 1999, check_year=2000)
-        parts = {"hash_train": train, "hash_test": test, "year_train": early, "year_test": late, "year_check": check}
-        sizes = [
-            df.agg(F.count("*").alias("rows"), F.count_if(F.col("label") == 1).alias("late")).withColumn(
-                "part", F.lit(name)
-            )
-            for name, df in parts.items()
-        ]
-        return cut(reduce(DataFrame.unionByName, sizes))
+        rows = cut(_training(spark, sf_dir).select("Year", *features.SPLIT_KEYS), path=path)
+        last = rows.agg(F.max("Year")).first()[0] or 0
+        by_hash = F.concat(F.lit("hash_"), features.hash_part(rows, keys=features.SPLIT_KEYS))
+        by_year = features.year_part(rows, last - 2, last - 1, check_year=last, keys=features.SPLIT_KEYS)
+        parts = rows.select("label", F.explode(F.array(by_hash, F.concat(F.lit("year_"), by_year))).alias("part"))
+        return cut(parts.groupBy("part").agg(F.count("*").alias("rows"), F.count_if(F.col("label") == 1).alias("late")))
+
+
+def _scored_test(spark, sf_dir):
+    """All rows of the default split's test part, scored by logistic regression."""
+    train, test = features.default_split(_training(spark, sf_dir))
+    return models.score(models.train(train, "lr"), test)
 
 
 @query
 def delay_model_scores(spark, sf_dir):
-    """Logistic regression on the default split; the published predictions of its test part."""
-    train, test = features.default_split(_training(spark, sf_dir))
-    return models.predictions(models.score(models.train(train, "lr"), test))
+    """Logistic regression on the default split; the published predictions of its whole test part."""
+    return models.predictions(_scored_test(spark, sf_dir))
+
+
+@query
+def delay_model_coverage(spark, sf_dir):
+    """Flights that the model has scored, and late ones among them, per year and carrier."""
+    rows = _scored_test(spark, sf_dir).groupBy("Year", "Reporting_Airline")
+    return rows.agg(
+        F.count("prediction").alias("Scored"), F.sum(F.col("label").cast("bigint")).alias("Late_Flights")
+    )
 
 
 @query
 def model_comparison(spark, sf_dir):
+    """Both kinds of model, with as many iterations each, on the same rows."""
     train, test = features.default_split(_training(spark, sf_dir))
     with scratch(spark, "comparison") as path:
         rows, test = models.training_table(train, f"{path}/train"), cut(test, path=f"{path}/test")
-        fitted = {
-            "lr": models.train(rows, "lr", written=True),
-            "gbt": models.train(rows, "gbt", max_iter=5, written=True),
-        }
+        fitted = {kind: models.train(rows, kind, written=True) for kind in ("lr", "gbt")}
         return models.compare(fitted, test)
 
 
@@ -643,19 +693,40 @@ def events_parsed(spark, sf_dir):
 
 @query
 def event_rejects(spark, sf_dir):
-    """Messages cut short for odd payload numbers: good and rejected ones counted."""
+    """Messages cut short, with a text where a number belongs, or without a time: good and rejected ones counted."""
+    k = F.get_json_object("props", "$.k").cast("int")
     rows = table(spark, sf_dir, "events").select(
-        F.when(F.get_json_object("props", "$.k").cast("int") % 2 == 1, F.expr("left(props, 4)"))
-        .otherwise(F.col("props"))
+        F.when(k % 4 == 1, F.expr("left(props, 4)"))
+        .when(k % 4 == 2, F.lit('{"k": "two", "t": "2026-01-01"}'))
+        .when(k % 4 == 3, F.concat(F.lit('{"k": '), k.cast("string"), F.lit("}")))
+        .otherwise(F.concat(F.lit('{"k": '), k.cast("string"), F.lit(', "t": "2026-01-01"}')))
         .cast("binary")
         .alias("value")
     )
-    good, bad = events.split_rejects(rows, struct({"k": "int"}))
+    good, bad = events.split_rejects(rows, struct({"k": "int", "t": "string"}), time="t")
     counted = good.agg(F.count("*").alias("messages"), F.sum("k").alias("total")).withColumn("kind", F.lit("good"))
     refused = bad.agg(F.count("*").alias("messages"), F.lit(None).cast("bigint").alias("total"))
     return counted.unionByName(refused.withColumn("kind", F.lit("rejected")))
 
 
+@query
+def stream_accounting(spark, sf_dir):
+    """A stream's messages, every seventh without a readable time: all of them are in windows or among the rejects."""
+    raw = _flight_events(_event_stream(spark, sf_dir))
+    stamp = F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.col("event_timestamp").cast("string"))
+    payload = events.to_payload(raw.withColumn("event_timestamp", stamp), *_RAW_EVENT.fieldNames())
+    good, bad = events.split_rejects(payload, _RAW_EVENT, time="event_timestamp")
+    with scratch(spark, "accounting") as path:
+        windows = live.live_metrics(events.enrich_events(good), "1 hour")
+        sinks.start_serving_sink(
+            windows, path, f"{path}/checkpoint/live", "live", every=None, mode="update"
+        ).awaitTermination()
+        sinks.start_serving_sink(bad, path, f"{path}/checkpoint/bad", "rejects", every=None).awaitTermination()
+        counted = live.latest_state(spark.read.parquet(f"{path}/live")).agg(F.sum("events").alias("in_windows"))
+        refused = spark.read.parquet(f"{path}/rejects").agg(F.count("*").alias("rejected"))
+        return cut(counted.crossJoin(refused))
+
+
 @query
 def events_enriched(spark, sf_dir):
     out = events.enrich_events(_flight_events(table(spark, sf_dir, "events")))

@@ -77,6 +77,12 @@ def _mean(total: str, n: str) -> str:
     return f"CASE WHEN {n} > 0 THEN CAST({total} AS DOUBLE) / CAST({n} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
 
 
+def _hash(*keys: str, seed: int = 42) -> str:
+    """The row hash: 13 hexadecimal digits of the MD5 of the seed and the keys, separated by the character 31."""
+    text = " || ".join([f"'{seed}'", *(f"chr(31) || coalesce(CAST({k} AS VARCHAR), '<null>')" for k in keys)])
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
+
+
 _LATE = "count(*) FILTER (WHERE op AND ArrDel15 = 1)"
 _OP = "count(*) FILTER (WHERE op)"
 _CANCELLED = "count(*) FILTER (WHERE Cancelled = 1)"
@@ -316,6 +322,11 @@ ORACLE: dict[str, str] = {
         "FROM f LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) "
         "ON n_name = Origin GROUP BY Origin"
     ),
+    "airport_unknown_codes": _sql(
+        "SELECT a.code AS Airport_Code, a.t AS Total_Departures, coalesce('Airport ' || n_name, a.code) AS Airport_Name, "
+        "n_name || ' City' AS City, CASE WHEN n_name IS NOT NULL THEN a.state END AS State "
+        "FROM deps a LEFT JOIN nation ON n_name = a.code AND n_nationkey % 3 <> 0"
+    ),
     "carrier_season_rollup": _sql(
         f"SELECT Reporting_Airline, {_SEASON} AS Season, count(*) AS Flights, "
         "count(*) FILTER (WHERE ArrDelayMinutes > 20) AS Long_Delays, "
@@ -481,6 +492,10 @@ ORACLE: dict[str, str] = {
         "CAST(sum(ArrDelay) AS DOUBLE) AS Arr_Delay, CAST(0 AS BIGINT) AS Dep_Times, "
         "CAST(sum(Dep_Hour) AS BIGINT) AS Hour_Sum, min(Route) AS First_Route FROM f GROUP BY Year, Month"
     ),
+    "csv_mixed_headers": _sql(
+        "SELECT Year, Origin, Dest, count(*) AS Flights, CAST(sum(ArrDelay) AS DOUBLE) AS Minutes, "
+        "count(CASE WHEN Year % 2 = 0 THEN Distance END) AS Distances FROM f GROUP BY 1, 2, 3"
+    ),
     "parquet_by_year": _sql("SELECT * FROM calendar WHERE Year BETWEEN 1997 AND 1999"),
     "raw_manifest_months": _sql(f"SELECT Year, Month, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
     "raw_manifest_files": _sql(f"SELECT Year, Month, n > 0 AS landed, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
@@ -502,6 +517,30 @@ ORACLE: dict[str, str] = {
         "CAST(prediction AS SMALLINT) AS Predicted_Delayed, CAST(pf AS DOUBLE) AS Delay_Probability, Risk_Category "
         "FROM p"
     ),
+    "prediction_sample": _sql(
+        "SELECT CAST(FlightDate AS VARCHAR) AS FlightDate, Reporting_Airline, Origin, Dest, "
+        "CAST(Dep_Hour AS SMALLINT) AS Dep_Hour, CAST(label AS SMALLINT) AS Actual_Delayed, "
+        "CAST(prediction AS SMALLINT) AS Predicted_Delayed, CAST(pf AS DOUBLE) AS Delay_Probability, Risk_Category "
+        f"FROM p ORDER BY {_hash('FlightDate', 'Reporting_Airline', 'Origin', 'Dest', 'Dep_Hour', 'label')}, "
+        "p.FlightDate, Reporting_Airline, Origin, Dest, Dep_Hour, label, prediction, pf, Risk_Category LIMIT 50000"
+    ),
+    "hash_sample": _sql(
+        "SELECT Year, count(*) AS Flights FROM f WHERE "
+        + _hash("FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Origin", "Dest")
+        + f" < 0.1 * {1 << 52} GROUP BY 1"
+    ),
+    "split_sizes": _sql(
+        "SELECT part, count(*) AS \"rows\", count(*) FILTER (WHERE ArrDel15 = 1) AS late FROM (SELECT ArrDel15, unnest(["
+        f"CASE WHEN h < 0.8 * {1 << 52} THEN 'hash_train' ELSE 'hash_test' END, "
+        f"CASE WHEN Year = last THEN 'year_check' WHEN Year = last - 1 THEN 'year_test' WHEN h < 0.15 * {1 << 52} "
+        "THEN 'year_train' ELSE 'year_rest' END]) AS part FROM (SELECT *, max(Year) OVER () AS last, "
+        f"{_hash('FlightDate', 'Reporting_Airline', 'Origin', 'Dest', 'Dep_Hour', 'ArrDel15')} AS h FROM g WHERE op)) "
+        "GROUP BY 1"
+    ),
+    "delay_model_coverage": _sql(
+        "SELECT Year, Reporting_Airline, count(*) AS Scored, count(*) FILTER (WHERE ArrDel15 = 1) AS Late_Flights "
+        "FROM g WHERE op AND Year = (SELECT max(Year) FROM g WHERE op) GROUP BY 1, 2"
+    ),
     "confusion_matrix": _sql(
         "SELECT CAST(y AS INTEGER) AS label, CAST(q AS INTEGER) AS prediction, coalesce(n, 0) AS flights "
         "FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(y, q) LEFT JOIN "
@@ -532,6 +571,12 @@ ORACLE: dict[str, str] = {
         "count(*) FILTER (WHERE label = 0) AS n FROM (SELECT label, rank() OVER (ORDER BY score) "
         "+ (count(*) OVER (PARTITION BY score) - 1) / 2e0 AS r FROM s))"
     ),
+    "pr_area": _sql(
+        "SELECT round(sum(p * (coalesce((tp - p) / nullif(CAST(tp - p + fp - n AS DOUBLE), 0), tp / CAST(tp + fp AS DOUBLE)) "
+        "+ tp / CAST(tp + fp AS DOUBLE)) / 2) / sum(p), 9) AS auc_pr, CAST(sum(p) AS BIGINT) AS positives FROM (SELECT p, n, "
+        "sum(p) OVER (ORDER BY score DESC) AS tp, sum(n) OVER (ORDER BY score DESC) AS fp FROM (SELECT score, "
+        "count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM s GROUP BY 1))"
+    ),
     "word_count": _words("documents"),
     "word_count_conversations": _words("conversations"),
     "category_count": 'SELECT event_type AS category, count(*) AS "count" FROM events GROUP BY 1',
@@ -542,14 +587,18 @@ ORACLE: dict[str, str] = {
     ),
     "event_rejects": (
         "SELECT kind, count(*) AS messages, CAST(sum(k) AS BIGINT) AS total FROM ("
-        "SELECT CASE WHEN v % 2 = 1 THEN 'rejected' ELSE 'good' END AS kind, "
-        "CASE WHEN v % 2 = 0 THEN v END AS k "
+        "SELECT CASE WHEN v % 4 <> 0 THEN 'rejected' ELSE 'good' END AS kind, "
+        "CASE WHEN v % 4 = 0 THEN v END AS k "
         "FROM (SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS v FROM events)) GROUP BY 1"
     ),
     "events_enriched": _EVENT
     + "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, reporting_airline, arr_delay, "
     "greatest(arr_delay, 0) AS arr_delay_minutes, CASE WHEN arr_delay >= 15 THEN 1 ELSE 0 END AS arr_del15, "
     "CASE WHEN arr_delay >= 15 THEN 'Delayed' ELSE 'On-Time' END AS status FROM e",
+    "stream_accounting": (
+        "SELECT count(*) FILTER (WHERE event_id % 7 <> 0) AS in_windows, "
+        "count(*) FILTER (WHERE event_id % 7 = 0) AS rejected FROM events"
+    ),
     "live_metrics_batch": _WINDOWS,
     "stream_live_metrics": _WINDOWS,
     "stream_json_sink": (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -14,9 +15,55 @@ from punctual.schema import FLIGHT_COLUMNS
 log = logging.getLogger(__name__)
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Header CSVs by path or glob, every column as text; no pass over the data to guess types."""
-    return spark.read.option("header", True).csv(path)
+class HeaderError(ValueError):
+    """Raw files whose headers differ, where they must not."""
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by their first line; the driver opens each file and reads that line alone."""
+    found: dict[str, list[str]] = {}
+    jvm, todo = spark.sparkContext._jvm, []
+    for path in paths:
+        fs, jpath = hadoop_fs(spark, path)
+        todo += [(fs, s) for s in fs.globStatus(jpath) or []]
+    if not todo:
+        raise FileNotFoundError(f"no raw files in {paths}")
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    while todo:
+        fs, status = todo.pop()
+        if status.getPath().getName()[:1] in "_.":
+            continue
+        if status.isDirectory():
+            todo += [(fs, s) for s in fs.listStatus(status.getPath())]
+        elif status.getLen():
+            stream, codec = fs.open(status.getPath()), codecs.getCodec(status.getPath())
+            try:
+                bytes_in = codec.createInputStream(stream) if codec else stream
+                line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(bytes_in, "UTF-8")).readLine() or ""
+            finally:
+                stream.close()
+            found.setdefault(line.removeprefix("\ufeff"), []).append(status.getPath().toString())
+    return found
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], headers: str = "any") -> DataFrame:
+    """Header CSVs by path or glob, every column as text; no pass over the data to guess types.
+
+    Columns go by name in every file: files with the same header are read together, then the groups are united, a
+    column that some lack being null there. ``headers="same"`` raises a HeaderError where headers differ.
+    """
+    if headers not in ("any", "same"):
+        raise ValueError("headers must be 'any' or 'same'")
+    groups = _headers(spark, [path] if isinstance(path, str) else list(path))
+    if headers == "same" and len(groups) > 1:
+        raise HeaderError(f"{len(groups)} different headers, such as {[files[0] for files in groups.values()][:3]}")
+    if not groups:  # only empty files
+        return spark.createDataFrame([], "")
+    parts = [
+        spark.read.option("header", True).option("enforceSchema", False).csv(sorted(files))
+        for _, files in sorted(groups.items())
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -108,14 +155,24 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def export_csv(df: DataFrame, directory: str, name: str, keys: tuple[str, ...] = ()) -> tuple[str, int]:
+#: Rows that one named CSV may have.
+EXPORT_ROWS = 5_000_000
+
+
+def export_csv(
+    df: DataFrame, directory: str, name: str, keys: tuple[str, ...] = (), most_rows: int | None = EXPORT_ROWS
+) -> tuple[str, int]:
     """One CSV file ``<directory>/<name>.csv`` with a header; returns its path and row count.
 
     For summary tables: the rows pass through one writer task, after the aggregation has run on
-    all of them. The count is observed during the write, so the plan runs once.
+    all of them. More than ``most_rows`` are refused (write_csv has no such bound) before the target changes.
     """
     spark, seen = df.sparkSession, Observation()
     target, staging = f"{directory.rstrip('/')}/{name}.csv", f"{directory.rstrip('/')}/_writing_{name}"
+    if most_rows is not None:
+        # stops as soon as enough rows are seen, and sends one task no more than the bound
+        if df.limit(most_rows + 1).count() > most_rows:
+            raise ValueError(f"{name} has more than {most_rows} rows; write_csv writes them in parallel")
     one = df.repartition(1)
     if keys:
         one = one.sortWithinPartitions(*keys)

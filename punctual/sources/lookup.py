@@ -6,23 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Carrier names by code.
-CARRIERS = {
-    "AA": "American Airlines",
-    "DL": "Delta Air Lines",
-    "UA": "United Airlines",
-    "WN": "Southwest Airlines",
-    "B6": "JetBlue Airways",
-    "AS": "Alaska Airlines",
-    "NK": "Spirit Airlines",
-    "F9": "Frontier Airlines",
-}
-
-
-def carriers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CARRIERS.items()), "code string, name string")
-
-
 def read_lookup(
     spark: SparkSession,
     path: str | None = None,

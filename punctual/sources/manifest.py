@@ -30,6 +30,15 @@ def month_grid(spark: SparkSession, first_year: int, last_year: int) -> DataFram
     return years.select("Year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("Month"))
 
 
+def _beside(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by month; files without one stay together under nulls."""
+    keys = ("Year", "Month")
+    other = right.select(*[F.col(k).alias(f"_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = left["Year"].eqNullSafe(other["_Year"]) & left["Month"].eqNullSafe(other["_Month"])
+    joined = left.join(other, same, how)
+    return joined.withColumns({k: F.coalesce(F.col(k), F.col(f"_{k}")) for k in keys}).drop("_Year", "_Month")
+
+
 def raw_manifest(
     spark: SparkSession,
     path: str,
@@ -41,6 +50,8 @@ def raw_manifest(
 ) -> DataFrame:
     """(Year, Month, files, bytes, rows, ok) for every expected month; a missing month has 0 files.
 
+    Files of other months, and files whose path names none (Year and Month null), are rows with ok = false.
+
     ``pattern`` finds year and month in a file's path. ``ok`` means at least one file and none below ``min_bytes``. ``rows`` is null unless
     ``count_rows``, which scans the files' row boundaries.
     """
@@ -48,14 +59,14 @@ def raw_manifest(
     found = files.agg(
         F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.min("bytes").alias("smallest")
     )
-    grid = month_grid(spark, first_year, last_year)
-    out = grid.join(found, ["Year", "Month"], "left")
+    grid = month_grid(spark, first_year, last_year).withColumn("expected", F.lit(True))
+    out = _beside(grid, found, "full")
     rows: Column = F.lit(None).cast("bigint")
     if count_rows:
         lines = spark.read.option("header", True).csv(path).select(F.col("_metadata.file_path").alias("p"))
         counted = lines.groupBy("p").agg(F.count("*").alias("rows"))
         named = counted.select(*_year_month("p", pattern), "rows")
-        out = out.join(named.groupBy("Year", "Month").agg(F.sum("rows").alias("rows")), ["Year", "Month"], "left")
+        out = _beside(out, named.groupBy("Year", "Month").agg(F.sum("rows").alias("rows")), "left")
         rows = F.coalesce("rows", F.lit(0).cast("bigint"))
     zero = F.lit(0).cast("bigint")
     return out.select(
@@ -64,7 +75,7 @@ def raw_manifest(
         F.coalesce("files", zero).alias("files"),
         F.coalesce("bytes", zero).alias("bytes"),
         rows.alias("rows"),
-        (F.coalesce("smallest", F.lit(-1)) >= min_bytes).alias("ok"),
+        (F.coalesce("expected", F.lit(False)) & (F.coalesce("smallest", F.lit(-1)) >= min_bytes)).alias("ok"),
     ).orderBy("Year", "Month")
 
 

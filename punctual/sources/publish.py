@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -15,6 +17,9 @@ from punctual.sources.files import conform, read_raw_csv
 
 log = logging.getLogger(__name__)
 
+# Error conditions of a table or path that does not exist.
+_ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND"}
+
 
 class PublishError(RuntimeError):
     """The target does not hold the rows that were sent."""
@@ -45,7 +50,7 @@ def publish(df: DataFrame | None, table: str, target: str, jdbc: Mapping[str, st
         rows.write.mode("overwrite").insertInto(f"{database}.{table}")
         written = spark.table(f"{database}.{table}")
     else:
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{table}")
+        _replace(rows, f"{target.rstrip('/')}/{table}")
         written = spark.read.parquet(f"{target.rstrip('/')}/{table}")
     count, expected = written.count(), sent.get["rows"]
     if count != expected:
@@ -54,6 +59,31 @@ def publish(df: DataFrame | None, table: str, target: str, jdbc: Mapping[str, st
     return count
 
 
+def _replace(rows: DataFrame, path: str) -> None:
+    """Write beside the table, then swap: until the new files are complete the old ones are served."""
+    parent, _, name = path.rpartition("/")
+    staged, old = f"{parent}/_new_{name}_{uuid.uuid4().hex}", f"{parent}/_old_{name}_{uuid.uuid4().hex}"
+    fs, new = hadoop_fs(rows.sparkSession, staged)
+    current, last = hadoop_fs(rows.sparkSession, path)[1], hadoop_fs(rows.sparkSession, old)[1]
+    try:
+        rows.write.parquet(staged)
+        if fs.exists(current) and not fs.rename(current, last):
+            raise PublishError(f"could not move {path}")
+        if not fs.rename(new, current):
+            fs.rename(last, current)
+            raise PublishError(f"could not move the new files to {path}")
+    finally:
+        fs.delete(new, True)
+    fs.delete(last, True)
+
+
+def publish_all(tables: Mapping[str, DataFrame | None], target: str, **options) -> dict[str, int | None]:
+    """Publish several tables at once: Spark runs their jobs side by side."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        counts = {name: pool.submit(publish, df, name, target, **options) for name, df in tables.items()}
+        return {name: count.result() for name, count in counts.items()}
+
+
 def publish_dir(spark: SparkSession, directory: str, target: str) -> dict[str, int | None]:
     """Publish every ``<table>.csv`` of a directory to the table of that name, replacing it.
 
@@ -105,6 +135,8 @@ def read_published(spark: SparkSession, table: str, target: str) -> DataFrame |
         if target.startswith("catalog:"):
             return spark.table(f"{target.removeprefix('catalog:')}.{table}")
         return spark.read.parquet(f"{target.rstrip('/')}/{table}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in _ABSENT:
+            raise
         log.warning("%s is not published in %s", table, target)
         return None

@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from punctual.functions.flight import clock_label, delay_flag, delay_status, flight_id
 from punctual.functions.numeric import clamp_min
 from punctual.schema import CLICK_EVENT_SCHEMA
 
-MAX_OFFSETS = 10_000_000
-
-
 def kafka_source(
-    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = MAX_OFFSETS, **options: str
+    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, **options: str
 ) -> DataFrame:
     """A topic from its earliest offsets. Needs the Kafka connector package on the session's class path.
 
-    ``max_offsets`` bounds one micro-batch, so that catching up on a long topic stays in small steps.
+    ``max_offsets`` bounds one micro-batch, where catching up on a long topic should go in small steps.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -30,36 +27,49 @@ def kafka_source(
     return reader.options(**options).load()
 
 
+_BROKEN = "_broken"
+
+
 def _decode(df: DataFrame, schema: StructType, col: str) -> DataFrame:
+    """``_text`` and ``_data``; a field of the latter holds the text of a message that does not fit the schema."""
     text = F.col(col).cast("string")
-    return df.withColumns({"_text": text, "_data": F.from_json(text, schema)})
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    whole = StructType([*schema.fields, StructField(_BROKEN, StringType())])
+    return df.withColumns({"_text": text, "_data": F.from_json(text, whole, options)})
+
 
+def _is_reject(schema: StructType, time: str | None = None) -> Column:
+    """No text, malformed JSON, JSON of another shape, a field of another type, or no readable time.
 
-def _is_reject(schema: StructType):
-    """Text that yields no value for any field: malformed JSON, JSON of another shape, or null."""
-    empty = F.col("_data").isNull()
-    every = F.lit(True)
-    for field in schema.fieldNames():
-        every = every & F.col(f"_data.`{field}`").isNull()
-    return empty | every
+    A proper message whose known fields are all absent is none.
+    """
+    reject = F.col("_text").isNull() | F.col("_data").isNull() | F.col(f"_data.{_BROKEN}").isNotNull()
+    return reject | F.col(f"_data.`{time}`").try_cast("timestamp").isNull() if time else reject
+
+
+def _fields(schema: StructType) -> list[Column]:
+    return [F.col(f"_data.`{f}`").alias(f) for f in schema.fieldNames()]
 
 
 def parse_events(
     df: DataFrame, schema: StructType = CLICK_EVENT_SCHEMA, col: str = "value", keep_rejects: bool = True
 ) -> DataFrame:
-    """Binary or text JSON to typed columns. A rejected message is a row of nulls, or left out."""
+    """Binary or text JSON to typed columns. A rejected message is a row of what could be read, or left out."""
     decoded = _decode(df, schema, col)
     if not keep_rejects:
         decoded = decoded.where(~_is_reject(schema))
-    return decoded.select("_data.*")
+    return decoded.select(*_fields(schema))
 
 
 def split_rejects(
-    df: DataFrame, schema: StructType = CLICK_EVENT_SCHEMA, col: str = "value"
+    df: DataFrame, schema: StructType = CLICK_EVENT_SCHEMA, col: str = "value", time: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(typed events, texts of the messages that could not be decoded)."""
-    decoded, reject = _decode(df, schema, col), _is_reject(schema)
-    return decoded.where(~reject).select("_data.*"), decoded.where(reject).select(F.col("_text").alias("text"))
+    """(typed events, texts of the messages that could not be decoded).
+
+    With ``time``, the field that windows go by, messages without a readable time are rejects too.
+    """
+    decoded, reject = _decode(df, schema, col), _is_reject(schema, time)
+    return decoded.where(~reject).select(*_fields(schema)), decoded.where(reject).select(F.col("_text").alias("text"))
 
 
 def with_event_time(df: DataFrame, col: str = "event_timestamp") -> DataFrame:

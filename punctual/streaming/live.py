@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from punctual.functions.numeric import pct
 
@@ -10,6 +10,9 @@ from punctual.functions.numeric import pct
 def live_metrics(df: DataFrame, window: str = "1 minute", watermark: str | None = "10 minutes") -> DataFrame:
     """Events, active delays and delay rate per tumbling window of ``event_timestamp``.
 
+    A row without a time is in no window: take out such messages first, with ``split_rejects(..., time=...)``, and
+    count them there.
+
     On a stream the watermark bounds how late an event may come and lets closed windows leave the
     state, which then holds a few counters per open window. Counters are summed inside each task first.
     """
@@ -28,6 +31,10 @@ def live_metrics(df: DataFrame, window: str = "1 minute", watermark: str | None
 
 
 def latest_state(updates: DataFrame) -> DataFrame:
-    """The last published row of every window, from the batches of an update-mode sink."""
-    last = Window.partitionBy("window_start").orderBy(F.desc("batch_id"))
-    return updates.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "batch_id")
+    """The last published row of every window, from the batches of an update-mode sink.
+
+    The newest row of a window is kept inside each task, so the shuffle has a row per window and task at most.
+    """
+    rest = [c for c in updates.columns if c not in ("window_start", "batch_id")]
+    last = updates.groupBy("window_start").agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
+    return last.select("window_start", *[F.col(f"_row.`{c}`").alias(c) for c in rest])

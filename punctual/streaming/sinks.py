@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from punctual.runtime import hadoop_fs
+from punctual.streaming.live import latest_state
+
 EVERY = "10 seconds"
+#: Micro-batches of an update-mode sink between two merges.
+MERGE_EVERY = 16
 
 
 def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -32,16 +37,48 @@ def start_serving_sink(
     table: str = "flights_processed",
     every: str | None = EVERY,
     mode: str = "append",
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
-    """Each micro-batch becomes the partition ``batch_id=<n>`` of ``<target>/<table>``.
+    """A stream into ``<target>/<table>``, without ever doubling a batch that is replayed after a failure.
 
-    A batch that is replayed after a failure overwrites its own partition, so nothing is doubled.
-    With ``mode="update"`` a windowed aggregate publishes its changed windows per batch.
+    ``append`` writes one folder through Spark's file sink, whose log there names the files that count. ``update`` is
+    for windows that change: each micro-batch becomes the partition ``batch_id=<n>``, and every ``merge_every``
+    batches the partitions before it are merged into one that has the last row of each window (``latest_state``), so
+    their number stays below ``merge_every`` + 2.
     """
     root = f"{target.rstrip('/')}/{table}"
+    if mode == "append":
+        sink = df.writeStream.format("parquet").option("path", root).option("checkpointLocation", checkpoint)
+        return _triggered(sink.outputMode("append"), every).start()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        merge_batches(batch.sparkSession, root, batch_id, merge_every)
         batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode)
     return _triggered(writer, every).start()
+
+
+def merge_batches(spark: SparkSession, root: str, batch_id: int, merge_every: int) -> None:
+    """Merges the partitions of batches before ``batch_id``, which are all committed, into the last of them.
+
+    The merged rows stand complete beside the partitions before any of these goes; a run that was stopped in between
+    goes on from there.
+    """
+    fs, folder = hadoop_fs(spark, root)
+    staged = hadoop_fs(spark, f"{root}/_merged_{batch_id}")[1]
+    whole = hadoop_fs(spark, f"{root}/_merged_{batch_id}/_SUCCESS")[1]
+    if not fs.exists(folder):
+        return
+    found = {s.getPath().getName(): s.getPath() for s in fs.listStatus(folder)}
+    batches = sorted(int(n.removeprefix("batch_id=")) for n in found if n.startswith("batch_id="))
+    before = [b for b in batches if b < batch_id]
+    if not fs.exists(whole):
+        if len(before) < merge_every:
+            return
+        state = latest_state(spark.read.option("basePath", root).parquet(*[f"{root}/batch_id={b}" for b in before]))
+        state.coalesce(1).write.mode("overwrite").parquet(staged.toString())
+    for b in before:
+        fs.delete(found[f"batch_id={b}"], True)
+    fs.delete(hadoop_fs(spark, f"{staged.toString()}/_SUCCESS")[1], False)
+    fs.rename(staged, hadoop_fs(spark, f"{root}/batch_id={batch_id - 1}")[1])

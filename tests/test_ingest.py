@@ -8,6 +8,7 @@ from punctual.operators import tables
 from punctual.operators.text import word_count
 from punctual.plans import sql
 from punctual.schema import FLIGHT_COLUMNS, FLIGHT_SCHEMA
+from punctual.operators.lookup import with_names
 from punctual.sources import files, lookup, manifest
 
 HEADER = '"Year","Month","FlightDate","Reporting_Airline","Origin","Dest","CRSDepTime","ArrDelay","Extra",'
@@ -112,10 +113,11 @@ def test_word_count_of_lines(spark, tmp_path):
 
 
 def test_lookups(spark, tmp_path, make_flights):
-    carriers = lookup.carriers(spark)
-    carriers.write.parquet(str(tmp_path / "carriers"))
+    spark.createDataFrame([("AA", "American"), ("DL", "Delta")], "code string, name string").write.parquet(
+        str(tmp_path / "carriers")
+    )
     (tmp_path / "carriers.csv").write_text("Code,Description\nAA,American\n")
-    assert lookup.read_lookup(spark, str(tmp_path / "carriers")).count() == 8
+    assert lookup.read_lookup(spark, str(tmp_path / "carriers")).count() == 2
     dim = lookup.read_lookup(
         spark, str(tmp_path / "carriers.csv"), columns={"code": "Code", "name": "Description"}
     )
@@ -135,3 +137,38 @@ def test_views(spark, make_flights):
     rows = sql.category_count(spark, "fact_view", "Reporting_Airline").collect()
     assert [tuple(r) for r in rows] == [("AA", 2), ("DL", 1)]
     assert "Reporting_Airline: string" in sql.schema_text(spark.table("fact_view"))
+
+
+def test_mixed_headers_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Year,Origin,Dest\n2024,AAA,BBB\n")
+    (tmp_path / "b.csv").write_text("Dest,Year,Origin\nDDD,2025,CCC\n")
+    (tmp_path / "c.csv").write_text("Year,Dest\n2026,EEE\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = files.read_raw_csv(spark, str(tmp_path / "*.csv")).select("Year", "Origin", "Dest").collect()
+    assert sorted(map(tuple, rows), key=str) == [("2024", "AAA", "BBB"), ("2025", "CCC", "DDD"), ("2026", None, "EEE")]
+    with pytest.raises(files.HeaderError):
+        files.read_raw_csv(spark, str(tmp_path), headers="same")
+    with pytest.raises(FileNotFoundError):
+        files.read_raw_csv(spark, str(tmp_path / "nothing"))
+
+
+def test_manifest_reports_files_it_did_not_expect(spark, tmp_path):
+    for name in ("x_2024_1.csv", "x_2031_2.csv", "notes.txt"):
+        (tmp_path / name).write_text("a,b\n1,2\n")
+    rows = manifest.raw_manifest(spark, str(tmp_path), 2024, 2024, min_bytes=1, count_rows=True).collect()
+    assert len(rows) == 14 and sum(r["files"] for r in rows) == 3
+    odd = {(r["Year"], r["Month"]): (r["files"], r["rows"], r["ok"]) for r in rows if r["Year"] != 2024}
+    assert odd == {(2031, 2): (1, 1, False), (None, None): (1, 1, False)}
+
+
+def test_large_tables_are_not_exported_through_one_task(spark, tmp_path):
+    with pytest.raises(ValueError, match="more than 10 rows"):
+        files.export_csv(spark.range(11), str(tmp_path), "t", most_rows=10)
+    assert files.export_csv(spark.range(10), str(tmp_path), "t", most_rows=10)[1] == 10
+
+
+def test_only_the_name_of_an_unknown_code_falls_back(spark):
+    df = spark.createDataFrame([("AAA",), ("BBB",)], "code string")
+    dim = spark.createDataFrame([("AAA", "Alpha", "A-town", "AL")] * 2, "code string, name string, city string, state string")
+    rows = with_names(df, dim, "code", names={"Name": "name", "City": "city", "State": "state"}).collect()
+    assert sorted(map(tuple, rows)) == [("AAA", "Alpha", "A-town", "AL"), ("BBB", "BBB", None, None)]

@@ -105,6 +105,33 @@ def test_catalog_tables(spark, fact):
     assert pub.read_published(spark, "agg_hourly_delays", "catalog:serving_test").first()["Total_Flights"] == 4
 
 
+def test_a_failed_write_leaves_the_old_table(spark, fact, tmp_path):
+    target = str(tmp_path / "serving")
+    pub.publish(tables.hourly_delays(fact), "agg_hourly_delays", target)
+    broken = tables.hourly_delays(fact).withColumn("Total_Flights", F.expr("CAST(raise_error('stop') AS BIGINT)"))
+    with pytest.raises(PySparkException):
+        pub.publish(broken, "agg_hourly_delays", target)
+    assert pub.read_published(spark, "agg_hourly_delays", target).first()["Total_Flights"] == 4
+    assert [p.name for p in (tmp_path / "serving").iterdir()] == ["agg_hourly_delays"]
+
+
+def test_a_batch_with_broken_totals_publishes_nothing(spark, sf_dir, tmp_path, monkeypatch):
+    from punctual.plans import batch
+    from punctual.plans.demo import COLUMNS, flights
+
+    raw = flights(spark, sf_dir, *[c for c in COLUMNS if c not in ("Dep_Hour", "Route")])
+    files.write_csv(raw.select(*[F.col(c).cast("string") for c in raw.columns]), str(tmp_path / "raw"))
+    job = [str(tmp_path / x) for x in ("raw", "cleaned", "serving")]
+    run_batch(spark, *job, kinds=())
+    before = pub.read_published(spark, "agg_hourly_delays", job[2]).collect()
+    right = tables.all_tables
+    wrong = lambda *a: {n: df.withColumn("Total_Flights", F.col("Total_Flights") + 1) if n == "agg_hourly_delays" else df for n, df in right(*a).items()}
+    monkeypatch.setattr(batch.tables, "all_tables", wrong)
+    with pytest.raises(batch.BatchError, match="totals apart"):
+        run_batch(spark, *job, kinds=())
+    assert sorted(map(str, pub.read_published(spark, "agg_hourly_delays", job[2]).collect())) == sorted(map(str, before))
+
+
 def test_batch(spark, sf_dir, tmp_path):
     from punctual.plans.demo import COLUMNS, flights
 

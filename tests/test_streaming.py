@@ -9,7 +9,7 @@ from punctual.schema import CLICK_EVENT_SCHEMA, FLIGHT_EVENT_SCHEMA, PIPELINE_EV
 from punctual.streaming import events, live, sinks
 
 GOOD = ['{"user_id": 1, "action": "click", "ts": "2026-07-08T10:00:00"}', '{"user_id": 2, "action": "view"}']
-BAD = ["{broken", "", '{"other": 1}', "[1]", None]
+BAD = ["{broken", "", '{"user_id": "oops", "action": "click"}', "[1]", None]
 
 
 def messages(spark, texts):
@@ -24,6 +24,10 @@ def test_parse_and_rejects(spark):
     assert good.columns == ["user_id", "action", "ts"]
     assert sorted(r["action"] for r in good.collect()) == ["click", "view"]
     assert sorted(str(r["text"]) for r in bad.collect()) == sorted(str(t) for t in BAD)
+    proper, none = events.split_rejects(messages(spark, ['{"other": 1}', "{}"]))
+    assert proper.count() == 2 and none.isEmpty()
+    timed, untimed = events.split_rejects(df, CLICK_EVENT_SCHEMA, time="ts")
+    assert (timed.count(), untimed.count()) == (1, 6)
 
 
 def test_other_layouts(spark):
@@ -98,6 +102,35 @@ def test_replayed_batch_is_not_doubled(spark, tmp_path):
     assert spark.read.parquet(str(target / "flights_processed")).count() == 10
 
 
+def test_folders_stay_few_and_states_right(spark, tmp_path, monkeypatch):
+    """A hundred batches of an update-mode sink, the last one written twice as after a failure."""
+    root = str(tmp_path / "live")
+    for n in range(100):
+        sinks.merge_batches(spark, root, n, 8)
+        rows = [(n % 7, n), (7 + n, n)] if n < 20 else [(n % 7, n)]
+        spark.createDataFrame(rows, "window_start long, events long").coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={n}")
+        if n == 99:
+            sinks.merge_batches(spark, root, n, 8)
+        assert len(list((tmp_path / "live").glob("batch_id=*"))) <= 9
+    state = {r["window_start"]: r["events"] for r in live.latest_state(spark.read.parquet(root)).collect()}
+    want = {n % 7: n for n in range(100)} | {7 + n: n for n in range(20)}
+    assert state == want
+
+
+def test_a_stopped_merge_goes_on(spark, tmp_path):
+    root = tmp_path / "live"
+    for n in range(4):
+        spark.createDataFrame([(n % 2, n)], "window_start long, events long").coalesce(1).write.parquet(f"{root}/batch_id={n}")
+    merged = live.latest_state(spark.read.parquet(str(root)))
+    merged.coalesce(1).write.parquet(f"{root}/_merged_4")  # complete, but the run ended here, one folder gone
+    import shutil
+
+    shutil.rmtree(root / "batch_id=0")
+    sinks.merge_batches(spark, str(root), 4, 4)
+    assert [p.name for p in root.glob("batch_id=*")] == ["batch_id=3"] and not list(root.glob("_merged*"))
+    assert {r["window_start"]: r["events"] for r in live.latest_state(spark.read.parquet(str(root))).collect()} == {0: 2, 1: 3}
+
+
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         events.kafka_source(spark, "broker:9092", "flight-events")
