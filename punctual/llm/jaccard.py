@@ -9,8 +9,8 @@ small ones merge into.
 
 A set is indexed in its own band, and in the next one if a partner can be there. Segments that at least two different
 sets share lead to candidates, compared in blocks by a 1,024-bit parity sketch whose distance never exceeds the true
-difference, then exactly by their sets. Only links that join yet unconnected sets are verified, so that a group of
-similar sets costs a spanning tree and not all its pairs.
+difference, then exactly by their sets. Sets are first compared with the first one under their keys, later only with
+sets that they are not yet connected with, so that a group of similar sets costs a star and not all its pairs.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from punctual.llm.text import (
 )
 from punctual.runtime import cut, kept_dir, scratch
 
+SLICE = 1 << 20
 SKETCH_BITS = 1024
 #: Rows of one segment's tokens that are compared in one block; more are compared chunk by chunk.
 BLOCK = 2048
@@ -67,32 +68,48 @@ class Bands:
         """Whether the smallest size of the next band can be a partner's."""
         return 100 * sizes >= self.percent * self.low[np.minimum(self.of(sizes) + 1, len(self.low) - 1)]
 
-    def segments(self, band: int) -> tuple[int, int]:
-        """Number of segments, and how many of them (the first ones) have threshold 1."""
-        errors = int(self.difference(2 * int(self.top[band])))
+    def segments(self, band: int) -> tuple[int, int, int]:
+        """Number of segments, how many of them (the first ones) have threshold 1, and the slack.
+
+        Thresholds plus one sum to H + 1 + slack, so partners agree on more than ``slack`` segments. The slack is what
+        the band's smallest sets have in empty segments with four standard deviations to spare: a set with no more
+        empty ones needs none of them as a key, and only few sets have more.
+        """
+        errors, low = int(self.difference(2 * int(self.top[band]))), int(self.low[band])
         merged = min(self.merged.get(band, 0), (errors + 1) // 2)
-        return errors + 1 - merged, merged
+        slack = 0
+        while errors and slack < errors + 2:
+            single = errors + 1 + slack - 2 * merged
+            empty = single * float(np.exp(-low / max(1, errors + 1 + slack - merged)))
+            if slack >= empty + 4 * np.sqrt(empty):
+                break
+            slack += 1
+        return errors + 1 + slack - merged, merged, slack
 
     def signatures(self, rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, key) of every signature; row k holds ``sizes[k]`` tokens and is indexed in ``bands[k]``."""
-        count = np.array([self.segments(b) for b in range(len(self.top))] if len(sizes) else [(1, 0)], dtype=np.int64)
-        n_segments, n_merged = count[bands, 0], count[bands, 1]
+        plan = np.array([self.segments(b) if len(sizes) and b <= bands.max() else (1, 0, 0) for b in range(len(self.top))], dtype=np.int64)
+        n_segments, n_merged, slack = plan[bands].T if len(bands) else np.zeros((3, 0), dtype=np.int64)
         base = np.concatenate([[0], np.cumsum(n_segments)])
         salt = mix(bands.astype(np.uint64) + np.uint64(77))
         segment = (mix(tokens ^ salt[rows]) % n_segments[rows].astype(np.uint64)).astype(np.int64)
         slot = base[rows] + segment
         value = mix(tokens + np.uint64(0x5851F42D4C957F2D))
         order = np.argsort(slot, kind="stable")
-        sums = np.zeros(base[-1] + 1, dtype=np.uint64)
-        running = np.concatenate([[np.uint64(0)], np.cumsum(value[order])])
-        ends = np.searchsorted(slot[order], np.arange(base[-1] + 1), side="left")
-        sums = running[np.append(ends[1:], len(order))[: base[-1]]] - running[ends[: base[-1]]] if base[-1] else sums[:0]
+        running = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(value[order])])
+        count = np.bincount(slot, minlength=base[-1])
+        ends = np.cumsum(count)
+        sums = running[ends] - running[ends - count]
         of_slot = np.repeat(np.arange(len(sizes)), n_segments)
-        name = mix(salt[of_slot] + (np.arange(base[-1]) - base[of_slot]).astype(np.uint64))
+        number = np.arange(base[-1]) - base[of_slot]
+        name = mix(salt[of_slot] + number.astype(np.uint64))
         keys = mix(sums ^ name)
+        bare = (count == 0) & (number >= n_merged[of_slot])
+        spared = np.bincount(of_slot[bare], minlength=len(sizes)) <= slack
+        kept = ~(bare & spared[of_slot])
         loose = segment < n_merged[rows]
         left_out = mix((sums[slot[loose]] - value[loose]) ^ name[slot[loose]])
-        return np.concatenate([of_slot, rows[loose]]), np.concatenate([keys, left_out])
+        return np.concatenate([of_slot[kept], rows[loose]]), np.concatenate([keys[kept], left_out])
 
 
 def sketches(rows: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
@@ -136,8 +153,9 @@ def allocate(bands: Bands, sets: DataFrame) -> Bands:
     """The cheapest number of merged segments per band, from counts over all sets.
 
     With N sets of mean size n, and q the share of a set's tokens that it has in common with another one on the
-    average, s segments cost s rows per set (a merged one n / s + 1 more), and N^2 / 2 pairs meet by chance in one
-    that holds o tokens with probability q^o (merged: (o + 1) q^(o - 1)).
+    average, s segments cost s rows per set, a merged one as many rows more as it holds tokens. Two sets differ in
+    2 o (1 - q) of the tokens of a segment that holds o, so N^2 / 2 pairs meet there by chance with the Poisson
+    probability of no difference, or of one at most.
     """
     of = {"band": F.expr(f"size(filter(array({', '.join(f'{t}L' for t in bands.tops[1:])}), t -> t < n))")}
     sized = sets.where("n > 0").withColumns(of)
@@ -146,17 +164,18 @@ def allocate(bands: Bands, sets: DataFrame) -> Bands:
     common = common.groupBy("band").agg(F.sum(F.col("df") * (F.col("df") - 1.0)).alias("pairs"))
     merged = {}
     for r in tally.join(common, "band", "left").collect():  # a row per band, some dozens
-        sets_n, mean, pairs = r["sets"], r["mean"], r["pairs"] or 0.0
-        q = min(0.99, UNIVERSE * pairs / max(1, sets_n * (sets_n - 1)) / mean)
+        q = min(0.99, UNIVERSE * (r["pairs"] or 0.0) / max(1, r["sets"] * (r["sets"] - 1)) / r["mean"])
         errors = int(bands.difference(2 * int(bands.top[r["band"]])))
 
-        def cost(d: int, q: float = q, mean: float = mean, sets_n: int = sets_n, errors: int = errors) -> float:
-            s = errors + 1 - d
-            o = mean / s
-            chance = (s - d) * q**o + d * min(1.0, (o + 1) * q ** max(0.0, o - 1))
-            return sets_n * (s + d * o) + PAIR_COST * sets_n**2 / 2 * min(1.0, chance)
+        def cost(d: int, n: int = r["sets"], mean: float = r["mean"], q: float = q, band: int = r["band"]) -> float:
+            segments, few, _ = Bands(bands.percent, {band: d}).segments(band)
+            held = mean / segments
+            apart = 2 * held * (1 - q)
+            chance = (segments - few) * np.exp(-apart) + few * np.exp(-apart) * (1 + apart)
+            return n * (segments + few * held) + PAIR_COST * n**2 / 2 * min(1.0, chance)
 
-        merged[r["band"]] = min(range((errors + 1) // 2 + 1), key=cost)
+        steps = sorted({round((errors + 1) // 2 * k / 8) for k in range(9)})
+        merged[r["band"]] = min(steps, key=cost)
     return Bands(bands.percent, merged)
 
 
@@ -175,7 +194,7 @@ def jaccard_join(df: DataFrame, id_col: str, text: str, size: int = 5, percent:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in text_slices(batch, "text"):
+            for start, end in text_slices(batch, "text", SLICE):
                 part = batch.slice(start, end - start)
                 rows, tokens = token_sets(part, size)
                 n = per_row(rows, len(part))
@@ -237,7 +256,7 @@ def _shared_keys(texts: DataFrame, size: int, bands: Bands) -> DataFrame:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in text_slices(batch, "text"):
+            for start, end in text_slices(batch, "text", SLICE):
                 *_, node, who, found, _ = _indexed(batch.slice(start, end - start), size, bands)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(signed(node[who]))], names=["key", "node"])
 
@@ -249,15 +268,14 @@ def _shared_keys(texts: DataFrame, size: int, bands: Bands) -> DataFrame:
 def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: str) -> DataFrame | None:
     """Links enough to connect all partners, or None without any."""
     spark = texts.sparkSession
-    n_shared = shared.count()
-    if not n_shared:
+    if shared.isEmpty():
         return None
-    maybe = spark.sparkContext.broadcast(hash_filter(shared, "key", 26 if n_shared > 1 << 18 else 22))
+    maybe = spark.sparkContext.broadcast(hash_filter(shared, "key", 26))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: HashFilter = maybe.value
         for batch in batches:
-            for start, end in text_slices(batch, "text"):
+            for start, end in text_slices(batch, "text", SLICE):
                 rows, tokens, n, node, who, keys, _ = _indexed(batch.slice(start, end - start), size, bands)
                 likely = held.has(keys)
                 who, keys = who[likely], keys[likely]
@@ -267,16 +285,20 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
                 wanted = np.isin(rows, own)
                 lists = [list_array(np.bincount(place, minlength=len(own)), signed(keys)), list_array(per_row(np.searchsorted(own, rows[wanted]), len(own)), signed(tokens[wanted]))]
                 sketch = sketches(np.searchsorted(own, rows[wanted]), tokens[wanted], len(own))
-                columns = [pa.array(signed(node[own])), pa.array(n[own]), pa.array([s.tobytes() for s in sketch], pa.binary()), *lists]
+                columns = [pa.array(signed(node[own])), pa.array(n[own]), list_array(np.full(len(own), SKETCH_BITS // 64), sketch.view(np.int64).ravel()), *lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "keys", "tokens"])
 
-    found = cut(texts.mapInArrow(entries, "node long, n long, sketch binary, keys array<long>, tokens array<long>"), path=f"{work}/entries")
-    entry = found.select("node", "n", "sketch", F.explode("keys").alias("key")).join(shared, "key")
-    entry = cut(entry.dropDuplicates(["key", "node"]), path=f"{work}/keyed")
-    sets = cut(found.select("node", "n", "tokens").dropDuplicates(["node"]), path=f"{work}/tokens")
-    tried, links, groups = None, None, None
-    for turn, mode in enumerate(("forest", "best", "all")):
-        pairs = _candidates(entry, groups, bands.percent, mode, work, turn)
+    found = cut(texts.mapInArrow(entries, "node long, n long, sketch array<long>, keys array<long>, tokens array<long>"), path=f"{work}/entries")
+    sets = cut(found.select("node", "n", "sketch", "tokens").dropDuplicates(["node"]), path=f"{work}/sets")
+    # rows of 16 bytes; sizes and sketches come to them where pairs are weighed
+    keyed = cut(found.select(F.explode("keys").alias("key"), "node").distinct(), path=f"{work}/keyed")
+    tried, links = None, None
+    for turn, mode in enumerate(("star", "best", "all")):
+        if mode == "star":
+            pairs = _stars(keyed, sets, bands.percent, work)
+        else:
+            groups = components(links) if links is not None else None
+            pairs = _candidates(keyed, sets, groups, bands.percent, mode, work, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = cut(pairs, path=f"{work}/pairs{turn}")
@@ -287,11 +309,25 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
         good = cut(_verified(pairs, sets, bands.percent), path=f"{work}/links{turn}")
         links = good if links is None else links.unionByName(good)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if mode != "all":
-            groups = components(links)
     return cut(links) if links is not None else None
 
 
+def _stars(keyed: DataFrame, sets: DataFrame, percent: int, work: str) -> DataFrame:
+    """For each set one pair: with the smallest set that is first under one of its keys and may be a partner.
+
+    In a group of similar sets nearly all have the same first one, so this connects most of what is to be connected.
+    """
+    first = cut(keyed.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), path=f"{work}/firsts")
+    pairs = keyed.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    both = cut(pairs, path=f"{work}/star_pairs").join(a, "a").join(b, "b")
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return both.where(sizes).where(near).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
@@ -299,29 +335,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def _candidates(entry: DataFrame, groups: DataFrame | None, percent: int, mode: str, work: str, turn: int) -> DataFrame:
+def _candidates(keyed: DataFrame, sets: DataFrame, groups: DataFrame | None, percent: int, mode: str, work: str, turn: int) -> DataFrame:
     """Pairs (a, b) of unconnected sets that share a key and may be partners by sizes and sketches.
 
-    ``forest``: per block enough of them to connect what they connect; ``best``: per set and other component the
-    nearest; ``all``: all.
+    ``best``: per set and other component the nearest; ``all``: all.
     """
     if groups is None:
-        entry = entry.withColumn("root", F.col("node"))
+        rooted = keyed.withColumn("root", F.col("node"))
     else:
-        entry = entry.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    entry = cut(entry, path=f"{work}/rooted{turn}")
-    sizes = entry.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"))
+        rooted = keyed.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = cut(rooted, path=f"{work}/rooted{turn}")
+    sizes = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"))
     sizes = cut(sizes.where("low < high").select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("chunks")), path=f"{work}/open{turn}")
-    rows = entry.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    rows = cut(rooted.join(sizes, "key"), path=f"{work}/rows{turn}")
+    n = partitions_for(rows.count(), 200_000, int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.join(sets.select("node", "n", "sketch"), "node").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("key", "node", "n", "sketch", "root", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-    n = partitions_for(entry.count(), 200_000, int(entry.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartition(n, "key", "p", "q").sortWithinPartitions("key", "p", "q", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "key", "p", "q"):
+        for table in whole_groups((b.slice(i, 2048) for b in batches for i in range(0, len(b), 2048)), "key", "p", "q"):
             key, p, q, own, node, size, root = (table[c].to_numpy() for c in ("key", "p", "q", "own", "node", "n", "root"))
-            bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint64).reshape(len(table), -1)
+            bits = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(table), -1)
             bounds = group_bounds(key, p, q)
             out: list[tuple[int, int]] = []
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
@@ -335,11 +371,9 @@ def _candidates(entry: DataFrame, groups: DataFrame | None, percent: int, mode:
 
 
 def _pairs(node: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray, bits: np.ndarray, two: bool, percent: int, mode: str) -> list[tuple[int, int]]:
-    out, _ = [], None
-    _, group = np.unique(root, return_inverse=True)
+    """Pairs of a block; of ``two`` chunks only those across them."""
+    out, (_, group) = [], np.unique(root, return_inverse=True)
     for i in range(len(node) - 1):
-        if mode == "forest" and (group == group[0]).all():
-            break
         rest = slice(i + 1, None)
         small, large = np.minimum(size[i], size[rest]), np.maximum(size[i], size[rest])
         able = (group[rest] != group[i]) & (100 * small >= percent * large)
@@ -349,18 +383,10 @@ def _pairs(node: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray
         if not len(at):
             continue
         apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1)
-        near = apart <= (100 - percent) * (size[at] + size[i]) // (100 + percent)
+        near = (100 + percent) * apart <= (100 - percent) * (size[at] + size[i])
         at, apart = at[near], apart[near]
-        if not len(at):
-            continue
-        if mode == "forest":
-            _, first = np.unique(group[at], return_index=True)
-            at = at[first]
-            merged = np.isin(group, group[at])
-            group[merged] = group[i]
-        elif mode == "best":
-            order = np.lexsort((apart, group[at]))
-            at = at[order]
+        if mode == "best" and len(at):
+            at = at[np.lexsort((apart, group[at]))]
             at = at[group_bounds(group[at])[:-1]]
         out += [(int(min(node[i], node[j])), int(max(node[i], node[j]))) for j in at]
     return out

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -147,30 +146,38 @@ def list_array(counts: np.ndarray, values: np.ndarray | pa.Array, kind: pa.DataT
 
 
 class HashFilter:
-    """A bitmap of hashes: says no only for hashes that were not put in. Its size does not depend on the data."""
+    """A bitmap of hashes, two places each: says no only for hashes that were not put in.
+
+    Its size does not depend on the data. The two places are the lowest bits of both halves of a hash.
+    """
 
     def __init__(self, bits: int, packed: bytes):
         self.bits, self.packed = bits, packed
 
-    @staticmethod
-    @cache
-    def _unpacked(packed: bytes) -> np.ndarray:
-        return np.unpackbits(np.frombuffer(packed, dtype=np.uint8), bitorder="little").view(bool)
-
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        return self._unpacked(self.packed)[hashes & np.uint64((1 << self.bits) - 1)]
+        table, mask = np.frombuffer(self.packed, dtype=np.uint8), np.uint64((1 << self.bits) - 1)
+
+        def holds(place: np.ndarray) -> np.ndarray:
+            return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+        found = holds(hashes & mask)
+        at = np.flatnonzero(found)
+        found[at] = holds((hashes[at] >> np.uint64(32)) & mask)
+        return found
 
 
 def hash_filter(df: DataFrame, column: str, bits: int = 23) -> HashFilter:
-    """The lowest ``bits`` bits of a long column of hashes as a bitmap.
+    """A bitmap of a long column of hashes; ``bits`` (32 at most) is the logarithm of its size.
 
     The driver gets 2**(bits - 6) numbers at most (``bits`` = 23: 131,072 numbers, a bitmap of 1 MB), whatever the
     size of ``df``. What a filter lets through must be joined exactly afterwards.
     """
-    low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    mask = F.lit((1 << bits) - 1)
+    halves = F.array(F.col(column).bitwiseAND(mask), F.shiftrightunsigned(column, 32).bitwiseAND(mask))
     groups = (
         df.where(F.col(column).isNotNull())
-        .select(F.shiftright(low, 6).alias("at"), F.expr(f"shiftleft(1L, int({column} & 63))").alias("bit"))
+        .select(F.explode(halves).alias("place"))
+        .select(F.shiftright("place", 6).alias("at"), F.expr("shiftleft(1L, int(place & 63))").alias("bit"))
         .groupBy("at")
         .agg(F.bit_or("bit").alias("bits"))
     )

@@ -7,29 +7,30 @@ commit keeps files of lost or repeated tasks out, on any file system the session
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from punctual.llm.text import list_array, partitions_for, text_slices
+from punctual.llm.kneser_ney import unique_keys
+from punctual.llm.text import byte_class, list_array, partitions_for, prefix_hash, range_hash, text_buffers, text_slices
 from punctual.llm.wavelet import WaveletMatrix
 from punctual.runtime import cut
 
 END = 0
 #: Texts of a shard, in bytes of UTF-8 on the average.
 SHARD_BYTES = 16 << 20
-#: Most tokens of one matrix; a shard with more has several, in order.
-BLOCK_TOKENS = 4 << 20
-CACHED_WORDS = 400_000
-#: A space between two white spaces, or at the end after one: there a text may not be cut.
-_AWKWARD = re.compile(r"\s \s|\s $")
+#: A matrix takes documents of so many bytes at a time until it has so many tokens; a shard has several, in order.
+BLOCK_BYTES, BLOCK_TOKENS = 256 << 10, 200_000
+CACHED_WORDS = 1_500_000
 
 FILE = StructType(
     [
@@ -53,40 +54,124 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: ASCII bytes by class, for cutting texts.
+_WHITE = byte_class((0x09, 0x0D), (0x20, 0x20))
+_SOLID = byte_class((0x21, 0x7E))
+_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
+_MARK = byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+
+
+#: A space at most, then letters (of one byte, or of two from U+00C0 to U+00FF without the two signs among them).
+_WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """How byte-level vocabularies write each byte: visible Latin-1 characters as they are, others from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 0x100 + k for k, b in enumerate(hidden)}
+
+
+_BYTES = _byte_letters()
+
+
 class Encoder:
     """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    The byte-level pre-tokenizer never joins what stands before a space with the space, if one side of it is no white
-    space. So texts are cut before such spaces and every distinct piece goes through the tokenizer once per task.
+    The byte-level pre-tokenizer splits before a white space that follows none, and before a punctuation mark that
+    follows a letter; what it does from there on does not depend on what stands before. So texts are cut at such
+    places, and every distinct piece (by a 64-bit hash of its bytes) goes through the tokenizer once as long as the
+    worker remembers it. New pieces go there many at a time, with a special token between them, which keeps them apart.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = tokenizer(path), {}
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.kind = np.dtype("<u4" if self.wide else "<u2")
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        for piece, got in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(got.ids, dtype=self.kind).tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for text in texts:
-            text = text or ""
-            if "  " in text or _AWKWARD.search(text) or any(x in text for x in self.added):
-                split.append([text])
+        self.tokenizer = tokenizer(path)
+        self.kind = np.dtype("<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2")
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.between, self.between_id = next(iter(added.items()), (None, None))
+        self.added = list(added)
+        # with nothing but the byte-level split, letters after at most one space are one word for the model
+        split = json.loads(self.tokenizer.to_str())
+        kind, plain = split["pre_tokenizer"] or {}, split["normalizer"] is None
+        byte_level = kind.get("type") == "ByteLevel" and not kind.get("add_prefix_space") and kind.get("use_regex", True)
+        self.model = self.tokenizer.model if plain and byte_level else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.flat, self.starts, self.used = np.zeros(1 << 16, dtype=self.kind), np.zeros(1 << 16, dtype=np.int64), 0
+
+    def _learn(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in a row, and their number per piece."""
+        found: list[list[int]] = [[]] * len(texts)
+        rest = []
+        for k, t in enumerate(texts):
+            if self.model is not None and _WORD.fullmatch(t):
+                found[k] = [x.id for x in self.model.tokenize(t.decode("latin-1").translate(_BYTES))]
             else:
-                head, *rest = text.split(" ")
-                split.append([head, *(" " + x for x in rest)])
-        kinds = set()
-        for pieces in split:
-            kinds.update(pieces)
-        self._learn([x for x in kinds if x not in self.known] if len(self.known) <= CACHED_WORDS else list(kinds))
-        known = self.known
-        return [b"".join([known[x] for x in pieces]) for pieces in split]
+                rest.append(k)
+        others = [texts[k].decode() for k in rest]
+        if self.between is None or any(a in t for t in others for a in self.added):
+            for k, e in zip(rest, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+                found[k] = e.ids
+        elif rest:
+            ids, low = self.tokenizer.encode(self.between.join(others), add_special_tokens=False).ids, 0
+            ids.append(self.between_id)
+            for k in rest:
+                high = ids.index(self.between_id, low)
+                found[k], low = ids[low:high], high + 1
+        return np.fromiter(chain.from_iterable(found), dtype=self.kind), np.fromiter(map(len, found), dtype=np.int64)
+
+    def _remember(self, hashes: list[int], texts: list[bytes]) -> None:
+        for k in range(0, len(texts), 8192):
+            flat, sizes = self._learn(texts[k : k + 8192])
+            n, ends = len(self.known), np.cumsum(sizes)
+            while n + len(sizes) + 1 > len(self.starts):
+                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            while self.used + len(flat) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.starts[n + 1 : n + 1 + len(sizes)] = self.used + ends
+            self.flat[self.used : self.used + len(flat)] = flat
+            self.used += len(flat)
+            self.known.update(zip(hashes[k : k + 8192], range(n, n + len(sizes)), strict=True))
+
+    def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a buffer in one array, and their number per text."""
+        full = offsets[:-1][np.diff(offsets) > 0]
+        low, before, lead = data[2:], data[1:-1], data[:-2]
+        wide = (before >= 0x80) & (lead >= 0xC3) & (lead < 0xE0)  # two bytes, from U+00C0 on: no white space
+        latin = (lead == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+        cut = (_WHITE[low] & (_SOLID[before] | wide)) | (_MARK[low] & (_LETTER[before] | latin))
+        at = np.zeros(len(data), dtype=bool)
+        at[2:] = cut
+        for special in self.added:  # no cuts inside these
+            for found in re.finditer(re.escape(special.encode()), data):
+                at[found.start() + 1 : found.end()] = False
+        at[full] = True
+        starts = np.flatnonzero(at)
+        ends = np.append(starts[1:], len(data))
+        hashes = range_hash(prefix_hash(data), starts, ends) + (ends - starts).astype(np.uint64)
+        inverse, first = unique_keys(hashes)
+        kinds = hashes[first].tolist()
+        if len(self.known) > CACHED_WORDS:
+            self._forget()
+        new = [k for k, h in enumerate(kinds) if h not in self.known]
+        if new:
+            raw = data.tobytes()
+            bounds = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            self._remember([kinds[k] for k in new], [raw[a:b] for a, b in bounds])
+        place = np.array([self.known[h] for h in kinds], dtype=np.int64)
+        size, start = (self.starts[place + 1] - self.starts[place])[inverse], self.starts[place][inverse]
+        total = np.cumsum(size)
+        at = np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)
+        row = np.searchsorted(offsets, starts, side="right") - 1
+        return self.flat[at], np.bincount(row, weights=size, minlength=len(offsets) - 1).astype(np.int64)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One per worker, whatever the number of its tasks."""
+    return Encoder(path)
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
@@ -105,26 +190,24 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard, encoder = TaskContext.get().partitionId(), Encoder(tokenizer_path)
-        docs, counts, parts, size, block = [], [], [], 0, 0
+        shard, encoder, block = TaskContext.get().partitionId(), encoder_of(tokenizer_path), 0
+        docs, counts, parts = [], [], []
 
         def packed() -> pa.RecordBatch:
-            matrix = WaveletMatrix.build(np.frombuffer(b"".join(parts), dtype=encoder.kind), 32 if encoder.wide else 16)
-            row = [[shard], [block], [docs], [counts], [matrix.size], [matrix.zeros], [matrix.planes], [matrix.ranks]]
+            matrix = WaveletMatrix.build(np.concatenate(parts), 8 * encoder.kind.itemsize)
+            row = [[shard], [block], [pa.concat_arrays(docs)], [np.concatenate(counts)], [matrix.size], [matrix.zeros], [matrix.planes], [matrix.ranks]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _FILE_ARROW, strict=True)], names=FILE.names)
 
-        end = np.array([END], dtype=encoder.kind).tobytes()
         for batch in batches:
-            for start, stop in text_slices(batch, "text"):
+            for start, stop in text_slices(batch, "text", BLOCK_BYTES):
                 piece = batch.slice(start, stop - start)
-                for doc, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(piece.column("text").to_pylist()), strict=True):
-                    docs.append(doc)
-                    counts.append(len(ids) // encoder.kind.itemsize + 1)
-                    parts += [ids, end]
-                    size += counts[-1]
-                if size > BLOCK_TOKENS:
+                ids, n = encoder.encode(*text_buffers(piece.column("text")))
+                docs.append(piece.column("doc_id"))
+                counts.append(n + 1)
+                parts.append(np.insert(ids, np.cumsum(n), encoder.kind.type(END)))
+                if sum(map(len, parts)) >= BLOCK_TOKENS:
                     yield packed()
-                    docs, counts, parts, size, block = [], [], [], 0, block + 1
+                    docs, counts, parts, block = [], [], [], block + 1
         if docs:
             yield packed()
 

@@ -24,11 +24,11 @@ class WaveletMatrix:
         ids = np.ascontiguousarray(ids)
         planes, zeros = [], []
         for k in range(bits - 1, -1, -1):
-            ones = (ids & ids.dtype.type(1 << k)).astype(bool)
+            ones = (ids & ids.dtype.type(1 << k)) != 0
             planes.append(np.packbits(ones, bitorder="little").tobytes())
-            low = ids[~ones]
+            low = np.flatnonzero(~ones)
             zeros.append(len(low))
-            ids = np.concatenate([low, ids[ones]])
+            ids = np.concatenate([ids.take(low), ids.take(np.flatnonzero(ones))])
         return cls(len(ids), planes, zeros)
 
     def _bits(self, plane: int) -> np.ndarray:
@@ -40,8 +40,8 @@ class WaveletMatrix:
         ids = np.zeros(self.size, dtype=np.uint32 if wide else np.uint16)
         for k in range(len(self.planes) - 1, -1, -1):
             ones, up = self._bits(k), np.empty_like(ids)
-            up[~ones] = ids[: self.zeros[k]]
-            up[ones] = ids[self.zeros[k] :] | ids.dtype.type(1 << (len(self.planes) - 1 - k))
+            up[np.flatnonzero(~ones)] = ids[: self.zeros[k]]
+            up[np.flatnonzero(ones)] = ids[self.zeros[k] :] | ids.dtype.type(1 << (len(self.planes) - 1 - k))
             ids = up
         return ids
 
