@@ -462,6 +462,8 @@ def raw_manifest_files(spark, sf_dir):
     months = flights(spark, sf_dir, "Year", "Month", "FlightDate", "ArrDelay")
     span = months.agg(F.min("Year").alias("lo"), F.max("Year").alias("hi")).first()
     with scratch(spark, "landing") as path:
+        # one task per month and part of it, not one file per month and input task
+        months = months.repartition("Year", "Month", F.pmod(F.xxhash64("FlightDate"), F.lit(4)))
         months.write.partitionBy("Year", "Month").option("header", True).csv(path)
         found = manifest.raw_manifest(
             spark, path, span["lo"], span["hi"], min_bytes=1, count_rows=True, pattern=manifest.BY_FOLDER
@@ -615,6 +617,15 @@ def feature_importance(spark, sf_dir):
     return models.importance(models.train(train, "lr"), spark)
 
 
+@query
+def feature_names(spark, sf_dir):
+    """The features of the fitted model: one per category seen in training, one for others, and the numbers."""
+    train, _ = features.default_split(_training(spark, sf_dir))
+    names = models.importance(models.train(train, "lr", max_iter=1), spark).select("feature")
+    kind = F.when(F.col("feature").contains("_ohe_"), F.regexp_extract("feature", "^(.*)_ohe_", 1)).otherwise("number")
+    return names.groupBy(kind.alias("kind")).agg(F.count("*").alias("features"))
+
+
 # --- text and SQL -----------------------------------------------------------------------------
 
 

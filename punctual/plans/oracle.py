@@ -537,6 +537,13 @@ ORACLE: dict[str, str] = {
         f"{_hash('FlightDate', 'Reporting_Airline', 'Origin', 'Dest', 'Dep_Hour', 'ArrDel15')} AS h FROM g WHERE op)) "
         "GROUP BY 1"
     ),
+    "feature_names": _sql(
+        "SELECT kind, count(DISTINCT value) + 1 AS features FROM (SELECT unnest([{'kind': 'Reporting_Airline', 'value': "
+        "Reporting_Airline}, {'kind': 'Origin', 'value': Origin}, {'kind': 'Dest', 'value': Dest}], recursive := true) "
+        "FROM (SELECT *, max(Year) OVER () AS last, "
+        f"{_hash('FlightDate', 'Reporting_Airline', 'Origin', 'Dest', 'Dep_Hour', 'ArrDel15')} AS h FROM g WHERE op) "
+        f"WHERE Year < last AND h < 0.15 * {1 << 52}) GROUP BY kind UNION ALL SELECT 'number', 5"
+    ),
     "delay_model_coverage": _sql(
         "SELECT Year, Reporting_Airline, count(*) AS Scored, count(*) FILTER (WHERE ArrDel15 = 1) AS Late_Flights "
         "FROM g WHERE op AND Year = (SELECT max(Year) FROM g WHERE op) GROUP BY 1, 2"

@@ -131,3 +131,27 @@ def test_sampled_predictions_are_scored_after_the_draw(spark, sf_dir):
     text = plan(models.predictions(scored, 10))
     draw = re.search(r"Filter \(+[^\n]*md5\(", text)
     assert draw and text.index("rawPrediction") < draw.start()
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "conform_flights", "csv_etl", "csv_mixed_headers", "delay_model_scores", "export_and_load", "feature_importance",
+        "parquet_by_year", "pr_area", "publish_all", "raw_manifest_files", "raw_manifest_months", "reconcile_totals",
+        "roc_auc_by_rank", "split_sizes", "stream_accounting", "stream_live_metrics",
+    ],
+)
+def test_queries_leave_no_folder_behind(spark, sf_dir, name):
+    """What a result still reads is noted for deletion; all else is gone when the query returns."""
+    from pathlib import Path
+
+    from punctual import runtime
+    from punctual.plans.catalog import QUERIES
+
+    shared = Path(runtime.shared_dir(spark))
+    before, noted = {p.name for p in shared.iterdir()}, len(runtime._kept)
+    QUERIES[name](spark, sf_dir).count()
+    for fs, path in runtime._kept[noted:]:
+        fs.delete(path, True)
+    del runtime._kept[noted:]
+    assert {p.name for p in shared.iterdir()} == before
