@@ -207,7 +207,7 @@ def jaccard_join(df: DataFrame, id_col: str, text: str, size: int = 5, percent:
     with scratch(spark, "jaccard") as work:
         sets = cut(texts.mapInArrow(measure, f"id {id_kind}, n long, node long, probe array<long>"), path=kept_dir(spark, "sets"))
         bands = Bands(percent, merged) if merged is not None else allocate(Bands(percent), sets)
-        shared = cut(_shared_keys(texts.select("text"), size, bands), path=f"{work}/shared")
+        shared = cut(_shared_keys(texts.select("text"), size, bands, sets), path=f"{work}/shared")
         links = _links(texts.select("text"), size, bands, shared, work)
         groups = components(links) if links is not None else None
     sets = sets.drop("probe")
@@ -251,18 +251,25 @@ def _indexed(part: pa.RecordBatch, size: int, bands: Bands) -> tuple:
     return rows, tokens, n, node, source[who], keys, of
 
 
-def _shared_keys(texts: DataFrame, size: int, bands: Bands) -> DataFrame:
-    """Keys that at least two different sets have."""
+def _shared_keys(texts: DataFrame, size: int, bands: Bands, sets: DataFrame) -> DataFrame:
+    """Keys that at least two different sets have.
+
+    Few sets have copies. Only rows of those (and of sets that a bitmap takes for one) carry the set's hash.
+    """
+    copied = sets.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    maybe = texts.sparkSession.sparkContext.broadcast(hash_filter(copied, "node", 23))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end in text_slices(batch, "text", SLICE):
                 *_, node, who, found, _ = _indexed(batch.slice(start, end - start), size, bands)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(signed(node[who]))], names=["key", "node"])
+                several = maybe.value.has(node)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(signed(node)[who], mask=~several[who])], names=["key", "node"])
 
-    pairs = texts.mapInArrow(keys, "key long, node long")
-    held = pairs.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    return held.where("low < high").select("key")
+    rows = texts.mapInArrow(keys, "key long, node long")
+    held = rows.groupBy("key").agg(F.count_if(F.col("node").isNull()).alias("single"), F.min("node").alias("low"), F.max("node").alias("high"))
+    others = F.when(F.col("low").isNull(), 0).when(F.col("low") == F.col("high"), 1).otherwise(2)
+    return held.where(F.col("single") + others > 1).select("key")
 
 
 def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: str) -> DataFrame | None:
@@ -288,12 +295,14 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
                 columns = [pa.array(signed(node[own])), pa.array(n[own]), list_array(np.full(len(own), SKETCH_BITS // 64), sketch.view(np.int64).ravel()), *lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "keys", "tokens"])
 
-    found = cut(texts.mapInArrow(entries, "node long, n long, sketch array<long>, keys array<long>, tokens array<long>"), path=f"{work}/entries")
-    sets = cut(found.select("node", "n", "sketch", "tokens").dropDuplicates(["node"]), path=f"{work}/sets")
-    # rows of 16 bytes; sizes and sketches come to them where pairs are weighed
-    keyed = cut(found.select(F.explode("keys").alias("key"), "node").distinct(), path=f"{work}/keyed")
+    with scratch(spark, "entries") as path:
+        found = texts.mapInArrow(entries, "node long, n long, sketch array<long>, keys array<long>, tokens array<long>")
+        found = cut(found, path=path)
+        sets = cut(found.select("node", "n", "sketch", "tokens").dropDuplicates(["node"]), path=f"{work}/sets")
+        # rows of 16 bytes; sizes and sketches come to them where pairs are weighed
+        keyed = cut(found.select(F.explode("keys").alias("key"), "node").distinct(), path=f"{work}/keyed")
     tried, links = None, None
-    for turn, mode in enumerate(("star", "best", "all")):
+    for turn, mode in enumerate(("star", "tree", "all")):
         if mode == "star":
             pairs = _stars(keyed, sets, bands.percent, work)
         else:
@@ -303,17 +312,19 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = cut(pairs, path=f"{work}/pairs{turn}")
         if pairs.isEmpty():
-            if mode == "best":
+            if mode == "tree":
                 break
             continue
-        good = cut(_verified(pairs, sets, bands.percent), path=f"{work}/links{turn}")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        own = sets if mode == "star" else cut(sets.join(cut(wanted, path=f"{work}/wanted{turn}"), "node"), path=f"{work}/own{turn}")
+        good = cut(_verified(pairs, own, bands.percent), path=f"{work}/links{turn}")
         links = good if links is None else links.unionByName(good)
         tried = pairs if tried is None else tried.unionByName(pairs)
     return cut(links) if links is not None else None
 
 
 def _stars(keyed: DataFrame, sets: DataFrame, percent: int, work: str) -> DataFrame:
-    """For each set one pair: with the smallest set that is first under one of its keys and may be a partner.
+    """For each set one pair: with the nearest set that is first under one of its keys and may be a partner.
 
     In a group of similar sets nearly all have the same first one, so this connects most of what is to be connected.
     """
@@ -325,7 +336,8 @@ def _stars(keyed: DataFrame, sets: DataFrame, percent: int, work: str) -> DataFr
     apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     near = (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
-    return both.where(sizes).where(near).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    nearest = both.where(sizes).where(near).groupBy("b").agg(F.min(F.struct(apart.alias("apart"), "a")).alias("m"))
+    return nearest.select(F.least("m.a", "b").alias("a"), F.greatest("m.a", "b").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -338,7 +350,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _candidates(keyed: DataFrame, sets: DataFrame, groups: DataFrame | None, percent: int, mode: str, work: str, turn: int) -> DataFrame:
     """Pairs (a, b) of unconnected sets that share a key and may be partners by sizes and sketches.
 
-    ``best``: per set and other component the nearest; ``all``: all.
+    ``tree``: per block a tree of nearest ones, a pair less than it has components; ``all``: all.
     """
     if groups is None:
         rooted = keyed.withColumn("root", F.col("node"))
@@ -364,29 +376,44 @@ def _candidates(keyed: DataFrame, sets: DataFrame, groups: DataFrame | None, per
                 if high - low > 1:
                     out += _pairs(node[low:high], size[low:high], root[low:high], own[low:high], bits[low:high], p[low] != q[low], percent, mode)
             if out:
-                a, b = zip(*out, strict=True)
+                a, b = zip(*set(out), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return rows.mapInArrow(compare, "a long, b long").distinct()
 
 
+FAR = 1 << 30
+
+
+def _apart(i: int, node: np.ndarray, size: np.ndarray, own: np.ndarray, bits: np.ndarray, two: bool, percent: int) -> np.ndarray:
+    """Sketch distances from row i to all rows of a block, FAR where sizes, sketches or chunks rule a link out."""
+    apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1).astype(np.int64)
+    able = 100 * np.minimum(size[i], size) >= percent * np.maximum(size[i], size)
+    able &= (100 + percent) * apart <= (100 - percent) * (size + size[i])
+    if two:
+        able &= own != own[i]
+    return np.where(able, apart, FAR)
+
+
 def _pairs(node: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray, bits: np.ndarray, two: bool, percent: int, mode: str) -> list[tuple[int, int]]:
-    """Pairs of a block; of ``two`` chunks only those across them."""
-    out, (_, group) = [], np.unique(root, return_inverse=True)
-    for i in range(len(node) - 1):
-        rest = slice(i + 1, None)
-        small, large = np.minimum(size[i], size[rest]), np.maximum(size[i], size[rest])
-        able = (group[rest] != group[i]) & (100 * small >= percent * large)
-        if two:
-            able &= own[rest] != own[i]
-        at = np.flatnonzero(able) + i + 1
-        if not len(at):
-            continue
-        apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1)
-        near = (100 + percent) * apart <= (100 - percent) * (size[at] + size[i])
-        at, apart = at[near], apart[near]
-        if mode == "best" and len(at):
-            at = at[np.lexsort((apart, group[at]))]
-            at = at[group_bounds(group[at])[:-1]]
-        out += [(int(min(node[i], node[j])), int(max(node[i], node[j]))) for j in at]
-    return out
+    """Pairs of a block between components; of ``two`` chunks only those across them."""
+    pairs: list[tuple[int, int]] = []
+    if mode == "all":
+        for i in range(len(node) - 1):
+            apart = _apart(i, node, size, own, bits, two, percent)
+            pairs += [(i, int(j)) for j in np.flatnonzero((apart < FAR) & (root != root[i])) if j > i]
+    else:
+        # Prim's algorithm; rows of one component are joined at no cost
+        left = np.ones(len(node), dtype=bool)
+        cost, link = np.full(len(node), FAR), np.zeros(len(node), dtype=np.int64)
+        while left.any():
+            i = int(np.where(left, cost, FAR + 1).argmin())
+            if 0 <= cost[i] < FAR:
+                pairs.append((i, int(link[i])))
+            elif cost[i] == FAR:
+                cost[:] = FAR  # a new tree
+            left[i] = False
+            apart = np.where(root == root[i], -1, _apart(i, node, size, own, bits, two, percent))
+            nearer = left & (apart < cost)
+            cost[nearer], link[nearer] = apart[nearer], i
+    return [(int(min(node[i], node[j])), int(max(node[i], node[j]))) for i, j in pairs]

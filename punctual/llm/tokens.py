@@ -13,7 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +21,16 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from punctual.llm.kneser_ney import unique_keys
-from punctual.llm.text import byte_class, list_array, partitions_for, prefix_hash, range_hash, text_buffers, text_slices
+from punctual.llm.text import byte_class, group_bounds, list_array, partitions_for, prefix_hash, range_hash, text_buffers, text_slices
 from punctual.llm.wavelet import WaveletMatrix
 from punctual.runtime import cut
 
 END = 0
 #: Texts of a shard, in bytes of UTF-8 on the average.
 SHARD_BYTES = 16 << 20
-#: A matrix takes documents of so many bytes at a time until it has so many tokens; a shard has several, in order.
-BLOCK_BYTES, BLOCK_TOKENS = 256 << 10, 200_000
-CACHED_WORDS = 1_500_000
+#: A matrix takes the documents that begin within so many tokens; a shard has several matrices, in order.
+BLOCK_TOKENS = 200_000
+CACHED_WORDS = 2_500_000
 
 FILE = StructType(
     [
@@ -155,12 +155,13 @@ class Encoder:
         kinds = hashes[first].tolist()
         if len(self.known) > CACHED_WORDS:
             self._forget()
-        new = [k for k, h in enumerate(kinds) if h not in self.known]
-        if new:
-            raw = data.tobytes()
+        place = np.fromiter(map(self.known.get, kinds, repeat(-1)), dtype=np.int64, count=len(kinds))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            raw, n = data.tobytes(), len(self.known)
             bounds = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            self._remember([kinds[k] for k in new], [raw[a:b] for a, b in bounds])
-        place = np.array([self.known[h] for h in kinds], dtype=np.int64)
+            self._remember(hashes[first[new]].tolist(), [raw[a:b] for a, b in bounds])
+            place[new] = np.arange(n, n + len(new))
         size, start = (self.starts[place + 1] - self.starts[place])[inverse], self.starts[place][inverse]
         total = np.cumsum(size)
         at = np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)
@@ -191,25 +192,19 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
         from pyspark import TaskContext
 
         shard, encoder, block = TaskContext.get().partitionId(), encoder_of(tokenizer_path), 0
-        docs, counts, parts = [], [], []
-
-        def packed() -> pa.RecordBatch:
-            matrix = WaveletMatrix.build(np.concatenate(parts), 8 * encoder.kind.itemsize)
-            row = [[shard], [block], [pa.concat_arrays(docs)], [np.concatenate(counts)], [matrix.size], [matrix.zeros], [matrix.planes], [matrix.ranks]]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _FILE_ARROW, strict=True)], names=FILE.names)
-
         for batch in batches:
-            for start, stop in text_slices(batch, "text", BLOCK_BYTES):
+            for start, stop in text_slices(batch, "text"):
                 piece = batch.slice(start, stop - start)
                 ids, n = encoder.encode(*text_buffers(piece.column("text")))
-                docs.append(piece.column("doc_id"))
-                counts.append(n + 1)
-                parts.append(np.insert(ids, np.cumsum(n), encoder.kind.type(END)))
-                if sum(map(len, parts)) >= BLOCK_TOKENS:
-                    yield packed()
-                    docs, counts, parts, block = [], [], [], block + 1
-        if docs:
-            yield packed()
+                ids, ends = np.insert(ids, np.cumsum(n), encoder.kind.type(END)), np.cumsum(n + 1)
+                bounds = group_bounds((ends - n - 1) // BLOCK_TOKENS).tolist()
+                for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+                    own = ids[ends[low] - n[low] - 1 : ends[high - 1]]
+                    matrix = WaveletMatrix.build(own, 8 * encoder.kind.itemsize)
+                    docs = piece.column("doc_id").slice(low, high - low)
+                    row = [[shard], [block], [docs], [n[low:high] + 1], [matrix.size], [matrix.zeros], [matrix.planes], [matrix.ranks]]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _FILE_ARROW, strict=True)], names=FILE.names)
+                    block += 1
 
     ordered.select("doc_id", "text").mapInArrow(encode, FILE).write.option("compression", "zstd").parquet(path)
 
