@@ -17,21 +17,25 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from punctual.llm.text import list_array, text_slices
+from punctual.llm.kneser_ney import unique_keys
+from punctual.llm.text import list_array, mix, powers, range_hash, text_slices
 
 SPACE = "▁"
 #: Texts of more characters are cut into chunks of this many.
 CHUNK = 16_384
 #: Characters that a chunk sees of the next one; no piece is longer.
 AHEAD = 64
-CACHED_WORDS = 400_000
+CACHED_WORDS = 2_000_000
+#: Words of up to so many characters are solved in step with others of their length.
+IN_STEP = 40
 NEVER = -(1 << 60)
 UNIT = 1 << 20
 
@@ -66,7 +70,14 @@ class Pieces:
         #: No piece reaches over a space that follows something else, so there a text falls apart.
         self.words_apart = not any(SPACE in t.lstrip(SPACE) for t in self.score)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if self.words_apart else re.compile(r"(?s).+")
-        self.known: dict[str, tuple[int, bytes]] = {}
+        texts = list(self.score)
+        codes = [np.array([ord(c) + 1 for c in t], dtype=np.uint64) for t in texts]  # a zero would not show in a hash
+        up, _ = powers(AHEAD)
+        keys = np.array([int(mix(np.array([(mix(c) * up[: len(c)]).sum(dtype=np.uint64)]))[0]) for c in codes], dtype=np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.key_ids = keys[order], np.array([self.id[t] for t in texts], dtype=np.int32)[order]
+        self.key_scores = np.array([self.score[t] for t in texts], dtype=np.int64)[order]
+        self.forget()
 
     def cost(self, piece: str) -> int | None:
         """The score of a piece, or None; a character without one costs its bytes."""
@@ -114,36 +125,148 @@ class Pieces:
         best = self.forward(text)
         return best[-1], self.back(text, best, 0, len(text))
 
-    def word(self, text: str) -> tuple[int, bytes]:
-        got = self.known.get(text)
-        if got is None:
-            if len(self.known) > CACHED_WORDS:
-                self.known.clear()
-            score, pieces = self.path(text)
-            got = score, self.ids(pieces)
-            if len(text) < 100:
-                self.known[text] = got
-        return got
+    # ---- many words at once ----
+
+    def forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.flat, self.starts, self.used = np.zeros(1 << 16, dtype="<i4"), np.zeros(1 << 16, dtype=np.int64), 0
+        self.scores = np.zeros(1 << 16, dtype=np.int64)
+
+    def _remember(self, hashes: list[int], words: list[np.ndarray], scores: np.ndarray) -> None:
+        n, sizes = len(self.known), np.array([len(w) for w in words], dtype=np.int64)
+        ends = self.used + np.cumsum(sizes)
+        while n + len(words) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        while ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.starts[n + 1 : n + 1 + len(words)] = ends
+        self.scores[n : n + len(words)] = scores
+        self.flat[self.used : ends[-1]] = np.concatenate(words)
+        self.used = int(ends[-1])
+        self.known.update(zip(hashes, range(n, n + len(words)), strict=True))
+
+    def _solve(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids and score of the best path of every word (a range of codes); words of one length go in step."""
+        ids: list = [None] * len(starts)
+        scores, lengths = np.zeros(len(starts), dtype=np.int64), ends - starts
+        for n in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == n)
+            if n > IN_STEP:
+                for k in rows.tolist():
+                    word = codes[starts[k] : ends[k]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+                    scores[k], pieces_of = self.path(word)
+                    ids[k] = np.frombuffer(self.ids(pieces_of), dtype="<i4")
+                continue
+            place = starts[rows][:, None] + np.arange(n)
+            scores[rows], back, piece = self._in_step(codes[place], n)
+            at, all_rows = np.full(len(rows), n), np.arange(len(rows))
+            found = []
+            while True:
+                live = np.flatnonzero(at > 0)
+                if not len(live):
+                    break
+                step = back[at[live], live]
+                found.append((live, at[live] - step, piece[at[live], live]))
+                at[live] -= step
+            row, start, of = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((start, row))
+            row, start, of = row[order], start[order], of[order]
+            spelled = np.flatnonzero(of < 0)
+            count = np.ones(len(of), dtype=np.int64)
+            chars = codes[starts[rows][row[spelled]] + start[spelled]]
+            bytes_of = {c: [self.byte[x] for x in (SPACE if chr(c) == MARK else chr(c)).encode()] for c in np.unique(chars).tolist()}
+            count[spelled] = [len(bytes_of[c]) for c in chars.tolist()]
+            flat = np.repeat(of, count)
+            if len(spelled):
+                first = np.cumsum(count) - count
+                flat[np.repeat(first[spelled] - (np.cumsum(count[spelled]) - count[spelled]), count[spelled]) + np.arange(count[spelled].sum())] = [b for c in chars.tolist() for b in bytes_of[c]]
+            cuts = np.cumsum(np.bincount(row, weights=count, minlength=len(rows)).astype(np.int64))[:-1]
+            for k, own in zip(rows[all_rows].tolist(), np.split(flat, cuts), strict=True):
+                ids[k] = own
+        return ids, scores
+
+    def _in_step(self, codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best scores of words of n codes; per end and word the length and the id (-1: bytes) of the last piece."""
+        up, down = powers(IN_STEP + 1)
+        prefix = np.zeros((n + 1, len(codes)), dtype=np.uint64)
+        np.cumsum(mix(codes.T.astype(np.uint64) + np.uint64(1)) * up[:n, None], axis=0, out=prefix[1:])
+        wide = codes.T
+        n_bytes = 1 + (wide >= 0x80).astype(np.int64) + (wide >= 0x800) + (wide >= 0x10000)
+        best = np.full((n + 1, len(codes)), NEVER, dtype=np.int64)
+        best[0] = 0
+        back, piece = np.zeros((n + 1, len(codes)), dtype=np.int64), np.full((n + 1, len(codes)), -1, dtype=np.int32)
+        for end in range(1, n + 1):
+            for size in range(min(self.longest, end), 0, -1):
+                begin = end - size
+                wanted = mix((prefix[end] - prefix[begin]) * down[begin])
+                at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+                known = self.keys[at] == wanted
+                value = np.where(known, self.key_scores[at], self.by_bytes * n_bytes[begin] if size == 1 else NEVER)
+                total = np.maximum(best[begin] + value, NEVER)
+                better = total > best[end]
+                best[end][better] = total[better]
+                back[end][better] = size
+                piece[end][better] = np.where(known, self.key_ids[at], -1)[better]
+        return best[n], back, piece
+
+    def encode_all(self, marked_texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts (already ``marked``, or parts that begin where no piece crosses) in a row; number and score per text."""
+        lengths = np.array([len(t) for t in marked_texts], dtype=np.int64)
+        codes = np.frombuffer("".join(marked_texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        first = np.zeros(len(codes), dtype=bool)
+        if self.words_apart and len(codes):
+            space = codes == ord(SPACE)
+            first[1:] = space[1:] & ~space[:-1]
+        first[offsets[:-1][lengths > 0]] = True
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], len(codes))
+        up, _ = powers(len(codes))
+        prefix = np.zeros(len(codes) + 1, dtype=np.uint64)
+        np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up, out=prefix[1:])
+        hashes = range_hash(prefix, starts, ends) + (ends - starts).astype(np.uint64)
+        inverse, kinds = unique_keys(hashes)
+        if len(self.known) > CACHED_WORDS or self.used > 8 * CACHED_WORDS:
+            self.forget()
+        place = np.fromiter(map(self.known.get, hashes[kinds].tolist(), repeat(-1)), dtype=np.int64, count=len(kinds))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            n = len(self.known)
+            self._remember(hashes[kinds[new]].tolist(), *self._solve(codes, starts[kinds[new]], ends[kinds[new]]))
+            place[new] = np.arange(n, n + len(new))
+        place = place[inverse]
+        size, start = self.starts[place + 1] - self.starts[place], self.starts[place]
+        total = np.cumsum(size)
+        at = np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)
+        row = np.searchsorted(offsets, starts, side="right") - 1
+        count = np.bincount(row, weights=size, minlength=len(lengths)).astype(np.int64)
+        scores = np.zeros(len(lengths), dtype=np.int64)
+        np.add.at(scores, row, self.scores[place])
+        return self.flat[at], count, scores
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers; none for null or empty."""
-        if not text:
-            return b""
-        known, word = self.known, self.word
-        return b"".join([(known.get(w) or word(w))[1] for w in self.words.findall(marked(text))])
-
-    def decode(self, ids: list[int]) -> str | None:
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.value:
-                raw.append(self.value[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "surrogatepass"))
-                raw.clear()
-            out.append(self.text[i].replace(SPACE, " "))
-        out.append(raw.decode("utf-8", "surrogatepass"))
-        return "".join(out)[1:]
+        return self.encode_all([marked(text)])[0].tobytes() if text else b""
+
+    def decode_all(self, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The texts that lists of ids spell, without the space that encoding puts in front."""
+        if not hasattr(self, "spelling"):
+            raw = [bytes([self.value[i]]) if i in self.value else t.replace(SPACE, " ").encode() for i, t in enumerate(self.text)]
+            self.spelling = np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        letters, starts = self.spelling
+        size = starts[flat + 1] - starts[flat]
+        total = np.cumsum(size)
+        data = letters[np.repeat(starts[flat] - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
+        ends = np.concatenate([[0], total])[np.cumsum(counts)]
+        begins = np.concatenate([[0], ends[:-1]])
+        keep = np.ones(len(data), dtype=bool)
+        keep[begins[ends > begins]] = False
+        left = np.concatenate([[0], np.cumsum(ends - begins - (ends > begins))])
+        return pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(data[keep].tobytes()))
+
+    def decode(self, ids: list[int]) -> str:
+        return self.decode_all(np.array(ids, dtype=np.int64), np.array([len(ids)]))[0].as_py()
 
     # ---- chunks ----
 
@@ -171,7 +294,7 @@ class Pieces:
             if best[-1] > NEVER:
                 scores[s] = best[-1]
                 heads[s] = self.back(head, best, s, first)
-        middle = [self.word(w) for w in self.words.findall(text[first:final])] if final > first else []
+        body, _, middle = self.encode_all([text[first:final]])
         tails, ends = {}, np.full(states, NEVER, dtype=np.int64)
         rest = text[final:]
         best = self.forward(rest[: n - final])
@@ -179,9 +302,9 @@ class Pieces:
             ends[e] = score
             pieces = self.back(rest, best, 0, begin) + ([rest[begin : n - final + e]] if n - final + e > begin else [])
             tails[e] = pieces
-        total = scores[:, None] + ends[None, :] + sum(w[0] for w in middle)
+        total = scores[:, None] + ends[None, :] + middle[0]
         matrix = np.where((scores[:, None] > NEVER) & (ends[None, :] > NEVER), total, NEVER)
-        return {"matrix": matrix, "heads": heads, "body": b"".join(w[1] for w in middle), "tails": tails, "text": None}
+        return {"matrix": matrix, "heads": heads, "body": body.tobytes(), "tails": tails, "text": None}
 
     def exits(self, text: str, best: list[int], n: int, last: bool) -> dict[int, tuple[int, int]]:
         """State after the chunk: its best score and where the last piece begins (n for state 0)."""
@@ -264,8 +387,8 @@ def encode(df: DataFrame, model_path: str, text: str = "text", chunk: int = CHUN
             for start, end in text_slices(batch, "_text"):
                 part = batch.slice(start, end - start)
                 texts = part.column("_text").to_pylist()
-                ids = [model.encode(t) for t in texts]
-                flat = list_array([len(x) // 4 for x in ids], np.frombuffer(b"".join(ids), dtype="<i4"))
+                flat, counts, _ = model.encode_all([marked(t) if t else "" for t in texts])
+                flat = list_array(counts, flat)
                 yield pa.RecordBatch.from_arrays([part.column("_row"), part.column("_text"), flat, pa.array([int(bool(t)) for t in texts], pa.int32())], names=["_row", "_text", "ids", "n_chunks"])
 
     row_kind = StructField("_row", rows.schema["_row"].dataType, True)  # only the first chunk carries it
@@ -343,9 +466,18 @@ def encode(df: DataFrame, model_path: str, text: str = "text", chunk: int = CHUN
 def decode(df: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text that ``ids`` spell in the column ``out``; null ids give null, none the empty text."""
 
-    def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    names = [c for c in df.columns if c != out]
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
         for batch in batches:
-            yield batch.map(lambda x: None if x is None else model.decode(x.tolist()))
-
-    return df.withColumn(out, F.pandas_udf(texts, StringType())(F.col(ids)))
+            for k in range(0, len(batch), 500):
+                part = batch.slice(k, 500)
+                lists = part.column(ids)
+                counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy().astype(np.int64)
+                spelled = model.decode_all(lists.flatten().to_numpy().astype(np.int64), counts).cast(pa.string())
+                spelled = pa.compute.if_else(lists.is_valid(), spelled, pa.scalar(None, pa.string()))
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), spelled], names=[*names, out])
+
+    kept = df.select(*(F.col(f"`{c}`") for c in names))
+    return kept.mapInArrow(texts, StructType([*kept.schema.fields, StructField(out, StringType())]))
