@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from punctual.llm.components import components
 from punctual.llm.text import (
     NOT_SPACE, HashFilter, distinct_per_row, group_bounds, hash_filter, list_array, mix, partitions_for, per_row,
-    shingles, signed, text_buffers, text_slices, unsigned, whole_groups, words,
+    shingles, signed, text_buffers, text_slices, whole_groups, words,
 )
 from punctual.runtime import cut, kept_dir, scratch
 

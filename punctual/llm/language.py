@@ -19,7 +19,7 @@ def identify(
     order: int = ORDER,
     sharpness: float = 20.0,
     reject_quantile: float = 0.999,
-    reject_margin: float = 1.25,
+    reject_margin: float = 1.75,
     part_entries: int = PART_ENTRIES,
 ) -> DataFrame:
     """``df`` with lang_pred, score, cross_entropy and rejected; learned from text and lang of the rows ``learn`` alone.

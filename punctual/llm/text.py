@@ -71,7 +71,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd number and of its inverse modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
+    if "up" not in _powers or len(_powers["up"]) < n:
         size = max(n, SLICE_BYTES + 1)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
             table = np.full(size, base, dtype=np.uint64)

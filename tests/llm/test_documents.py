@@ -312,3 +312,17 @@ def test_licence_places(spark):
     labels = {r.doc_id: r.labels for r in got}
     assert (labels[9], labels[10], labels[12], labels[7], labels[105]) == ("cc-by-nc", "", "isc", "apache", "")
     assert licenses.scan(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_a_task_may_begin_with_nothing():
+    """The tables behind the hashes exist from the first call on, whatever its size."""
+    from punctual.llm import text
+
+    kept = dict(text._powers)
+    try:
+        text._powers.clear()
+        assert [len(x) for x in text.words(np.zeros(3, dtype=np.int64), np.zeros(0, dtype=np.uint8), text.ALNUM)] == [0, 0]
+        text._powers.clear()
+        assert len(text.powers(5)[0]) == 5
+    finally:
+        text._powers.update(kept)
