@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from punctual.llm.components import components
 from punctual.llm.text import (
@@ -31,6 +31,8 @@ from punctual.runtime import cut, kept_dir, scratch
 
 SLICE = 1 << 20
 SKETCH_BITS = 1024
+#: Larger sketches of large sets, by the least size that gets one: their distances still tell large sets apart.
+LARGER = {"mid": (800, 1 << 14), "wide": (6400, 1 << 16)}
 #: Rows of one segment's tokens that are compared in one block; more are compared chunk by chunk.
 BLOCK = 2048
 #: One in so many tokens takes part in the statistics of shared tokens.
@@ -112,15 +114,29 @@ class Bands:
         return np.concatenate([of_slot[kept], rows[loose]]), np.concatenate([keys[kept], left_out])
 
 
-def sketches(rows: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
-    """Per row the parity of the number of its tokens in each of SKETCH_BITS cells, packed."""
-    cell = (mix(tokens + np.uint64(991)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    odd = np.zeros((n, SKETCH_BITS), dtype=bool)
-    for start in range(0, n, 4096):
-        own = (rows >= start) & (rows < start + 4096)
-        counts = np.bincount((rows[own] - start) * SKETCH_BITS + cell[own], minlength=min(4096, n - start) * SKETCH_BITS)
-        odd[start : start + 4096] = (counts & 1).reshape(-1, SKETCH_BITS)
-    return np.packbits(odd, axis=1)
+def sketches(rows: np.ndarray, tokens: np.ndarray, n: int, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Per row the parity of the number of its tokens in each of ``bits`` cells, packed into longs."""
+    cell = (mix(tokens + np.uint64(991)) % np.uint64(bits)).astype(np.int64)
+    odd, step = np.zeros((n, bits // 64), dtype=np.int64), max(1, (1 << 21) // bits)
+    for start in range(0, n, step):
+        own = (rows >= start) & (rows < start + step)
+        counts = np.bincount((rows[own] - start) * bits + cell[own], minlength=min(step, n - start) * bits)
+        odd[start : start + step] = np.packbits((counts & 1).astype(bool).reshape(-1, bits), axis=1).view(np.int64)
+    return odd
+
+
+def larger_sketches(rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    """The sketches of LARGER for the rows whose sets are large enough, null for the others."""
+    out = []
+    for least, bits in LARGER.values():
+        large = np.flatnonzero(sizes >= least)
+        own = np.isin(rows, large)
+        made = sketches(np.searchsorted(large, rows[own]), tokens[own], len(large), bits)
+        place = np.full(len(sizes), -1)
+        place[large] = np.arange(len(large))
+        lists = list_array(np.full(len(large), bits // 64), made.ravel())
+        out.append(lists.take(pa.array(place, pa.int64(), mask=place < 0)))
+    return out
 
 
 def token_sets(part: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -292,13 +308,14 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
                 wanted = np.isin(rows, own)
                 lists = [list_array(np.bincount(place, minlength=len(own)), signed(keys)), list_array(per_row(np.searchsorted(own, rows[wanted]), len(own)), signed(tokens[wanted]))]
                 sketch = sketches(np.searchsorted(own, rows[wanted]), tokens[wanted], len(own))
-                columns = [pa.array(signed(node[own])), pa.array(n[own]), list_array(np.full(len(own), SKETCH_BITS // 64), sketch.view(np.int64).ravel()), *lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "keys", "tokens"])
+                columns = [pa.array(signed(node[own])), pa.array(n[own]), list_array(np.full(len(own), SKETCH_BITS // 64), sketch.ravel()), *lists]
+                columns += larger_sketches(np.searchsorted(own, rows[wanted]), tokens[wanted], n[own])
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "keys", "tokens", *LARGER])
 
     with scratch(spark, "entries") as path:
-        found = texts.mapInArrow(entries, "node long, n long, sketch array<long>, keys array<long>, tokens array<long>")
+        found = texts.mapInArrow(entries, "node long, n long, sketch array<long>, keys array<long>, tokens array<long>, mid array<long>, wide array<long>")
         found = cut(found, path=path)
-        sets = cut(found.select("node", "n", "sketch", "tokens").dropDuplicates(["node"]), path=f"{work}/sets")
+        sets = cut(found.drop("keys").dropDuplicates(["node"]), path=f"{work}/sets")
         # rows of 16 bytes; sizes and sketches come to them where pairs are weighed
         keyed = cut(found.select(F.explode("keys").alias("key"), "node").distinct(), path=f"{work}/keyed")
     tried, links = None, None
@@ -310,7 +327,7 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
             pairs = _candidates(keyed, sets, groups, bands.percent, mode, work, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, path=f"{work}/pairs{turn}")
+        pairs = cut(_plausible(pairs, sets, bands.percent), path=f"{work}/pairs{turn}")
         if pairs.isEmpty():
             if mode == "tree":
                 break
@@ -333,13 +350,29 @@ def _stars(keyed: DataFrame, sets: DataFrame, percent: int, work: str) -> DataFr
     a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     both = cut(pairs, path=f"{work}/star_pairs").join(a, "a").join(b, "b")
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    apart = _distance("sa", "sb")
     sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     near = (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
     nearest = both.where(sizes).where(near).groupBy("b").agg(F.min(F.struct(apart.alias("apart"), "a")).alias("m"))
     return nearest.select(F.least("m.a", "b").alias("a"), F.greatest("m.a", "b").alias("b")).distinct()
 
 
+def _distance(a: str, b: str) -> Column:
+    """Cells in which two sketches differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+
+
+def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Without the pairs of large sets that their larger sketches show to differ too much."""
+    large = sets.where(F.col("mid").isNotNull())
+    a, b = (large.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", *LARGER))) for x in "ab")
+    both = pairs.join(a, "a", "left").join(b, "b", "left")
+    apart = F.greatest(*(F.coalesce(_distance(f"{c}_a", f"{c}_b"), F.lit(0)) for c in LARGER))
+    # null where a set has no larger sketch
+    far = (100 + percent) * apart > (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    return both.where(~F.coalesce(far, F.lit(False))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
