@@ -73,6 +73,17 @@ def test_jaccard_join_compares_large_groups_by_chunks(spark, monkeypatch):
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 3, 90)
 
 
+def test_larger_sketches_lose_no_partner(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LARGER", {"mid": (80, 1 << 10), "wide": (400, 1 << 12)})
+    rows = []
+    for n in (60, 100, 390, 420, 900):
+        base = sentence(n)
+        rows += [base, *(edited(base, k) for k in (n // 60, n // 40, n // 25, n // 15)), sentence(n)]
+    rows = list(enumerate(rows))
+    got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 3, 80).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 3, 80)
+
+
 def test_jaccard_join_without_ids_or_rows(spark):
     rows = [(None, "a b c d"), (7, "a b c d"), (None, "solo text here now"), (7, "a b c d"), (9, None)]
     got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 2, 80).collect()
