@@ -33,7 +33,7 @@ SPACE = "▁"
 CHUNK = 16_384
 #: Characters that a chunk sees of the next one; no piece is longer.
 AHEAD = 64
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 1_000_000
 #: Words of up to so many characters are solved in step with others of their length.
 IN_STEP = 40
 NEVER = -(1 << 60)
@@ -270,7 +270,20 @@ class Pieces:
 
     # ---- chunks ----
 
-    def summary(self, text: str, n: int, last: bool) -> dict:
+    def middle(self, text: str, n: int) -> tuple[int, int] | None:
+        """The first and the last place of a chunk that no piece crosses."""
+        apart = [m.start() for m in self.words.finditer(text[:n]) if m.start()] if self.words_apart else []
+        return (apart[0], apart[-1]) if apart else None
+
+    def summaries(self, chunks: list[tuple[str, int, bool]]) -> list[dict]:
+        """``summary`` of several chunks (text, n, last), the words between their cuts solved together."""
+        cuts = [self.middle(text, n) for text, n, _ in chunks]
+        flat, counts, scores = self.encode_all([t[c[0] : c[1]] if c else "" for (t, _, _), c in zip(chunks, cuts, strict=True)])
+        ends = np.cumsum(counts)
+        bodies = [(flat[e - c : e].tobytes(), int(x)) for e, c, x in zip(ends.tolist(), counts.tolist(), scores, strict=True)]
+        return [self.summary(*c, cut, body) for c, cut, body in zip(chunks, cuts, bodies, strict=True)]
+
+    def summary(self, text: str, n: int, last: bool, cut: tuple[int, int] | None, body: tuple[bytes, int]) -> dict:
         """What a chunk says about itself: text[:n] is the chunk, the rest what a piece across its end can reach.
 
         ``matrix``: best scores from state s to state e. If the chunk holds a place that no piece crosses: ``heads``
@@ -279,14 +292,13 @@ class Pieces:
         """
         states = self.longest
         matrix = np.full((states, states), NEVER, dtype=np.int64)
-        apart = [m.start() for m in self.words.finditer(text[:n]) if m.start()] if self.words_apart else []
-        if not apart:
+        if cut is None:
             for s in range(min(states, n + 1)):
                 best = self.forward(text[:n], s)
                 for e, (score, _) in self.exits(text, best, n, last).items():
                     matrix[s, e] = score
             return {"matrix": matrix, "heads": {}, "body": b"", "tails": {}, "text": text}
-        first, final = apart[0], apart[-1]
+        first, final = cut
         head, heads = text[:first], {}
         scores = np.full(states, NEVER, dtype=np.int64)
         for s in range(min(states, first + 1)):
@@ -294,7 +306,6 @@ class Pieces:
             if best[-1] > NEVER:
                 scores[s] = best[-1]
                 heads[s] = self.back(head, best, s, first)
-        body, _, middle = self.encode_all([text[first:final]])
         tails, ends = {}, np.full(states, NEVER, dtype=np.int64)
         rest = text[final:]
         best = self.forward(rest[: n - final])
@@ -302,9 +313,9 @@ class Pieces:
             ends[e] = score
             pieces = self.back(rest, best, 0, begin) + ([rest[begin : n - final + e]] if n - final + e > begin else [])
             tails[e] = pieces
-        total = scores[:, None] + ends[None, :] + middle[0]
+        total = scores[:, None] + ends[None, :] + body[1]
         matrix = np.where((scores[:, None] > NEVER) & (ends[None, :] > NEVER), total, NEVER)
-        return {"matrix": matrix, "heads": heads, "body": body.tobytes(), "tails": tails, "text": None}
+        return {"matrix": matrix, "heads": heads, "body": body[0], "tails": tails, "text": None}
 
     def exits(self, text: str, best: list[int], n: int, last: bool) -> dict[int, tuple[int, int]]:
         """State after the chunk: its best score and where the last piece begins (n for state 0)."""
@@ -424,11 +435,11 @@ def encode(df: DataFrame, model_path: str, text: str = "text", chunk: int = CHUN
         for batch in batches:
             for start, end in text_slices(batch, "here"):
                 part = batch.slice(start, end - start)
-                out = []
+                pieces_of, out = [], []
                 for number, last, here, following in zip(*(part.column(c).to_pylist() for c in ("chunk", "last", "here", "next")), strict=True):
-                    text = marked(here + following)[0 if number == 0 else 1 :]
-                    got = model.summary(text, len(here) + (number == 0), last)
-                    said = json.dumps({"n": len(here) + (number == 0), "last": last, **{c: got[c] for c in ("heads", "tails", "text")}})
+                    pieces_of.append((marked(here + following)[0 if number == 0 else 1 :], len(here) + (number == 0), last))
+                for (_, n, last), got in zip(pieces_of, model.summaries(pieces_of), strict=True):
+                    said = json.dumps({"n": n, "last": last, **{c: got[c] for c in ("heads", "tails", "text")}})
                     out.append((got["matrix"].tobytes(), got["body"], said))
                 columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.string()), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("_key", "chunk", "here", "_row")), *columns], names=told.names)
