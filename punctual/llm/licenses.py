@@ -1,8 +1,8 @@
 """Licence scans: a positional index of rare words, relative positions, and phrases that must be there.
 
 The index holds, for each template, the words that the fewest documents contain (by document frequency over all
-texts). A text is looked up by its own rarest licence words; a template is a candidate if both of its rarest words are
-among them. Their places must imply the same start of the template; at that start the template's key phrase must stand
+texts). A text is looked up by all its licence words; a template is a candidate if both of its rarest words are among
+them, so a text with several notices gets the labels of all. Their places must imply the same start of the template; at that start the template's key phrase must stand
 word for word, and the weight (IDF) of the words that are in place is the score.
 """
 
@@ -31,7 +31,7 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee is hereby granted"),
 ]
 
-#: Licence words of a text that are looked up, rarest first.
+#: Licence words of a text, rarest first, to which the SQL in oracle.py is limited; ``scan`` looks up all.
 LOOKED_UP = 16
 #: Least share of a template's weight that must be in place.
 LEAST = 0.6
@@ -107,7 +107,6 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     vocabulary = sorted({w for _, t, _ in split for w in t})
     rows, frequency = document_frequencies(plain.select(words_of(F.col(f"`{text}`")).alias("_words")), vocabulary)
     weight = {w: round(math.log((rows + 1) / (frequency.get(w, 0) + 1)), 9) for w in vocabulary}
-    by_weight = sorted(vocabulary, key=lambda w: (-weight[w], w))
 
     out = plain.withColumn("_words", words_of(F.col(f"`{text}`")))
     words = F.col("_words")
@@ -115,12 +114,12 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumns({f"_at{i}": c for i, c in enumerate(found.values())})
     at = [F.col(f"_at{i}") for i in range(len(found))]
     out = out.withColumn("_places", F.concat(*at))
-    out = out.withColumn("_rare", F.slice(F.array_intersect(_literal(by_weight), "_words"), 1, LOOKED_UP))
+    out = out.withColumn("_held", F.array_intersect(_literal(vocabulary), "_words"))
 
     matches = []
     for label, template, key in split:
         rarest = sorted(set(template), key=lambda w: (-weight[w], w))[:2]
-        candidate = F.array_contains("_rare", rarest[0]) & F.array_contains("_rare", rarest[1])
+        candidate = F.array_contains("_held", rarest[0]) & F.array_contains("_held", rarest[1])
         starts = [_implied_starts(words, w, template.index(w)) for w in rarest]
         best = F.array_max(F.transform(_with_key(words, F.array_intersect(*starts), template, key), _share(words, template, weight)))
         matches.append(F.struct(F.lit(label).alias("label"), F.when(candidate, F.coalesce(best, F.lit(0.0))).otherwise(0.0).alias("share")))

@@ -325,6 +325,17 @@ def test_licence_places(spark):
     assert licenses.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_all_licences_of_one_text(spark):
+    """A text may hold all 72 licence words: every notice in it counts, however common its words are."""
+    notices = [t for _, t, _ in licenses.TEMPLATES]
+    common = sorted({w for t in notices for w in t.split(" ")})
+    rows = [(0, ". ".join(notices)), (1, "x ".join(f"{t}. " for t in reversed(notices)))]
+    rows += [(10 + i, " ".join(common[: 7 * i % 73])) for i in range(60)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, rows)).collect()}
+    every = ",".join(sorted({label for label, _, _ in licenses.TEMPLATES}))
+    assert (got[0].labels, got[1].labels, got[0].score, got[1].score) == (every, every, 1.0, 1.0)
+
+
 def test_a_task_may_begin_with_nothing():
     """The tables behind the hashes exist from the first call on, whatever its size."""
     from punctual.llm import text
