@@ -206,3 +206,35 @@ def test_stages_take_odd_rows(spark):
         kept[name] = stage(spark, docs, SF).count()
     assert kept["encoded"] == kept["benchmark_free"] == len(odd) and kept["near_duplicates"] == len(odd)
     assert kept["repeated_passages"] == len(odd) - 2
+
+
+def test_stages_judge_rows_without_ids_and_repeated_ids_one_by_one(spark, tmp_path):
+    random.seed(9)
+    one, two, three, four, five, item = (" ".join(random.choice("bcdfgklm") + random.choice("aeiou") + random.choice("lmnrst") for _ in range(90)) for _ in range(6))
+    rows = [(None, one), (None, one), (None, one + " end"), (7, two), (None, two), (5, three), (5, four), (4, three), (9, five), (9, five), (9, five + " end")]
+    rows += [(6, "clean words"), (6, "x " + item), (None, "y z " + item[:-4] + " odd"), (None, None), (None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema).repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name, df):
+        path = kept_dir(spark, "stage")
+        stages[name](spark, df, str(tmp_path)).write.parquet(path)
+        out = spark.read.parquet(path)
+        assert out.columns == docs.columns
+        return out, Counter((r.doc_id, r.text) for r in out.collect())
+
+    assert after("benchmark_free", docs)[1] == Counter(r for r in rows if item[:60] not in (r[1] or ""))
+    clean = docs.where(~F.coalesce(F.col("text").contains(item[:60]), F.lit(False)))
+    left, got = after("near_duplicates", clean)
+    lone = [r for r in got if r[0] is None and r[1]]
+    assert len(lone) == 1 and got[lone[0]] == 1 and lone[0][1] in (one, one + " end")
+    of_nine = {t for i, t in got if i == 9}
+    assert len(of_nine) == 1 and of_nine <= {five, five + " end"}
+    assert {r for r in got if r[0] in (4, 5, 6, 7)} == {(4, three), (5, four), (6, "clean words"), (7, two)}
+    assert got[None, None] == 2
+    left, got = after("repeated_passages", left)
+    assert got == Counter([lone[0], (4, three), (5, four), (6, "clean words"), (7, two), (9, of_nine.pop()), (None, ""), (None, "")])
+    twice = spark.createDataFrame([(1, one, "en", "s", 1), (1, one, "en", "s", 1)], schema)
+    assert after("repeated_passages", twice)[1] == Counter([(1, one)])
