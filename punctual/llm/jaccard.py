@@ -324,13 +324,13 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
             pairs = _stars(keyed, sets, bands.percent, work)
         else:
             groups = components(links) if links is not None else None
-            pairs = _candidates(keyed, sets, groups, bands.percent, mode, work, turn)
+            pairs = cut(_candidates(keyed, sets, groups, bands.percent, mode, work, turn), path=f"{work}/near{turn}")
+            if pairs.isEmpty():
+                break  # no block holds unconnected sets that may be partners
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = cut(_plausible(pairs, sets, bands.percent), path=f"{work}/pairs{turn}")
         if pairs.isEmpty():
-            if mode == "tree":
-                break
             continue
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         own = sets if mode == "star" else cut(sets.join(cut(wanted, path=f"{work}/wanted{turn}"), "node"), path=f"{work}/own{turn}")

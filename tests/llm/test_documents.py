@@ -84,6 +84,23 @@ def test_larger_sketches_lose_no_partner(spark, monkeypatch):
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 3, 80)
 
 
+def test_partners_behind_pairs_that_were_tried(spark, monkeypatch):
+    """Trees that hold nothing but pairs already found wanting do not end the search."""
+    one, two = sentence(80), sentence(150)
+    rows = list(enumerate([one, edited(one, 1), two, edited(two, 1)]))
+    candidates = jaccard._candidates
+
+    def wrong(sets):
+        a, b = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
+        return a.join(b, (F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) > 20)).select("a", "b")
+
+    monkeypatch.setattr(jaccard, "_stars", lambda keyed, sets, *_: wrong(sets))
+    monkeypatch.setattr(jaccard, "_candidates", lambda keyed, sets, groups, percent, mode, *x: wrong(sets) if mode == "tree" else candidates(keyed, sets, groups, percent, mode, *x))
+    got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 3, 80).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 3, 80)
+    assert len({r.component_id for r in got}) == 2
+
+
 def test_jaccard_join_without_ids_or_rows(spark):
     rows = [(None, "a b c d"), (7, "a b c d"), (None, "solo text here now"), (7, "a b c d"), (9, None)]
     got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 2, 80).collect()
