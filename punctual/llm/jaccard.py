@@ -55,7 +55,8 @@ class Bands:
             top = low
             while top < 1000 and self.difference(2 * top + 2) == 0:
                 top += 1
-            self.tops.append(max(top, int(low * 1.41)))
+            # two bands must reach as far as a partner's size
+            self.tops.append(max(top, int(low * 1.41), low * 100 // self.percent))
         self.low = np.array([t + 1 for t in self.tops[:-1]], dtype=np.int64)
         self.top = np.array(self.tops[1:], dtype=np.int64)
 

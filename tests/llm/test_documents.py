@@ -101,6 +101,21 @@ def test_partners_behind_pairs_that_were_tried(spark, monkeypatch):
     assert len({r.component_id for r in got}) == 2
 
 
+@pytest.mark.parametrize("percent", [20, 50, 60, 70, 71, 80, 90])
+def test_partners_of_any_size_share_a_band(percent):
+    bands, sizes = jaccard.Bands(percent), np.arange(1, 2000)
+    own, up = bands.of(sizes), bands.reaches_next(sizes)
+    largest = np.minimum(sizes * 100 // percent, len(sizes))
+    assert ((own[largest - 1] == own) | (up & (own[largest - 1] == own + 1))).all()
+
+
+def test_partners_of_different_size(spark):
+    text = [f"w{k}" for k in range(24)]
+    rows = [(1, " ".join(text[:12])), (2, " ".join(text[:23])), (3, " ".join(text))]  # sets of 11, 22 and 23
+    got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 2, 50).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 2, 50) == {1: (11, 1), 2: (22, 1), 3: (23, 1)}
+
+
 def test_jaccard_join_without_ids_or_rows(spark):
     rows = [(None, "a b c d"), (7, "a b c d"), (None, "solo text here now"), (7, "a b c d"), (9, None)]
     got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 2, 80).collect()
