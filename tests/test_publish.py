@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import CANCELLED, LATE
+from flights import CANCELLED, LATE
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import CANCELLED, LATE
+from flights import CANCELLED, LATE
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from punctual.functions import dep_hour
