@@ -1,4 +1,4 @@
-"""DuckDB SQL of the queries that SQL can state: op1, op4, op7 and op8."""
+"""DuckDB SQL of the queries that SQL can state: op1, op4, op7, op8 and op12."""
 
 from __future__ import annotations
 
@@ -103,9 +103,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 FROM d LEFT JOIN base_of USING (doc_id) LEFT JOIN labelled USING (doc_id) LEFT JOIN base_labels USING (doc_id) LEFT JOIN top USING (doc_id)"""
 
 
+OP12 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5"""
+
 ORACLE: dict[str, str] = {
     "op1_embedding_dedup": OP1,
     "op4_jaccard_join": OP4,
     "op7_decontaminate": OP7,
     "op8_licenses": _licences(),
+    "op12_topk": OP12,
 }

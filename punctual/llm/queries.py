@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctual.llm import decontaminate, embeddings, jaccard, language, licenses, sentencepiece, sharding, suffix, tokens, toxicity
+from punctual.llm import alignment, decontaminate, embeddings, jaccard, language, licenses, runs, sentencepiece, sharding, suffix, tokens, topk, toxicity
 from punctual.llm.oracle import ORACLE
 from punctual.llm.text import crc_mod_4, likely_rows
 from punctual.runtime import kept_dir, visible_to_workers
@@ -84,6 +84,43 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """``text`` made periodic from some word on, as op11's contract says: for every tenth id by its crc32."""
+    h, words = F.crc32(F.col("doc_id").cast("string")), F.expr(r"filter(split(text, '[ \\x09-\\x0D]+'), x -> x <> '')")
+    docs = docs.withColumns({"h": h, "w": F.when(h % 10 == 0, words)}).withColumns({"g": F.floor(F.col("h") / 10), "n": F.size("w")})
+    first = F.expr("int(g % n)")
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, first)).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    periodic = F.expr("array_join(transform(w, (x, i) -> IF(i < a, x, element_at(w, int(a + (i - a) % p + 1)))), ' ')")
+    return docs.select("doc_id", F.when(F.col("n") > 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(planted(table(spark, sf_dir, "documents")))
+    every = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start", "strongest.length", "strongest.period",
+        F.floor(1000 * F.col("strongest.length") / F.col("strongest.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(every, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = rows.where(finite).withColumn("embedding", F.transform("embedding", lambda x: F.floor(256 * x)))
+    found = topk.top_k(whole, F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_sharding": op2_sharding,
@@ -95,4 +132,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_tokens": op9_tokens,
     "op10_language": op10_language,
+    "op11_runs": op11_runs,
+    "op12_topk": op12_topk,
+    "op13_alignment": op13_alignment,
 }

@@ -93,22 +93,22 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * down[start])
 
 
-def words(offsets: np.ndarray, data: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, 64-bit hash) of every word of lower-cased texts, in order. ``kind``: the bytes that words consist of."""
-    low = _LOWER[data]
-    flag = np.zeros(len(data) + 1, dtype=bool)
-    flag[:-1] = kind[low]
-    inside = flag[:-1]
-    first = inside.copy()
+def word_spans(offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of every word, in order. ``inside`` flags the bytes that words consist of."""
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
     begins = offsets[:-1][offsets[:-1] < offsets[1:]]
     first[begins] = inside[begins]
-    starts = np.flatnonzero(first)
-    last = inside & ~flag[1:]
-    ends_of_rows = begins[1:] - 1 if len(begins) else begins
-    last[ends_of_rows] = inside[ends_of_rows]
-    ends = np.flatnonzero(last) + 1
-    rows = np.searchsorted(offsets, starts, side="right") - 1
+    last[begins[1:] - 1] = inside[begins[1:] - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.searchsorted(offsets, starts, side="right") - 1, starts, ends
+
+
+def words(offsets: np.ndarray, data: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, 64-bit hash) of every word of lower-cased texts, in order. ``kind``: the bytes that words consist of."""
+    low = _LOWER[data]
+    rows, starts, ends = word_spans(offsets, kind[low])
     return rows, range_hash(prefix_hash(low), starts, ends)
 
 

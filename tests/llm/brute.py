@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 
@@ -99,3 +100,79 @@ def vectors(rows, threshold: float = 0.98) -> dict:
                 links.append((a, b))
     root = roots(labels, links)
     return {i: (sum(i in x for x in links), root[i]) for i in labels}
+
+
+def split(text: str | None) -> list[str]:
+    return [w for w in re.split("[\x20\x09-\x0d]+", text or "") if w]
+
+
+def runs(w: list) -> list[tuple]:
+    """(start, length, period) of all runs of four periods and six words, by start, then period."""
+    out = []
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i < len(w) - q:
+            j = i
+            while j < len(w) - q and w[j] == w[j + q]:
+                j += 1
+            smaller = any(w[i : j + q - r] == w[i + r : j + q] for r in range(1, q)) if j + q - i >= 4 * q else True
+            if j + q - i >= max(6, 4 * q) and not smaller:
+                out.append((i, j + q - i, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(text: str | None) -> tuple:
+    """(words, runs, strongest run, the text without what repeats)."""
+    w = split(text)
+    found = runs(w)
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if found else None
+    gone = {k for s, n, q in found for k in range(s + q, s + n)}
+    return len(w), tuple(found), best, " ".join(x for k, x in enumerate(w) if k not in gone)
+
+
+def aligned(rows, a_path: str, b_path: str) -> list[tuple]:
+    """Whole texts by both libraries; token ends from decoded bytes alone."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
+    a.encode_special_tokens = True
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in shown)}
+    tokens, linked, holders = [], [], Counter()
+    for _, text in rows:
+        said, one, two = (" " + text).encode() if text else b"", [], []
+        if text:
+            ids = a.encode(" " + text, add_special_tokens=False).ids
+            one = [(i, bytes(letters[c] for c in a.id_to_token(i))) for i in ids]
+            two = [(i, bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()) for i in b.encode(text)]
+        if any(b"".join(x for _, x in side) != said for side in (one, two)):
+            one, two = [], []
+        sides = [(side, np.cumsum([len(x) for _, x in side]).tolist()) for side in (one, two)]
+        tokens.append(sides)
+        at = 0
+        links = []
+        for (i, x), end in zip(one, sides[0][1], strict=True):
+            while at and sides[1][1][at - 1] > end - len(x):
+                at -= 1
+            while at < len(two) and sides[1][1][at] <= end - len(x):
+                at += 1
+            while at < len(two) and sides[1][1][at] - len(two[at][1]) < end:
+                links.append((i, two[at][0]))
+                at += 1
+        linked.append(links)
+        holders.update(set(links))
+    top = defaultdict(int)
+    for (i, _), n in holders.items():
+        top[i] = max(top[i], n)
+    out = []
+    for (doc_id, _), ((one, x), (two, y)), links in zip(rows, tokens, linked, strict=True):
+        common, groups, i, j = sorted(set(x) & set(y)), [], 0, 0
+        for end in common:
+            k, m = x.index(end, i) + 1, y.index(end, j) + 1
+            groups.append(",".join(str(t) for t, _ in one[i:k]) + "|" + ",".join(str(t) for t, _ in two[j:m]))
+            i, j = k, m
+        best = sum(holders[p] == top[p[0]] for p in links)
+        out.append((doc_id, len(one), len(two), len(groups), len(links), best, sum(holders[p] for p in links), ";".join(groups)))
+    return out
