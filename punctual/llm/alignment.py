@@ -15,9 +15,8 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,9 @@ from punctual.llm.text import byte_class, group_bounds, list_array, per_row, pre
 from punctual.runtime import cut, kept_dir, scratch
 
 #: A worker forgets its stretches beyond so many, or so many bytes of their groups.
-CACHED, CACHED_BYTES = 300_000, 48 << 20
+CACHED, CACHED_BYTES = 500_000, 64 << 20
+#: Characters of new stretches that go through the tokenizers together.
+BATCH = 1 << 15
 #: Pairs of ids whose counts go to the tasks at once (24 bytes each); more take several passes over the written links.
 PART = 1 << 21
 #: A pair of ids as one number.
@@ -37,41 +38,28 @@ SHIFT = 32
 _SOLID = byte_class((0x21, 0x7E))
 
 
-@dataclass
-class Stretch:
-    """What is known of one stretch: ids, groups as text, links as pairs of ids; ``sound`` if all bytes come back."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    links: list[int]
-    sound: bool
+def token_ends(spans: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Byte offsets at which the tokens end, from their spans (begin, end) in bytes and the sizes of their decoded bytes.
 
+    A span that is not empty, and that the next one neither shares nor repeats, ends where its token does. From there on
+    the decoded bytes count.
+    """
+    begin, end = spans[:, 0], spans[:, 1]
+    clean = end > begin
+    clean[:-1] &= (begin[1:] >= end[:-1]) & (end[1:] > end[:-1])
+    total = np.cumsum(sizes)
+    last = np.maximum.accumulate(np.where(clean, np.arange(len(end)), -1))
+    return total + np.where(last >= 0, (end - total)[last], 0)
 
-def token_ends(text: bytes, spans: list[tuple[int, int]], decoded: list[bytes]) -> list[int] | None:
-    """Byte offsets at which the tokens end, from spans in bytes; None if the decoded bytes are not the text."""
-    if b"".join(decoded) != text:
-        return None
-    ends, at = [], 0
-    for k, ((start, end), own) in enumerate(zip(spans, decoded, strict=True)):
-        clean = end > start and (k + 1 == len(spans) or (spans[k + 1][0] >= end and spans[k + 1][1] > end))
-        refined = at + len(own)
-        at = end if clean and text[at:end] == own else refined
-        ends.append(at)
-    return ends
 
+def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs (i, j) of the tokens of both sides whose ranges overlap, and whether both end together there.
 
-def overlaps(a_ends: list[int], b_ends: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Index pairs of tokens whose ranges overlap, and per group the index after its last token on both sides."""
-    links, groups, i, j = [], [], 0, 0
-    while i < len(a_ends) and j < len(b_ends):
-        links.append((i, j))
-        x, y = a_ends[i], b_ends[j]
-        i, j = i + (x <= y), j + (y <= x)
-        if x == y:
-            groups.append((i, j))
-    return links, groups
+    Between two neighbouring ends, of whichever side, lie one token of A and one of B, and no pair twice.
+    """
+    ends = np.union1d(a_ends, b_ends)
+    i, j = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    return i, j, (a_ends[i] == ends) & (b_ends[j] == ends)
 
 
 class Aligner:
@@ -84,12 +72,17 @@ class Aligner:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True  # their strings are plain text
-        letters = _byte_letters()
-        self.a_bytes = {i: bytes(letters.get(c, 0) for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        letters, vocabulary = _byte_letters(), self.a.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = bytes(map(letters.get, token)) if all(c in letters for c in token) else token.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.sizes = [np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes)]
+        n = max(len(self.a_bytes), len(self.b_bytes))
+        self.said = [[f"{i}{mark}" for i in range(n)] for mark in ",|;"]
         self._forget()
 
     def _forget(self) -> None:
@@ -100,48 +93,76 @@ class Aligner:
         self.starts = np.zeros((1 << 12) + 1, dtype=np.int64)
         self.links, self.used = np.zeros(1 << 16, dtype=np.int64), 0
 
-    def align(self, stretches: list[str]) -> Iterator[Stretch]:
-        """Texts that begin with a space, each on its own."""
-        for text, one in zip(stretches, self.a.encode_batch(stretches, add_special_tokens=False), strict=True):
-            raw = text.encode()
-            a_ids, offsets = one.ids, one.offsets
-            if len(raw) != len(text):  # characters to bytes
-                place = [0]
-                for c in text:
-                    place.append(place[-1] + len(c.encode()))
-                offsets = [(place[x], place[y]) for x, y in offsets]
-            proto = self.b.encode(text[1:], return_type="proto").pieces
-            b_ids = [p.id for p in proto]
-            b_spans = [(p.begin + 1 if k else 0, p.end + 1) for k, p in enumerate(proto)]
-            a_ends = token_ends(raw, offsets, [self.a_bytes[i] for i in a_ids])
-            b_ends = token_ends(raw, b_spans, [self.b_bytes[i] for i in b_ids])
-            if a_ends is None or b_ends is None:
-                yield Stretch(0, 0, 0, "", [], False)
-                continue
-            links, groups = overlaps(a_ends, b_ends)
-            said, i, j = [], 0, 0
-            for x, y in groups:
-                said.append(f"{','.join(map(str, a_ids[i:x]))}|{','.join(map(str, b_ids[j:y]))}")
-                i, j = x, y
-            yield Stretch(len(a_ids), len(b_ids), len(groups), ";".join(said), [a_ids[x] << SHIFT | b_ids[y] for x, y in links], True)
+    def tokens(self, text: str, raw: bytes) -> tuple[list[int], np.ndarray, list[int], np.ndarray] | None:
+        """Ids and ends on both sides of a text that begins with a space; None if the bytes do not come back."""
+        one = self.a.encode(text, add_special_tokens=False)
+        pieces = self.b.encode(text[1:], return_type="proto").pieces
+        a, b = one.ids, [p.id for p in pieces]
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return None
+        first = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) & 0xC0 != 0x80)  # bytes at which characters begin
+        spans = np.append(first, len(raw))[np.array(one.offsets, dtype=np.int64).reshape(-1, 2)]
+        found = [token_ends(spans, sizes := self.sizes[0][a]), np.cumsum(sizes)]
+        spans = np.array([(p.begin, p.end) for p in pieces], dtype=np.int64).reshape(-1, 2) + 1
+        spans[:1, 0] = 0  # the space that B puts there
+        found += [token_ends(spans, sizes := self.sizes[1][b]), np.cumsum(sizes)]
+        # the bytes of all tokens are the text: spans that contradict them are of no use
+        a_ends, b_ends = (ends if (ends == sure).all() else sure for ends, sure in (found[:2], found[2:]))
+        return a, a_ends, b, b_ends
+
+    def align(self, stretches: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Counts (as in ``counts``), groups and links, one stretch after the other. All begin with a space, and all but
+        the last end where a text may be cut, so together they have the tokens that they have one by one."""
+        raws = [t.encode() for t in stretches]
+        raw = b"".join(raws)
+        found = self.tokens("".join(stretches), raw)
+        if found is None:
+            if len(stretches) == 1:
+                return np.zeros((1, 5), dtype=np.int64), [""], np.zeros(0, dtype=np.int64)
+            half = len(stretches) // 2
+            parts = [self.align(stretches[:half]), self.align(stretches[half:])]
+            return np.concatenate([p[0] for p in parts]), parts[0][1] + parts[1][1], np.concatenate([p[2] for p in parts])
+        a, a_ends, b, b_ends = found
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        i, j, together = overlaps(a_ends, b_ends)
+        group = np.cumsum(together) - together
+        bounds = np.cumsum([len(r) for r in raws])
+        link_of = np.searchsorted(bounds, np.maximum(a_ends[i], b_ends[j]))  # a stretch ends with both
+        n = len(stretches)
+        counts = np.stack([
+            per_row(np.searchsorted(bounds, a_ends), n), per_row(np.searchsorted(bounds, b_ends), n),
+            per_row(link_of[together], n), per_row(link_of, n), np.ones(n, dtype=np.int64),
+        ], axis=1)
+        # the ids of a group, first those of A; a mark behind each tells what follows
+        of = np.concatenate([group[np.searchsorted(i, np.arange(len(a)))], group[np.searchsorted(j, np.arange(len(b)))]])
+        side = np.repeat([0, 1], [len(a), len(b)])
+        order = np.lexsort((side, of))
+        ids, of, side = np.concatenate([a, b])[order], of[order], side[order]
+        mark = np.full(len(ids), 2)
+        mark[:-1] = np.where(of[1:] != of[:-1], 2, side[1:] != side[:-1])
+        said = [self.said[m][x] for m, x in zip(mark.tolist(), ids.tolist(), strict=True)]
+        edges = [0, *np.cumsum(counts[:, 0] + counts[:, 1]).tolist()]
+        return counts, ["".join(said[x:y])[:-1] for x, y in zip(edges[:-1], edges[1:], strict=True)], a[i] << SHIFT | b[j]
 
     def _remember(self, hashes: list[int], texts: list[str]) -> None:
-        for low in range(0, len(texts), 4096):
-            made = list(self.align(texts[low : low + 4096]))
-            n = len(self.known)
-            while n + len(made) + 1 > len(self.counts):
+        size, low = np.cumsum([len(t) for t in texts]), 0
+        while low < len(texts):
+            high = max(low + 1, int(np.searchsorted(size, (size[low - 1] if low else 0) + BATCH, side="right")))
+            counts, groups, links = self.align(texts[low:high])
+            n, made = len(self.known), high - low
+            while n + made + 1 > len(self.counts):
                 self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
                 self.starts = np.concatenate([self.starts, np.zeros_like(self.starts[1:])])
-            self.counts[n : n + len(made)] = [(s.n_a, s.n_b, s.n_groups, len(s.links), s.sound) for s in made]
-            flat = np.fromiter(chain.from_iterable(s.links for s in made), dtype=np.int64)
-            while self.used + len(flat) > len(self.links):
+            self.counts[n : n + made] = counts
+            while self.used + len(links) > len(self.links):
                 self.links = np.concatenate([self.links, np.zeros_like(self.links)])
-            self.links[self.used : self.used + len(flat)] = flat
-            self.starts[n + 1 : n + 1 + len(made)] = self.used + np.cumsum([len(s.links) for s in made])
-            self.used += len(flat)
-            self.groups += [s.groups for s in made]
-            self.held += sum(len(s.groups) for s in made)
-            self.known.update(zip(hashes[low : low + 4096], range(n, n + len(made)), strict=True))
+            self.links[self.used : self.used + len(links)] = links
+            self.starts[n + 1 : n + 1 + made] = self.used + np.cumsum(counts[:, 3])
+            self.used += len(links)
+            self.groups += groups
+            self.held += sum(map(len, groups))
+            self.known.update(zip(hashes[low:high], range(n, n + made), strict=True))
+            low = high
 
     def texts(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Per text (beginning with a space, or empty): the counts of ``counts`` summed, zeros where bytes do not come
@@ -161,10 +182,14 @@ class Aligner:
         place = np.fromiter(map(self.known.get, kinds, repeat(-1)), dtype=np.int64, count=len(kinds))
         new = np.flatnonzero(place < 0)
         if len(new):
-            raw, n = data.tobytes(), len(self.known)
+            raw = data.tobytes()
             bounds = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            self._remember(hashes[first[new]].tolist(), [raw[x:y].decode() for x, y in bounds])
-            place[new] = np.arange(n, n + len(new))
+            learned = [raw[x:y].decode() for x, y in bounds]
+            # first those that others may follow, then each of the rest on its own
+            alone = ~_closed(data, ends[first[new]])
+            for some in (np.flatnonzero(~alone), *np.flatnonzero(alone)[:, None]):
+                self._remember(hashes[first[new[some]]].tolist(), [learned[k] for k in some.tolist()])
+            place[new] = np.fromiter(map(self.known.get, hashes[first[new]].tolist()), dtype=np.int64)
         of = place[inverse]
         sums = np.stack([np.bincount(rows, weights=self.counts[of, c], minlength=n_rows).astype(np.int64) for c in range(5)], axis=1)
         sound = sums[:, 4] == per_row(rows, n_rows)
@@ -196,15 +221,22 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
 
 
+def _closed(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether what ends there ends with a character that is surely no white space: visible ASCII, two bytes from
+    U+00C0 on, three from U+4000 on, or four."""
+    last, *back = (np.where(ends >= k, data[np.maximum(ends - k, 0)], 0) for k in (1, 2, 3, 4))
+    inner = back[0] < 0xC0
+    two = (back[0] >= 0xC3) & (back[0] < 0xE0)
+    three = inner & (back[1] >= 0xE4) & (back[1] < 0xF0)
+    four = inner & (back[1] < 0xC0) & (back[2] >= 0xF0)
+    return _SOLID[last] | (last >= 0x80) & (two | three | four)
+
+
 def _cuts(data: np.ndarray) -> np.ndarray:
-    """Spaces after a character that is surely no white space: visible ASCII, two bytes from U+00C0 on, three from
-    U+4000 on, or four."""
+    """Spaces after such a character."""
     at = np.zeros(len(data), dtype=bool)
     space = np.flatnonzero(data[1:] == 0x20) + 1
-    last = data[space - 1]
-    back = [data[np.maximum(space - k, 0)] for k in (2, 3, 4)]
-    wide = (last >= 0x80) & ((back[0] >= 0xC3) & (back[0] < 0xE0) | (back[1] >= 0xE4) & (back[1] < 0xF0) & (back[0] < 0xC0) | (back[2] >= 0xF0) & (back[1] < 0xC0) & (back[0] < 0xC0))
-    at[space[_SOLID[last] | wide]] = True
+    at[space[_closed(data, space)]] = True
     return at
 
 

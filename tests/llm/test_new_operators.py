@@ -164,11 +164,13 @@ def test_alignment(spark, monkeypatch):
 
 def test_ends_inside_a_character():
     """Spans of whole characters, and empty ones, are refined by the bytes of the tokens."""
-    text = "é😀".encode()
-    assert alignment.token_ends(text, [(0, 2), (2, 6), (2, 6)], ["é".encode(), b"\xf0\x9f", b"\x98\x80"]) == [2, 4, 6]
-    assert alignment.token_ends(text, [(0, 2), (2, 2), (2, 2), (2, 2), (2, 6)], ["é".encode(), b"\xf0", b"\x9f", b"\x98", b"\x80"]) == [2, 3, 4, 5, 6]
-    assert alignment.token_ends(text, [(0, 2), (2, 6)], ["é".encode(), b"other"]) is None
-    assert alignment.overlaps([2, 4, 6], [1, 4, 5, 6]) == ([(0, 0), (0, 1), (1, 1), (2, 2), (2, 3)], [(2, 2), (3, 4)])
+    ends = lambda spans, sizes: alignment.token_ends(np.array(spans), np.array(sizes)).tolist()
+    assert ends([(0, 2), (2, 6), (2, 6)], [2, 2, 2]) == [2, 4, 6]  # é and half of 😀 twice
+    assert ends([(0, 2), (2, 2), (2, 2), (2, 2), (2, 6)], [2, 1, 1, 1, 1]) == [2, 3, 4, 5, 6]
+    assert ends([(0, 1), (1, 4)], [1, 2]) == [1, 4]  # a span counts more than the bytes
+    i, j, together = alignment.overlaps(np.array([2, 4, 6]), np.array([1, 4, 5, 6]))
+    assert list(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 0), (0, 1), (1, 1), (2, 2), (2, 3)]
+    assert together.tolist() == [False, False, True, False, True]
 
 
 def test_op13_on_the_test_table(spark, sf_dir, documents):
