@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from punctual.llm.kneser_ney import unique_keys
-from punctual.llm.text import byte_class, group_bounds, list_array, per_row, prefix_hash, range_hash, text_buffers, text_slices
+from punctual.llm.text import ddl, byte_class, group_bounds, list_array, per_row, prefix_hash, range_hash, text_buffers, text_slices
 from punctual.runtime import cut, kept_dir, scratch
 
 #: A worker forgets its stretches beyond so many, or so many bytes of their groups.
@@ -260,7 +260,7 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text:
     spark = df.sparkSession
     filled = F.when(F.length(text) > 0, F.concat(F.lit(" "), F.col(text).cast("string")))
     rows = df.select(F.col(id_col).alias("id"), filled.alias("text"), F.monotonically_increasing_id().alias("row"))
-    id_kind = rows.schema["id"].dataType.simpleString()
+    id_kind = ddl(rows.schema["id"].dataType)
     sums, last = ["n_a", "n_b", "n_groups", "n_links"], "groups_sha256" if digest else "groups"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from punctual.llm.text import (
-    ALNUM, HashFilter, hash_filter, list_array, mix, per_row, shingles, signed, text_buffers, text_slices, words,
+    ddl, ALNUM, HashFilter, hash_filter, list_array, mix, per_row, shingles, signed, text_buffers, text_slices, words,
 )
 from punctual.runtime import cut, kept_dir, scratch
 
@@ -103,7 +103,7 @@ def _stretches(docs: DataFrame, likely, sizes: list[int]) -> DataFrame:
                 counts = np.bincount(np.array(owner, dtype=np.int64), minlength=len(part))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(first)), list_array(counts, structs)], names=["id", "n_words", "stretches"])
 
-    kind = docs.schema["id"].dataType.simpleString()
+    kind = ddl(docs.schema["id"].dataType)
     return docs.mapInArrow(keep, f"id {kind}, n_words long, stretches array<struct<begin:long,size:long,words:array<long>>>")
 
 

@@ -7,8 +7,9 @@ token, by indexing its tokens with each one left out in turn. If thresholds plus
 within threshold on some segment. Per band, costs computed from counts over all sets decide how many segments pairs of
 small ones merge into.
 
-A set is indexed in its own band, and in the next one if a partner can be there. Segments that at least two different
-sets share lead to candidates, compared in blocks by a 1,024-bit parity sketch whose distance never exceeds the true
+A set is indexed in its own band, and in the next one if a partner can be there; of equal sets one row is. Segment keys
+travel as sorted runs of a few bytes each, dealt by their first bits, to find those that at least two sets share. These
+lead to candidates, compared in blocks by a 1,024-bit parity sketch whose distance never exceeds the true
 difference, then exactly by their sets. Sets are first compared with the first one under their keys, later only with
 sets that they are not yet connected with, so that a group of similar sets costs a star and not all its pairs.
 """
@@ -20,12 +21,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from punctual.llm.components import components
 from punctual.llm.text import (
-    NOT_SPACE, HashFilter, distinct_per_row, group_bounds, hash_filter, list_array, mix, partitions_for, per_row,
-    shingles, signed, text_buffers, text_slices, whole_groups, words,
+    ddl, NOT_SPACE, HashFilter, distinct_per_row, filter_bits, group_bounds, hash_filter, likely_rows, list_array, mix, partitions_for,
+    per_row, shingles, signed, text_buffers, text_slices, unsigned, whole_groups, without_rows, words,
 )
 from punctual.runtime import cut, kept_dir, scratch
 
@@ -37,6 +39,10 @@ LARGER = {"mid": (800, 1 << 14), "wide": (6400, 1 << 16)}
 BLOCK = 2048
 #: One in so many tokens takes part in the statistics of shared tokens.
 UNIVERSE = 64
+#: Keys that a task packs at once, and that it takes back at once on the average.
+KEYS_AT_ONCE, KEYS_PER_PART = 1 << 21, 1 << 21
+#: Repeated rows that readers leave out; beyond, the rest is written anew.
+FEW = 100_000
 #: What it costs to compare two sets, in rows of the index.
 PAIR_COST = 0.05
 
@@ -208,6 +214,7 @@ def jaccard_join(df: DataFrame, id_col: str, text: str, size: int = 5, percent:
     """
     spark = df.sparkSession
     texts = df.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
+    tagged = texts.select("text", F.xxhash64("id").alias("tag"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,12 +227,14 @@ def jaccard_join(df: DataFrame, id_col: str, text: str, size: int = 5, percent:
                 probe = list_array(per_row(rows[drawn], len(part)), signed(tokens[drawn]))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n), pa.array(node), probe], names=["id", "n", "node", "probe"])
 
-    id_kind = texts.schema["id"].dataType.simpleString()
+    id_kind = ddl(texts.schema["id"].dataType)
     with scratch(spark, "jaccard") as work:
         sets = cut(texts.mapInArrow(measure, f"id {id_kind}, n long, node long, probe array<long>"), path=kept_dir(spark, "sets"))
         bands = Bands(percent, merged) if merged is not None else allocate(Bands(percent), sets)
-        shared = cut(_shared_keys(texts.select("text"), size, bands, sets), path=f"{work}/shared")
-        links = _links(texts.select("text"), size, bands, shared, work)
+        chosen = _chosen(sets, work)
+        keys = _Keys.of(sets)
+        shared = cut(_shared_keys(tagged, size, bands, chosen, keys), path=f"{work}/shared")
+        links = _links(tagged, size, bands, chosen, keys, shared, work)
         groups = components(links) if links is not None else None
     sets = sets.drop("probe")
     if groups is None:
@@ -243,20 +252,39 @@ def _rows(sets: DataFrame, smallest: DataFrame) -> DataFrame:
     return out.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 
-def _indexed(part: pa.RecordBatch, size: int, bands: Bands) -> tuple:
-    """Sets of a slice, and the signatures of every (set, band) that it is indexed in."""
+def _chosen(sets: DataFrame, work: str) -> Broadcast:
+    """Bitmaps of the sets that several rows have, and of the one row that stands for each set that the first lets through."""
+    context = sets.sparkSession.sparkContext
+    copied = sets.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("node")
+    copied = cut(copied, path=f"{work}/copied")
+    bits = filter_bits(copied.count())
+    first = hash_filter(copied, "node", bits)
+    held = context.broadcast(first)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(held.value.has(unsigned(batch.column("node").to_numpy()))))
+
+    likely = sets.where("n > 0").select("node", F.xxhash64("id").alias("tag")).mapInArrow(pick, "node long, tag long")
+    own = likely.groupBy("node").agg(F.min("tag").alias("tag")).select(F.col("node").bitwiseXOR(F.col("tag")).alias("own"))
+    return context.broadcast((first, hash_filter(own, "own", bits)))
+
+
+def _indexed(part: pa.RecordBatch, size: int, bands: Bands, chosen: tuple[HashFilter, HashFilter]) -> tuple:
+    """Sets of a slice, and the signatures of every (set, band) that it is indexed in.
+
+    Of rows with equal sets one is looked at, or few more: those with one tag in several slices, and what the bitmaps
+    mistake for the one."""
     rows, tokens = token_sets(part, size)
     n = per_row(rows, len(part))
     node = identities(rows, tokens, len(part))
-    # more than one row with the same set would only repeat its signatures
-    _, first = np.unique(node, return_index=True)
-    chosen = np.zeros(len(part), dtype=bool)
-    chosen[first] = True
-    chosen &= n > 0
-    keep = chosen[rows]
-    rows, tokens = rows[keep], tokens[keep]
-    place = np.cumsum(chosen) - 1
-    of, rows, n, node = np.flatnonzero(chosen), place[rows], n[chosen], node[chosen]
+    copied, own_row = chosen
+    stands = ~copied.has(node) | own_row.has(node ^ unsigned(part.column("tag").to_numpy()))
+    able = np.flatnonzero((n > 0) & stands)
+    _, first = np.unique(node[able], return_index=True)
+    of = np.sort(able[first])
+    keep = np.isin(rows, of)
+    rows, tokens, n, node = np.searchsorted(of, rows[keep]), tokens[keep], n[of], node[of]
     own = bands.of(n)
     up = bands.reaches_next(n)
     twice, moved = up[rows], np.cumsum(up) - 1 + len(n)
@@ -265,46 +293,102 @@ def _indexed(part: pa.RecordBatch, size: int, bands: Bands) -> tuple:
     source = np.concatenate([np.arange(len(n)), np.flatnonzero(up)])
     in_band = np.concatenate([own, own[up] + 1])
     who, keys = bands.signatures(all_rows, all_tokens, n[source], in_band)
-    return rows, tokens, n, node, source[who], keys, of
+    return rows, tokens, n, node, source[who], keys
 
 
-def _shared_keys(texts: DataFrame, size: int, bands: Bands, sets: DataFrame) -> DataFrame:
-    """Keys that at least two different sets have.
+@dataclass
+class _Keys:
+    """How keys travel: their first ``first`` bits say where to, ``width`` bytes follow, the rest is left out.
 
-    Few sets have copies. Only rows of those (and of sets that a bitmap takes for one) carry the set's hash.
+    Enough bits for one key in some thousands to be mistaken for another; such a key counts as shared, no more.
     """
-    copied = sets.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    maybe = texts.sparkSession.sparkContext.broadcast(hash_filter(copied, "node", 23))
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first: int
+    width: int
+
+    @classmethod
+    def of(cls, sets: DataFrame) -> _Keys:
+        total = int(sets.agg(F.sum("n")).first()[0] or 0)
+        least = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        first = max(1, (max(least, total // KEYS_PER_PART) - 1).bit_length())
+        return cls(first, min(8, max(1, -(-(total.bit_length() + 12 - first) // 8))))
+
+    @property
+    def rest(self) -> np.uint64:
+        return np.uint64(max(0, 64 - self.first - 8 * self.width))
+
+    def short(self, keys: np.ndarray) -> np.ndarray:
+        """What is left of keys."""
+        return keys >> self.rest
+
+    def packed(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Keys dealt and packed, one that several sets have twice."""
+        keys = np.sort(self.short(keys))
+        keep = np.ones(len(keys), dtype=bool)
+        keep[2:] = keys[2:] != keys[:-2]
+        keys = keys[keep]
+        low = np.uint64(64 - self.first) - self.rest
+        part = (keys >> low).astype(np.int32)
+        raw = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, : -(-int(low) // 8)]
+        bounds = group_bounds(part)
+        offsets = pa.py_buffer((bounds * raw.shape[1]).astype(np.int32).tobytes())
+        runs = pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(raw).tobytes())])
+        yield pa.RecordBatch.from_arrays([pa.array(part[bounds[:-1]]), runs], names=["part", "keys"])
+
+    def shared(self, part: int, runs: list[bytes]) -> np.ndarray:
+        """Keys that stand there more than once."""
+        low = 64 - self.first - int(self.rest)
+        width = -(-low // 8)
+        raw = np.frombuffer(b"".join(runs), dtype=np.uint8).reshape(-1, width)
+        keys = np.zeros((len(raw), 8), dtype=np.uint8)
+        keys[:, :width] = raw
+        keys = np.sort(keys.view(np.uint64).ravel() & np.uint64((1 << low) - 1))
+        again = np.flatnonzero(keys[1:] == keys[:-1])
+        return np.unique(keys[again]) | np.uint64(part << low)
+
+
+def _shared_keys(tagged: DataFrame, size: int, bands: Bands, chosen: Broadcast, keys: _Keys) -> DataFrame:
+    """Hashes of all shortened keys that at least two different sets have, and of few others."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
             for start, end in text_slices(batch, "text", SLICE):
-                *_, node, who, found, _ = _indexed(batch.slice(start, end - start), size, bands)
-                several = maybe.value.has(node)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(signed(node)[who], mask=~several[who])], names=["key", "node"])
+                found = _indexed(batch.slice(start, end - start), size, bands, chosen.value)
+                held.append(found[-1])
+                if sum(map(len, held)) > KEYS_AT_ONCE:
+                    yield from keys.packed(np.concatenate(held))
+                    held = []
+        if held:
+            yield from keys.packed(np.concatenate(held))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "part"):
+            parts = table["part"].to_numpy()
+            bounds = group_bounds(parts)
+            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+                found = keys.shared(int(parts[low]), table["keys"].slice(low, high - low).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(signed(mix(found)))], names=["key"])
 
-    rows = texts.mapInArrow(keys, "key long, node long")
-    held = rows.groupBy("key").agg(F.count_if(F.col("node").isNull()).alias("single"), F.min("node").alias("low"), F.max("node").alias("high"))
-    others = F.when(F.col("low").isNull(), 0).when(F.col("low") == F.col("high"), 1).otherwise(2)
-    return held.where(F.col("single") + others > 1).select("key")
+    rows = tagged.mapInArrow(deal, "part int, keys binary").repartition(1 << keys.first, "part").sortWithinPartitions("part")
+    return rows.mapInArrow(meet, "key long")
 
 
-def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: str) -> DataFrame | None:
+def _links(tagged: DataFrame, size: int, bands: Bands, chosen: Broadcast, short: _Keys, shared: DataFrame, work: str) -> DataFrame | None:
     """Links enough to connect all partners, or None without any."""
-    spark = texts.sparkSession
-    if shared.isEmpty():
+    spark = tagged.sparkSession
+    n_shared = shared.count()
+    if not n_shared:
         return None
-    maybe = spark.sparkContext.broadcast(hash_filter(shared, "key", 26))
+    maybe = spark.sparkContext.broadcast(hash_filter(shared, "key", filter_bits(n_shared)))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: HashFilter = maybe.value
         for batch in batches:
             for start, end in text_slices(batch, "text", SLICE):
-                rows, tokens, n, node, who, keys, _ = _indexed(batch.slice(start, end - start), size, bands)
-                likely = held.has(keys)
-                who, keys = who[likely], keys[likely]
-                order = np.argsort(who, kind="stable")
-                who, keys = who[order], keys[order]
+                rows, tokens, n, node, who, keys = _indexed(batch.slice(start, end - start), size, bands, chosen.value)
+                likely = held.has(mix(short.short(keys)))
+                who, keys = distinct_per_row(who[likely], keys[likely])
                 own, place = np.unique(who, return_inverse=True)
                 wanted = np.isin(rows, own)
                 lists = [list_array(np.bincount(place, minlength=len(own)), signed(keys)), list_array(per_row(np.searchsorted(own, rows[wanted]), len(own)), signed(tokens[wanted]))]
@@ -314,27 +398,40 @@ def _links(texts: DataFrame, size: int, bands: Bands, shared: DataFrame, work: s
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "keys", "tokens", *LARGER])
 
     with scratch(spark, "entries") as path:
-        found = texts.mapInArrow(entries, "node long, n long, sketch array<long>, keys array<long>, tokens array<long>, mid array<long>, wide array<long>")
-        found = cut(found, path=path)
-        sets = cut(found.drop("keys").dropDuplicates(["node"]), path=f"{work}/sets")
+        kind = "node long, n long, sketch array<long>, keys array<long>, tokens array<long>, mid array<long>, wide array<long>"
+        sets = cut(tagged.mapInArrow(entries, kind).withColumn("row", F.monotonically_increasing_id()), path=f"{path}/all")
+        again = sets.groupBy("node").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+        again = cut(again, path=f"{path}/again")
+        n_again = again.count()  # rows that share text and id, and the few that the bitmaps let through
+        if n_again:
+            gone = cut(sets.select("node", "row").join(again, "node").where("row > first").select("row"), path=f"{path}/gone")
+            sets = sets.join(gone, "row", "left_anti") if gone.count() <= FEW else cut(without_rows(sets, "row", gone, "row"), path=f"{path}/once")
         # rows of 16 bytes; sizes and sketches come to them where pairs are weighed
-        keyed = cut(found.select(F.explode("keys").alias("key"), "node").distinct(), path=f"{work}/keyed")
+        keyed = cut(sets.select(F.explode("keys").alias("key"), "node"), path=f"{work}/keyed")
+        return _connected(keyed, sets, bands, work)
+
+
+def _connected(keyed: DataFrame, sets: DataFrame, bands: Bands, work: str) -> DataFrame | None:
     tried, links = None, None
     for turn, mode in enumerate(("star", "tree", "all")):
         if mode == "star":
             pairs = _stars(keyed, sets, bands.percent, work)
         else:
             groups = components(links) if links is not None else None
-            pairs = cut(_candidates(keyed, sets, groups, bands.percent, mode, work, turn), path=f"{work}/near{turn}")
-            if pairs.isEmpty():
+            found = cut(_candidates(keyed, sets, groups, bands.percent, mode, work, turn), path=f"{work}/near{turn}")
+            if found.isEmpty():
                 break  # no block holds unconnected sets that may be partners
+            pairs = found.select("a", "b").distinct()
+            # a block without a tree has no such pair; only the others are worth another look
+            keyed = cut(keyed.join(found.select("key").distinct(), "key", "left_semi"), path=f"{work}/keyed{turn}")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(_plausible(pairs, sets, bands.percent), path=f"{work}/pairs{turn}")
+        pairs = cut(pairs, path=f"{work}/weighed{turn}")
+        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), path=f"{work}/wanted{turn}")
+        pairs = cut(_plausible(pairs, likely_rows(sets.where(F.col("mid").isNotNull()).select("node", "n", *LARGER), "node", wanted, "node"), bands.percent), path=f"{work}/pairs{turn}")
         if pairs.isEmpty():
             continue
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        own = sets if mode == "star" else cut(sets.join(cut(wanted, path=f"{work}/wanted{turn}"), "node"), path=f"{work}/own{turn}")
+        own = likely_rows(sets.select("node", "n", "tokens"), "node", wanted, "node")
         good = cut(_verified(pairs, own, bands.percent), path=f"{work}/links{turn}")
         links = good if links is None else links.unionByName(good)
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -363,9 +460,8 @@ def _distance(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
 
 
-def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Without the pairs of large sets that their larger sketches show to differ too much."""
-    large = sets.where(F.col("mid").isNotNull())
+def _plausible(pairs: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Without the pairs of ``large`` sets that their larger sketches show to differ too much."""
     a, b = (large.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", *LARGER))) for x in "ab")
     both = pairs.join(a, "a", "left").join(b, "b", "left")
     apart = F.greatest(*(F.coalesce(_distance(f"{c}_a", f"{c}_b"), F.lit(0)) for c in LARGER))
@@ -382,7 +478,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidates(keyed: DataFrame, sets: DataFrame, groups: DataFrame | None, percent: int, mode: str, work: str, turn: int) -> DataFrame:
-    """Pairs (a, b) of unconnected sets that share a key and may be partners by sizes and sketches.
+    """Pairs (a, b) of unconnected sets that share a key and may be partners by sizes and sketches, with that key.
 
     ``tree``: per block a tree of nearest ones, a pair less than it has components; ``all``: all.
     """
@@ -405,15 +501,15 @@ def _candidates(keyed: DataFrame, sets: DataFrame, groups: DataFrame | None, per
             key, p, q, own, node, size, root = (table[c].to_numpy() for c in ("key", "p", "q", "own", "node", "n", "root"))
             bits = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(table), -1)
             bounds = group_bounds(key, p, q)
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, int, int]] = []
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
                 if high - low > 1:
-                    out += _pairs(node[low:high], size[low:high], root[low:high], own[low:high], bits[low:high], p[low] != q[low], percent, mode)
+                    pairs = _pairs(node[low:high], size[low:high], root[low:high], own[low:high], bits[low:high], p[low] != q[low], percent, mode)
+                    out += [(int(key[low]), a, b) for a, b in pairs]
             if out:
-                a, b = zip(*set(out), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["key", "a", "b"])
 
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    return rows.mapInArrow(compare, "key long, a long, b long")
 
 
 FAR = 1 << 30

@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from punctual.llm.text import NOT_SPACE, list_array, mix, per_row, powers, prefix_hash, range_hash, text_buffers, text_slices, word_spans
+from punctual.llm.text import ddl, NOT_SPACE, list_array, mix, per_row, powers, prefix_hash, range_hash, text_buffers, text_slices, word_spans
 
 SLICE = 1 << 20
 #: A run has at least so many periods, and so many words.
@@ -265,7 +265,7 @@ def collapse_runs(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
                     names=["id", "n_words", "runs", "strongest", "collapsed"],
                 )
 
-    id_kind = rows.schema["id"].dataType.simpleString()
+    id_kind = ddl(rows.schema["id"].dataType)
     run = "struct<start:bigint,length:bigint,period:bigint>"
     return rows.mapInArrow(detect, f"id {id_kind}, n_words long, runs array<{run}>, strongest {run}, collapsed string")
 

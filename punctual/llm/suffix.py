@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from punctual.llm.text import (
-    HashFilter, group_bounds, hash_filter, list_array, mix, partitions_for, prefix_hash, range_hash, signed, text_buffers,
+    ddl, HashFilter, group_bounds, hash_filter, list_array, mix, partitions_for, prefix_hash, range_hash, signed, text_buffers,
     text_slices, unsigned, whole_groups,
 )
 from punctual.runtime import cut, kept_dir, scratch
@@ -284,7 +284,7 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, batc
     rows = plain.select(F.col(text).cast("string").alias("text"), row.alias("_row"))
     spans = repeated_spans(rows, length, batches)
     likely = spark.sparkContext.broadcast(hash_filter(spans, "text_a", 23))
-    kind = next(f for f in rows.schema if f.name == "_row").dataType.simpleString()
+    kind = ddl(next(f for f in rows.schema if f.name == "_row").dataType)
     done = f"_row {kind}, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
     def result(part: pa.RecordBatch, sizes: list, removed: list, count: list, kept: list[bytes]) -> pa.RecordBatch:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 SLICE_BYTES = 2 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -187,37 +188,59 @@ def hash_filter(df: DataFrame, column: str, bits: int = 23) -> HashFilter:
     return HashFilter(bits, table.tobytes())
 
 
-def likely_rows(df: DataFrame, column: str, other: DataFrame, other_column: str, bits: int = 23) -> DataFrame:
-    """The rows of ``df`` whose value may be among those of ``other``: all that are, and few others.
+def ddl(kind: DataType) -> str:
+    """A type as Spark reads it back, whatever the names of its fields."""
+    if isinstance(kind, StructType):
+        return "struct<" + ",".join(f"`{f.name.replace('`', '``')}`:{ddl(f.dataType)}" for f in kind.fields) + ">"
+    if isinstance(kind, ArrayType):
+        return f"array<{ddl(kind.elementType)}>"
+    if isinstance(kind, MapType):
+        return f"map<{ddl(kind.keyType)},{ddl(kind.valueType)}>"
+    return kind.simpleString()
 
-    For a join that needs few of many wide rows: what is left moves, the rest does not.
+
+def filter_bits(n: int) -> int:
+    """The logarithm of a bitmap that lets few others through with ``n`` hashes; 28 (32 MB) at most.
+
+    From 2**24 hashes on it is less sharp; what depends on it then does more work, with the same result.
     """
+    return min(28, max(16, n.bit_length() + 6))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column (case aside, as Spark resolves names)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _held_by(df: DataFrame, column: str, other: DataFrame, other_column: str, bits: int, want: bool) -> DataFrame:
+    """The rows of ``df`` that a bitmap of the values of ``other`` takes for among them, or (``want`` false) does not."""
     hashed = other.select(F.xxhash64(F.col(other_column)).alias("h"))
-    held = df.sparkSession.sparkContext.broadcast(hash_filter(hashed, "h", bits))
+    held, name = df.sparkSession.sparkContext.broadcast(hash_filter(hashed, "h", bits)), free_name(df, "_hash")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            take = held.value.has(unsigned(batch.column("_hash").to_numpy()))
-            yield batch.filter(pa.array(take)).drop_columns(["_hash"])
+            take = held.value.has(unsigned(batch.column(name).to_numpy())) == want
+            yield batch.filter(pa.array(take)).drop_columns([name])
 
-    return df.withColumn("_hash", F.xxhash64(F.col(column))).mapInArrow(pick, df.schema)
+    return df.withColumn(name, F.xxhash64(F.col(column))).mapInArrow(pick, df.schema)
 
 
-def without_rows(df: DataFrame, column: str, gone: DataFrame, gone_column: str, bits: int = 23) -> DataFrame:
-    """The rows of ``df`` whose value is not among those of ``gone``; a null stays. Only rows that may go are moved."""
-    hashed = gone.select(F.xxhash64(F.col(gone_column)).alias("h"))
-    held = df.sparkSession.sparkContext.broadcast(hash_filter(hashed, "h", bits))
+def likely_rows(df: DataFrame, column: str, other: DataFrame, other_column: str, bits: int = 23) -> DataFrame:
+    """The rows of ``df`` whose value may be among those of ``other``: all that are, and few others.
 
-    def pick(want: bool):
-        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                take = held.value.has(unsigned(batch.column("_hash").to_numpy())) == want
-                yield batch.filter(pa.array(take)).drop_columns(["_hash"])
+    For a join that needs few of many wide rows: what is left moves, the rest does not.
+    """
+    return _held_by(df, column, other, other_column, bits, True)
 
-        return df.withColumn("_hash", F.xxhash64(F.col(column))).mapInArrow(part, df.schema)
 
+def without_rows(df: DataFrame, column: str, gone: DataFrame, gone_column: str, bits: int = 23) -> DataFrame:
+    """The rows of ``df`` whose value is not among those of ``gone``; a null stays. Only rows that may go are moved."""
     ids = gone.select(F.col(gone_column).alias(column)).distinct()
-    return pick(False).unionByName(pick(True).join(ids, column, "left_anti").select(df.columns))
+    likely = _held_by(df, column, gone, gone_column, bits, True).join(ids, column, "left_anti").select(df.columns)
+    return _held_by(df, column, gone, gone_column, bits, False).unionByName(likely)
 
 
 # ---- groups that follow each other in a sorted partition ------------------------------------------

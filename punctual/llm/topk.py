@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from punctual.llm.text import ddl
 from punctual.runtime import cut, kept_dir, scratch
 
 #: One side of a tile, in bytes of numbers; queries multiplied at once inside a tile; lists merged at once.
@@ -33,7 +34,7 @@ def top_k(df: DataFrame, asks: Column, k: int = 5, id_col: str = "vec_id", vecto
     spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(asks, F.lit(False)).alias("asks"), F.col(vector).cast("array<bigint>").alias("v"))
     rows = rows.where(F.forall("v", lambda x: x.isNotNull())).withColumn("row", F.monotonically_increasing_id())
-    id_kind = rows.schema["id"].dataType.simpleString()
+    id_kind = ddl(rows.schema["id"].dataType)
     with scratch(spark, "topk") as work:
         rows = cut(rows, path=f"{work}/rows")
         n_bytes = 8 * F.greatest("d", F.lit(1))

@@ -73,6 +73,32 @@ def test_jaccard_join_compares_large_groups_by_chunks(spark, monkeypatch):
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 3, 90)
 
 
+@pytest.mark.parametrize("bits", [6, 9, 12])
+def test_jaccard_join_with_full_bitmaps(spark, corpus, monkeypatch, bits):
+    """Bitmaps that let all or many others through change no link, neither do tiny packs of keys."""
+    monkeypatch.setattr(jaccard, "filter_bits", lambda n: bits)
+    monkeypatch.setattr(jaccard, "KEYS_AT_ONCE", 500)
+    monkeypatch.setattr(jaccard, "FEW", 0 if bits < 9 else 100)
+    rows = [*corpus, *((2000 + i, t) for i, t in corpus[:10])]
+    got = jaccard.jaccard_join(frame(spark, rows).repartition(7), "doc_id", "text", 3, 80).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 3, 80)
+
+
+@pytest.mark.parametrize("first,total", [(1, 10), (4, 10**6), (20, 10**13)])
+def test_keys_packed_and_met(first, total):
+    keys = jaccard._Keys(first, min(8, max(1, -(-(total.bit_length() + 12 - first) // 8))))
+    one, two = (np.random.default_rng(k).integers(0, 2**64, 5000, dtype=np.uint64) for k in (1, 2))
+    twice = np.concatenate([two[:7], two[:3], one[:40], one[:9]])
+    runs = defaultdict(list)
+    for some in (one, np.concatenate([two, two[:7]]), twice):
+        for batch in keys.packed(some):
+            for part, run in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                runs[part].append(run)
+    met = np.concatenate([keys.shared(p, r) for p, r in runs.items()])
+    assert set(keys.short(np.concatenate([two[:7], one[:40]])).tolist()) <= set(met.tolist())
+    assert len(met) < 47 + 20 if total > 10 else True
+
+
 def test_larger_sketches_lose_no_partner(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LARGER", {"mid": (80, 1 << 10), "wide": (400, 1 << 12)})
     rows = []
@@ -95,7 +121,7 @@ def test_partners_behind_pairs_that_were_tried(spark, monkeypatch):
         return a.join(b, (F.col("a") < F.col("b")) & (F.abs(F.col("na") - F.col("nb")) > 20)).select("a", "b")
 
     monkeypatch.setattr(jaccard, "_stars", lambda keyed, sets, *_: wrong(sets))
-    monkeypatch.setattr(jaccard, "_candidates", lambda keyed, sets, groups, percent, mode, *x: wrong(sets) if mode == "tree" else candidates(keyed, sets, groups, percent, mode, *x))
+    monkeypatch.setattr(jaccard, "_candidates", lambda keyed, sets, groups, percent, mode, *x: wrong(sets).crossJoin(keyed.select("key").distinct()) if mode == "tree" else candidates(keyed, sets, groups, percent, mode, *x))
     got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 3, 80).collect()
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 3, 80)
     assert len({r.component_id for r in got}) == 2

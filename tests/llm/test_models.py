@@ -208,6 +208,17 @@ def test_stages_take_odd_rows(spark):
     assert kept["repeated_passages"] == len(odd) - 2
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["_key", "_hash", "_row", "_rest", "_text", "_lang", "score", "rejected", "kept", "n_removed", "n_hit", "id", "component_id", "row", "tag", "count", "n chars"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")  # a small table of its own
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        rows = out.select("doc_id", *(F.col(f"`{n}`") for n in names)).collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names), name
+
+
 def test_stages_judge_rows_without_ids_and_repeated_ids_one_by_one(spark, tmp_path):
     random.seed(9)
     one, two, three, four, five, item = (" ".join(random.choice("bcdfgklm") + random.choice("aeiou") + random.choice("lmnrst") for _ in range(90)) for _ in range(6))
