@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from punctual.runtime import cut
+
 
 def _keys(keys: str | list[str] | tuple[str, ...]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -92,35 +94,41 @@ def repeatable_limit(df: DataFrame, n: int, keys: list[str] | None = None, seed:
     """n rows (all, if there are fewer) in the order of a hash of ``keys`` (default: all columns), so that a
     second run picks the same.
 
-    A plain limit sends up to n rows of every task to one task. Here the hash value that cuts off n
-    rows is found first, by counting rows per hash slot (at most 4096 counts reach the driver, and
-    a full slot is split again), so that about n rows take part in the sort. Copies of one row
-    travel as a single row with a count. With keys that are cheap, columns that are not (a model's
-    output) are computed for the chosen slots only.
+    A plain limit sends up to n rows of every task to one task. Here rows are counted per hash slot first (at most 4096
+    counts reach the driver) and those up to the slot that holds the n-th row are written with their hash. There the
+    slot is split until one hash value is left. Rows below it are taken by a plain filter; only rows that share it are
+    put in order, and no more than are missing pass through one task. With keys that are cheap, columns that are not (a
+    model's output) are computed for the chosen slots only.
     """
-    position = row_hash(df, keys, seed)
-    low, bound, need, shift = 0, 1 << _BITS, n, _BITS - _SLOT_BITS
-    while shift > 0:
-        part = df.where((position >= low) & (position < bound))
-        counted = part.groupBy(F.shiftright(position, shift).alias("slot")).agg(F.count("*").alias("rows"))
-        slots = sorted((r["slot"], r["rows"]) for r in counted.collect())
-        if sum(rows for _, rows in slots) < need:
-            return df
-        for slot, rows in slots:
-            if rows >= need:
-                break
-            need -= rows
-        low, bound = slot << shift, (slot + 1) << shift
-        if rows <= n:
-            break
-        shift -= _SLOT_BITS
-    columns = df.columns
-    distinct = df.where(position < bound).groupBy(*columns).agg(F.count("*").alias("_copies"))
-    order = [row_hash(distinct, keys or columns, seed), *[F.col(c) for c in columns]]
-    first = distinct.orderBy(*order).limit(n)
-    before = F.sum("_copies").over(Window.orderBy(*order)) - F.col("_copies")
-    taken = first.withColumn("_take", F.least(F.col("_copies"), F.lit(n) - before).cast("int")).where("_take > 0")
-    return taken.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_take"))).alias("_copy")).drop("_copy")
+    position, shift = row_hash(df, keys, seed), _BITS - _SLOT_BITS
+    slot, below, rows = _slot(df, position, shift, n)
+    if slot is None:
+        return df
+    name = "_position"
+    while name in df.columns:
+        name += "_"
+    near = cut(df.where(position < (slot + 1) << shift).withColumn(name, position))
+    low, need = slot << shift, n - below
+    while shift > 0 and rows > need:
+        width, shift = shift, max(0, shift - _SLOT_BITS)
+        inside = near.where((F.col(name) >= low) & (F.col(name) < low + (1 << width)))
+        slot, below, rows = _slot(inside, F.col(name), shift, need)
+        low, need = slot << shift, need - below
+    edge = near.where((F.col(name) >= low) & (F.col(name) < low + (1 << shift)))
+    if rows > need:  # they share one hash value
+        edge = edge.orderBy(*df.columns).limit(need)
+    return near.where(F.col(name) < low).unionByName(edge).drop(name)
+
+
+def _slot(df: DataFrame, position: Column, shift: int, n: int) -> tuple[int | None, int, int]:
+    """The slot that holds the n-th row by ``position``, the rows in slots before it and in it; None with fewer rows."""
+    counted = df.groupBy(F.shiftright(position, shift).alias("slot")).agg(F.count("*").alias("rows"))
+    below = 0
+    for slot, rows in sorted((r["slot"], r["rows"]) for r in counted.collect()):
+        if below + rows >= n:
+            return slot, below, rows
+        below += rows
+    return None, below, 0
 
 
 def yoy_growth(df: DataFrame, measure: str = "Total_Flights", year: str = "Year") -> DataFrame:

@@ -184,21 +184,22 @@ GRAINS: dict[str, tuple[str, ...]] = {
 _TABLE_COLUMNS = [*AIRLINE, *CAUSES, *HOURLY, *ROUTES, *CALENDAR, "Operated_Delay_Rate_Pct", "Delayed_Departures"]
 
 
-def grain_sums(df: DataFrame) -> DataFrame:
-    """Sums of every measure at each of GRAINS, in one scan and one small shuffle.
+def grain_sums(df: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """Sums of every measure at each of GRAINS, in one scan and one small shuffle; with ``by``, per value of these too.
 
     Grouping sets feed all grains into one partial aggregation, so a task emits at most its distinct
     keys per grain, whatever the row count. ``grain`` names the set a row belongs to.
     """
     used = measures_used([OUTPUTS[c] for c in _TABLE_COLUMNS], MEASURES)
-    keys = list(dict.fromkeys(k for grain in GRAINS.values() for k in grain))
+    grains = {name: list(dict.fromkeys([*by, *grain])) for name, grain in GRAINS.items()}
+    keys = list(dict.fromkeys(k for grain in grains.values() for k in grain))
     rows = df.selectExpr(*[f"`{k}`" for k in keys], *[f"{MEASURES[m]} AS {m}" for m in used])
-    summed = rows.groupingSets([list(g) for g in GRAINS.values()], *keys).agg(
+    summed = rows.groupingSets(list(grains.values()), *keys).agg(
         F.grouping_id().alias("_set"), *[F.sum(m).alias(m) for m in used]
     )
     # grouping_id has one bit per key, first key highest, set when the key is not part of the set.
     names = F.lit(None)
-    for name, grain in GRAINS.items():
+    for name, grain in grains.items():
         bits = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in grain)
         names = F.when(F.col("_set") == bits, name).otherwise(names)
     return summed.select(names.alias("grain"), *keys, *used)
@@ -210,8 +211,12 @@ def all_tables(df: DataFrame, dim: DataFrame | None = None, how: str = "left") -
     The grain sums (thousands of rows) are written to the shared folder; each table reads its grain.
     """
     sums = cut(grain_sums(df), "grain")
+    return tables_of({g: sums.where(F.col("grain") == g) for g in GRAINS}, dim, how)
+
+
+def tables_of(at: Mapping[str, DataFrame], dim: DataFrame | None = None, how: str = "left") -> dict[str, DataFrame]:
+    """The seven tables from the sums at each grain."""
     summed = {m: m for m in MEASURES}
-    at = {g: sums.where(F.col("grain") == g) for g in GRAINS}
     return {
         "agg_airline_performance": airline_performance(at["airline"], dim, measures=summed),
         "agg_airport_performance": airport_performance(at["route"], how, measures=summed),

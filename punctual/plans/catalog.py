@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from punctual import functions as fn
 from punctual.ml import features, metrics, models
-from punctual.operators import checks, population, ranking, serving, tables, text
+from punctual.operators import checks, incremental, population, ranking, serving, tables, text
 from punctual.operators.lookup import with_names
 from punctual.operators.rollup import rate_rollup
 from punctual.plans import sql
 from punctual.plans.demo import COLUMNS, flights, scored, table
-from punctual.runtime import cut, hadoop_fs, scratch
+from punctual.runtime import cut, hadoop_fs, kept_dir, scratch
 from punctual.schema import CLICK_EVENT_SCHEMA, CONTRACTS, FLIGHT_COLUMNS, struct
-from punctual.sources import files, manifest, publish as publishing
+from punctual.sources import files, manifest, publish as publishing, release as releases
 from punctual.sources.publish import publish_dir
 from punctual.streaming import events, live, sinks
 
@@ -219,6 +222,51 @@ def publish_all(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "table_name string, table_rows bigint")
 
 
+@query
+def release_versions(spark, sf_dir):
+    """Flights of the first years released, then of all years, then a release that breaks off: what readers find."""
+    df = fact(spark, sf_dir, "all_tables")
+    with scratch(spark, "releases") as target:
+        first = releases.release(spark, tables.all_tables(df.where("Year <= 1996")), target)
+        made = tables.all_tables(df)
+        second = releases.release(spark, {n: made[n] for n in ("agg_hourly_delays", "agg_calendar_delays")}, target)
+        broken = made["agg_route_traffic"].withColumn("Origin", F.raise_error(F.lit("stopped")).cast("string"))
+        with contextlib.suppress(SparkRuntimeException):
+            releases.release(spark, {"agg_calendar_delays": made["agg_calendar_delays"].limit(0), "agg_route_traffic": broken}, target)
+        seen = {"first": first, "second": second, "newest": None}
+        totals = [
+            checks.reconcile_totals(releases.read_release(spark, target, v)).select(F.lit(n).alias("Release"), "Metric", "Source", "Total")
+            for n, v in seen.items()
+        ]
+        return cut(reduce(DataFrame.unionByName, totals))
+
+
+def _in_steps(spark, sf_dir) -> dict[str, DataFrame]:
+    """The seven tables from a store that was loaded in steps: some years with half of their flights, the others, some
+    again with all flights, and one of these months twice."""
+    df = fact(spark, sf_dir, "all_tables", "Year", "Month")
+    with scratch(spark, "fact") as path:
+        files.write_flights(df, path)
+        whole = files.read_flights(spark, path)
+        months = sorted((r["Year"], r["Month"]) for r in whole.select("Year", "Month").distinct().collect())
+        early = [m for m in months if m[0] <= 1996]
+        store = kept_dir(spark, "store")
+        incremental.refresh(whole.where("Dep_Hour < 12"), store, early)
+        incremental.refresh(whole, store, [m for m in months if m[0] > 1996])
+        incremental.refresh(whole, store, early)
+        return incremental.tables_from_store(incremental.refresh(whole, store, early[:1]))
+
+
+@query
+def incremental_totals(spark, sf_dir):
+    return checks.reconcile_totals(_in_steps(spark, sf_dir))
+
+
+@query
+def incremental_calendar(spark, sf_dir):
+    return _in_steps(spark, sf_dir)["agg_calendar_delays"]
+
+
 @query
 def export_and_load(spark, sf_dir):
     """The calendar and hourly tables as named CSV files, loaded from the directory, totals read back."""

@@ -235,6 +235,15 @@ def _totals(sources: list[str]) -> str:
     return _sql(f"SELECT Metric, Source, Total, {agree} AS Agrees FROM ({' UNION ALL '.join(parts)})")
 
 
+_LATER = ["agg_hourly_delays", "agg_calendar_delays"]
+_RELEASED = (
+    f"WITH early AS (SELECT * FROM ({_totals(list(_TOTALS)).replace('FROM b4)', 'FROM b4 WHERE year(l_shipdate) <= 1996)')})), "
+    f"later AS (SELECT * FROM ({_totals(_LATER)})), seen(Release) AS (VALUES ('second'), ('newest')) "
+    "SELECT 'first' AS Release, Metric, Source, Total FROM early "
+    "UNION ALL SELECT Release, Metric, Source, Total FROM later, seen UNION ALL "
+    f"SELECT Release, Metric, Source, Total FROM early, seen WHERE Source NOT IN ({', '.join(repr(n) for n in _LATER)})"
+)
+
 _TABLE_OF = {
     "agg_airline_performance": "airline",
     "agg_airport_performance": "airport",
@@ -379,6 +388,9 @@ ORACLE: dict[str, str] = {
             f"SELECT '{name}' AS table_name, count(*) AS table_rows FROM {cte}" for name, cte in _TABLE_OF.items()
         )
     ),
+    "release_versions": _RELEASED,
+    "incremental_totals": _totals(list(_TOTALS)),
+    "incremental_calendar": _sql("SELECT * FROM calendar"),
     "export_and_load": _totals(["agg_calendar_delays", "agg_hourly_delays"]),
     "reconcile_totals": _totals(list(_TOTALS)),
     "contract_violations": _sql(
