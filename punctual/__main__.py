@@ -25,10 +25,13 @@ from punctual.streaming.live import live_metrics
 
 def etl(spark, args):
     """Raw header CSVs to year-partitioned Parquet."""
-    rows = files.write_flights(
-        files.conform(files.read_raw_csv(spark, args.raw)), args.cleaned, files_per_year=args.files_per_year
-    )
-    print(f"{rows} rows in {args.cleaned}")
+    if args.rejects:
+        account = files.load_raw(spark, args.raw, args.cleaned, args.rejects, files_per_year=args.files_per_year)
+        account.orderBy("file").show(100, truncate=False)
+    else:
+        raw = files.conform(files.read_raw_csv(spark, args.raw))
+        rows = files.write_flights(raw, args.cleaned, files_per_year=args.files_per_year)
+        print(f"{rows} rows in {args.cleaned}")
     files.read_flights(spark, args.cleaned).printSchema()
 
 
@@ -117,7 +120,9 @@ def parser() -> argparse.ArgumentParser:
             added.add_argument(name)
         return added
 
-    job(etl, "raw", "cleaned").add_argument("--files-per-year", type=int)
+    load_raw = job(etl, "raw", "cleaned")
+    load_raw.add_argument("--files-per-year", type=int)
+    load_raw.add_argument("--rejects", help="a folder for lines with a wrong number of fields; prints what was lost per file")
     job(aggregate, "cleaned", "output")
     job(load, "directory", "target")
     fit = job(train, "cleaned", "output")

@@ -20,7 +20,7 @@ from punctual.runtime import cut, hadoop_fs, kept_dir, scratch
 from punctual.schema import CLICK_EVENT_SCHEMA, CONTRACTS, FLIGHT_COLUMNS, struct
 from punctual.sources import files, manifest, publish as publishing, release as releases
 from punctual.sources.publish import publish_dir
-from punctual.streaming import events, live, sinks
+from punctual.streaming import accounted, events, live, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -491,6 +491,52 @@ def csv_mixed_headers(spark, sf_dir):
         )
 
 
+def _folder(file: str = "file"):
+    return F.regexp_extract(file, "/([ab])/[^/]*$", 1).alias("folder")
+
+
+@query
+def csv_losses(spark, sf_dir):
+    """Raw files of two kinds, the second with short and overlong lines, loaded with an account of all that is lost."""
+    columns = [c for c in COLUMNS if c not in ("Dep_Hour", "Route")]
+    raw = _raw_text(flights(spark, sf_dir, *columns))
+    names = ["Year", "Month", "Dest", "Origin", "ArrDelay"]
+    day = F.col("DayofMonth").cast("int") % 3
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in names]
+    line = F.when(day == 0, F.concat_ws(",", *fields[:-1])).when(day == 1, F.concat_ws(",", *fields, F.lit("more"))).otherwise(F.concat_ws(",", *fields))
+    with scratch(spark, "lossy") as path:
+        files.write_csv(raw.where("Year % 2 = 0"), f"{path}/raw/a")
+        lines = raw.where("Year % 2 = 1").select(line.alias(",".join(names)))
+        lines.write.option("header", True).option("sep", "\t").option("quote", "").csv(f"{path}/raw/b")
+        account = files.load_raw(spark, [f"{path}/raw/a", f"{path}/raw/b"], f"{path}/cleaned", f"{path}/rejects")
+        if not account.where("rows_in <> rows_out + rejected").isEmpty():
+            raise AssertionError("rows are neither in nor among the rejects")
+        sums = account.groupBy(_folder()).agg(F.sum("rows_in").alias("Rows_In"), F.sum("rejected").alias("Rejected"))
+        lost = account.select("file", F.explode_outer("lost")).groupBy(_folder()).agg(
+            F.coalesce(F.sum("value"), F.lit(0)).alias("Lost_Values"), F.count_distinct("key").alias("Lossy_Columns")
+        )
+        lines = spark.read.parquet(f"{path}/rejects").groupBy(_folder()).agg(F.count("*").alias("Lines"))
+        loaded = files.read_flights(spark, f"{path}/cleaned").groupBy(F.when(F.col("Year") % 2 == 0, "a").otherwise("b").alias("folder"))
+        loaded = loaded.agg(F.count("*").alias("Loaded"), F.sum("ArrDelay").alias("Minutes"))
+        return cut(sums.join(lost, "folder").join(lines, "folder", "left").join(loaded, "folder").na.fill(0, ["Lines"]))
+
+
+@query
+def csv_inferred(spark, sf_dir):
+    """Types guessed over two folders with other column orders: whole and broken numbers, dates, texts, an empty column."""
+    df = flights(spark, sf_dir, "Year", "FlightDate", "Origin", "ArrDelay", "Distance", "CancellationCode")
+    raw = df.withColumns({"Distance": F.col("Distance") / 4, "Nothing": F.lit(None).cast("string")})
+    with scratch(spark, "inferred") as path:
+        files.write_csv(raw.where("Year % 2 = 0"), f"{path}/a")
+        files.write_csv(raw.where("Year % 2 = 1").select("Origin", "Nothing", "Distance", "ArrDelay", "FlightDate", "CancellationCode", "Year"), f"{path}/b")
+        back = files.read_csv_inferred(spark, [f"{path}/a", f"{path}/b"])
+        kinds = F.lit(",".join(f"{c}:{kind}" for c, kind in sorted(back.dtypes)))
+        return back.groupBy("Year", "Origin").agg(
+            kinds.alias("Kinds"), F.sum("ArrDelay").alias("Minutes"), F.sum("Distance").alias("Miles"),
+            F.count("CancellationCode").alias("Codes"), F.count("Nothing").alias("Nothings"), F.max("FlightDate").cast("string").alias("Last"),
+        )
+
+
 @query
 def parquet_by_year(spark, sf_dir):
     """Year-partitioned Parquet written and read back under a year filter, which prunes directories."""
@@ -786,6 +832,32 @@ def stream_accounting(spark, sf_dir):
         return cut(counted.crossJoin(refused))
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Events that come in three runs of a stream, later runs with older events too, every seventh without a time: what
+    is in windows, late, and rejected, per run's part of the events."""
+    rows = _flight_events(table(spark, sf_dir, "events"))
+    stamp = F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.col("event_timestamp").cast("string"))
+    with scratch(spark, "late") as path:
+        for part in range(3):
+            some = rows.where(F.col("event_id") % 3 == part).withColumn("event_timestamp", stamp)
+            payload = events.to_payload(some, *_RAW_EVENT.fieldNames())
+            payload.coalesce(1).write.mode("append").parquet(f"{path}/topic")
+            source = spark.readStream.schema(payload.schema).parquet(f"{path}/topic")
+            good, bad = events.split_rejects(source, _RAW_EVENT, time="event_timestamp")
+            accounted.start_accounted_windows(
+                events.enrich_events(good), f"{path}/live", f"{path}/checkpoint/live", "1 hour", 10 * 86_400, every=None, merge_at=2
+            ).awaitTermination()
+            sinks.start_serving_sink(bad, path, f"{path}/checkpoint/bad", "rejects", every=None).awaitTermination()
+        windows = accounted.read_windows(spark, f"{path}/live")
+        counted = windows.agg(F.sum("events").alias("in_windows"), F.sum("active_delays").alias("delays"), F.count("*").alias("windows"))
+        late = accounted.read_late(spark, f"{path}/live").agg(
+            *[F.count_if(F.col("event_id") % 3 == part).alias(f"late_{part}") for part in range(3)]
+        )
+        refused = spark.read.parquet(f"{path}/rejects").agg(F.count("*").alias("rejected"))
+        return cut(counted.crossJoin(late).crossJoin(refused))
+
+
 @query
 def events_enriched(spark, sf_dir):
     out = events.enrich_events(_flight_events(table(spark, sf_dir, "events")))

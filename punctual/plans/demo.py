@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from punctual.runtime import hadoop_fs
+
 # Each term may use table columns and the terms above it.
 TERMS: dict[str, str] = {
     "hh": "CAST(l_partkey % 25 AS INT)",
@@ -89,15 +91,17 @@ def _requires(wanted: list[str]) -> tuple[list[str], set[str]]:
     return [t for t in TERMS if t in terms], tables
 
 
-_schemas: dict[str, StructType] = {}
+_schemas: dict[tuple[str, int], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder. Its schema is read from a file footer once per process."""
+    """A table of the folder. Its schema is read from a file footer once, and again when the table has been rewritten."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    fs, jpath = hadoop_fs(spark, path)
+    known = (path, fs.getFileStatus(jpath).getModificationTime())
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def places(spark: SparkSession, sf_dir: str, side: str, names: bool, regions: bool) -> DataFrame:

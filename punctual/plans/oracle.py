@@ -508,6 +508,20 @@ ORACLE: dict[str, str] = {
         "SELECT Year, Origin, Dest, count(*) AS Flights, CAST(sum(ArrDelay) AS DOUBLE) AS Minutes, "
         "count(CASE WHEN Year % 2 = 0 THEN Distance END) AS Distances FROM f GROUP BY 1, 2, 3"
     ),
+    "csv_losses": _sql(
+        "SELECT folder, count(*) AS Rows_In, count(*) FILTER (WHERE bad) AS Rejected, "
+        "count(*) FILTER (WHERE folder = 'a' AND DayofMonth = 1) AS Lost_Values, "
+        "CAST(CASE WHEN folder = 'a' THEN 1 ELSE 0 END AS BIGINT) AS Lossy_Columns, count(*) FILTER (WHERE bad) AS Lines, "
+        "count(*) FILTER (WHERE NOT bad) AS Loaded, CAST(sum(ArrDelay) FILTER (WHERE NOT bad) AS DOUBLE) AS Minutes "
+        "FROM (SELECT *, CASE WHEN Year % 2 = 0 THEN 'a' ELSE 'b' END AS folder, "
+        "Year % 2 = 1 AND DayofMonth % 3 < 2 AS bad FROM f) GROUP BY folder"
+    ),
+    "csv_inferred": _sql(
+        "SELECT Year, Origin, 'ArrDelay:int,CancellationCode:string,Distance:double,FlightDate:date,Nothing:string,"
+        "Origin:string,Year:int' AS Kinds, CAST(sum(ArrDelay) AS BIGINT) AS Minutes, sum(Distance / CAST(4 AS DOUBLE)) AS Miles, "
+        "count(CancellationCode) AS Codes, CAST(0 AS BIGINT) AS Nothings, CAST(max(FlightDate) AS VARCHAR) AS \"Last\" "
+        "FROM f GROUP BY 1, 2"
+    ),
     "parquet_by_year": _sql("SELECT * FROM calendar WHERE Year BETWEEN 1997 AND 1999"),
     "raw_manifest_months": _sql(f"SELECT Year, Month, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
     "raw_manifest_files": _sql(f"SELECT Year, Month, n > 0 AS landed, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
@@ -618,6 +632,14 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) FILTER (WHERE event_id % 7 <> 0) AS in_windows, "
         "count(*) FILTER (WHERE event_id % 7 = 0) AS rejected FROM events"
     ),
+    "stream_late_rows": _EVENT
+    + ", t AS (SELECT *, event_id % 3 AS part, time_bucket(INTERVAL 1 HOUR, ts) AS w FROM e WHERE event_id % 7 <> 0), "
+    "bound AS (SELECT p AS part, (SELECT max(ts) FROM t WHERE part < p) - INTERVAL 10 DAY AS b FROM (VALUES (0), (1), (2)) v(p)), "
+    "judged AS (SELECT t.*, coalesce(w + INTERVAL 1 HOUR <= b, false) AS late FROM t JOIN bound USING (part)) "
+    "SELECT CAST(count(*) FILTER (WHERE NOT late) AS BIGINT) AS in_windows, "
+    "count(*) FILTER (WHERE NOT late AND arr_delay >= 15) AS delays, count(DISTINCT CASE WHEN NOT late THEN w END) AS windows, "
+    + ", ".join(f"count(*) FILTER (WHERE late AND part = {p}) AS late_{p}" for p in range(3))
+    + ", (SELECT count(*) FROM events WHERE event_id % 7 = 0) AS rejected FROM judged",
     "live_metrics_batch": _WINDOWS,
     "stream_live_metrics": _WINDOWS,
     "stream_json_sink": (

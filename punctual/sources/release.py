@@ -10,16 +10,15 @@ leaves the release before it in force, and files that no release names.
 
 from __future__ import annotations
 
-import json
 import logging
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from punctual.operators.checks import apply_contract
+from punctual.pointers import delete_pointer, newest_pointer, pointer_numbers, read_pointer, write_pointer
 from punctual.runtime import hadoop_fs
 from punctual.schema import CONTRACTS
 from punctual.sources.publish import PublishError
@@ -62,18 +61,7 @@ def _write(df: DataFrame, name: str, path: str, contract: bool) -> int:
 
 def _point(spark: SparkSession, target: str, version: int, entries: dict) -> bool:
     """Write the file of a version, unless there is one."""
-    fs, path = hadoop_fs(spark, f"{target}/releases/{version:08d}.json")
-    try:
-        out = fs.create(path, False)
-    except Py4JJavaError as error:
-        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
-            return False
-        raise
-    try:
-        out.write(bytearray(json.dumps({"version": version, "tables": entries, "complete": True}).encode()))
-    finally:
-        out.close()
-    return True
+    return write_pointer(spark, f"{target}/releases", version, {"version": version, "tables": entries})
 
 
 def versions(spark: SparkSession, target: str) -> list[int]:
@@ -82,26 +70,11 @@ def versions(spark: SparkSession, target: str) -> list[int]:
 
 
 def _numbers(spark: SparkSession, target: str) -> list[int]:
-    fs, folder = hadoop_fs(spark, f"{target.rstrip('/')}/releases")
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+    return pointer_numbers(spark, f"{target.rstrip('/')}/releases")
 
 
 def _read(spark: SparkSession, target: str, version: int) -> dict | None:
-    """What a version consists of, or None if its file is not whole."""
-    fs, path = hadoop_fs(spark, f"{target.rstrip('/')}/releases/{version:08d}.json")
-    stream = fs.open(path)
-    try:
-        raw = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
-    finally:
-        stream.close()
-    try:
-        found = json.loads(bytes(raw).decode())
-    except ValueError:
-        return None
-    return found if isinstance(found, dict) and found.get("complete") else None
+    return read_pointer(spark, f"{target.rstrip('/')}/releases", version)
 
 
 def current_version(spark: SparkSession, target: str) -> int:
@@ -110,11 +83,8 @@ def current_version(spark: SparkSession, target: str) -> int:
 
 
 def _entries(spark: SparkSession, target: str, upto: int) -> dict:
-    for version in reversed([v for v in _numbers(spark, target) if v <= upto]):
-        found = _read(spark, target, version)
-        if found is not None:
-            return found["tables"]
-    return {}
+    found = newest_pointer(spark, f"{target.rstrip('/')}/releases", upto)
+    return found[1]["tables"] if found else {}
 
 
 def read_release(spark: SparkSession, target: str, version: int | None = None) -> dict[str, DataFrame]:
@@ -140,7 +110,7 @@ def vacuum(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
     fs, folder = hadoop_fs(spark, f"{target}/data")
     for version in _numbers(spark, target):
         if version < kept[0]:
-            fs.delete(hadoop_fs(spark, f"{target}/releases/{version:08d}.json")[1], False)
+            delete_pointer(spark, f"{target}/releases", version)
     used = {e["path"].split("/")[1] for v in kept for e in _read(spark, target, v)["tables"].values()}
     gone = []
     for status in fs.listStatus(folder):

@@ -172,3 +172,64 @@ def test_only_the_name_of_an_unknown_code_falls_back(spark):
     dim = spark.createDataFrame([("AAA", "Alpha", "A-town", "AL")] * 2, "code string, name string, city string, state string")
     rows = with_names(df, dim, "code", names={"Name": "name", "City": "city", "State": "state"}).collect()
     assert sorted(map(tuple, rows)) == [("AAA", "Alpha", "A-town", "AL"), ("BBB", "BBB", None, None)]
+
+
+# ---- headers, guessed types and losses ------------------------------------------------------------
+
+
+def test_headers_are_found_by_tasks(spark, tmp_path, monkeypatch):
+    """Many small files of three headers, one with a byte order mark, odd names, empty files: no file is opened by the driver."""
+    for k in range(300):
+        folder = tmp_path / f"in {k % 7}"
+        folder.mkdir(exist_ok=True)
+        head, row = [("a,b", "{0},x"), ("b,a", "x,{0}"), ("﻿a,b,c", "{0},x,z")][k % 3]
+        (folder / f"part[{k}] +{k}.csv").write_text(f"{head}\n{row.format(k)}\n" if k % 50 else "")
+    monkeypatch.setattr(files, "hadoop_fs", None)
+    df = files.read_raw_csv(spark, [str(tmp_path / f"in {k}") for k in range(7)])
+    assert sorted(df.columns) == ["a", "b", "c"]
+    rows = df.select("a", "b", "c").collect()
+    assert sorted(int(r.a) for r in rows) == [k for k in range(300) if k % 50]
+    assert {(r.b, r.c) for r in rows} == {("x", None), ("x", "z")}
+
+
+def test_header_of_a_file_in_several_parts(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        (tmp_path / "big.csv").write_text("a,b\n" + "".join(f"{k},{k}\n" for k in range(500)))
+        (tmp_path / "small.csv").write_text("b,a\n1000,1000\n")
+        found = {r.file.rsplit("/", 1)[1]: r.header for r in files._first_lines(spark, [str(tmp_path)]).collect()}
+        assert found == {"big.csv": "a,b", "small.csv": "b,a"}
+        assert files.read_raw_csv(spark, str(tmp_path)).where("a = b").count() == 501
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_names_of_a_header():
+    assert files.header_names('"a b",,A,a b,"x,y",') == ["a b0", "_c1", "A", "a b3", "x,y", "_c5"]
+
+
+def test_types_are_guessed_by_name(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("i,big,d,day,at,flag,text,none\n1,1,1,2024-01-05,2024-01-05 10:00,true,2024,\n-7,2, 2.5 ,2024-1-6,2024-01-05T10:00:01Z,False,x,\n")
+    (tmp_path / "2.csv").write_text("text,none,i,d,flag,at,day,big\n3,,,.5,TRUE,,,3000000000\n\"\",,0012,1e3,,,,\n")
+    df = files.read_csv_inferred(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"i": "int", "big": "bigint", "d": "double", "day": "date", "at": "timestamp", "flag": "boolean", "text": "string", "none": "string"}
+    assert df.agg(F.sum("i"), F.sum("d"), F.count("day"), F.max("big"), F.count("text")).first()[:] == (6, 1004.0, 2, 3_000_000_000, 3)
+    (tmp_path / "3.csv").write_text("i,day\nNaN,2024-13-01\n")
+    assert dict(files.read_csv_inferred(spark, str(tmp_path)).dtypes)["i"] == dict(files.read_csv_inferred(spark, str(tmp_path)).dtypes)["day"] == "string"
+
+
+def test_every_loss_is_counted(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text("Year,Month,ArrDelay,Origin\n2024,1,5,AAA\n2x24,2,oops,BBB\n2024,3\n2024,4, ,CCC\n2024,5,1.00,DDD,more\n")
+    (raw / "b.csv").write_text("Origin,Year\nEEE,2023\nFFF,\n")
+    (raw / "c.csv").write_text("Year,Month\n")
+    got = files.load_raw(spark, str(raw), str(tmp_path / "cleaned"), str(tmp_path / "rejects")).collect()
+    assert {(r.file.rsplit("/", 1)[1], r.rows_in, r.rows_out, r.rejected, tuple(sorted((r.lost or {}).items()))) for r in got} == {
+        ("a.csv", 5, 3, 2, (("ArrDelay", 1), ("Year", 1))),
+        ("b.csv", 2, 2, 0, ()),
+    }
+    kept = files.read_flights(spark, str(tmp_path / "cleaned"))
+    assert sorted((r.Origin, r.Year, r.ArrDelay) for r in kept.collect()) == [("AAA", 2024, 5.0), ("BBB", None, None), ("CCC", 2024, None), ("EEE", 2023, None), ("FFF", None, None)]
+    assert set(kept.columns) == {*FLIGHT_COLUMNS, "Dep_Hour", "Route"}
+    assert sorted(r.line for r in spark.read.parquet(str(tmp_path / "rejects")).collect()) == ["2024,3", "2024,5,1.00,DDD,more"]

@@ -45,7 +45,7 @@ def test_a_run_that_stops_anywhere_leaves_the_release_before(spark, tmp_path, mo
 
     def breaks(spark, target, version, entries):
         if stop_at == "half a pointer":
-            fs, path = hadoop_fs(spark, f"{target}/releases/{version:08d}.json")
+            fs, path = hadoop_fs(spark, f"{target}/releases/{version:012d}.json")
             out = fs.create(path, False)
             out.write(bytearray(b'{"version": 2, "tables": {"a": '))
             out.close()
