@@ -31,7 +31,7 @@ from punctual.llm.text import (
 )
 from punctual.runtime import cut, kept_dir, scratch
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 SKETCH_BITS = 1024
 #: Larger sketches of large sets, by the least size that gets one: their distances still tell large sets apart.
 LARGER = {"mid": (800, 1 << 14), "wide": (6400, 1 << 16)}
@@ -40,7 +40,7 @@ BLOCK = 2048
 #: One in so many tokens takes part in the statistics of shared tokens.
 UNIVERSE = 64
 #: Keys that a task packs at once, and that it takes back at once on the average.
-KEYS_AT_ONCE, KEYS_PER_PART = 1 << 21, 1 << 21
+KEYS_AT_ONCE, KEYS_PER_PART = 1 << 20, 1 << 20
 #: Repeated rows that readers leave out; beyond, the rest is written anew.
 FEW = 100_000
 #: What it costs to compare two sets, in rows of the index.

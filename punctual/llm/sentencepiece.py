@@ -33,7 +33,7 @@ SPACE = "▁"
 CHUNK = 16_384
 #: Characters that a chunk sees of the next one; no piece is longer.
 AHEAD = 64
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 #: Words of up to so many characters are solved in step with others of their length.
 IN_STEP = 40
 NEVER = -(1 << 60)

@@ -204,7 +204,7 @@ def filter_bits(n: int) -> int:
 
     From 2**24 hashes on it is less sharp; what depends on it then does more work, with the same result.
     """
-    return min(28, max(16, n.bit_length() + 6))
+    return min(28, max(16, n.bit_length() + 4))
 
 
 def free_name(df: DataFrame, name: str) -> str:
