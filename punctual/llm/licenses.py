@@ -31,8 +31,6 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee is hereby granted"),
 ]
 
-#: Licence words of a text, rarest first, to which the SQL in oracle.py is limited; ``scan`` looks up all.
-LOOKED_UP = 16
 #: Least share of a template's weight that must be in place.
 LEAST = 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from punctual.llm.licenses import LEAST, LOOKED_UP, LOWER, PHRASES, TEMPLATES, UPPER
+from punctual.llm.licenses import LEAST, LOWER, PHRASES, TEMPLATES, UPPER
 
 
 def _words(text: str, pattern: str) -> str:
@@ -83,11 +83,9 @@ base_of AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(sta
 vocabulary AS (SELECT DISTINCT w FROM template),
 frequency AS (SELECT w, count(DISTINCT doc_id) AS df FROM word JOIN vocabulary USING (w) GROUP BY w),
 weight AS (SELECT w, round(ln(((SELECT count(*) FROM documents) + 1) / (coalesce(df, 0) + 1)), 9) AS x FROM vocabulary LEFT JOIN frequency USING (w)),
-looked AS (SELECT doc_id, w FROM (SELECT DISTINCT doc_id, w, x FROM word JOIN weight USING (w))
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY x DESC, w) <= {LOOKED_UP}),
 rare AS (SELECT t, w, i FROM (SELECT t, w, min(i) AS i, any_value(x) AS x FROM template JOIN weight USING (w) GROUP BY t, w)
   QUALIFY row_number() OVER (PARTITION BY t ORDER BY x DESC, w) <= 2),
-starts AS (SELECT doc_id, t, pos - i AS start FROM word JOIN rare USING (w) JOIN looked USING (doc_id, w) GROUP BY ALL HAVING count(*) = 2),
+starts AS (SELECT doc_id, t, pos - i AS start FROM word JOIN rare USING (w) GROUP BY ALL HAVING count(*) = 2),
 placed AS (SELECT s.doc_id, s.t, s.start, sum(x) FILTER (word.w = m.w) / sum(x) AS share,
     count(*) FILTER (word.w = m.w AND i >= key_at AND i < key_at + key_n) AS keys, any_value(key_n) AS key_n, any_value(label) AS label
   FROM starts s JOIN head USING (t) JOIN template m USING (t) JOIN weight ON weight.w = m.w
