@@ -864,6 +864,22 @@ def events_enriched(spark, sf_dir):
     return out.withColumn("event_timestamp", F.date_format("event_timestamp", _STAMP))
 
 
+@query
+def events_flight_fields(spark, sf_dir):
+    """Flight events with their departure half: flight id, clock label, clamped departure delay."""
+    rows = table(spark, sf_dir, "events")
+    raw = _flight_events(rows).join(rows.select("event_id", "user_id"), "event_id")
+    raw = raw.withColumns(
+        {
+            "flight_number": F.col("user_id"),
+            "crs_dep_hour": (F.col("event_id") % 24).cast("int"),
+            "crs_dep_minute": (F.col("event_id") % 4 * 15).cast("int"),
+            "dep_delay": F.col("arr_delay") + F.col("event_id") % 5 - 2,
+        }
+    )
+    return events.enrich_events(raw).select("event_id", "flight_id", "crs_dep_time", "dep_delay_minutes", "arr_delay_minutes", "status")
+
+
 @query
 def live_metrics_batch(spark, sf_dir):
     rows = events.enrich_events(_flight_events(table(spark, sf_dir, "events")))

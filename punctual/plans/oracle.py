@@ -632,6 +632,11 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) FILTER (WHERE event_id % 7 <> 0) AS in_windows, "
         "count(*) FILTER (WHERE event_id % 7 = 0) AS rejected FROM events"
     ),
+    "events_flight_fields": _EVENT
+    + "SELECT event_id, concat(reporting_airline, user_id) AS flight_id, "
+    "printf('%02d:%02d', event_id % 24, event_id % 4 * 15) AS crs_dep_time, "
+    "greatest(arr_delay + event_id % 5 - 2, 0) AS dep_delay_minutes, greatest(arr_delay, 0) AS arr_delay_minutes, "
+    "CASE WHEN arr_delay >= 15 THEN 'Delayed' ELSE 'On-Time' END AS status FROM e JOIN events USING (event_id)",
     "stream_late_rows": _EVENT
     + ", t AS (SELECT *, event_id % 3 AS part, time_bucket(INTERVAL 1 HOUR, ts) AS w FROM e WHERE event_id % 7 <> 0), "
     "bound AS (SELECT p AS part, (SELECT max(ts) FROM t WHERE part < p) - INTERVAL 10 DAY AS b FROM (VALUES (0), (1), (2)) v(p)), "
