@@ -135,6 +135,38 @@ def importance(
     return table.orderBy(F.desc(F.abs("weight")), "feature")
 
 
+def gradient(
+    model: PipelineModel,
+    df: DataFrame,
+    categorical: Sequence[str] = CATEGORICAL,
+    numeric: Sequence[str] = NUMERIC,
+) -> DataFrame:
+    """The mean gradient of the logistic loss at a model's weights: kind, feature, rows, gradient.
+
+    ``kind`` is a categorical column (one row per category in ``df``), ``number`` or ``intercept``. A number counts as
+    centred and in units of its standard deviation. At the optimum of a fit without a penalty all entries vanish on the
+    training rows, so this checks a fit without trusting it. One grouped pass; rows that the model skips take no part.
+    """
+    residual = (vector_to_array("probability")[1] - F.col("label")).alias("residual")
+    inputs = [(F.lit(c), F.col(c).cast("string"), F.lit(1.0)) for c in categorical]
+    inputs += [(F.lit("number"), F.lit(c), F.col(c).cast("double")) for c in numeric]
+    inputs.append((F.lit("intercept"), F.lit("intercept"), F.lit(1.0)))
+    each = F.array(*(F.struct(k.alias("kind"), f.alias("feature"), v.alias("value")) for k, f, v in inputs))
+    rows = score(model, df).select(residual, F.inline(each))
+    with scratch(df.sparkSession, "gradient") as path:
+        sums = rows.groupBy("kind", "feature").agg(
+            F.count("*").alias("rows"),
+            F.sum("residual").alias("total"),
+            F.covar_pop("residual", "value").alias("covariance"),
+            F.stddev_pop("value").alias("deviation"),
+        )
+        sums = cut(sums, path=path)
+        n = sums.where("kind = 'intercept'").first()
+        of_number = F.when(F.col("deviation") > 0, F.col("covariance") / F.col("deviation")).otherwise(0.0)
+        mean = F.when(F.col("kind") == "number", of_number).otherwise(F.col("total") / (n["rows"] if n else 1))
+        return cut(sums.select("kind", "feature", "rows", mean.alias("gradient")))
+
+
 def predictions(pred: DataFrame, limit: int | None = None, seed: int = 42) -> DataFrame:
     """The published prediction table: rounded probability, risk bucket; all rows, or a repeatable sample of ``limit``.
 

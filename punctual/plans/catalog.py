@@ -7,6 +7,9 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import SparkRuntimeException
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from punctual import functions as fn
@@ -14,7 +17,7 @@ from punctual.ml import features, metrics, models
 from punctual.operators import checks, incremental, population, ranking, serving, tables, text
 from punctual.operators.lookup import with_names
 from punctual.operators.rollup import rate_rollup
-from punctual.plans import sql
+from punctual.plans import batch, sql
 from punctual.plans.demo import COLUMNS, flights, scored, table
 from punctual.runtime import cut, hadoop_fs, kept_dir, scratch
 from punctual.schema import CLICK_EVENT_SCHEMA, CONTRACTS, FLIGHT_COLUMNS, struct
@@ -545,6 +548,26 @@ def parquet_by_year(spark, sf_dir):
         return cut(tables.calendar_delays(population.in_years(files.read_flights(spark, path), 1997, 1999)))
 
 
+@query
+def written_counts(spark, sf_dir):
+    """Rows that the write of the fact reports, beside those that lie there per year."""
+    with scratch(spark, "flights") as path:
+        written = files.write_flights(fact(spark, sf_dir, "calendar_delays"), path)
+        there = files.read_flights(spark, path).groupBy("Year").agg(F.count("*").alias("Flights"))
+        return cut(there.withColumn("Written", F.lit(written).cast("bigint")))
+
+
+@query
+def batch_run(spark, sf_dir):
+    """The whole batch from raw CSV files: rows of the fact and of every published table, predictions included."""
+    with scratch(spark, "batch") as path:
+        columns = [c for c in COLUMNS if c not in ("Dep_Hour", "Route")]
+        files.write_csv(_raw_text(flights(spark, sf_dir, *columns)), f"{path}/raw")
+        done = batch.run_batch(spark, f"{path}/raw", f"{path}/cleaned", f"{path}/serving")
+    counts = [("flights", done.fact_rows), *done.published.items()]
+    return spark.createDataFrame(counts, "table_name string, table_rows bigint")
+
+
 @query
 def raw_manifest_months(spark, sf_dir):
     return manifest.month_coverage(flights(spark, sf_dir, "Year", "Month"))
@@ -610,6 +633,15 @@ def prediction_table(spark, sf_dir):
     return out.withColumn("FlightDate", F.col("FlightDate").cast("string"))
 
 
+@query
+def prediction_table_vector(spark, sf_dir):
+    """The prediction table where the score comes as a vector of both classes' probabilities."""
+    rows = scored(spark, sf_dir, *_REPORT)
+    rows = rows.withColumn("probability", array_to_vector(F.array(1 - F.col("score"), "score"))).drop("score")
+    out = _widened(checks.apply_contract(models.predictions(rows), "ml_delay_predictions"))
+    return out.withColumn("FlightDate", F.col("FlightDate").cast("string"))
+
+
 @query
 def prediction_sample(spark, sf_dir):
     """A published sample: 50,000 rows in hash order."""
@@ -705,6 +737,32 @@ def model_comparison(spark, sf_dir):
         return models.compare(fitted, test)
 
 
+@query
+def rule_comparison(spark, sf_dir):
+    """Two fixed rules through the comparison of models: the score as the probability, and its tenths."""
+
+    def rule(late: str) -> PipelineModel:
+        chosen = f"SELECT label, 1D - {late} AS punctual, {late} AS late, CAST({late} >= 0.5D AS DOUBLE) AS prediction FROM __THIS__"
+        both = VectorAssembler(inputCols=["punctual", "late"], outputCol="probability")
+        return PipelineModel(stages=[SQLTransformer(statement=chosen), both])
+
+    with scratch(spark, "rules") as path:
+        test = cut(scored(spark, sf_dir).select("label", "score"), path=path)
+        out = models.compare({"score": rule("score"), "tenths": rule("(floor(score * 10) / 10)")}, test)
+    return out.withColumns({c: F.round(c, 9) for c in ("auc_roc", "auc_pr", "f1")})
+
+
+@query
+def model_gradient(spark, sf_dir):
+    """Features of a converged logistic regression, and those along which its loss has no slope left."""
+    train, _ = features.default_split(_training(spark, sf_dir))
+    with scratch(spark, "training") as path:
+        rows = models.training_table(train, path)
+        slopes = models.gradient(models.train(rows, "lr", max_iter=200, written=True), rows)
+    flat = F.count_if(F.abs("gradient") <= 1e-3)
+    return slopes.groupBy("kind").agg(F.count("*").alias("features"), flat.alias("flat"))
+
+
 @query
 def feature_importance(spark, sf_dir):
     train, _ = features.default_split(_training(spark, sf_dir))
@@ -733,6 +791,14 @@ def word_count_conversations(spark, sf_dir):
     return text.word_count(table(spark, sf_dir, "conversations"), "text")
 
 
+@query
+def event_lines(spark, sf_dir):
+    """Event types and payloads as text files, read back line by line: words and how often they come."""
+    with scratch(spark, "lines") as path:
+        table(spark, sf_dir, "events").select(F.concat_ws(" ", "event_type", "props")).write.text(path)
+        return cut(text.word_count(files.read_lines(spark, path), "value"))
+
+
 @query
 def category_count(spark, sf_dir):
     sql.register({"event_rows": table(spark, sf_dir, "events")})

@@ -523,6 +523,16 @@ ORACLE: dict[str, str] = {
         "FROM f GROUP BY 1, 2"
     ),
     "parquet_by_year": _sql("SELECT * FROM calendar WHERE Year BETWEEN 1997 AND 1999"),
+    "written_counts": _sql(
+        "SELECT Year, count(*) AS Flights, CAST(sum(count(*)) OVER () AS BIGINT) AS Written FROM f GROUP BY Year"
+    ),
+    "batch_run": _sql(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS table_rows FROM {cte}" for name, cte in _TABLE_OF.items()
+        )
+        + " UNION ALL SELECT 'flights', count(*) FROM f UNION ALL SELECT 'ml_delay_predictions', count(*) FROM g "
+        "WHERE op AND Year = (SELECT max(Year) FROM g WHERE op)"
+    ),
     "raw_manifest_months": _sql(f"SELECT Year, Month, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
     "raw_manifest_files": _sql(f"SELECT Year, Month, n > 0 AS landed, n AS \"rows\", n > 0 AS ok {_MONTHS}"),
     "risk_buckets": _sql("SELECT score AS P, Risk_Category, count(*) AS Flights FROM p GROUP BY 1, 2"),
@@ -570,6 +580,31 @@ ORACLE: dict[str, str] = {
         f"{_hash('FlightDate', 'Reporting_Airline', 'Origin', 'Dest', 'Dep_Hour', 'ArrDel15')} AS h FROM g WHERE op) "
         f"WHERE Year < last AND h < 0.15 * {1 << 52}) GROUP BY kind UNION ALL SELECT 'number', 5"
     ),
+    "model_gradient": _sql(
+        "SELECT kind, count(DISTINCT value) AS features, count(DISTINCT value) AS flat FROM (SELECT unnest(["
+        "{'kind': 'Reporting_Airline', 'value': Reporting_Airline}, {'kind': 'Origin', 'value': Origin}, "
+        "{'kind': 'Dest', 'value': Dest}], recursive := true) FROM (SELECT *, max(Year) OVER () AS last, "
+        f"{_hash('FlightDate', 'Reporting_Airline', 'Origin', 'Dest', 'Dep_Hour', 'ArrDel15')} AS h FROM g WHERE op) "
+        f"WHERE Year < last AND h < 0.15 * {1 << 52}) GROUP BY kind "
+        "UNION ALL SELECT 'number', 5, 5 UNION ALL SELECT 'intercept', 1, 1"
+    ),
+    "rule_comparison": _sql(
+        ", r AS (SELECT 'score' AS model, label, CAST(score AS DOUBLE) AS score FROM s "
+        "UNION ALL SELECT 'tenths', label, floor(CAST(score AS DOUBLE) * 10) / 10 FROM s), "
+        "steps AS (SELECT model, score, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n "
+        "FROM r GROUP BY 1, 2), below AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM steps "
+        "WINDOW w AS (PARTITION BY model ORDER BY score DESC)), areas AS (SELECT model, "
+        "round(sum(CAST(p AS DOUBLE) * (tot - fp + n / 2e0)) / (sum(p) * any_value(tot)), 9) AS auc_roc, "
+        "round(sum(p * (coalesce((tp - p) / nullif(CAST(tp - p + fp - n AS DOUBLE), 0), tp / CAST(tp + fp AS DOUBLE)) "
+        "+ tp / CAST(tp + fp AS DOUBLE)) / 2) / sum(p), 9) AS auc_pr "
+        "FROM (SELECT *, sum(n) OVER (PARTITION BY model) AS tot FROM below) GROUP BY 1), "
+        f"cells AS (SELECT model, {', '.join(f'{e} AS {n}' for n, e in _CELLS.items())} FROM "
+        "(SELECT *, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS prediction FROM r) GROUP BY 1) "
+        f"SELECT model, auc_roc, auc_pr, {_pct('(tp + tn)', '(tn + fp + fn + tp)')} / 100.0 AS accuracy, "
+        f"round(({_F1_LATE} * (tp + fn) + {_F1_ONTIME} * (tn + fp)) / (tn + fp + fn + tp), 9) AS f1, "
+        f"{_pct('tp', '(tp + fp)')} / 100.0 AS precision, {_pct('tp', '(tp + fn)')} / 100.0 AS recall, "
+        f"{_pct('greatest(tp + fn, tn + fp)', '(tn + fp + fn + tp)')} / 100.0 AS majority_accuracy FROM areas JOIN cells USING (model)"
+    ),
     "delay_model_coverage": _sql(
         "SELECT Year, Reporting_Airline, count(*) AS Scored, count(*) FILTER (WHERE ArrDel15 = 1) AS Late_Flights "
         "FROM g WHERE op AND Year = (SELECT max(Year) FROM g WHERE op) GROUP BY 1, 2"
@@ -612,6 +647,7 @@ ORACLE: dict[str, str] = {
     ),
     "word_count": _words("documents"),
     "word_count_conversations": _words("conversations"),
+    "event_lines": _words("(SELECT concat_ws(' ', event_type, props) AS text FROM events)"),
     "category_count": 'SELECT event_type AS category, count(*) AS "count" FROM events GROUP BY 1',
     "view_total_rows": _sql("SELECT count(*) AS total_rows FROM f"),
     "preview_first_n": "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 10",
@@ -655,3 +691,4 @@ ORACLE: dict[str, str] = {
     + "SELECT reporting_airline, CASE WHEN arr_delay >= 15 THEN 'Delayed' ELSE 'On-Time' END AS status, "
     "count(*) AS events, CAST(sum(greatest(arr_delay, 0)) AS BIGINT) AS minutes FROM e GROUP BY 1, 2",
 }
+ORACLE["prediction_table_vector"] = ORACLE["prediction_table"]

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from punctual.ml import features, metrics, models
@@ -165,3 +167,32 @@ def test_wrong_arguments(spark, fitted):
         models.train(test, "forest")
     with pytest.raises(ValueError):
         models.train(test, "gbt", max_depth=6)
+
+
+def test_gradient_follows_its_definition(spark):
+    """Beside plain sums over the rows away from the optimum; at the optimum there is none."""
+    rng = np.random.default_rng(3)
+    carriers, places = list("ABC"), list("PQRS")
+    rows = [
+        (str(rng.choice(carriers)), str(rng.choice(places)), str(rng.choice(places)), *map(float, rng.integers(1, 12, 4)), 7.0, int(rng.random() < 0.4))
+        for _ in range(300)
+    ]
+    kinds = ", ".join([f"{c} string" for c in features.CATEGORICAL] + [f"{c} double" for c in features.NUMERIC] + ["label int"])
+    df = spark.createDataFrame(rows, kinds)
+    model = models.train(df, "lr", max_iter=1)
+    late = {tuple(r[:-1]): r[-1] for r in models.score(model, df).select(*features.CATEGORICAL, *features.NUMERIC, F.element_at(vector_to_array("probability"), 2)).collect()}
+    apart = np.array([late[r[:-1]] - r[-1] for r in rows])
+    found = {(r["kind"], r["feature"]): (r["rows"], r["gradient"]) for r in models.gradient(model, df).collect()}
+    assert found["intercept", "intercept"] == (300, pytest.approx(apart.mean()))
+    for k, c in enumerate(features.CATEGORICAL):
+        for value in {r[k] for r in rows}:
+            own = np.array([r[k] == value for r in rows])
+            assert found[c, value] == (own.sum(), pytest.approx(apart[own].sum() / 300))
+    for k, c in enumerate(features.NUMERIC, start=len(features.CATEGORICAL)):
+        x = np.array([r[k] for r in rows])
+        expected = (apart * (x - x.mean())).mean() / x.std() if x.std() else 0.0
+        assert found["number", c] == (300, pytest.approx(expected))
+    assert len(found) == 1 + len(features.NUMERIC) + 3 + 4 + 4
+    fitted = models.gradient(models.train(df, "lr", max_iter=200), df)
+    assert fitted.where("abs(gradient) > 1e-4").isEmpty()
+    assert models.gradient(model, df.limit(0)).isEmpty()
