@@ -1,8 +1,9 @@
-"""Token-ID output: texts encoded, ordered by document, one wavelet matrix per shard, read back from the files.
+"""Token-ID output: texts encoded, ordered by document, kept as wavelet matrices, read back from the files.
 
-A shard is one file that Spark commits (Parquet, one row per shard): number of the shard, the documents' ids, token
-counts and checksums of the whole, bit-planes, zero counts and rank directories, each column compressed. Spark's
-commit keeps files of lost or repeated tasks out, on any file system the session reaches.
+A shard is one file that Spark commits (Parquet, one row per block of documents): numbers of the shard and the block, the
+documents' ids and token counts, bit-planes, zero counts and rank directories, each column compressed. Spark's
+commit keeps files of lost or repeated tasks out, on any file system the session reaches. Ids are read back whole
+(``read_tokens``), by place (``token_at``), or counted and found by id (``occurrences``, ``places_of``).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from punctual.llm.kneser_ney import unique_keys
@@ -31,6 +32,10 @@ SHARD_BYTES = 16 << 20
 #: A matrix takes the documents that begin within so many tokens; a shard has several matrices, in order.
 BLOCK_TOKENS = 200_000
 CACHED_WORDS = 2_500_000
+#: Shards whose totals are summed up in one task; the groups of so many are summed up in another.
+GROUP = 4096
+#: Places of one block that one row asks for, rows that one batch answers.
+ASKED = 100_000
 
 FILE = StructType(
     [
@@ -220,6 +225,27 @@ def matrix_of(row) -> WaveletMatrix:
     return WaveletMatrix(row["size"], [bytes(p) for p in row["planes"]], list(row["zeros"]), [bytes(r) for r in row["ranks"]])
 
 
+def _before(value: str, order: str, *within: str) -> Column:
+    """The sum of a column over the rows before, inside groups."""
+    window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+
+def _bases(files: DataFrame) -> DataFrame:
+    """(shard, block, base, size): the tokens before every block.
+
+    Sums run inside shards, then over the shards of a group, then over the groups: no task gets all blocks or shards.
+    Written, so that Spark knows how small it is when it joins.
+    """
+    sizes = files.select("shard", "block", "size")
+    shards = sizes.groupBy("shard").agg(F.sum("size").alias("total"))
+    shards = cut(shards.withColumn("group", F.floor(F.col("shard") / GROUP)))
+    groups = shards.groupBy("group").agg(F.sum("total").alias("total")).select("group", _before("total", "group").alias("of_group"))
+    shards = shards.join(groups, "group").select("shard", (F.col("of_group") + _before("total", "shard", "group")).alias("of_shard"))
+    inside = sizes.withColumn("inside", _before("size", "block", "shard"))
+    return cut(inside.join(shards, "shard").select("shard", "block", (F.col("of_shard") + F.col("inside")).alias("base"), "size"))
+
+
 def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     """Per document of the files: doc_id, start (tokens of all documents before it), n_tokens, and its ids.
 
@@ -227,11 +253,7 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
     little-endian unsigned 32-bit integers. Both are read from the bit-planes.
     """
     files = spark.read.schema(FILE).parquet(path)
-    order = Window.orderBy("shard", "block").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per block of millions of tokens; written, so that Spark knows how small it is when it joins
-    sizes = files.select("shard", "block", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("base"))
-    starts = cut(sizes)
-
+    starts = _bases(files).drop("size")
     names = ["shard", "block", "doc_id", "start", "n_tokens"]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,3 +293,55 @@ def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
 
     files = spark.read.schema(FILE).parquet(path).select("shard", "block", "size", "zeros", "planes", "ranks")
     return files.mapInArrow(count, "shard int, block int, n long")
+
+
+def places_of(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """(doc_id, place): every place where an id occurs, found by selects; only blocks that hold it give rows.
+
+    Places count from 0 over all tokens of the files, end ids included, as ``start`` of ``read_tokens`` does. An id
+    that no plane can hold gives no row; documents without an id have a null there.
+    """
+    files = spark.read.schema(FILE).parquet(path)
+    kinds = {"shard": pa.int32(), "block": pa.int32(), "doc_id": pa.int64(), "at": pa.int64()}
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                at, docs = matrix_of(row).places(token), pa.array(row["doc_ids"], pa.int64())
+                owner = np.searchsorted(np.cumsum(row["doc_tokens"]), at, side="right")
+                for low in range(0, len(at), ASKED):
+                    part = at[low : low + ASKED]
+                    columns = [[row["shard"]] * len(part), [row["block"]] * len(part), docs.take(pa.array(owner[low : low + ASKED])), part]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    found = files.mapInArrow(find, "shard int, block int, doc_id long, at long")
+    return found.join(_bases(files), ["shard", "block"]).select("doc_id", (F.col("base") + F.col("at")).alias("place"))
+
+
+def token_at(spark: SparkSession, path: str, places: DataFrame, place: str = "place") -> DataFrame:
+    """(place, token): the id at every different place asked for, by ranks in the block that holds it.
+
+    Places count as in ``places_of``. Null ones give no row, negative ones and those behind the end a null token. Of
+    ``places`` only the column ``place`` is read, as a long.
+    """
+    files = spark.read.schema(FILE).parquet(path)
+    wanted = cut(places.select(F.col(place).cast("long").alias("place")).where("place IS NOT NULL").distinct())
+    # blocks and places meet by stretches of the whole; a block lies in few of them, unless it is one giant document
+    blocks = _bases(files).where("size > 0")
+    stretches = F.sequence(F.expr(f"base div {BLOCK_TOKENS}"), F.expr(f"(base + size - 1) div {BLOCK_TOKENS}"))
+    blocks = blocks.withColumn("stretch", F.explode(stretches))
+    met = wanted.withColumn("stretch", F.expr(f"place div {BLOCK_TOKENS}")).join(blocks, "stretch")
+    met = met.where("place >= base AND place < base + size").withColumn("at", F.col("place") - F.col("base"))
+    lists = met.groupBy("shard", "block", "base", F.floor(F.col("at") / ASKED).alias("part")).agg(F.collect_list("at").alias("at"))
+    asked = files.select("shard", "block", "size", "zeros", "planes", "ranks").join(cut(lists.drop("part")), ["shard", "block"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                matrix, at = matrix_of(row), row["at"]
+                columns = [[row["base"] + i for i in at], [matrix.access(i) for i in at]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in columns], names=["place", "token"])
+
+    return wanted.join(asked.mapInArrow(answer, "place long, token long"), "place", "left")

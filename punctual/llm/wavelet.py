@@ -86,6 +86,18 @@ class WaveletMatrix:
             at = self._select(k, at - self.zeros[k], True) if one else self._select(k, at, False)
         return at
 
+    def places(self, token: int) -> np.ndarray:
+        """All places of an id, ascending: its stretch behind the last plane, carried up plane by plane."""
+        if token < 0 or token >> len(self.planes):
+            return np.zeros(0, dtype=np.int64)
+        at = np.arange(*self._narrow(token, 0, self.size))
+        for k in range(len(self.planes) - 1, -1, -1):
+            if not len(at):
+                break
+            one = token >> (len(self.planes) - 1 - k) & 1
+            at = np.flatnonzero(self._bits(k) == one)[at - self.zeros[k] if one else at]
+        return at
+
     def _select(self, plane: int, nth: int, one: bool) -> int:
         ones = np.frombuffer(self.ranks[plane], dtype=np.uint32).astype(np.int64)
         before = ones if one else np.arange(len(ones)) * STEP - ones

@@ -263,6 +263,8 @@ ODD = [
 
 def test_token_files(spark, documents, monkeypatch):
     monkeypatch.setattr(tokens, "BLOCK_TOKENS", 5000)
+    monkeypatch.setattr(tokens, "GROUP", 2)
+    monkeypatch.setattr(tokens, "ASKED", 300)
     rows = [*documents, *((10_000 + i, t) for i, t in enumerate(ODD)), (None, "no id"), (3, "twice"), (3, "twice")]
     path, vocabulary = kept_dir(spark, "test"), public_tokenizers.path("byte_bpe_50k.json")
     tokens.write_tokens(frame(spark, rows).withColumn("shard", F.lit(1)), path, vocabulary, shard_bytes=40_000)
@@ -277,9 +279,19 @@ def test_token_files(spark, documents, monkeypatch):
     stream = Counter(x for _, ids in want for x in ids)
     for token in (0, 262, 50256, 50000):
         assert tokens.occurrences(spark, path, token).agg(F.sum("n")).first()[0] == stream[token]
+    whole = [(r.doc_id, x) for r in got for x in r.ids]
+    for token in (0, 262, 50256, 50000, 1 << 20):
+        found = sorted(((r.place, r.doc_id) for r in tokens.places_of(spark, path, token).collect()), key=str)
+        assert found == sorted(((k, i) for k, (i, x) in enumerate(whole) if x == token), key=str)
+    asked = [*range(0, len(whole), 7), *range(0, len(whole), 7), -1, len(whole) - 1, len(whole), None]
+    places = spark.createDataFrame([(k, 1) for k in asked], "place long, token int").repartition(3)
+    answers = {r.place: r.token for r in tokens.token_at(spark, path, places).collect()}
+    assert answers == {k: whole[k][1] if 0 <= k < len(whole) else None for k in asked if k is not None}
+    assert tokens.token_at(spark, path, places.limit(0)).count() == 0
     nothing = kept_dir(spark, "test")
     tokens.write_tokens(frame(spark, rows).limit(0), nothing, vocabulary)
-    assert tokens.read_tokens(spark, nothing).count() == 0
+    assert tokens.read_tokens(spark, nothing).count() == tokens.places_of(spark, nothing, 0).count() == 0
+    assert {r.token for r in tokens.token_at(spark, nothing, places).collect()} == {None}
 
 
 @pytest.mark.parametrize("size,top,bits", [(0, 4, 3), (1, 1, 1), (511, 7, 3), (512, 3, 2), (1537, 300, 9), (5000, 70_000, 17)])
@@ -293,7 +305,8 @@ def test_wavelet_matrix(size, top, bits):
         assert matrix.count(token, at // 2, at) == int((ids[at // 2 : at] == token).sum())
         before = int((ids[:at] == token).sum())
         assert matrix.select(token, before) == at
-    assert matrix.count(1 << bits) == 0 and matrix.select(0, size) is None
+        assert matrix.places(token).tolist() == np.flatnonzero(ids == token).tolist()
+    assert matrix.count(1 << bits) == len(matrix.places(1 << bits)) == 0 and matrix.select(0, size) is None
 
 
 # ---- SentencePiece ------------------------------------------------------------------------------
