@@ -50,9 +50,12 @@ class Grid:
             at += book.shape[1]
             d = ((part**2).sum(1)[:, None] - 2 * part @ book.T) + (book**2).sum(1)[None, :]
             own = d.argmin(1)
-            gap = np.sqrt(np.maximum(((book[:, None, :] - book[None, :, :]) ** 2).sum(2), 0))[own]
-            lower = np.maximum(d - d[np.arange(len(d)), own][:, None], 0) / (2 * np.where(gap > 0, gap, 1))
-            lower[gap == 0] = 0
+            # distances of the own centroids to all, per vector as many numbers as d has
+            norms = (book**2).sum(1)
+            gap2 = norms[own][:, None] + norms[None, :] - 2 * book[own] @ book.T
+            same = gap2 <= 1e-12 * (norms[own][:, None] + norms[None, :])  # as good as one centroid: no bisector
+            lower = np.maximum(d - d[np.arange(len(d)), own][:, None], 0) / (2 * np.sqrt(np.where(same, 1, gap2)))
+            lower[same] = 0
             lower[np.arange(len(d)), own] = 0
             out.append(lower**2)
         return out[0], out[1]
@@ -141,19 +144,27 @@ def link_vectors(
 def _found(nodes: DataFrame, threshold: float, target_recall: float, sample: int, cell: int, work: str) -> DataFrame:
     """(node, other, links): other null: direct links of the node; else a link, enough of them to connect a component."""
     spark = nodes.sparkSession
-    tally = nodes.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels")).collect()
+    labels = nodes.groupBy(F.size("vector").alias("d"), "label").agg(F.count(F.lit(1)).alias("n"))
+    # labels of about one size share a grid: tiers by the number of hexadecimal digits
+    labels = cut(labels.withColumn("tier", F.length(F.hex("n"))), path=f"{work}/labels")
+    tally = labels.groupBy("d", "tier").agg(F.sum("n").alias("n"), F.max("n").alias("largest")).collect()
     out = spark.createDataFrame([], "node long, other long, links long")
-    for r in tally:  # a table has one width of vectors as a rule
-        out = out.unionByName(_of_width(nodes.where(F.size("vector") == r["d"]), r["d"], r["n"], r["labels"], threshold, target_recall, sample, cell, f"{work}/{r['d']}"))
+    for r in tally:  # a table has one width of vectors and few tiers as a rule
+        own = nodes.where(F.size("vector") == r["d"])
+        if sum(x["d"] == r["d"] for x in tally) > 1:
+            of = labels.where((F.col("d") == r["d"]) & (F.col("tier") == r["tier"])).select("label")
+            own = own.join(of, "label", "left_semi")
+        found = _of_width(own, r["d"], r["n"], r["largest"], threshold, target_recall, sample, cell, f"{work}/{r['d']}-{r['tier']}")
+        out = out.unionByName(found)
     return out
 
 
-def _of_width(nodes: DataFrame, d: int, n: int, labels: int, threshold: float, target_recall: float, sample: int, cell: int, work: str) -> DataFrame:
+def _of_width(nodes: DataFrame, d: int, n: int, largest: int, threshold: float, target_recall: float, sample: int, cell: int, work: str) -> DataFrame:
     spark = nodes.sparkSession
     drawn = nodes.where(F.pmod(F.col("hash"), F.lit(1_000_000)) < max(1, int(min(1.0, sample / n) * 1_000_000)))
     vectors = drawn.select("vector").toArrow()["vector"].combine_chunks()
     points = vectors.flatten().to_numpy().reshape(-1, d) if len(vectors) else np.ones((1, d))
-    size = int(max(1, min(4096, np.ceil(np.sqrt(n / labels / cell)))))
+    size = int(max(1, min(4096, np.ceil(np.sqrt(largest / cell)))))
     grid = spark.sparkContext.broadcast(Grid.fit(_units(points), size, threshold, target_recall))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

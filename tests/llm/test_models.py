@@ -160,6 +160,34 @@ def test_links_between_vectors(spark, vectors, how, monkeypatch):
         assert got == want
 
 
+def test_margins_are_distances_to_bisectors():
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(400, 10))
+    grid = embeddings.Grid.fit(rows / np.linalg.norm(rows, axis=1, keepdims=True), 9, 0.98, 1.0)
+    grid.books = tuple(np.concatenate([b, b[:1]]) for b in grid.books)  # one centroid twice: no bisector between them
+    unit = rows[:50] / np.linalg.norm(rows[:50], axis=1, keepdims=True)
+    for found, book, part in zip(grid.margins(unit), grid.books, (unit[:, :5], unit[:, 5:]), strict=True):
+        for x, got in zip(part, found, strict=True):
+            far = ((book - x) ** 2).sum(1)
+            own = far.argmin()
+            gap = np.sqrt(((book - book[own]) ** 2).sum(1))
+            want = [0.0 if g == 0 else ((f - far[own]) / (2 * g)) ** 2 for f, g in zip(far, gap, strict=True)]
+            assert np.allclose(got, want, rtol=1e-6, atol=1e-12)
+
+
+def test_labels_of_different_sizes(spark):
+    """A label with most rows has a grid of its own; links are those of brute force in all labels."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(700):
+        label = 0 if k < 600 else 1 + k % 30
+        base = rng.normal(size=6) if k % 3 == 0 or not rows or rows[-1][1] != label else np.array(rows[-1][2]) + rng.normal(size=6) * 0.05
+        rows.append((k, label, [float(v) for v in base]))
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(3)
+    got = {r.id: (r.n_links, r.component_id) for r in embeddings.link_vectors(df, target_recall=1.0, cell=40).collect()}
+    assert got == brute.vectors(rows) and sum(n for n, _ in got.values()) > 200
+
+
 def test_vectors_without_rows_or_ids(spark):
     rows = [(1, 0, [1.0, 2.0]), (1, 0, [1.0, 2.0]), (None, 0, [1.0, 2.0]), (3, 0, [1.0, 2.0])]
     df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
