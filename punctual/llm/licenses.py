@@ -1,16 +1,18 @@
 """Licence scans: a positional index of rare words, relative positions, and phrases that must be there.
 
-The index holds, for each template, the words that the fewest documents contain (by document frequency over all
-texts). A text is looked up by all its licence words; a template is a candidate if both of its rarest words are among
-them, so a text with several notices gets the labels of all. Their places must imply the same start of the template; at that start the template's key phrase must stand
-word for word, and the weight (IDF) of the words that are in place is the score.
+One pass over the texts writes, per row, the places of all licence words. Document frequencies follow from that table;
+the index is built from them: for each template the postings (word, template, place in it) of the words that the fewest
+documents contain. The places are joined with the postings; a template is a candidate at every start that all of its
+rare words imply, so a text with several notices gets the labels of all. At a start the template's key phrase must
+stand word for word, and the weight (IDF) of the words that are in place is the score. Both follow from the written
+places as well, so texts are split once. Everything is a DataFrame operation.
 """
 
 from __future__ import annotations
 
-import math
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
+from punctual.runtime import cut, kept_dir, scratch
 
 # Base phrases with their labels, and notices of public licences with the phrase that each must hold.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -33,6 +35,9 @@ TEMPLATES = [
 
 #: Least share of a template's weight that must be in place.
 LEAST = 0.6
+#: Words of a template that its postings hold; all must imply the same start.
+RARE = 2
+RESULTS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -61,77 +66,105 @@ def places(words: Column, phrase: str) -> Column:
     return F.when(F.array_contains(words, parts[0]), F.filter(every, lambda i: _stands(words, i, parts))).otherwise(none)
 
 
-def _implied_starts(words: Column, word: str, at: int) -> Column:
-    """Where a template would start, for every place of a word that stands at ``at`` in it."""
-    here = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == word)
-    return F.transform(here, lambda i: i - at)
+def held_words(words: Column, vocabulary: list[str]) -> Column:
+    """(word, pos) of every word of an array that is in the vocabulary."""
+    every = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+    here = F.filter(every, lambda i: F.get(words, i).isin(vocabulary))
+    return F.transform(here, lambda i: F.struct(F.get(words, i).alias("word"), i.alias("pos")))
 
 
-def _with_key(words: Column, starts: Column, template: list[str], key: list[str]) -> Column:
-    """The starts at which the key phrase of a template stands where it should."""
-    at = next(i for i in range(len(template)) if template[i : i + len(key)] == key)
-    return F.filter(starts, lambda s: F.when(s + at >= 0, _stands(words, s + at, key)).otherwise(F.lit(False)))
+def template_words(spark: SparkSession, templates: list[tuple[str, str, str]]) -> DataFrame:
+    """(t, label, key_at, key_n, i, word): a row per word of each template."""
+    heads = []
+    for t, (label, text, key) in enumerate(templates):
+        words, phrase = text.split(" "), key.split(" ")
+        at = next((i for i in range(len(words)) if words[i : i + len(phrase)] == phrase), None)
+        if at is None:
+            raise ValueError(f"the template of {label!r} lacks its key phrase {key!r}")
+        values = {"t": t, "label": label, "text": text, "key_at": at, "key_n": len(phrase)}
+        heads.append(F.struct(*(F.lit(v).alias(k) for k, v in values.items())))
+    table = spark.range(1).select(F.explode(F.array(*heads)).alias("head")).select("head.*")
+    return table.select("t", "label", "key_at", "key_n", F.posexplode(F.split("text", " ")).alias("i", "word"))
 
 
-def _share(words: Column, template: list[str], weight: dict[str, float]):
-    """For a start, the share of the template's weight whose words are in place."""
-    total = sum(weight[w] for w in template) or 1.0
+def build_index(places: DataFrame, templates: list[tuple[str, str, str]], path: str) -> tuple[DataFrame, DataFrame]:
+    """The templates' words with their weights, and the postings (word, t, i, needed) of the RARE rarest of each.
 
-    def share(s: Column) -> Column:
-        terms = [F.when(F.get(words, s + i) == w, F.lit(weight[w])).otherwise(0.0) for i, w in enumerate(template)]
-        return sum(terms[1:], terms[0]) / total
-
-    return share
-
-
-def document_frequencies(words: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
-    """Number of rows, and for each licence word the number of rows that hold it: one row per word on the driver."""
-    present = words.select(F.array_intersect(_literal(vocabulary), "_words").alias("p"))
-    counts = present.select(F.explode("p").alias("word")).groupBy("word").count().collect()
-    return words.count(), {r["word"]: r["count"] for r in counts}
+    ``places`` has a row per text with ``held``. Weights are ln((rows + 1) / (rows with the word + 1)).
+    """
+    spark, rows = places.sparkSession, places.count()
+    present = places.select(F.explode(F.array_distinct(F.transform("held", lambda h: h["word"]))).alias("word"))
+    frequency = present.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    weight = F.round(F.log((F.lit(rows) + 1) / (F.coalesce("df", F.lit(0)) + 1)), 9)
+    weighed = template_words(spark, templates).join(frequency, "word", "left").withColumn("weight", weight).drop("df")
+    weighed = cut(weighed, path=f"{path}/templates")
+    once = weighed.groupBy("t", "word", "weight").agg(F.min("i").alias("i"))
+    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("t").orderBy(F.desc("weight"), "word"))).where(F.col("rank") <= RARE)
+    needed = F.count(F.lit(1)).over(Window.partitionBy("t"))
+    return weighed, cut(ranked.select("word", "t", "i", needed.alias("needed")), path=f"{path}/postings")
+
+
+def matches(places: DataFrame, weighed: DataFrame, postings: DataFrame, path: str) -> DataFrame:
+    """(id, found, share): labels of the templates that stand in a text, and the greatest share of a weight in place."""
+    each = places.select("id", F.explode("held").alias("h")).select("id", "h.word", "h.pos")
+    starts = each.join(postings, "word").groupBy("id", "t", (F.col("pos") - F.col("i")).alias("start"), "needed").agg(F.count(F.lit(1)).alias("n"))
+    starts = cut(starts.where("n = needed").select("id", "t", "start"), path=f"{path}/starts")
+    near = places.join(starts.select("id").distinct(), "id", "left_semi").select("id", F.explode("held").alias("h"))
+    near = near.select("id", F.col("h.pos").alias("at"), F.col("h.word").alias("stands"))
+    wanted = starts.join(weighed, "t").withColumn("at", F.col("start") + F.col("i"))
+    in_place = F.coalesce(F.col("stands") == F.col("word"), F.lit(False))
+    is_key = (F.col("i") >= F.col("key_at")) & (F.col("i") < F.col("key_at") + F.col("key_n"))
+    placed = wanted.join(near, ["id", "at"], "left").groupBy("id", "t", "start", "label", "key_n").agg(
+        F.count_if(in_place & is_key).alias("keys"),
+        F.try_divide(F.sum(F.when(in_place, F.col("weight")).otherwise(0.0)), F.sum("weight")).alias("share"),
+    )
+    good = placed.where((F.col("keys") == F.col("key_n")) & (F.col("share") >= LEAST))
+    return good.groupBy("id").agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
 
 
-def scan(df: DataFrame, text: str = "text") -> DataFrame:
+def scan(df: DataFrame, text: str = "text", templates: list[tuple[str, str, str]] | None = None, keep_text: bool = True) -> DataFrame:
     """``df`` with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
     The first five follow the base phrases alone. ``labels`` adds those of templates found by the index; ``score`` is
     the greatest share of a template's weight in place among them, 0.5 at least where a base phrase stands, else 0.
-    Null and empty texts, and texts without words, have no places, labels '' and score 0. Other columns are kept, those
-    with the names of the results replaced; repeated rows get equal results, an empty table an empty one.
+    ``templates`` lists (label, text, key phrase), lower-case words with single spaces, whole licences as well as single
+    sentences; the key phrase must stand in its text. Null and empty texts, and texts without words, have no places,
+    labels '' and score 0. Other columns are kept (``text`` unless ``keep_text`` is off), those with the names of the
+    results replaced; repeated rows get equal results, an empty table an empty one.
     """
-    results = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    plain = df.drop(*results)
-    split = [(label, t.split(" "), key.split(" ")) for label, t, key in TEMPLATES]
-    vocabulary = sorted({w for _, t, _ in split for w in t})
-    rows, frequency = document_frequencies(plain.select(words_of(F.col(f"`{text}`")).alias("_words")), vocabulary)
-    weight = {w: round(math.log((rows + 1) / (frequency.get(w, 0) + 1)), 9) for w in vocabulary}
-
-    out = plain.withColumn("_words", words_of(F.col(f"`{text}`")))
-    words = F.col("_words")
-    found = {p: places(words, p) for p in PHRASES}
-    out = out.withColumns({f"_at{i}": c for i, c in enumerate(found.values())})
-    at = [F.col(f"_at{i}") for i in range(len(found))]
-    out = out.withColumn("_places", F.concat(*at))
-    out = out.withColumn("_held", F.array_intersect(_literal(vocabulary), "_words"))
-
-    matches = []
-    for label, template, key in split:
-        rarest = sorted(set(template), key=lambda w: (-weight[w], w))[:2]
-        candidate = F.array_contains("_held", rarest[0]) & F.array_contains("_held", rarest[1])
-        starts = [_implied_starts(words, w, template.index(w)) for w in rarest]
-        best = F.array_max(F.transform(_with_key(words, F.array_intersect(*starts), template, key), _share(words, template, weight)))
-        matches.append(F.struct(F.lit(label).alias("label"), F.when(candidate, F.coalesce(best, F.lit(0.0))).otherwise(0.0).alias("share")))
-    out = out.withColumn("_matches", F.filter(F.array(*matches), lambda m: m["share"] >= LEAST))
-    base = F.array_sort(F.filter(F.array(*(F.when(F.size(c) > 0, F.lit(label)) for c, label in zip(at, PHRASES.values(), strict=True))), lambda x: x.isNotNull()))
-    every = F.array_sort(F.array_distinct(F.concat(base, F.transform("_matches", lambda m: m["label"]))))
-    top = F.coalesce(F.array_max(F.transform("_matches", lambda m: m["share"])), F.lit(0.0))
+    spark = df.sparkSession
+    templates = TEMPLATES if templates is None else templates
+    vocabulary = sorted({w for _, t, _ in templates for w in t.split(" ")})
+    own = [c for c in df.columns if c not in RESULTS and (keep_text or c != text)]
+    row = F.struct(*(F.col(f"`{c}`") for c in own)) if own else F.lit(0)
+    split = df.select(row.alias("row"), words_of(F.col(f"`{text}`")).alias("words"))
+    words = F.col("words")
+    read = split.select(
+        F.monotonically_increasing_id().alias("id"),
+        "row",
+        F.size(words).cast("long").alias("n_words"),
+        F.array(*(places(words, p) for p in PHRASES)).alias("base"),
+        held_words(words, vocabulary).alias("held"),
+    )
+    read = cut(read, path=kept_dir(spark, "licences"))
+    with scratch(spark, "licence_index") as work:
+        weighed, postings = build_index(read, templates, work)
+        found = cut(matches(read, weighed, postings, work), path=kept_dir(spark, "licence_matches"))
+        rare = [r["word"] for r in postings.select("word").distinct().collect()]  # RARE words a template at most
+    # only texts that hold a rare word can have a match, so the others need no join
+    may = F.exists("held", lambda h: h["word"].isin(rare)) if rare else F.lit(False)
+    none = {"found": F.array().cast("array<string>"), "share": F.lit(None).cast("double")}
+    out = read.where(may).join(found, "id", "left").unionByName(read.where(~may).withColumns(none))
+    at = F.flatten("base")
+    base = F.filter(F.array(*(F.when(F.size(F.col("base")[i]) > 0, F.lit(label)) for i, label in enumerate(PHRASES.values()))), lambda x: x.isNotNull())
+    every = F.concat(base, F.coalesce("found", none["found"]))
     return out.select(
-        *(F.col(f"`{c}`") for c in plain.columns),
-        F.size("_words").cast("long").alias("n_words"),
-        F.size("_places").cast("long").alias("n_base"),
-        F.array_min("_places").cast("long").alias("first_word"),
-        F.array_max("_places").cast("long").alias("last_word"),
-        F.array_join(F.array_distinct(base), ",").alias("base_labels"),
-        F.array_join(every, ",").alias("labels"),
-        F.round(F.greatest(top, F.when(F.size("_places") > 0, F.lit(0.5)).otherwise(0.0)), 6).alias("score"),
+        *(F.col(f"row.`{c}`").alias(c) for c in own),
+        "n_words",
+        F.size(at).cast("long").alias("n_base"),
+        F.array_min(at).cast("long").alias("first_word"),
+        F.array_max(at).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(every)), ",").alias("labels"),
+        F.round(F.greatest(F.coalesce("share", F.lit(0.0)), F.when(F.size(at) > 0, F.lit(0.5)).otherwise(0.0)), 6).alias("score"),
     )

@@ -69,7 +69,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
 
 
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

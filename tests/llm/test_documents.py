@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -407,6 +408,39 @@ def test_all_licences_of_one_text(spark):
     assert (got[0].labels, got[1].labels, got[0].score, got[1].score) == (every, every, 1.0, 1.0)
 
 
+def test_whole_licences_and_names_that_clash(spark):
+    """Templates of several sentences as a parameter; helper names of the caller come back as they were."""
+    long = " ".join(f"clause{i % 97} of part{i % 13}" for i in range(700)) + " the warranty ends here"
+    given = [("long", long, "warranty ends here"), ("word", "solo", "solo")]
+    rows = [(0, f"intro {long} outro"), (1, long.replace("warranty ends", "warranty never ends")), (2, "solo"), (3, " ".join(long.split()[:300]))]
+    rows += [(10 + i, "of the part and the clause") for i in range(30)]
+    clash = ["_words", "_at0", "_places", "_held", "_matches", "id", "held", "row", "base", "words", "found", "share", "t"]
+    df = frame(spark, rows).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in clash})
+    got = {r.doc_id: r for r in licenses.scan(df, templates=given).collect()}
+    assert [got[i].labels for i in (0, 1, 2, 3, 10)] == ["long", "", "word", "", ""] and got[0].score == 1.0
+    assert all(got[i][c] == f"{c}{i}" and got[i].text == t for i, t in rows for c in clash)
+    assert "text" not in licenses.scan(df, keep_text=False).columns
+    with pytest.raises(ValueError):
+        licenses.scan(df, templates=[("x", "a b c", "c a")])
+
+
+def test_licences_meet_sql_on_a_text_of_all_templates(spark, tmp_path):
+    import duckdb
+
+    from punctual.llm import queries
+
+    notices = [t for _, t, _ in licenses.TEMPLATES]
+    rows = [(0, ". ".join(notices)), (1, "nothing"), (2, None), (3, ""), *((10 + i, t.upper()) for i, t in enumerate(notices))]
+    rows += [(100 + i, f"some words {i} of the text and a license") for i in range(40)]
+    frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_licenses(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE['op8_licenses']})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert not re.search("Python|Pandas|Arrow", got._jdf.queryExecution().toString())
+
+
 def test_a_task_may_begin_with_nothing():
     """The tables behind the hashes exist from the first call on, whatever its size."""
     from punctual.llm import text
