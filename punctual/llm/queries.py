@@ -54,7 +54,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = likely_rows(docs, "doc_id", labels, "doc_id").join(labels, "doc_id")
     scored = toxicity.toxicity(docs, labelled)
     held_out = F.coalesce(crc_mod_4("doc_id") == 2, F.lit(False))
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "log_ratio")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

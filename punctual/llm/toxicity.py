@@ -22,6 +22,7 @@ MARGIN = 1.0
 SHORT = 20
 #: The two numbers of the logistic calibration are fitted on about this many learned rows at most, drawn by a hash.
 CALIBRATION_ROWS = 50_000
+FOUND = ["log_ratio", "evidence"]
 
 
 def model_table(known: DataFrame, order: int, work: str) -> DataFrame:
@@ -76,9 +77,11 @@ class RatioArrays:
 
 
 def evidence(df: DataFrame, model: DataFrame, order: int, part_entries: int) -> DataFrame:
-    """Column _text replaced by ``evidence``: the summed ratios beyond the margin over the number of words.
+    """``df`` with ``log_ratio`` and ``evidence``.
 
-    Ratios of words are summed over the parts of a model of more than ``part_entries`` rows before the margin applies.
+    ``log_ratio`` is the toxic minus the ordinary log-likelihood of the text, over its number of characters (0 without
+    any); ``evidence`` sums the ratios of words beyond the margin, over the number of words. Ratios of words are summed
+    over the parts of a model of more than ``part_entries`` rows before the margin applies.
     """
     passes = max(1, -(-model.count() // part_entries))
     df = df.withColumn("_words", F.lit(None).cast("array<double>"))
@@ -109,13 +112,15 @@ def evidence(df: DataFrame, model: DataFrame, order: int, part_entries: int) ->
                     sums = sums + before if len(before) else sums
                     if last:
                         total = np.bincount(row_of, weights=np.maximum(sums - MARGIN, 0), minlength=len(piece))
-                        yield pa.RecordBatch.from_arrays([piece.column("_row"), pa.array(piece.column("_text")), pa.array(total / (n + SHORT))], names=["_row", "_text", "evidence"])
+                        ratio = np.bincount(row_of, weights=sums, minlength=len(piece)) / np.maximum(np.bincount(rows[at], minlength=len(piece)), 1)
+                        found = [pa.array(ratio), pa.array(total / (n + SHORT))]
+                        yield pa.RecordBatch.from_arrays([piece.column("_row"), piece.column("_text"), *found], names=["_row", "_text", *FOUND])
                     else:
                         yield pa.RecordBatch.from_arrays([piece.column("_row"), piece.column("_text"), list_array(n, sums)], names=["_row", "_text", "_words"])
 
         kind = {f.name: f for f in df.schema}
         out = StructType([kind["_row"], kind["_text"]])
-        out = out.add("evidence", "double") if last else out.add("_words", "array<double>")
+        out = out.add(FOUND[0], "double").add(FOUND[1], "double") if last else out.add("_words", "array<double>")
         df = df.select("_row", "_text", "_words").mapInArrow(score, out)
         if not last:
             df = cut(df)
@@ -139,15 +144,16 @@ def toxicity(
     df: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic", order: int = ORDER,
     part_entries: int = PART_ENTRIES, calibration_rows: int = CALIBRATION_ROWS,
 ) -> DataFrame:
-    """``df`` with ``evidence`` (see above, 0 or more) and ``score`` (0 to 1), learned from ``labelled`` alone.
+    """``df`` with ``log_ratio``, ``evidence`` (see above) and ``score`` (0 to 1), learned from ``labelled`` alone.
 
     ``labelled`` has the columns ``text`` and ``label``: 1 (toxic), 0 (ordinary) or null; rows with another value, or a
     null text, teach nothing. Counts take in all labelled rows, the calibration ``calibration_rows`` of them. Without
-    rows of both classes the score is their share of toxic rows (0 without any). A null or empty text has no evidence
-    and gets the score that belongs to none. Other columns are kept; columns with the names of the results are
-    replaced. Repeated rows get equal results, an empty table an empty one.
+    rows of both classes the score is their share of toxic rows (0 without any). The score is calibrated on the
+    evidence; ``log_ratio`` is reported beside it. A null or empty text has 0 of both and gets the score of no
+    evidence. Other columns are kept; columns with the names of the results are replaced. Repeated rows get equal
+    results, an empty table an empty one.
     """
-    plain = df.drop("evidence", "score")
+    plain = df.drop(*FOUND, "score")
     kind = F.when(F.col(label) == 1, "toxic").when(F.col(label) == 0, "ordinary")
     with scratch(df.sparkSession, "toxicity") as work:
         known = labelled.select(F.col(text).cast("string").alias("_text"), kind.alias("_kind"))
@@ -155,7 +161,7 @@ def toxicity(
         tally = {r["_kind"]: r["count"] for r in known.groupBy("_kind").count().collect()}
         rows, toxic = sum(tally.values()), tally.get("toxic", 0)
         if not 0 < toxic < rows:
-            return plain.withColumns({"evidence": F.lit(0.0), "score": F.lit(toxic / rows if rows else 0.0)})
+            return plain.withColumns({**dict.fromkeys(FOUND, F.lit(0.0)), "score": F.lit(toxic / rows if rows else 0.0)})
         model = model_table(known, order, work)
         share = min(1.0, calibration_rows / rows)
         drawn = known.where(F.pmod(F.xxhash64("_text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else known
@@ -166,4 +172,4 @@ def toxicity(
         row = F.struct(*(F.col(f"`{c}`") for c in kept)) if kept else F.lit(0)
         scored = evidence(plain.select(F.col(text).cast("string").alias("_text"), row.alias("_row")), model, order, part_entries)
     columns = [F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in plain.columns]
-    return scored.select(*columns, "evidence", (1 / (1 + F.exp(-(F.col("evidence") * slope + intercept)))).alias("score"))
+    return scored.select(*columns, *FOUND, (1 / (1 + F.exp(-(F.col("evidence") * slope + intercept)))).alias("score"))

@@ -167,6 +167,11 @@ def test_op5(spark, sf_dir, documents):
         sums = [sum(math.log(p(1, g)) - math.log(p(0, g)) for g in w) for w in words(text)]
         return sum(max(s - toxicity.MARGIN, 0) for s in sums) / (len(sums) + toxicity.SHORT)
 
+    def log_ratio(text):
+        """Of the whole text's likelihoods, a character."""
+        grams = [g for w in words(text) for g in w]
+        return sum(math.log(p(1, g)) - math.log(p(0, g)) for g in grams) / max(1, len(grams))
+
     intercept, slope = toxicity.logistic(np.array([evidence(t) for t, _ in known]), np.array([k == 1 for _, k in known]))
     got = {r.doc_id: r for r in queries.op5_toxicity(spark, sf_dir).collect()}
     assert len(got) == len(documents)
@@ -174,3 +179,4 @@ def test_op5(spark, sf_dir, documents):
         want = 1 / (1 + math.exp(-(intercept + slope * evidence(text))))
         assert got[i].held_out == held_out(i) and got[i].score == pytest.approx(want, abs=1e-5)
         assert got[i].predicted == int(got[i].score >= 0.3)
+        assert got[i].log_ratio == pytest.approx(log_ratio(text), abs=1e-9)
