@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,12 +20,16 @@ _kept: list[tuple] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where that is unset, a folder in the session's warehouse.
 
-    Both are places that the driver and every executor reach. No machine-local folder is ever used.
+    Executors must reach it. A warehouse on the driver's own disk will do only where all run on that machine, so on a
+    cluster it is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not re.match(r"local($|\[)", spark.sparkContext.master) and hadoop_fs(spark, warehouse)[0].getScheme() == "file":
+        raise ValueError(f"spark.checkpoint.dir is unset and the warehouse {warehouse} is a folder of one machine: name a shared one")
+    return f"{warehouse}/_intermediate"
 
 
 def visible_to_workers(spark: SparkSession) -> None:

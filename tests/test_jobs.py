@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
+from punctual import runtime
 from punctual.__main__ import main
 from punctual.plans.demo import COLUMNS, flights
 from punctual.schema import CONTRACTS
@@ -38,3 +41,17 @@ def test_words(spark, tmp_path):
 def test_unknown_job_is_refused():
     with pytest.raises(SystemExit):
         main(["schedule"])
+
+
+@pytest.mark.parametrize("master,refused", [("local", False), ("local[4]", False), ("local-cluster[2,1,1024]", True), ("spark://host:7077", True)])
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark, tmp_path, master, refused):
+    conf = {"spark.sql.warehouse.dir": f"file:{tmp_path}/"}
+    context = SimpleNamespace(master=master, _jvm=spark.sparkContext._jvm, _jsc=spark.sparkContext._jsc)
+    session = SimpleNamespace(conf=conf, sparkContext=context)
+    if refused:
+        with pytest.raises(ValueError):
+            runtime.shared_dir(session)
+    else:
+        assert runtime.shared_dir(session) == f"file:{tmp_path}/_intermediate"
+    conf["spark.checkpoint.dir"] = "hdfs:///shared/"
+    assert runtime.shared_dir(session) == "hdfs:///shared"
