@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from punctual.functions.flight import dep_hour, route
-from punctual.runtime import cut, hadoop_fs, scratch
+from punctual.runtime import cut, hadoop_fs, scratch, writing
 from punctual.schema import FLIGHT_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -274,17 +274,20 @@ def write_flights(
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy("Year")
     if mode == "replace_years":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "overwrite":
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     else:
-        writer.mode(mode).parquet(path)
+        writer = writer.mode(mode)
+    with writing(df.sparkSession):
+        writer.parquet(path)
     return seen.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     """A directory of CSV files, written in parallel."""
-    df.write.mode("overwrite").option("header", header).csv(path)
+    with writing(df.sparkSession):
+        df.write.mode("overwrite").option("header", header).csv(path)
 
 
 #: Rows that one named CSV may have.

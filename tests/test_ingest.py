@@ -233,3 +233,46 @@ def test_every_loss_is_counted(spark, tmp_path):
     assert sorted((r.Origin, r.Year, r.ArrDelay) for r in kept.collect()) == [("AAA", 2024, 5.0), ("BBB", None, None), ("CCC", 2024, None), ("EEE", 2023, None), ("FFF", None, None)]
     assert set(kept.columns) == {*FLIGHT_COLUMNS, "Dep_Hour", "Route"}
     assert sorted(r.line for r in spark.read.parquet(str(tmp_path / "rejects")).collect()) == ["2024,3", "2024,5,1.00,DDD,more"]
+
+
+@pytest.mark.parametrize("sink", ["write_flights", "write_csv", "cut"])
+def test_writes_neither_sort_by_folder_nor_leave_methods_to_the_interpreter(spark, tmp_path, sink):
+    """What the tasks of a write see of the settings; the session has its own again afterwards."""
+    from pyspark import TaskContext
+    from punctual import runtime
+
+    def seen(batches):
+        for batch in batches:
+            for c, key in (("open", "spark.sql.maxConcurrentOutputFileWriters"), ("method", "spark.sql.codegen.hugeMethodLimit")):
+                batch[c] = TaskContext.get().getLocalProperty(key)
+            yield batch[["Year", "open", "method"]]
+
+    rows = spark.createDataFrame([(2000 + k % 3,) for k in range(30)], "Year int").coalesce(1)
+    df, path = rows.mapInPandas(seen, "Year int, open string, method string"), str(tmp_path / "out")
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "7")  # the session's own setting stays
+    try:
+        if sink == "write_csv":
+            files.write_csv(df, path)
+            back = spark.read.option("header", True).csv(path)
+        elif sink == "write_flights":
+            assert files.write_flights(df, path) == 30
+            back = spark.read.parquet(path)
+        else:
+            back = runtime.cut(df, "Year", path)
+        assert {tuple(r) for r in back.select("open", "method").collect()} == {("7", "8000")}
+        spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+        back = runtime.cut(df, "Year", f"{path}2")
+        assert {tuple(r) for r in back.select("open", "method").collect()} == {("64", "8000")}
+        assert sorted(r[0] for r in back.select("Year").collect()) == sorted(2000 + k % 3 for k in range(30))
+    finally:
+        spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    assert all(spark.conf.get(key, None) is None for key in runtime.WRITING)
+
+
+def test_raw_text_to_be_typed_is_written_once(spark, sf_dir, monkeypatch):
+    from punctual.plans import catalog
+
+    write, written = catalog.cut, []
+    monkeypatch.setattr(catalog, "cut", lambda df, *a, **k: written.append(df.columns) or write(df, *a, **k))
+    assert "CarrierDelay" in catalog.QUERIES["conform_flights"](spark, sf_dir).columns
+    assert len(written) == 1
