@@ -442,8 +442,8 @@ def _raw_text(df: DataFrame) -> DataFrame:
 
 @query
 def conform_flights(spark, sf_dir):
-    """Raw text typed. It lies in files before, as raw data does; one stage for both would be too large to compile."""
-    raw = cut(_raw_text(cut(flights(spark, sf_dir))))
+    """Raw text typed. It lies in files before, as raw data does."""
+    raw = cut(_raw_text(flights(spark, sf_dir)))
     out = files.conform(raw)
     return out.withColumn("FlightDate", F.col("FlightDate").cast("string"))
 
