@@ -10,8 +10,9 @@ small ones merge into.
 A set is indexed in its own band, and in the next one if a partner can be there; of equal sets one row is. Segment keys
 travel as sorted runs of a few bytes each, dealt by their first bits, to find those that at least two sets share. These
 lead to candidates, compared in blocks by a 1,024-bit parity sketch whose distance never exceeds the true
-difference, then exactly by their sets. Sets are first compared with the first one under their keys, later only with
-sets that they are not yet connected with, so that a group of similar sets costs a star and not all its pairs.
+difference, then exactly by their sets, which are made anew from the texts of the pairs that are left. Sets are first
+compared with the first one under their keys, later only with sets that they are not yet connected with, so that a group
+of similar sets costs a star and not all its pairs.
 """
 
 from __future__ import annotations
@@ -293,7 +294,7 @@ def _indexed(part: pa.RecordBatch, size: int, bands: Bands, chosen: tuple[HashFi
     source = np.concatenate([np.arange(len(n)), np.flatnonzero(up)])
     in_band = np.concatenate([own, own[up] + 1])
     who, keys = bands.signatures(all_rows, all_tokens, n[source], in_band)
-    return rows, tokens, n, node, source[who], keys
+    return rows, tokens, n, node, part.column("tag").take(pa.array(of)), source[who], keys
 
 
 @dataclass
@@ -386,32 +387,57 @@ def _links(tagged: DataFrame, size: int, bands: Bands, chosen: Broadcast, short:
         held: HashFilter = maybe.value
         for batch in batches:
             for start, end in text_slices(batch, "text", SLICE):
-                rows, tokens, n, node, who, keys = _indexed(batch.slice(start, end - start), size, bands, chosen.value)
+                rows, tokens, n, node, tag, who, keys = _indexed(batch.slice(start, end - start), size, bands, chosen.value)
                 likely = held.has(mix(short.short(keys)))
                 who, keys = distinct_per_row(who[likely], keys[likely])
                 own, place = np.unique(who, return_inverse=True)
                 wanted = np.isin(rows, own)
-                lists = [list_array(np.bincount(place, minlength=len(own)), signed(keys)), list_array(per_row(np.searchsorted(own, rows[wanted]), len(own)), signed(tokens[wanted]))]
                 sketch = sketches(np.searchsorted(own, rows[wanted]), tokens[wanted], len(own))
-                columns = [pa.array(signed(node[own])), pa.array(n[own]), list_array(np.full(len(own), SKETCH_BITS // 64), sketch.ravel()), *lists]
-                columns += larger_sketches(np.searchsorted(own, rows[wanted]), tokens[wanted], n[own])
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "keys", "tokens", *LARGER])
+                columns = [pa.array(signed(node[own])), tag.take(pa.array(own)), pa.array(n[own]), list_array(np.full(len(own), SKETCH_BITS // 64), sketch.ravel())]
+                columns += [list_array(np.bincount(place, minlength=len(own)), signed(keys)), *larger_sketches(np.searchsorted(own, rows[wanted]), tokens[wanted], n[own])]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "tag", "n", "sketch", "keys", *LARGER])
 
     with scratch(spark, "entries") as path:
-        kind = "node long, n long, sketch array<long>, keys array<long>, tokens array<long>, mid array<long>, wide array<long>"
-        sets = cut(tagged.mapInArrow(entries, kind).withColumn("row", F.monotonically_increasing_id()), path=f"{path}/all")
-        again = sets.groupBy("node").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-        again = cut(again, path=f"{path}/again")
-        n_again = again.count()  # rows that share text and id, and the few that the bitmaps let through
-        if n_again:
-            gone = cut(sets.select("node", "row").join(again, "node").where("row > first").select("row"), path=f"{path}/gone")
-            sets = sets.join(gone, "row", "left_anti") if gone.count() <= FEW else cut(without_rows(sets, "row", gone, "row"), path=f"{path}/once")
+        kind = "node long, tag long, n long, sketch array<long>, keys array<long>, mid array<long>, wide array<long>"
+        sets = _once(tagged.mapInArrow(entries, kind), path)
         # rows of 16 bytes; sizes and sketches come to them where pairs are weighed
         keyed = cut(sets.select(F.explode("keys").alias("key"), "node"), path=f"{work}/keyed")
-        return _connected(keyed, sets, bands, work)
+        return _connected(keyed, sets, tagged, size, bands, work)
 
 
-def _connected(keyed: DataFrame, sets: DataFrame, bands: Bands, work: str) -> DataFrame | None:
+def _once(sets: DataFrame, path: str) -> DataFrame:
+    """``sets`` written, a row per node; several have rows that share text and id, and the few that bitmaps let through."""
+    sets = cut(sets.withColumn("row", F.monotonically_increasing_id()), path=f"{path}/all")
+    again = sets.groupBy("node").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    again = cut(again, path=f"{path}/again")
+    if again.isEmpty():
+        return sets
+    gone = cut(sets.select("node", "row").join(again, "node").where("row > first").select("row"), path=f"{path}/gone")
+    return sets.join(gone, "row", "left_anti") if gone.count() <= FEW else cut(without_rows(sets, "row", gone, "row"), path=f"{path}/once")
+
+
+def _tokens(tagged: DataFrame, size: int, wanted: DataFrame, path: str) -> DataFrame:
+    """(node, n, tokens) of ``wanted`` (node, tag) and of few other sets, from the texts of the rows with these tags."""
+    bits = filter_bits(wanted.count())
+    held = tagged.sparkSession.sparkContext.broadcast((hash_filter(wanted, "tag", bits), hash_filter(wanted, "node", bits)))
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tags, nodes = held.value
+        for batch in batches:
+            batch = batch.filter(pa.array(tags.has(unsigned(batch.column("tag").to_numpy()))))
+            for start, end in text_slices(batch, "text", SLICE):
+                part = batch.slice(start, end - start)
+                rows, tokens = token_sets(part, size)
+                n, node = per_row(rows, len(part)), identities(rows, tokens, len(part))
+                own = np.flatnonzero((n > 0) & nodes.has(node))
+                own = np.sort(own[np.unique(node[own], return_index=True)[1]])
+                columns = [pa.array(signed(node[own])), pa.array(n[own]), list_array(n[own], signed(tokens[np.isin(rows, own)]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "tokens"])
+
+    return _once(tagged.mapInArrow(fetch, "node long, n long, tokens array<long>"), path)
+
+
+def _connected(keyed: DataFrame, sets: DataFrame, tagged: DataFrame, size: int, bands: Bands, work: str) -> DataFrame | None:
     tried, links = None, None
     for turn, mode in enumerate(("star", "tree", "all")):
         if mode == "star":
@@ -431,8 +457,10 @@ def _connected(keyed: DataFrame, sets: DataFrame, bands: Bands, work: str) -> Da
         pairs = cut(_plausible(pairs, likely_rows(sets.where(F.col("mid").isNotNull()).select("node", "n", *LARGER), "node", wanted, "node"), bands.percent), path=f"{work}/pairs{turn}")
         if pairs.isEmpty():
             continue
-        own = likely_rows(sets.select("node", "n", "tokens"), "node", wanted, "node")
-        good = cut(_verified(pairs, own, bands.percent), path=f"{work}/links{turn}")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node", "tag"), "node")
+        with scratch(keyed.sparkSession, "tokens") as path:
+            own = _tokens(tagged, size, cut(wanted, path=f"{path}/wanted"), path)
+            good = cut(_verified(pairs, own, bands.percent), path=f"{work}/links{turn}")
         links = good if links is None else links.unionByName(good)
         tried = pairs if tried is None else tried.unionByName(pairs)
     return cut(links) if links is not None else None

@@ -143,6 +143,28 @@ def test_partners_of_different_size(spark):
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(rows, 2, 50) == {1: (11, 1), 2: (22, 1), 3: (23, 1)}
 
 
+def test_jaccard_join_writes_token_sets_of_pairs_only(spark, monkeypatch):
+    kept, cut = [], jaccard.cut
+
+    def noted(df, *args, **kwargs):
+        out = cut(df, *args, **kwargs)
+        if "tokens" in out.columns:
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", noted)
+    common = " ".join(f"w{i}" for i in range(18))
+    rows = [(i, f"{common} {' '.join(f'x{i}y{k}' for k in range(4))}") for i in range(60)]  # 16 of 24 shingles in common
+    assert {r.id: r.component_id for r in jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 3, 90).collect()} == {i: i for i in range(60)}
+    assert sum(kept) == 0
+    # two links among them, one with repeated rows of one id
+    rows += [(100, rows[7][1] + " z"), (101, rows[9][1] + " z"), (101, rows[9][1] + " z"), (None, rows[9][1] + " z")]
+    got = jaccard.jaccard_join(frame(spark, rows).repartition(6), "doc_id", "text", 3, 90).collect()
+    assert len(got) == len(rows)
+    assert {r.id: r.component_id for r in got} == {i: i for i in range(60)} | {100: 7, 101: 9, None: 9}
+    assert 0 < sum(kept) < 20
+
+
 def test_jaccard_join_without_ids_or_rows(spark):
     rows = [(None, "a b c d"), (7, "a b c d"), (None, "solo text here now"), (7, "a b c d"), (9, None)]
     got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 2, 80).collect()
