@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame, functions as F
 from punctual.llm.text import (
     ddl, ALNUM, HashFilter, hash_filter, list_array, mix, per_row, shingles, signed, text_buffers, text_slices, words,
 )
-from punctual.runtime import cut, kept_dir, scratch
+from punctual.runtime import TEXTS, cut, kept_dir, scratch, settings
 
 WINDOW, SHINGLE = 10, 3
+#: Bytes of texts that a task takes apart at once; its arrays take some fifty times as much.
+SLICE = 1 << 19
 
 
 def item_windows(items: DataFrame, id_col: str, text: str, window: int) -> DataFrame:
@@ -28,7 +30,7 @@ def item_windows(items: DataFrame, id_col: str, text: str, window: int) -> DataF
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in text_slices(batch, "text"):
+            for start, end in text_slices(batch, "text", SLICE):
                 part = batch.slice(start, end - start)
                 rows, hashes = words(*text_buffers(part.column("text")), ALNUM)
                 n = per_row(rows, len(part))
@@ -76,7 +78,7 @@ def _stretches(docs: DataFrame, likely, sizes: list[int]) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[HashFilter, int]] = likely.value
         for batch in batches:
-            for start, end in text_slices(batch, "text"):
+            for start, end in text_slices(batch, "text", SLICE):
                 part = batch.slice(start, end - start)
                 rows, hashes = words(*text_buffers(part.column("text")), ALNUM)
                 first = np.concatenate([[0], np.cumsum(per_row(rows, len(part)))])
@@ -152,7 +154,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     if not 1 <= window <= WINDOW_REACH:
         raise ValueError(f"window must be from 1 to {WINDOW_REACH}")
     spark = docs.sparkSession
-    with scratch(spark, "decontaminate") as work:
+    with scratch(spark, "decontaminate") as work, settings(spark, TEXTS):
         listed = cut(item_windows(items, item_col, item_text, window), path=f"{work}/windows")
         tokens = cut(window_shingles(listed), path=f"{work}/shingles")
         of_size = F.least(F.col("n"), F.lit(SHINGLE))

@@ -30,7 +30,7 @@ from punctual.llm.text import (
     ddl, NOT_SPACE, HashFilter, distinct_per_row, filter_bits, group_bounds, hash_filter, likely_rows, list_array, mix, partitions_for,
     per_row, shingles, signed, text_buffers, text_slices, unsigned, whole_groups, without_rows, words,
 )
-from punctual.runtime import cut, kept_dir, scratch
+from punctual.runtime import TEXTS, cut, kept_dir, scratch, settings
 
 SLICE = 1 << 19
 SKETCH_BITS = 1024
@@ -229,7 +229,7 @@ def jaccard_join(df: DataFrame, id_col: str, text: str, size: int = 5, percent:
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n), pa.array(node), probe], names=["id", "n", "node", "probe"])
 
     id_kind = ddl(texts.schema["id"].dataType)
-    with scratch(spark, "jaccard") as work:
+    with scratch(spark, "jaccard") as work, settings(spark, TEXTS):
         sets = cut(texts.mapInArrow(measure, f"id {id_kind}, n long, node long, probe array<long>"), path=kept_dir(spark, "sets"))
         bands = Bands(percent, merged) if merged is not None else allocate(Bands(percent), sets)
         chosen = _chosen(sets, work)

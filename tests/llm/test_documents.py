@@ -15,7 +15,8 @@ import sentencepiece as library
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from punctual.llm import components, decontaminate, jaccard, licenses, sentencepiece, sharding, suffix, tokens
+from punctual import runtime
+from punctual.llm import components, decontaminate, jaccard, licenses, sentencepiece, sharding, suffix, text, tokens
 from punctual.llm.text import without_rows
 from punctual.llm.wavelet import WaveletMatrix
 from punctual.runtime import kept_dir
@@ -165,6 +166,46 @@ def test_jaccard_join_writes_token_sets_of_pairs_only(spark, monkeypatch):
     assert 0 < sum(kept) < 20
 
 
+@pytest.mark.parametrize("batch", [None, "3"])
+def test_texts_go_to_workers_in_small_batches(spark, corpus, monkeypatch, batch):
+    """While an operator reads texts, its settings hold; one of the session's own stays, and none is left behind."""
+    seen, name = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if batch:
+        spark.conf.set(name, batch)
+    try:
+        for module in (jaccard, decontaminate):
+
+            def noted(df, *args, cut=module.cut, **kwargs):
+                seen.append({key: spark.conf.get(key, None) for key in runtime.TEXTS})
+                return cut(df, *args, **kwargs)
+
+            monkeypatch.setattr(module, "cut", noted)
+        got = jaccard.jaccard_join(frame(spark, corpus), "doc_id", "text", 3, 90).collect()
+        assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(corpus, 3, 90)
+        n = len(seen)
+        items = spark.createDataFrame([("a", corpus[0][1])], "item_id string, text string")
+        assert decontaminate.contaminated(frame(spark, corpus), items).count() == len(corpus)
+        assert n > 0 and len(seen) > n
+        inside = {key: batch if batch and key == name else value for key, value in runtime.TEXTS.items()}
+        # what is written after the texts were read needs none of it
+        assert all(x == inside for x in seen[: n - 2] + seen[n:])
+        assert spark.conf.get(name, None) == batch
+    finally:
+        spark.conf.unset(name)
+    assert all(spark.conf.get(key, None) is None for key in runtime.TEXTS)
+
+
+def test_tables_of_powers_follow_the_texts(monkeypatch):
+    monkeypatch.setattr(text, "_powers", {})
+    data = np.arange(5000, dtype=np.uint8)
+    first = text.range_hash(text.prefix_hash(data), np.array([3]), np.array([40]))
+    assert len(text._powers["up"]) < 1 << 17
+    text.powers(1 << 18)
+    assert text.range_hash(text.prefix_hash(np.tile(data, 60)), np.array([3]), np.array([40])) == first
+    up, down = text.powers(1 << 18)
+    assert ((up * down) == 1).all()
+
+
 def test_jaccard_join_without_ids_or_rows(spark):
     rows = [(None, "a b c d"), (7, "a b c d"), (None, "solo text here now"), (7, "a b c d"), (9, None)]
     got = jaccard.jaccard_join(frame(spark, rows), "doc_id", "text", 2, 80).collect()
