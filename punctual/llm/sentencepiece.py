@@ -17,13 +17,12 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from punctual.llm.kneser_ney import unique_keys
 from punctual.llm.text import list_array, mix, powers, range_hash, text_slices
@@ -36,6 +35,8 @@ AHEAD = 64
 CACHED_WORDS = 200_000
 #: Words of up to so many characters are solved in step with others of their length.
 IN_STEP = 40
+#: Codes whose words are hashed at once.
+HASHED = 1 << 15
 NEVER = -(1 << 60)
 UNIT = 1 << 20
 
@@ -128,11 +129,12 @@ class Pieces:
     # ---- many words at once ----
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        #: Hashes of the words that are remembered, in order, and the places that their ids have.
+        self.known, self.places = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.flat, self.starts, self.used = np.zeros(1 << 16, dtype="<i4"), np.zeros(1 << 16, dtype=np.int64), 0
         self.scores = np.zeros(1 << 16, dtype=np.int64)
 
-    def _remember(self, hashes: list[int], words: list[np.ndarray], scores: np.ndarray) -> None:
+    def _remember(self, hashes: np.ndarray, words: list[np.ndarray], scores: np.ndarray) -> None:
         n, sizes = len(self.known), np.array([len(w) for w in words], dtype=np.int64)
         ends = self.used + np.cumsum(sizes)
         while n + len(words) + 1 > len(self.starts):
@@ -144,7 +146,16 @@ class Pieces:
         self.scores[n : n + len(words)] = scores
         self.flat[self.used : ends[-1]] = np.concatenate(words)
         self.used = int(ends[-1])
-        self.known.update(zip(hashes, range(n, n + len(words)), strict=True))
+        known, places = np.append(self.known, hashes), np.append(self.places, np.arange(n, n + len(words)))
+        order = np.argsort(known, kind="stable")
+        self.known, self.places = known[order], places[order]
+
+    def _recall(self, hashes: np.ndarray) -> np.ndarray:
+        """The places of words, -1 for those that are not remembered."""
+        if not len(self.known):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.places[at], -1)
 
     def _solve(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids and score of the best path of every word (a range of codes); words of one length go in step."""
@@ -222,18 +233,15 @@ class Pieces:
         first[offsets[:-1][lengths > 0]] = True
         starts = np.flatnonzero(first)
         ends = np.append(starts[1:], len(codes))
-        up, _ = powers(len(codes))
-        prefix = np.zeros(len(codes) + 1, dtype=np.uint64)
-        np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up, out=prefix[1:])
-        hashes = range_hash(prefix, starts, ends) + (ends - starts).astype(np.uint64)
+        hashes = word_hashes(codes, starts, ends)
         inverse, kinds = unique_keys(hashes)
         if len(self.known) > CACHED_WORDS or self.used > 8 * CACHED_WORDS:
             self.forget()
-        place = np.fromiter(map(self.known.get, hashes[kinds].tolist(), repeat(-1)), dtype=np.int64, count=len(kinds))
+        place = self._recall(hashes[kinds])
         new = np.flatnonzero(place < 0)
         if len(new):
             n = len(self.known)
-            self._remember(hashes[kinds[new]].tolist(), *self._solve(codes, starts[kinds[new]], ends[kinds[new]]))
+            self._remember(hashes[kinds[new]], *self._solve(codes, starts[kinds[new]], ends[kinds[new]]))
             place[new] = np.arange(n, n + len(new))
         place = place[inverse]
         size, start = self.starts[place + 1] - self.starts[place], self.starts[place]
@@ -356,6 +364,20 @@ def marked(text: str) -> str:
     return SPACE + text.replace(SPACE, MARK).replace(" ", SPACE)
 
 
+def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of every word, which are ranges of codes that follow each other; a block of them takes the working memory."""
+    out, low = np.zeros(len(starts), dtype=np.uint64), 0
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + HASHED, side="right")))
+        block = codes[starts[low] : ends[high - 1]]
+        up, _ = powers(len(block))
+        prefix = np.zeros(len(block) + 1, dtype=np.uint64)
+        np.cumsum(mix(block.astype(np.uint64) + np.uint64(1)) * up, out=prefix[1:])
+        out[low:high] = range_hash(prefix, starts[low:high] - starts[low], ends[low:high] - starts[low])
+        low = high
+    return out + (ends - starts).astype(np.uint64)
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
@@ -477,18 +499,15 @@ def encode(df: DataFrame, model_path: str, text: str = "text", chunk: int = CHUN
 def decode(df: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text that ``ids`` spell in the column ``out``; null ids give null, none the empty text."""
 
-    names = [c for c in df.columns if c != out]
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(model_path)
-        for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.slice(k, 500)
-                lists = part.column(ids)
-                counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy().astype(np.int64)
-                spelled = model.decode_all(lists.flatten().to_numpy().astype(np.int64), counts).cast(pa.string())
-                spelled = pa.compute.if_else(lists.is_valid(), spelled, pa.scalar(None, pa.string()))
-                yield pa.RecordBatch.from_arrays([*map(part.column, names), spelled], names=[*names, out])
-
-    kept = df.select(*(F.col(f"`{c}`") for c in names))
-    return kept.mapInArrow(texts, StructType([*kept.schema.fields, StructField(out, StringType())]))
+    @F.arrow_udf("string")
+    def texts(lists: pa.Array) -> pa.Array:
+        model, spelled = pieces(model_path), [pa.array([], pa.string())]
+        for k in range(0, len(lists), 500):
+            part = lists.slice(k, 500)
+            counts = pa.compute.fill_null(pa.compute.list_value_length(part), 0).to_numpy().astype(np.int64)
+            got = model.decode_all(part.flatten().to_numpy().astype(np.int64), counts).cast(pa.string())
+            spelled.append(pa.compute.if_else(part.is_valid(), got, pa.scalar(None, pa.string())))
+        return pa.concat_arrays(spelled)
+
+    # only the ids go to the Python workers
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c != out), texts(F.col(f"`{ids}`")).alias(out))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -419,6 +420,39 @@ def test_chunks_change_nothing(spark, documents, model, chunk):
     assert sentencepiece.encode(df.limit(0), path).count() == 0
 
 
+def test_words_are_hashed_block_by_block(model, monkeypatch):
+    texts = [sentencepiece.marked(t) if t else "" for t in (sentence(300) + " " + "x" * 200, "", sentence(50))]
+    model.forget()
+    whole = model.encode_all(texts)
+    assert len(model.known) == len(set(model.known.tolist())) == len(model.places)
+    monkeypatch.setattr(sentencepiece, "HASHED", 64)
+    for again in (model.encode_all(texts), model.forget() or model.encode_all(texts)):
+        assert all((x == y).all() for x, y in zip(whole, again, strict=True))
+
+
+def test_encoding_takes_little_memory_beside_the_texts(model):
+    whole = sentencepiece.marked("considerable arrangements notwithstanding " * 25_000)
+    model.encode_all([whole[:100]])
+    tracemalloc.start()
+    model.encode_all([whole])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(whole)
+
+
+def test_only_ids_go_to_the_decoder(spark, model):
+    df = spark.createDataFrame([(1, "one two", model_ids(model, "one two")), (2, None, None), (3, "", [])], "Decoded long, text string, ids array<int>")
+    out = sentencepiece.decode(df, public_tokenizers.path("piece_bpe_32k.model"), out="spelled")
+    assert out.columns == ["Decoded", "text", "ids", "spelled"]
+    assert {r.Decoded: r.spelled for r in out.collect()} == {1: "one two", 2: None, 3: ""}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+
+
+def model_ids(model, text: str) -> list[int]:
+    return np.frombuffer(model.encode(text), dtype="<i4").tolist()
+
+
 def test_the_library_reads_the_ids(model):
     spoken = library.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     for text in (sentence(30), "plain text, nothing odd", "tabs\tand\nlines"):
