@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from punctual import runtime
 from punctual.llm import components, decontaminate, jaccard, licenses, sentencepiece, sharding, suffix, text, tokens
-from punctual.llm.text import without_rows
+from punctual.llm.text import likely_rows, without_rows
 from punctual.llm.wavelet import WaveletMatrix
 from punctual.runtime import kept_dir
 
@@ -280,6 +280,19 @@ def test_rows_without(spark):
     assert got == Counter([i for i in [*range(50), None] if i not in (3, 4)])
 
 
+@pytest.mark.parametrize("keep", [likely_rows, without_rows])
+def test_rows_stay_with_spark_while_their_keys_are_looked_up(spark, keep):
+    rows = [(i % 40 or None, {"k": i}, "a text") for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, `a b` struct<k:int>, text string")
+    out = keep(df, "id", spark.createDataFrame([(3,), (None,)], "g long"), "g", bits=16)
+    assert out.schema == df.schema
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    got = Counter((r.id, r["a b"].k) for r in out.collect())
+    wanted = {(i, x["k"]) for i, x, _ in rows if (i == 3) == (keep is likely_rows) and i is not None}
+    assert set(got) >= wanted and set(got.values()) == {1} and len(got) < 80
+
+
 # ---- sharding -----------------------------------------------------------------------------------
 
 
