@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 import tracemalloc
@@ -11,6 +12,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece as library
 from pyspark.sql import functions as F
@@ -255,6 +257,61 @@ def test_repeats_of_nothing(spark):
     assert (overlap.n_removed, overlap.n_spans, overlap.kept) == (201, 1, "")
 
 
+def test_repeats_read_texts_in_small_batches(spark, corpus, monkeypatch):
+    seen = []
+
+    def noted(df, *args, cut=suffix.cut, **kwargs):
+        seen.append({key: spark.conf.get(key, None) for key in runtime.TEXTS})
+        return cut(df, *args, **kwargs)
+
+    monkeypatch.setattr(suffix, "cut", noted)
+    suffix.remove_repeats(frame(spark, corpus), length=100)
+    assert seen and all(x == runtime.TEXTS for x in seen)
+    assert all(spark.conf.get(key, None) is None for key in runtime.TEXTS)
+
+
+def test_rows_without_repeats_stay_with_spark(spark):
+    """Only rows that may hold a repeat go to Python whole; the results of the others are Spark's own."""
+    same = sentence(90)
+    rows = [(1, same), (2, same + " é end"), (3, "x" * 201), (4, "é中" + sentence(80)), (5, None), (6, "")]
+    out = suffix.remove_repeats(frame(spark, rows))
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = dict(zip([i for i, _ in rows], brute.repeats([t for _, t in rows], 200), strict=True))
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept) for r in out.collect()} == want
+    assert [r.kept is None for r in out.orderBy("doc_id").collect()] == [False] * len(rows)
+
+
+def test_repeats_in_bytes_that_are_no_text(spark):
+    """Such bytes count and are hashed; ``kept`` leaves them out, with and without a repeat."""
+    broken = "cast(concat(cast('{}' as binary), unhex('ff'), cast('z' as binary)) as string)"
+    df = spark.sql(f"select 1 as doc_id, {broken.format('abc')} as text union all select 2, {broken.format('x' * 201)}")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.kept, r.kept_sha256) for r in suffix.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "kept", "kept_sha256").collect()}
+    assert got == {1: (5, 0, "abcz", hashlib.sha256(b"abc\xffz").hexdigest()), 2: (203, 201, "z", hashlib.sha256(b"\xffz").hexdigest())}
+
+
+def test_digests_of_texts_are_the_same_in_spark_and_in_tasks(spark):
+    rows = [(1, "é中"), (2, None), (3, ""), (4, "x" * 300), *((i, sentence(5)) for i in range(5, 40))]
+    got = suffix._with_digests(frame(spark, rows)).orderBy("doc_id").collect()
+    part = pa.RecordBatch.from_arrays([pa.array([t for _, t in rows], pa.string())], names=["text"])
+    want = suffix.digests(part, *text.text_buffers(part.column("text")))
+    assert [(r.text_a, r.text_b) for r in got] == [tuple(x) for x in want.tolist()]
+    assert {r.text_a < 0 for r in got} == {True, False}
+
+
+def test_a_small_level_is_few_files(spark, documents, tmp_path):
+    """Each file costs an executor a moment of a second process (see README), so their number follows the size."""
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        array = suffix.suffix_array(frame(spark, documents), 200, str(tmp_path / "array"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert array.count() > 60 and len(list((tmp_path / "array").glob("part-*"))) <= 4
+    parts = array.select(F.input_file_name().alias("file"), "key").groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    bounds = sorted((r.low, r.high) for r in parts.collect())
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+
+
 def test_benchmark_windows(spark, corpus):
     long = next(t for _, t in corpus if t and len(t) > 10_000)
     items = [(1, " ".join(long.split(" ")[50:75])), (2, sentence(30)), (3, "one TWO"), (3, "a b c"), (None, "one"), (4, None), (5, " - "), (6, "bal")]
