@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from punctual import runtime
 from punctual.llm import embeddings, kneser_ney, language, queries, toxicity
 from punctual.runtime import kept_dir
 
@@ -236,6 +237,24 @@ def test_stages_take_odd_rows(spark):
     assert kept["repeated_passages"] == len(odd) - 2
 
 
+def test_texts_are_scored_before_the_caller_writes(spark, monkeypatch):
+    """The language stage writes its rows itself, in small batches, and leaves none of its settings behind."""
+    seen = []
+
+    def noted(df, *args, cut=corpus_pipeline.cut, **kwargs):
+        seen.append({key: spark.conf.get(key, None) for key in runtime.TEXTS})
+        return cut(df, *args, **kwargs)
+
+    monkeypatch.setattr(corpus_pipeline, "cut", noted)
+    rows = [(i, f"some words {i}", "en", "s", 9) for i in range(40)] + [(40, "123", "en", "s", 3), (41, None, None, "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.known_language(spark, docs, SF)
+    assert "InArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    assert seen == [runtime.TEXTS]
+    assert all(spark.conf.get(key, None) is None for key in runtime.TEXTS)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == list(range(40))
+
+
 def test_stages_keep_columns_of_any_name(spark):
     names = ["_key", "_hash", "_row", "_rest", "_text", "_lang", "score", "rejected", "kept", "n_removed", "n_hit", "id", "component_id", "row", "tag", "count", "n chars"]
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")  # a small table of its own
