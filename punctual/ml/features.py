@@ -92,11 +92,14 @@ def year_part(
     keys: list[str] | None = None,
     seed: int = 42,
 ) -> Column:
-    """``train`` (a sample of the years up to ``last_train_year``), ``test``, ``check``, or ``rest`` for other rows."""
+    """``train`` (a sample of the years up to ``last_train_year``; all from a fraction of 1 on), ``test``, ``check``, or
+    ``rest`` for other rows."""
     test_year = last_train_year + 1 if test_year is None else test_year
     if any(y is not None and y <= last_train_year for y in (test_year, check_year)):
         raise ValueError("test years must come after the training years")
-    drawn = (F.col("Year") <= last_train_year) & (hash_position(df, keys, seed) < train_fraction)
+    drawn = F.col("Year") <= last_train_year
+    if train_fraction < 1:
+        drawn &= hash_position(df, keys, seed) < train_fraction
     part = F.when(drawn, "train").when(F.col("Year") == test_year, "test")
     if check_year is not None:
         part = part.when(F.col("Year") == check_year, "check")
@@ -127,14 +130,15 @@ def split_by_year(
 SPLIT_KEYS = ["FlightDate", *CATEGORICAL, "Dep_Hour", "label"]
 
 
-def default_split(df: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """By year when the data has at least two: all but the last year train; else the 80/20 hash split.
+def default_split(df: DataFrame, seed: int = 42, train_fraction: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """By year when the data has at least two: all rows of all but the last year train; else the 80/20 hash split.
 
-    Rows are hashed by SPLIT_KEYS, or by all columns if one of these is absent.
+    With a ``train_fraction`` below 1 a sample of the earlier years' rows trains. Rows are hashed by SPLIT_KEYS, or by all
+    columns if one of these is absent.
     """
     keys = SPLIT_KEYS if set(SPLIT_KEYS) <= set(df.columns) else None
     span = df.agg(F.min("Year").alias("lo"), F.max("Year").alias("hi")).first()
     if span["lo"] is not None and span["lo"] < span["hi"]:
-        train, test = split_by_year(df, span["hi"] - 1, span["hi"], keys=keys, seed=seed)
+        train, test = split_by_year(df, span["hi"] - 1, span["hi"], train_fraction=train_fraction, keys=keys, seed=seed)
         return train, test
     return split_hash(df, keys=keys, seed=seed)

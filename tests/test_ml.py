@@ -196,3 +196,42 @@ def test_gradient_follows_its_definition(spark):
     fitted = models.gradient(models.train(df, "lr", max_iter=200), df)
     assert fitted.where("abs(gradient) > 1e-4").isEmpty()
     assert models.gradient(model, df.limit(0)).isEmpty()
+
+
+def test_the_default_split_trains_on_all_rows_of_earlier_years(spark):
+    df = spark.range(4000).select(F.col("id"), (2021 + F.col("id") % 4).cast("int").alias("Year"), F.lit(0).alias("label"))
+    train, test = features.default_split(df)
+    assert (train.count(), train.select("id").distinct().count(), test.count()) == (3000, 3000, 1000)
+    assert train.agg(F.max("Year")).first()[0] == 2023
+    drawn, last = features.default_split(df, train_fraction=0.15)
+    assert 350 < drawn.count() < 550 and last.count() == 1000
+
+
+def _trained_on(monkeypatch) -> list[int]:
+    """The numbers of rows that models are trained on from now on."""
+    sizes, train = [], models.train
+    monkeypatch.setattr(models, "train", lambda df, *a, **k: sizes.append(df.count()) or train(df, *a, **k, max_iter=1))
+    return sizes
+
+
+def test_a_batch_trains_on_all_rows_of_earlier_years(spark, tmp_path, monkeypatch):
+    from punctual.plans.batch import run_batch
+    from punctual.sources import files
+
+    days = F.date_add(F.lit("2022-01-01").cast("date"), (F.col("id") % 1000).cast("int"))
+    rows = spark.range(2000).select("id", days.alias("day"), (F.col("id") % 3 == 0).alias("late"))
+    late = F.col("late").cast("double")
+    raw = rows.select(
+        F.year("day").alias("Year"), F.month("day").alias("Month"), F.dayofmonth("day").alias("DayofMonth"), F.lit(1).alias("DayOfWeek"),
+        F.col("day").alias("FlightDate"), F.lit("AA").alias("Reporting_Airline"), F.col("id").alias("Flight_Number_Reporting_Airline"),
+        F.lit("AAA").alias("Origin"), F.lit("Alpha").alias("OriginCityName"), F.lit("AL").alias("OriginState"),
+        F.lit("BBB").alias("Dest"), F.lit("Beta").alias("DestCityName"), F.lit("BE").alias("DestState"),
+        F.lit("900").alias("CRSDepTime"), *[(late * 20).alias(c) for c in ("DepDelay", "DepDelayMinutes", "ArrDelay", "ArrDelayMinutes")],
+        late.alias("DepDel15"), late.alias("ArrDel15"), F.lit(0.0).alias("Cancelled"), F.lit(0.0).alias("Diverted"),
+        F.lit(60.0).alias("CRSElapsedTime"), F.lit(40.0).alias("AirTime"), (100 + F.col("id") % 7).alias("Distance"),
+    )
+    files.write_csv(raw, f"{tmp_path}/raw")
+    sizes = _trained_on(monkeypatch)
+    done = run_batch(spark, f"{tmp_path}/raw", f"{tmp_path}/cleaned", f"{tmp_path}/serving")
+    earlier = rows.where(F.year("day") < 2024).count()
+    assert sizes == [earlier] and done.published["ml_delay_predictions"] == 2000 - earlier
