@@ -733,7 +733,7 @@ def delay_model_coverage(spark, sf_dir):
 
 @query
 def model_comparison(spark, sf_dir):
-    """Both kinds of model, with as many iterations each, on the same rows."""
+    """Both kinds of model, with as many iterations each, on the same rows: all of the years before the last."""
     train, test = features.default_split(_training(spark, sf_dir))
     with scratch(spark, "comparison") as path:
         rows, test = models.training_table(train, f"{path}/train"), cut(test, path=f"{path}/test")

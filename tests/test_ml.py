@@ -235,3 +235,13 @@ def test_a_batch_trains_on_all_rows_of_earlier_years(spark, tmp_path, monkeypatc
     done = run_batch(spark, f"{tmp_path}/raw", f"{tmp_path}/cleaned", f"{tmp_path}/serving")
     earlier = rows.where(F.year("day") < 2024).count()
     assert sizes == [earlier] and done.published["ml_delay_predictions"] == 2000 - earlier
+
+
+def test_compared_models_are_trained_on_all_rows_of_earlier_years(spark, sf_dir, monkeypatch):
+    from punctual.plans import catalog
+
+    sizes = _trained_on(monkeypatch)
+    assert catalog.model_comparison(spark, sf_dir).count() == 2
+    rows = catalog._training(spark, sf_dir)
+    last = rows.agg(F.max("Year")).first()[0]
+    assert sizes == [rows.where(F.col("Year") < last).count()] * 2
