@@ -559,10 +559,10 @@ def written_counts(spark, sf_dir):
 
 @query
 def batch_run(spark, sf_dir):
-    """The whole batch from raw CSV files: rows of the fact and of every published table, predictions included."""
+    """The whole batch from packed raw CSV files: rows of the fact and of every published table, predictions included."""
     with scratch(spark, "batch") as path:
         columns = [c for c in COLUMNS if c not in ("Dep_Hour", "Route")]
-        files.write_csv(_raw_text(flights(spark, sf_dir, *columns)), f"{path}/raw")
+        files.write_csv(_raw_text(flights(spark, sf_dir, *columns)), f"{path}/raw", compression="gzip")
         done = batch.run_batch(spark, f"{path}/raw", f"{path}/cleaned", f"{path}/serving")
     counts = [("flights", done.fact_rows), *done.published.items()]
     return spark.createDataFrame(counts, "table_name string, table_rows bigint")

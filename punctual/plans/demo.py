@@ -83,7 +83,7 @@ def _requires(wanted: list[str]) -> tuple[list[str], set[str]]:
         if term in terms:
             continue
         terms.add(term)
-        for word in _WORD.findall(re.sub(r"'[^']*'", "", TERMS[term])):
+        for word in _words(term):
             if word in TERMS and word != term:
                 todo.append(word)
             elif word[:2] in ("l_", "p_", "s_", "c_"):
@@ -122,7 +122,9 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     terms, reads = _requires(wanted)
     keys = {"l_" + k for k, need in (("partkey", "p_"), ("suppkey", "s_"), ("orderkey", "c_")) if _any(reads, need)}
     lines = table(spark, sf_dir, "lineitem")
-    df = lines.select(*[c for c in lines.columns if c in reads | keys])
+    early = _early(terms, keys)
+    gone = {c for t in early for c in _columns(t) - keys if _users(c, terms) == [t]}
+    df = lines.selectExpr(*[c for c in lines.columns if c in reads | keys and c not in gone], *[f"{TERMS[t]} AS `{t}`" for t in early])
     if _any(reads, "p_"):
         part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
         df = df.join(part, df["l_partkey"] == part["p_partkey"], "left")
@@ -141,7 +143,26 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     for side in ("s", "c"):
         df = _with_place(spark, sf_dir, df, side, reads)
     # Later terms refer to earlier ones of the same select (lateral column aliases).
-    return df.selectExpr(*[f"{TERMS[t]} AS `{t}`" for t in terms]).select(*wanted)
+    return df.selectExpr(*[f"`{t}`" if t in early else f"{TERMS[t]} AS `{t}`" for t in terms]).select(*wanted)
+
+
+def _words(term: str) -> list[str]:
+    return _WORD.findall(re.sub(r"'[^']*'", "", TERMS[term]))
+
+
+def _columns(term: str) -> set[str]:
+    """Table columns that a term reads itself."""
+    return {w for w in _words(term) if w[:2] in ("l_", "p_", "s_", "c_")}
+
+
+def _users(column: str, terms: list[str]) -> list[str]:
+    return [t for t in terms if column in _words(t)]
+
+
+def _early(terms: list[str], keys: set[str]) -> list[str]:
+    """Terms over lineitem alone that take the place of a column, which then is in no shuffle: only they read it."""
+    alone = [t for t in terms if not any(w in TERMS for w in _words(t)) and all(c[:2] == "l_" for c in _columns(t))]
+    return [t for t in alone if any(_users(c, terms) == [t] and c not in keys for c in _columns(t))]
 
 
 def _any(reads: set[str], prefix: str) -> bool:

@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from punctual.functions.flight import dep_hour, route
-from punctual.runtime import cut, hadoop_fs, scratch, writing
+from punctual.runtime import cut, hadoop_fs, scratch, settings, writing
 from punctual.schema import FLIGHT_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -29,14 +29,15 @@ class HeaderError(ValueError):
 def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, header): the first line of every raw file that has one, found by the tasks that read the files.
 
-    Only lines that may be first ones leave the JVM: all of a file that can share a task with others, one of a larger
+    Only lines that may be first ones leave the JVM: all of a file that can follow another one in a task, one of a larger
     file. A pass over the bytes without parsing them.
     """
     try:
         lines = spark.read.text(paths)
     except AnalysisException as error:
         raise FileNotFoundError(f"no raw files in {paths}") from error
-    whole = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    conf = spark._jsparkSession.sessionState().conf()
+    whole = int(conf.filesMaxPartitionBytes()) - int(conf.filesOpenCostInBytes())
     lines = lines.select(
         F.col("_metadata.file_path").alias("file"),
         "value",
@@ -62,7 +63,9 @@ def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str] | None]:
     """The distinct headers, and their files if there are several (else None: they are all that ``paths`` name)."""
-    first = cut(_first_lines(spark, paths))
+    apart = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()) * 31 // 32
+    with settings(spark, {"spark.sql.files.openCostInBytes": str(apart)}):
+        first = cut(_first_lines(spark, paths))
     headers = sorted(r["header"] for r in first.select("header").distinct().collect())
     if len(headers) < 2:
         return dict.fromkeys(headers)
@@ -284,10 +287,10 @@ def write_flights(
     return seen.get["rows"]
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """A directory of CSV files, written in parallel."""
+def write_csv(df: DataFrame, path: str, header: bool = True, compression: str = "none") -> None:
+    """A directory of CSV files, written in parallel; a ``compression`` such as ``gzip`` is undone by every reader."""
     with writing(df.sparkSession):
-        df.write.mode("overwrite").option("header", header).csv(path)
+        df.write.mode("overwrite").option("header", header).option("compression", compression).csv(path)
 
 
 #: Rows that one named CSV may have.

@@ -204,6 +204,30 @@ def test_header_of_a_file_in_several_parts(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_headers_of_packed_files(spark, tmp_path, monkeypatch):
+    """Of a packed file one line leaves the JVM, whatever its size: no other file comes before it in its task."""
+    for k, columns in enumerate((["a", "b"], ["b", "a"], ["a", "b"])):
+        rows = spark.range(60_000).select(F.xxhash64("id").alias("a"), (F.col("id") + k).alias("b"))
+        files.write_csv(rows.select(*columns).coalesce(2), f"{tmp_path}/{k}", compression="gzip")
+    assert all(f.name.endswith(".csv.gz") for f in tmp_path.glob("*/part-*"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # files of half as much
+    seen, first_lines = [], files._first_lines
+
+    def counted(*args):
+        lines = first_lines(*args)
+        seen.append(lines._jdf.queryExecution().executedPlan().execute().getNumPartitions())
+        return lines
+
+    monkeypatch.setattr(files, "_first_lines", counted)
+    try:
+        back = files.read_raw_csv(spark, [f"{tmp_path}/{k}" for k in range(3)])
+        assert back.count() == 180_000 and back.where("CAST(b AS BIGINT) BETWEEN 0 AND 60001").count() == 180_000
+        # nine bytes a row and more: a file beyond what may share a task, with three of them in no task together
+        assert min(f.stat().st_size for f in tmp_path.glob("*/part-*")) > (1 << 20) // 32 and seen == [6]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_names_of_a_header():
     assert files.header_names('"a b",,A,a b,"x,y",') == ["a b0", "_c1", "A", "a b3", "x,y", "_c5"]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from punctual.operators import tables
 from punctual.plans.catalog import fact
@@ -160,3 +161,37 @@ def test_queries_leave_no_folder_behind(spark, sf_dir, name):
         fs.delete(path, True)
     del runtime._kept[noted:]
     assert {p.name for p in shared.iterdir()} == before
+
+
+def _shuffle_files(spark) -> int:
+    held = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return sum(held.apply(k).getName().startswith("shuffle_") for k in range(held.size()))
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    from punctual.runtime import cut
+
+    before = _shuffle_files(spark)
+    out = cut(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    assert out.count() == 100 and _shuffle_files(spark) <= before
+
+
+def test_raw_files_of_the_batch_are_packed(spark, sf_dir, monkeypatch):
+    from punctual.plans import batch, catalog
+
+    seen = []
+
+    def listed(spark, raw, *_):
+        seen.extend(spark.read.text(raw).inputFiles())
+        return batch.BatchResult(1)
+
+    monkeypatch.setattr(batch, "run_batch", listed)
+    assert catalog.batch_run(spark, sf_dir).count() == 1
+    assert seen and all(f.endswith(".csv.gz") for f in seen)
+
+
+def test_only_narrow_terms_are_shuffled(spark, sf_dir):
+    """The price, eight bytes a row, is read for a delay of one: that is what moves."""
+    shown = flights(spark, sf_dir, "ArrDelay", "Cancelled", "Reporting_Airline", "Dest")._jdf.queryExecution().optimizedPlan().toString()
+    early = [line for line in shown.splitlines() if "AS ad#" in line]
+    assert len(early) == 1 and shown.index(early[0]) > shown.index("Join")
