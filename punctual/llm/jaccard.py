@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import erfc, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -81,21 +82,27 @@ class Bands:
     def segments(self, band: int) -> tuple[int, int, int]:
         """Number of segments, how many of them (the first ones) have threshold 1, and the slack.
 
-        Thresholds plus one sum to H + 1 + slack, so partners agree on more than ``slack`` segments. The slack is what
-        the band's smallest sets have in empty segments with four standard deviations to spare: a set with no more
-        empty ones needs none of them as a key, and only few sets have more.
+        Thresholds plus one sum to H + 1 + slack, so those of the segments on which partners agree exceed the slack.
+        A segment is bare if a set has no token in it, or with threshold 1 no more than one: what it says there, all
+        bare sets say. The slack is what the band's smallest sets have in bare segments with four standard deviations
+        to spare: a set with no more needs none of them as a key, and only few sets have more.
         """
-        errors, low = int(self.difference(2 * int(self.top[band]))), int(self.low[band])
+        errors = int(self.difference(2 * int(self.top[band])))
         merged = min(self.merged.get(band, 0), (errors + 1) // 2)
         slack = 0
         while errors and slack < errors + 2:
-            single = errors + 1 + slack - 2 * merged
-            empty = single * float(np.exp(-low / max(1, errors + 1 + slack - merged)))
-            if slack >= empty + 4 * np.sqrt(empty):
+            mean, deviation = self.bare(band, errors + 1 + slack - merged, merged)
+            if slack >= mean + 4 * deviation:
                 break
             slack += 1
         return errors + 1 + slack - merged, merged, slack
 
+    def bare(self, band: int, segments: int, merged: int) -> tuple[float, float]:
+        """Mean and standard deviation of the thresholds plus one of bare segments, for the band's smallest sets."""
+        held = int(self.low[band]) / max(1, segments)
+        none, few = float(np.exp(-held)), float(np.exp(-held) * (1 + held))
+        return (segments - merged) * none + 2 * merged * few, float(np.sqrt((segments - merged) * none + 4 * merged * few))
+
     def signatures(self, rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, key) of every signature; row k holds ``sizes[k]`` tokens and is indexed in ``bands[k]``."""
         plan = np.array([self.segments(b) if len(sizes) and b <= bands.max() else (1, 0, 0) for b in range(len(self.top))], dtype=np.int64)
@@ -114,10 +121,12 @@ class Bands:
         number = np.arange(base[-1]) - base[of_slot]
         name = mix(salt[of_slot] + number.astype(np.uint64))
         keys = mix(sums ^ name)
-        bare = (count == 0) & (number >= n_merged[of_slot])
-        spared = np.bincount(of_slot[bare], minlength=len(sizes)) <= slack
-        kept = ~(bare & spared[of_slot])
-        loose = segment < n_merged[rows]
+        lenient = number < n_merged[of_slot]
+        bare = count <= lenient
+        spared = np.bincount(of_slot, weights=bare * (1 + lenient), minlength=len(sizes)) <= slack
+        # the key of no token: that of an empty segment, and of one with threshold 1 without its only token
+        kept = ~((count == 0) & spared[of_slot])
+        loose = (segment < n_merged[rows]) & ~((count[slot] == 1) & spared[rows])
         left_out = mix((sums[slot[loose]] - value[loose]) ^ name[slot[loose]])
         return np.concatenate([of_slot[kept], rows[loose]]), np.concatenate([keys[kept], left_out])
 
@@ -177,9 +186,10 @@ def allocate(bands: Bands, sets: DataFrame) -> Bands:
     """The cheapest number of merged segments per band, from counts over all sets.
 
     With N sets of mean size n, and q the share of a set's tokens that it has in common with another one on the
-    average, s segments cost s rows per set, a merged one as many rows more as it holds tokens. Two sets differ in
-    2 o (1 - q) of the tokens of a segment that holds o, so N^2 / 2 pairs meet there by chance with the Poisson
-    probability of no difference, or of one at most.
+    average, s segments cost s rows per set, a merged one as many rows more as it holds tokens. Of N^2 / 2 pairs those
+    meet by chance in a segment that holds o tokens of a set who have common tokens there, Poisson with q o, and of
+    2 o (1 - q) others none, or in a merged one at most one each; and those of sets with too many bare segments,
+    where both have none.
     """
     of = {"band": F.expr(f"size(filter(array({', '.join(f'{t}L' for t in bands.tops[1:])}), t -> t < n))")}
     sized = sets.where("n > 0").withColumns(of)
@@ -192,10 +202,13 @@ def allocate(bands: Bands, sets: DataFrame) -> Bands:
         errors = int(bands.difference(2 * int(bands.top[r["band"]])))
 
         def cost(d: int, n: int = r["sets"], mean: float = r["mean"], q: float = q, band: int = r["band"]) -> float:
-            segments, few, _ = Bands(bands.percent, {band: d}).segments(band)
+            segments, few, slack = Bands(bands.percent, {band: d}).segments(band)
             held = mean / segments
-            apart = 2 * held * (1 - q)
-            chance = (segments - few) * np.exp(-apart) + few * np.exp(-apart) * (1 + apart)
+            apart = held * (1 - q)
+            chance = (segments - few + few * (1 + apart) ** 2) * np.exp(-2 * apart) * -np.expm1(-q * held)
+            usual, deviation = bands.bare(band, segments, few)
+            over = erfc((slack - usual) / deviation / sqrt(2)) / 2 if deviation else 0.0
+            chance += over**2 * (segments - few + few * (1 + held) ** 2) * np.exp(-2 * held)
             return n * (segments + few * held) + PAIR_COST * n**2 / 2 * min(1.0, chance)
 
         steps = sorted({round((errors + 1) // 2 * k / 8) for k in range(9)})

@@ -620,3 +620,41 @@ def test_a_task_may_begin_with_nothing():
         assert len(text.powers(5)[0]) == 5
     finally:
         text._powers.update(kept)
+
+
+def _signed(bands: jaccard.Bands, sets: list[np.ndarray], band: int) -> list[set[int]]:
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    who, keys = bands.signatures(rows, np.concatenate(sets), sizes, np.full(len(sets), band))
+    out = [set() for _ in sets]
+    for w, k in zip(who.tolist(), keys.tolist(), strict=True):
+        out[w].add(k)
+    return out
+
+
+@pytest.mark.parametrize("merged", [0, 1, 4, 16])
+def test_unrelated_sets_share_no_key(merged):
+    """Segments without a token, or with the only one left out, say the same of all sets: few sets have them as keys."""
+    rng = np.random.default_rng(merged)
+    bands = jaccard.Bands(80, {12: merged})
+    sets = [rng.integers(1, 2**63, n, dtype=np.uint64) for n in rng.integers(bands.low[12], bands.top[12] + 1, 1500)]
+    shared = Counter(k for keys in _signed(bands, sets, 12) for k in keys)
+    assert max(shared.values()) <= 15
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_partners_share_a_key(percent):
+    """At the largest difference that partners may have, whatever segments merge, for small sets and larger ones."""
+    rng = np.random.default_rng(percent)
+    for merged in (0, 1, 2, 5, 40):
+        for band in range(1, 13):
+            bands = jaccard.Bands(percent, {band: merged})
+            a, b = [], []
+            for x, y in rng.integers(bands.low[band], bands.top[band] + 1, (60, 2)).tolist():
+                common = -(-percent * (x + y) // (100 + percent))
+                if common <= min(x, y):
+                    tokens = rng.integers(1, 2**63, x + y - common, dtype=np.uint64)
+                    a.append(tokens[:x])
+                    b.append(tokens[x - common :])
+            found = _signed(bands, a + b, band)
+            assert a and all(found[k] & found[k + len(a)] for k in range(len(a))), (merged, band)
