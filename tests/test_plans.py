@@ -173,7 +173,8 @@ def test_shuffle_files_go_with_the_write(spark):
 
     before = _shuffle_files(spark)
     out = cut(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
-    assert out.count() == 100 and _shuffle_files(spark) <= before
+    assert _shuffle_files(spark) <= before
+    assert out.count() == 100
 
 
 def test_raw_files_of_the_batch_are_packed(spark, sf_dir, monkeypatch):
