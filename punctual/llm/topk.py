@@ -70,7 +70,8 @@ def _tile(table: pa.Table, k: int) -> pa.Table:
     queries, held = table.filter(pa.array(asks)), table.filter(pa.array(~asks))
     # in the order in which ties are settled, rows without an id last
     held = held.sort_by([("id", "ascending"), ("row", "ascending")])
-    a, b = _matrix(queries), _matrix(held)
+    width = table["d"][0].as_py()
+    a, b = _matrix(queries, width), _matrix(held, width)
     whole = _products_are_exact(a, b)
     if whole:
         a, b = a.astype(np.float64), b.astype(np.float64)
@@ -104,8 +105,7 @@ def _tile(table: pa.Table, k: int) -> pa.Table:
     return pa.table(columns, names=["query", "query_id", "part", "row", "id", "score"])
 
 
-def _matrix(table: pa.Table) -> np.ndarray:
-    width = table["d"][0].as_py() if len(table) else 0
+def _matrix(table: pa.Table, width: int) -> np.ndarray:
     return table["v"].combine_chunks().flatten().to_numpy().reshape(len(table), width)
 
 

@@ -11,6 +11,7 @@ from fractions import Fraction
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,6 +142,12 @@ def test_top_k(spark, monkeypatch, tile, strip, fan):
     assert topk.top_k(df, F.lit(None).cast("boolean")).count() == 0
 
 
+def test_top_k_of_a_tile_without_candidates():
+    """Small tables leave blocks empty: queries meet no row there."""
+    rows = {"d": [3, 3], "asks": [True, True], "row": [1, 2], "id": [1, 2], "c": [0, 0], "v": [[1, 2, 3], [2**62, 0, 1]]}
+    assert len(topk._tile(pa.table(rows), 4)) == 0
+
+
 # ---- alignment ----------------------------------------------------------------------------------
 
 ODD = [
